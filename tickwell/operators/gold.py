@@ -22,7 +22,7 @@ def fact_stock_price(silver: DataFrame, audit: bool = True) -> DataFrame:
         base = base.select(*cols)
     w = by_symbol()
     change = F.coalesce(F.col("close_price") - F.lag("close_price").over(w), F.lit(0.0))
-    out = (base.withColumn("row_num", F.row_number().over(w))
+    out = (base.withColumn("row_num", F.row_number().over(w).cast("bigint"))
                .withColumn("gain", F.greatest(change, F.lit(0.0)))
                .withColumn("loss", F.abs(F.least(change, F.lit(0.0)))))
     keep = ["symbol", "trade_date", "row_num", "open_price", "high_price", "low_price",

@@ -98,7 +98,7 @@ def macd_line(core: DataFrame) -> DataFrame:
                        & F.col("ema_26").isNotNull())
     w = Window.partitionBy("symbol").orderBy("trade_date")
     return rows.select("symbol", "trade_date",
-                       F.row_number().over(w).alias("row_num"),
+                       F.row_number().over(w).cast("bigint").alias("row_num"),
                        (F.col("ema_12") - F.col("ema_26")).alias("macd_line"))
 
 
@@ -111,9 +111,13 @@ def macd_signal(line: DataFrame, block: int | None = None) -> DataFrame:
 class Indicators:
     """All indicator frames from one price fact, sharing one scan."""
 
-    def __init__(self, fact: DataFrame, block: int | None = None):
+    def __init__(self, fact: DataFrame, block: int | None = None, materialize=None):
+        """``materialize`` (optional) cuts the lineage of the scan output,
+        which the MACD line, the signal scan and the final join all reuse."""
         base = fact.select("symbol", "trade_date", "row_num", "close_price", "gain", "loss")
         self.core = _core(base, block)
+        if materialize is not None:
+            self.core = materialize(self.core)
         self.line = macd_line(self.core)
         self.signal = macd_signal(self.line, block)
 
@@ -142,5 +146,5 @@ class Indicators:
         return frame.join(macd, ["symbol", "trade_date"], "left")
 
 
-def fact_stock_indicators(fact: DataFrame, block: int | None = None) -> DataFrame:
-    return Indicators(fact, block).fact()
+def fact_stock_indicators(fact: DataFrame, block: int | None = None, materialize=None) -> DataFrame:
+    return Indicators(fact, block, materialize).fact()

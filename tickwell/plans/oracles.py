@@ -254,5 +254,250 @@ SELECT symbol, trade_date, close_price, {r6('ma50')}, {r6('ma200')}, {r6('bb_upp
 FROM fact_stock_indicators""", "fact_stock_indicators")
 
 
+# --- bronze maintenance
+S.add("batch_union", """
+  SELECT code, date, open, high, low, close, volume, source, 0 AS prio, 1 AS seq FROM bronze_prices
+  UNION ALL
+  SELECT code, date, open, high, low, CAST(close + 1 AS DECIMAL(18,4)), volume, source, 1, 2
+  FROM bronze_prices WHERE volume % 7 = 0""", ["bronze_prices"])
+ORACLES["upsert_bronze"] = S.compose("""
+SELECT code, date, CAST(open AS DOUBLE) AS open, CAST(high AS DOUBLE) AS high, CAST(low AS DOUBLE) AS low,
+  CAST(close AS DOUBLE) AS close, volume, source
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY code, date ORDER BY prio DESC, seq DESC) AS rk FROM batch_union) u
+WHERE rk = 1""", "batch_union")
+
+ORACLES["dedup_last"] = S.compose("""
+SELECT code, date, l_orderkey, l_linenumber, cents FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY code, date
+                               ORDER BY l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l_extendedprice DESC) AS rk
+  FROM ticks) t WHERE rk = 1""", "ticks")
+
+ORACLES["audit_bars"] = S.compose("""
+SELECT CAST(COUNT(*) AS BIGINT) AS rows,
+  CAST(COUNT(*) FILTER (WHERE code IS NULL) AS BIGINT) AS null_code,
+  CAST(COUNT(*) FILTER (WHERE date IS NULL) AS BIGINT) AS null_date,
+  CAST(COUNT(*) FILTER (WHERE open <= 0) AS BIGINT) AS nonpositive_open,
+  CAST(COUNT(*) FILTER (WHERE high <= 0) AS BIGINT) AS nonpositive_high,
+  CAST(COUNT(*) FILTER (WHERE low <= 0) AS BIGINT) AS nonpositive_low,
+  CAST(COUNT(*) FILTER (WHERE close <= 0) AS BIGINT) AS nonpositive_close,
+  CAST(COUNT(*) FILTER (WHERE volume < 0) AS BIGINT) AS negative_volume
+FROM bronze_prices""", "bronze_prices")
+
+ORACLES["universe_others"] = S.compose("""
+SELECT DISTINCT code AS symbol FROM bronze_prices
+WHERE code NOT IN (SELECT code FROM bronze_components)""", "bronze_prices", "bronze_components")
+
+# --- calendar
+S.add("cal", """
+  SELECT CAST(d AS DATE) AS date, CAST(day(d) AS INTEGER) AS day, dayname(d) AS day_of_week,
+    CAST(month(d) AS INTEGER) AS month, CAST(quarter(d) AS INTEGER) AS quarter, CAST(year(d) AS INTEGER) AS year,
+    isodow(d) <= 5 AND NOT ((month(d) = 1 AND day(d) = 1) OR (month(d) = 4 AND day(d) = 30)
+      OR (month(d) = 5 AND day(d) = 1) OR (month(d) = 9 AND day(d) = 2) OR (month(d) = 9 AND day(d) = 3))
+      AS is_trading_day
+  FROM (SELECT UNNEST(generate_series(CAST(make_date(year(MIN(date)), 1, 1) AS TIMESTAMP),
+                                      CAST(make_date(year(MAX(date)), 12, 31) AS TIMESTAMP),
+                                      INTERVAL 1 DAY)) AS d
+        FROM bronze_prices) t""", ["bronze_prices"], materialized=True)
+ORACLES["dim_date"] = S.compose("SELECT * FROM cal", "cal")
+
+ORACLES["trading_days"] = S.compose("""
+SELECT s.symbol, s.first_date, s.last_date, s.bars,
+  CAST((SELECT COUNT(*) FROM cal c WHERE c.is_trading_day AND c.date BETWEEN s.first_date AND s.last_date)
+       AS BIGINT) AS trading_days
+FROM (SELECT code AS symbol, MIN(date) AS first_date, MAX(date) AS last_date, CAST(COUNT(*) AS BIGINT) AS bars
+      FROM bronze_prices GROUP BY code) s""", "cal", "bronze_prices")
+
+ORACLES["coverage"] = S.compose("""
+SELECT year, start, "end", symbols, trading_days, expected_rows, existing_rows, threshold,
+  NOT (expected_rows > 0 AND existing_rows >= threshold) AS needs_load
+FROM (
+  SELECT y.year, y.start, y."end", m.n AS symbols, y.trading_days, m.n * y.trading_days AS expected_rows,
+    CAST(COALESCE(e.existing_rows, 0) AS BIGINT) AS existing_rows,
+    CAST(FLOOR(m.n * y.trading_days * CAST(0.8 AS DOUBLE)) AS BIGINT) AS threshold
+  FROM (SELECT year, MIN(date) AS start, MAX(date) AS "end",
+               CAST(SUM(CASE WHEN is_trading_day THEN 1 ELSE 0 END) AS BIGINT) AS trading_days
+        FROM cal GROUP BY year) y
+  CROSS JOIN (SELECT CAST(COUNT(DISTINCT code) AS BIGINT) AS n FROM bronze_components) m
+  LEFT JOIN (SELECT CAST(year(date) AS INTEGER) AS year, COUNT(*) AS existing_rows FROM bronze_prices
+             WHERE code IN (SELECT code FROM bronze_components) GROUP BY 1) e ON e.year = y.year) t""",
+    "cal", "bronze_prices", "bronze_components")
+
+# --- quality report
+_gates = [
+    ("silver", "silver_prices", "unique_combination(symbol, trade_date)",
+     "SELECT COUNT(*) FROM (SELECT symbol, trade_date FROM silver_prices GROUP BY 1, 2 HAVING COUNT(*) > 1) d"),
+    ("silver", "silver_prices", "not_null(symbol)", "SELECT COUNT(*) FILTER (WHERE symbol IS NULL) FROM silver_prices"),
+    ("silver", "silver_prices", "not_null(trade_date)",
+     "SELECT COUNT(*) FILTER (WHERE trade_date IS NULL) FROM silver_prices"),
+    ("silver", "silver_index", "unique_combination(index_code, trade_date)",
+     "SELECT COUNT(*) FROM (SELECT index_code, trade_date FROM silver_index GROUP BY 1, 2 HAVING COUNT(*) > 1) d"),
+    ("silver", "silver_index", "not_null(index_code)",
+     "SELECT COUNT(*) FILTER (WHERE index_code IS NULL) FROM silver_index"),
+    ("silver", "silver_index", "not_null(trade_date)",
+     "SELECT COUNT(*) FILTER (WHERE trade_date IS NULL) FROM silver_index"),
+    ("gold", "fact_stock_indicators", "expression_is_true(rsi_14 >= 0 AND rsi_14 <= 100)",
+     "SELECT COUNT(*) FILTER (WHERE NOT (rsi_14 >= 0 AND rsi_14 <= 100)) FROM fact_stock_indicators "
+     "WHERE rsi_14 IS NOT NULL"),
+    ("gold", "fact_stock_indicators", "expression_is_true(ma200 > 0)",
+     "SELECT COUNT(*) FILTER (WHERE NOT (ma200 > 0)) FROM fact_stock_indicators WHERE ma200 IS NOT NULL"),
+    ("gold", "fact_stock_indicators", "expression_is_true(bb_upper >= bb_lower)",
+     "SELECT COUNT(*) FILTER (WHERE NOT (bb_upper >= bb_lower)) FROM fact_stock_indicators "
+     "WHERE bb_upper IS NOT NULL AND bb_lower IS NOT NULL"),
+    ("gold", "fact_market_summary", "expression_is_true(gainers + losers + unchanged = total_symbols)",
+     "SELECT COUNT(*) FILTER (WHERE NOT (gainers + losers + unchanged = total_symbols)) FROM fact_market_summary"),
+    ("gold", "dim_stock", "unique(symbol)",
+     "SELECT COUNT(*) FROM (SELECT symbol FROM dim_stock WHERE symbol IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1) d"),
+    ("gold", "dim_stock", "not_null(symbol)", "SELECT COUNT(*) FILTER (WHERE symbol IS NULL) FROM dim_stock"),
+]
+ORACLES["quality_report"] = S.compose("\nUNION ALL\n".join(
+    f"SELECT '{l}' AS layer, '{m}' AS model, '{t}' AS test, CAST(({q}) AS BIGINT) AS failures"
+    for l, m, t, q in _gates), "silver_prices", "silver_index", "fact_stock_indicators", "fact_market_summary",
+    "dim_stock")
+
+
+# --- dashboard extracts
+def _np(c: str) -> str:
+    return f"CASE WHEN {c} > 500 THEN {c} / 1000.0 ELSE {c} END"
+
+
+def _ni(c: str) -> str:
+    return f"CASE WHEN {c} > 5000 THEN {c} / 100.0 ELSE {c} END"
+
+
+ORACLES["latest_market"] = S.compose(f"""
+SELECT trade_date, gainers, losers, unchanged, total_symbols, total_volume,
+  ROUND({_ni('vnindex_close')}, 6) AS vnindex_close, ROUND({_ni('vn30_close')}, 6) AS vn30_close
+FROM fact_market_summary ORDER BY trade_date DESC LIMIT 1""", "fact_market_summary")
+
+ORACLES["market_history"] = S.compose(f"""
+SELECT trade_date, ROUND({_ni('vnindex_close')}, 6) AS vnindex_close, ROUND({_ni('vn30_close')}, 6) AS vn30_close,
+  total_volume, gainers, losers, unchanged
+FROM fact_market_summary
+WHERE trade_date >= (SELECT MAX(trade_date) FROM fact_market_summary) - INTERVAL 200 DAY""",
+    "fact_market_summary")
+
+S.add("ext", """
+  SELECT p.symbol, p.trade_date, p.close_price, p.volume, COALESCE(d.is_vn30, FALSE) AS is_vn30
+  FROM fact_stock_price p LEFT JOIN dim_stock d ON p.symbol = d.symbol
+  WHERE (d.is_vn30 AND p.trade_date >= (SELECT MAX(trade_date) FROM fact_stock_price) - INTERVAL 200 DAY)
+     OR p.trade_date IN (SELECT DISTINCT trade_date FROM fact_stock_price ORDER BY trade_date DESC LIMIT 2)""",
+      ["fact_stock_price", "dim_stock"], materialized=True)
+ORACLES["price_extract"] = S.compose("SELECT * FROM ext", "ext")
+
+S.add("ext_pct", f"""
+  SELECT *, ROUND_EVEN(CASE WHEN prev_close > 0 THEN (close_normalized - prev_close) / prev_close * 100 END, 2)
+    AS pct_change
+  FROM (SELECT *, LAG(close_normalized) OVER (PARTITION BY symbol ORDER BY trade_date) AS prev_close
+        FROM (SELECT *, {_np('close_price')} AS close_normalized FROM ext) a) b""", ["ext"])
+S.add("movers", """
+  SELECT symbol, trade_date, close_normalized AS close_price, prev_close,
+    COALESCE(pct_change, 0.0) AS pct_change, pct_change AS rank_change, is_vn30,
+    COALESCE(volume, 0) AS volume
+  FROM ext_pct WHERE trade_date = (SELECT MAX(trade_date) FROM fact_market_summary)""",
+      ["ext_pct", "fact_market_summary"])
+ORACLES["top_movers"] = S.compose("""
+SELECT symbol, trade_date, ROUND(close_price, 6) AS close_price, ROUND(prev_close, 6) AS prev_close, pct_change,
+  is_vn30, volume
+FROM movers ORDER BY rank_change DESC NULLS LAST, symbol LIMIT 10""", "movers")
+
+ORACLES["indicator_extract"] = S.compose(f"""
+SELECT i.symbol, i.trade_date, ROUND({_np('i.close_price')}, 6) AS close_price, ROUND({_np('i.ma50')}, 6) AS ma50,
+  ROUND({_np('i.ma200')}, 6) AS ma200, ROUND({_np('i.bb_upper')}, 6) AS bb_upper,
+  ROUND({_np('i.bb_lower')}, 6) AS bb_lower, i.rsi_14, ROUND(i.macd_line, 6) AS macd_line,
+  ROUND(i.macd_signal, 6) AS macd_signal, ROUND(i.macd_histogram, 6) AS macd_histogram,
+  COALESCE(d.is_vn30, FALSE) AS is_vn30
+FROM fact_stock_indicators i LEFT JOIN dim_stock d ON i.symbol = d.symbol
+WHERE i.trade_date >= (SELECT MAX(trade_date) FROM fact_stock_indicators) - INTERVAL 200 DAY""",
+    "fact_stock_indicators", "dim_stock")
+
+ORACLES["vn30_breadth"] = S.compose("""
+SELECT trade_date, CAST(COALESCE(SUM(volume), 0) AS BIGINT) AS total_volume,
+  CAST(COUNT(*) FILTER (WHERE pct_change > 0) AS BIGINT) AS gainers,
+  CAST(COUNT(*) FILTER (WHERE pct_change < 0) AS BIGINT) AS losers,
+  CAST(COUNT(*) FILTER (WHERE pct_change = 0) AS BIGINT) AS unchanged
+FROM ext_pct WHERE is_vn30 GROUP BY trade_date""", "ext_pct")
+
+ORACLES["vn30_kpis"] = S.compose(f"""
+SELECT (SELECT MAX(trade_date) FROM fact_market_summary) AS trade_date,
+  CAST(COUNT(*) FILTER (WHERE pct_change > 0) AS BIGINT) AS gainers,
+  CAST(COUNT(*) FILTER (WHERE pct_change < 0) AS BIGINT) AS losers,
+  CAST(COUNT(*) FILTER (WHERE pct_change = 0) AS BIGINT) AS unchanged,
+  CAST(COALESCE(SUM(volume), 0) AS BIGINT) AS total_volume,
+  (SELECT ROUND({_ni('vn30_close')}, 6) FROM fact_market_summary ORDER BY trade_date DESC LIMIT 1) AS index_close
+FROM movers WHERE is_vn30""", "movers", "fact_market_summary")
+
+# --- report measures
+S.add("m_dates", """
+  SELECT l.latest_date,
+    (SELECT MAX(date) FROM cal WHERE is_trading_day AND date < l.latest_date) AS prev_date
+  FROM (SELECT MAX(date) AS latest_date FROM cal
+        WHERE is_trading_day AND date IN (SELECT trade_date FROM fact_stock_price)) l""",
+      ["cal", "fact_stock_price"])
+ORACLES["measure_percent_change"] = S.compose("""
+SELECT symbol, trade_date, ROUND(percent_change, 6) AS percent_change FROM (
+  SELECT p.symbol, d.latest_date AS trade_date,
+    CASE WHEN SUM(CASE WHEN p.trade_date = d.prev_date THEN p.close_price END) <> 0 THEN
+      (COALESCE(SUM(CASE WHEN p.trade_date = d.latest_date THEN p.close_price END), 0)
+       - SUM(CASE WHEN p.trade_date = d.prev_date THEN p.close_price END))
+      / SUM(CASE WHEN p.trade_date = d.prev_date THEN p.close_price END) END AS percent_change
+  FROM fact_stock_price p JOIN m_dates d ON p.trade_date = d.latest_date OR p.trade_date = d.prev_date
+  GROUP BY p.symbol, d.latest_date) t
+WHERE percent_change IS NOT NULL""", "m_dates", "fact_stock_price")
+
+
+def _oc_counts() -> str:
+    return """CAST(COUNT(*) FILTER (WHERE close_price > open_price) AS BIGINT) AS gainers,
+  CAST(COUNT(*) FILTER (WHERE close_price < open_price) AS BIGINT) AS losers,
+  CAST(COUNT(*) FILTER (WHERE close_price = open_price) AS BIGINT) AS unchanged,
+  CAST(SUM(volume) AS BIGINT) AS total_volume"""
+
+
+ORACLES["measure_latest_breadth"] = S.compose(f"""
+SELECT d.latest_date AS trade_date, {_oc_counts()}
+FROM fact_stock_price p JOIN m_dates d ON p.trade_date = d.latest_date GROUP BY d.latest_date""",
+    "m_dates", "fact_stock_price")
+
+ORACLES["measure_trend"] = S.compose(f"""
+SELECT trade_date, {_oc_counts()} FROM fact_stock_price GROUP BY trade_date""", "fact_stock_price")
+
+ORACLES["signals"] = S.compose("""
+SELECT symbol, trade_date,
+  CASE WHEN LAG(ma_d) OVER w <= 0 AND ma_d > 0 THEN 'golden'
+       WHEN LAG(ma_d) OVER w >= 0 AND ma_d < 0 THEN 'death' END AS ma_cross,
+  CASE WHEN rsi_14 > 70 THEN 'overbought' WHEN rsi_14 < 30 THEN 'oversold'
+       WHEN rsi_14 IS NOT NULL THEN 'neutral' END AS rsi_zone,
+  CASE WHEN LAG(h_d) OVER w <= 0 AND h_d > 0 THEN 'bullish'
+       WHEN LAG(h_d) OVER w >= 0 AND h_d < 0 THEN 'bearish' END AS macd_cross,
+  CASE WHEN ROUND(close_price - bb_upper, 9) >= 0 THEN 'upper'
+       WHEN ROUND(close_price - bb_lower, 9) <= 0 THEN 'lower' END AS band_touch
+FROM (SELECT *, ROUND(ma50 - ma200, 9) AS ma_d, ROUND(macd_histogram, 9) AS h_d FROM fact_stock_indicators) i
+WINDOW w AS (PARTITION BY symbol ORDER BY trade_date)""", "fact_stock_indicators")
+
+# --- verification: the oracle's two sides are the same literal recursion,
+# so every error is 0; the Spark side compares the block scan with a
+# sequential per-symbol loop and must round to the same zeros.
+_drift_floor = {"rsi_14": "0.1"}
+ORACLES["drift_report"] = S.compose("\nUNION ALL\n".join(
+    f"""SELECT i.symbol, '{c}' AS indicator, CAST(COUNT(*) AS BIGINT) AS rows,
+  ROUND(MAX(ABS(i.{c} - i.{c})), 6) AS max_abs_err,
+  ROUND(AVG(CASE WHEN {'ABS(i.' + c + ')' if c.startswith('macd') else 'i.' + c} > {_drift_floor.get(c, '0.01')}
+                 THEN ABS(i.{c} - i.{c}) / {'ABS(i.' + c + ')' if c.startswith('macd') else 'i.' + c} * 100
+                 ELSE 0.0 END), 6) AS mape
+FROM fact_stock_indicators i JOIN fact_stock_price f ON f.symbol = i.symbol AND f.trade_date = i.trade_date
+WHERE f.row_num > 250 GROUP BY i.symbol"""
+    for c in ("rsi_14", "macd_line", "macd_signal", "ma50", "ma200", "bb_upper", "bb_lower")),
+    "fact_stock_indicators", "fact_stock_price")
+
+ORACLES["macd_acceptance"] = S.compose("""
+SELECT i.symbol,
+  CAST(COUNT(*) FILTER (WHERE macd_line IS NOT NULL) AS BIGINT) AS line_rows,
+  CAST(COUNT(*) FILTER (WHERE macd_signal IS NOT NULL) AS BIGINT) AS signal_rows,
+  0.0 AS max_line_err, 0.0 AS max_signal_err, TRUE AS passed
+FROM fact_stock_indicators i
+WHERE i.symbol IN (SELECT symbol FROM fact_stock_price GROUP BY symbol HAVING COUNT(*) >= 35)
+GROUP BY i.symbol
+HAVING COUNT(*) FILTER (WHERE macd_line IS NOT NULL) > 0""", "fact_stock_indicators", "fact_stock_price")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)

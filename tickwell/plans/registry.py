@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators import gold, indicators, silver
 from ..sources import fixtures
+from .materialize import checkpointed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -40,7 +41,9 @@ class Layers:
         self.fact = gold.fact_stock_price(self.silver_prices, audit=False)
 
     def indicators(self, block: int | None = None) -> indicators.Indicators:
-        return indicators.Indicators(self.fact, block)
+        # The scan reads the fact twice (rows and block table) and its output
+        # feeds three branches: cut both lineages once.
+        return indicators.Indicators(checkpointed(self.fact), block, checkpointed)
 
 
 @query("silver_prices")
@@ -125,5 +128,209 @@ def q_fact_stock_indicators(spark, sf_dir):
                       r6("bb_lower"), "rsi_14", r6("macd_line"), r6("macd_signal"), r6("macd_histogram"))
 
 
+
+# --- bronze maintenance --------------------------------------------------------
+
+def _as_double_bars(df):
+    return df.select("code", "date", *[F.col(c).cast("double").alias(c) for c in ("open", "high", "low", "close")],
+                     "volume", "source")
+
+
+@query("upsert_bronze")
+def q_upsert_bronze(spark, sf_dir):
+    from ..sources import bronze as B
+    b1, b2 = fixtures.upsert_batches(fixtures.load(spark, sf_dir).prices)
+    return _as_double_bars(B.upsert_bronze(b1.drop("seq"), b2, ("code", "date"), "seq"))
+
+
+@query("dedup_last")
+def q_dedup_last(spark, sf_dir):
+    from ..sources import bronze as B
+    t = fixtures.ticks(fixtures.read_table(spark, sf_dir, "lineitem")).select(
+        "code", "date", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "cents")
+    d = B.dedup_last(t, ["code", "date"], ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"])
+    return d.select("code", "date", "l_orderkey", "l_linenumber", "cents")
+
+
+@query("audit_bars")
+def q_audit_bars(spark, sf_dir):
+    from ..sources import bronze as B
+    return B.audit_bars(fixtures.load(spark, sf_dir).prices)
+
+
+@query("universe_others")
+def q_universe_others(spark, sf_dir):
+    from ..operators import calendar as K
+    b = fixtures.load(spark, sf_dir)
+    return K.universe_others(b.prices.select(F.col("code").alias("symbol")), b.components)
+
+
+# --- calendar and coverage ------------------------------------------------------
+
+def _calendar(b):
+    from ..operators import calendar as K
+    return K.data_years_calendar(b.prices, "date")
+
+
+@query("dim_date")
+def q_dim_date(spark, sf_dir):
+    return _calendar(fixtures.load(spark, sf_dir))
+
+
+@query("trading_days")
+def q_trading_days(spark, sf_dir):
+    from ..operators import calendar as K
+    b = fixtures.load(spark, sf_dir)
+    return K.trading_days_per_symbol(b.prices, _calendar(b)).select(
+        "symbol", "first_date", "last_date", "bars", "trading_days")
+
+
+@query("coverage")
+def q_coverage(spark, sf_dir):
+    from ..operators import calendar as K
+    b = fixtures.load(spark, sf_dir)
+    return K.coverage(b.prices, b.components, _calendar(b))
+
+
+# --- quality ----------------------------------------------------------------------
+
+@query("quality_report")
+def q_quality_report(spark, sf_dir):
+    from ..operators import quality as Q
+    L = Layers(spark, sf_dir)
+    ind = L.indicators().fact()
+    summary = gold.fact_market_summary(L.fact, L.silver_index)
+    dim = gold.dim_stock(L.silver_prices, L.bronze.components)
+    return Q.report(Q.silver_gates(L.silver_prices, L.silver_index) + Q.gold_gates(ind, summary, dim))
+
+
+# --- dashboard extracts and measures ------------------------------------------------
+
+class Marts(Layers):
+    """Gold marts the extracts read: summary, dimension, price extract."""
+
+    def __init__(self, spark, sf_dir):
+        super().__init__(spark, sf_dir)
+        self.summary = gold.fact_market_summary(self.fact, self.silver_index)
+        self.dim = gold.dim_stock(self.silver_prices, self.bronze.components)
+
+    def extract(self):
+        from ..operators import dashboard as D
+        return D.price_extract(self.fact, self.dim)
+
+
+@query("latest_market")
+def q_latest_market(spark, sf_dir):
+    from ..operators import dashboard as D
+    m = Marts(spark, sf_dir)
+    return D.latest_market(m.summary).select(
+        "trade_date", "gainers", "losers", "unchanged", "total_symbols", "total_volume",
+        r6("vnindex_close"), r6("vn30_close"))
+
+
+@query("market_history")
+def q_market_history(spark, sf_dir):
+    from ..operators import dashboard as D
+    h = D.market_history(Marts(spark, sf_dir).summary)
+    return h.select("trade_date", r6("vnindex_close"), r6("vn30_close"), "total_volume", "gainers", "losers",
+                    "unchanged")
+
+
+@query("price_extract")
+def q_price_extract(spark, sf_dir):
+    return Marts(spark, sf_dir).extract()
+
+
+@query("top_movers")
+def q_top_movers(spark, sf_dir):
+    from ..operators import dashboard as D
+    m = Marts(spark, sf_dir)
+    t = D.top_movers(m.extract(), m.summary)
+    return t.select("symbol", "trade_date", r6("close_price"), r6("prev_close"), "pct_change", "is_vn30", "volume")
+
+
+@query("indicator_extract")
+def q_indicator_extract(spark, sf_dir):
+    from ..operators import dashboard as D
+    m = Marts(spark, sf_dir)
+    x = D.indicator_extract(m.indicators().fact(), m.dim)
+    return x.select("symbol", "trade_date", *[r6(c) for c in ("close_price", "ma50", "ma200", "bb_upper",
+                                                               "bb_lower")],
+                    "rsi_14", *[r6(c) for c in ("macd_line", "macd_signal", "macd_histogram")], "is_vn30")
+
+
+@query("vn30_breadth")
+def q_vn30_breadth(spark, sf_dir):
+    from ..operators import dashboard as D
+    return D.member_breadth(Marts(spark, sf_dir).extract())
+
+
+@query("vn30_kpis")
+def q_vn30_kpis(spark, sf_dir):
+    from ..operators import dashboard as D
+    m = Marts(spark, sf_dir)
+    k = D.member_kpis(m.extract(), m.summary)
+    return k.select("trade_date", "gainers", "losers", "unchanged", "total_volume", r6("index_close"))
+
+
+@query("measure_percent_change")
+def q_measure_percent_change(spark, sf_dir):
+    from ..operators import dashboard as D
+    L = Layers(spark, sf_dir)
+    return D.measure_percent_change(L.fact, _calendar(L.bronze)).select(
+        "symbol", "trade_date", r6("percent_change"))
+
+
+@query("measure_latest_breadth")
+def q_measure_latest_breadth(spark, sf_dir):
+    from ..operators import dashboard as D
+    L = Layers(spark, sf_dir)
+    return D.measure_latest_breadth(L.fact, _calendar(L.bronze))
+
+
+@query("measure_trend")
+def q_measure_trend(spark, sf_dir):
+    from ..operators import dashboard as D
+    return D.measure_trend(Layers(spark, sf_dir).fact)
+
+
+@query("signals")
+def q_signals(spark, sf_dir):
+    from ..operators import signals as SG
+    return SG.signals(Layers(spark, sf_dir).indicators().fact())
+
+
+# --- verification -------------------------------------------------------------
+
+@query("drift_report")
+def q_drift_report(spark, sf_dir):
+    from ..operators import verify as V
+    L = Layers(spark, sf_dir)
+    fact = checkpointed(L.fact)
+    ours = indicators.Indicators(fact, None, checkpointed).fact()
+    rep = V.drift_report(ours, V.sequential_indicators(fact), fact)
+    return rep.select("symbol", "indicator", "rows", r6("max_abs_err"), r6("mape"))
+
+
+@query("macd_acceptance")
+def q_macd_acceptance(spark, sf_dir):
+    from ..operators import verify as V
+    L = Layers(spark, sf_dir)
+    fact = checkpointed(L.fact)
+    ours = indicators.Indicators(fact, None, checkpointed).fact()
+    acc = V.macd_acceptance(ours, V.sequential_indicators(fact), fact)
+    return acc.select("symbol", "line_rows", "signal_rows", F.round("max_line_err", 4).alias("max_line_err"),
+                      F.round("max_signal_err", 4).alias("max_signal_err"), "passed")
+
+
+# --- payload (rows-only check) ----------------------------------------------------
+
+@query("dashboard_payload")
+def q_dashboard_payload(spark, sf_dir):
+    from ..operators import dashboard as D
+    m = Marts(spark, sf_dir)
+    return D.dashboard_payload(m.summary, m.extract(), D.indicator_extract(m.indicators().fact(), m.dim))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
