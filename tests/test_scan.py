@@ -26,11 +26,11 @@ def loop(a, b):
     return out
 
 
-@pytest.mark.parametrize("block", [3, 7, 512])
+@pytest.mark.parametrize("block", [40, 200, None])
 def test_linear_scan_matches_loop(spark, block):
     rng = random.Random(block)
-    series = {f"S{k}": [rng.uniform(-5, 5) for _ in range(rng.randint(1, 60))] for k in range(6)}
-    series["NUL"] = [1.0] * 10 + [None] + [2.0] * 10
+    series = {f"S{k}": [rng.uniform(-5, 5) for _ in range(rng.randint(1, 700))] for k in range(6)}
+    series["NUL"] = [1.0] * 300 + [None] + [2.0] * 10
     a = 0.8
     df = series_frame(spark, series)
     out = linear_scan(df, [ScanSpec("y", a, df["x"])], "symbol", "row_num", block)
@@ -86,7 +86,7 @@ def fact_frame(spark, closes):
     return df.withColumn("trade_date", F.date_add(F.lit("2020-01-01").cast("date"), F.col("d"))).drop("d")
 
 
-@pytest.mark.parametrize("block", [5, 512])
+@pytest.mark.parametrize("block", [60, None])
 def test_ema_with_seed_and_null(spark, block):
     rng = np.random.default_rng(7)
     xs = list(100 + np.cumsum(rng.normal(size=80)))
@@ -111,10 +111,14 @@ def test_rsi_and_macd_match_sequential(spark):
     rng = np.random.default_rng(3)
     closes = {f"S{k}": list(50 + np.cumsum(rng.normal(size=int(rng.integers(10, 140))))) for k in range(5)}
     closes["FLAT"] = [10.0] * 40
+    gap = list(50 + np.cumsum(rng.normal(size=90)))
+    closes["NULL30"] = gap[:29] + [None] + gap[30:]          # line ends before its 9th row
+    closes["NULL60"] = gap[:59] + [None] + gap[60:]          # line and signal end at row 60
     fact = fact_frame(spark, closes)
-    ours = {(r["symbol"], r["trade_date"]): r for r in I.Indicators(fact, block=16).fact().collect()}
+    ours = {(r["symbol"], r["trade_date"]): r for r in I.Indicators(fact, block=48).fact().collect()}
     for k in closes:
         pdf = fact.filter(fact.symbol == k).toPandas()
+        pdf["close_price"] = pdf["close_price"].astype(float)
         ref = _per_symbol(pdf)
         for _, row in ref.iterrows():
             mine = ours[(k, row["trade_date"])]

@@ -91,59 +91,83 @@ def _core(fact: DataFrame, block: int | None) -> DataFrame:
     return linear_scan(fact, specs, "symbol", "row_num", block)
 
 
-def macd_line(core: DataFrame) -> DataFrame:
+# The MACD line exists on rows EMA_SLOW.. while both EMAs are not null. An
+# EMA that turns null stays null, so these rows are contiguous from row
+# EMA_SLOW and the line's own row number (W9) is ``row_num - LINE_OFFSET``.
+LINE_OFFSET = C.EMA_SLOW - 1
+
+
+def _has_line() -> Column:
+    return (F.col("row_num") >= C.EMA_SLOW) & F.col("ema_12").isNotNull() & F.col("ema_26").isNotNull()
+
+
+def _with_macd(core: DataFrame, block: int | None) -> DataFrame:
+    """R5 + R6 as columns of the same rows: the line where it exists, and
+    the signal (EMA9 over the line's own row numbers) from a second scan.
+    Rows before the line contribute 0 to the scan; a row after the line has
+    ended has a null line, which nulls the signal from there on."""
+    rows = (core.withColumn("ema_12", F.when(F.col("row_num") >= C.EMA_FAST, F.col("ema_12")))
+                .withColumn("ema_26", F.when(F.col("row_num") >= C.EMA_SLOW, F.col("ema_26")))
+                .withColumn("macd_line", F.when(_has_line(), F.col("ema_12") - F.col("ema_26")))
+                .withColumn("_line_rn", F.col("row_num") - F.lit(LINE_OFFSET)))
+    spec = ema_spec(C.MACD_SIGNAL, "macd_line", "_sig", rn="_line_rn")
+    out = linear_scan(rows, [spec], "symbol", "row_num", block)
+    ready = (F.col("_line_rn") >= C.MACD_SIGNAL) & F.col("macd_line").isNotNull()
+    return out.withColumn("macd_signal", F.when(ready, F.col("_sig"))).drop("_sig", "_line_rn")
+
+
+def macd_line(wide: DataFrame) -> DataFrame:
     """R5 + W9: EMA12 - EMA26 on rows where both exist and are not null,
-    renumbered over those rows."""
-    rows = core.filter((F.col("row_num") >= C.EMA_SLOW) & F.col("ema_12").isNotNull()
-                       & F.col("ema_26").isNotNull())
-    w = Window.partitionBy("symbol").orderBy("trade_date")
-    return rows.select("symbol", "trade_date",
-                       F.row_number().over(w).cast("bigint").alias("row_num"),
-                       (F.col("ema_12") - F.col("ema_26")).alias("macd_line"))
+    numbered over those rows."""
+    return wide.filter(F.col("macd_line").isNotNull()).select(
+        "symbol", "trade_date", (F.col("row_num") - F.lit(LINE_OFFSET)).alias("row_num"), "macd_line")
 
 
-def macd_signal(line: DataFrame, block: int | None = None) -> DataFrame:
+def macd_signal(wide: DataFrame) -> DataFrame:
     """EMA9 of the MACD line over the line's own row numbers."""
-    return (ema(line, C.MACD_SIGNAL, "macd_line", block=block)
-            .select("symbol", "trade_date", F.col(f"ema_{C.MACD_SIGNAL}").alias("macd_signal")))
+    return wide.filter(F.col("macd_signal").isNotNull()).select("symbol", "trade_date", "macd_signal")
 
 
 class Indicators:
-    """All indicator frames from one price fact, sharing one scan."""
+    """All indicators of one price fact as one wide per-row frame.
+
+    Every step (two block scans, the seed windows, SMA and Bollinger
+    windows) is partitioned by symbol or by (symbol, block), so the frame
+    is planned with a single exchange (hash by symbol) and no join between
+    indicator tables. The intermediate tables (EMA12, EMA26, RSI, MACD line
+    and signal) are projections of the wide frame."""
 
     def __init__(self, fact: DataFrame, block: int | None = None, materialize=None):
-        """``materialize`` (optional) cuts the lineage of the scan output,
-        which the MACD line, the signal scan and the final join all reuse."""
+        """``materialize`` (optional) cuts the lineage of the wide frame,
+        which every projection below reuses."""
         base = fact.select("symbol", "trade_date", "row_num", "close_price", "gain", "loss")
-        self.core = _core(base, block)
-        if materialize is not None:
-            self.core = materialize(self.core)
-        self.line = macd_line(self.core)
-        self.signal = macd_signal(self.line, block)
+        wide = _with_macd(_core(base, block), block)
+        up, lo = bollinger_cols(C.BB_PERIOD, C.BB_WIDTH)
+        wide = wide.select(
+            "symbol", "trade_date", "row_num", "close_price", "ema_12", "ema_26",
+            sma_col(C.MA_SHORT).alias("ma50"), sma_col(C.MA_LONG).alias("ma200"),
+            up.alias("bb_upper"), lo.alias("bb_lower"),
+            F.when(F.col("row_num") >= C.RSI_PERIOD + 1, rsi_col()).alias("rsi_14"),
+            "macd_line", "macd_signal",
+            (F.col("macd_line") - F.col("macd_signal")).alias("macd_histogram"))
+        self.wide = materialize(wide) if materialize is not None else wide
+        self.line = macd_line(self.wide)
+        self.signal = macd_signal(self.wide)
 
     def ema12(self) -> DataFrame:
-        return self.core.filter(F.col("row_num") >= C.EMA_FAST).select("symbol", "trade_date", "ema_12")
+        return self.wide.filter(F.col("row_num") >= C.EMA_FAST).select("symbol", "trade_date", "ema_12")
 
     def ema26(self) -> DataFrame:
-        return self.core.filter(F.col("row_num") >= C.EMA_SLOW).select("symbol", "trade_date", "ema_26")
+        return self.wide.filter(F.col("row_num") >= C.EMA_SLOW).select("symbol", "trade_date", "ema_26")
 
     def rsi14(self) -> DataFrame:
-        return (self.core.filter(F.col("row_num") >= C.RSI_PERIOD + 1)
-                .select("symbol", "trade_date", rsi_col().alias("rsi_14")))
+        return self.wide.filter(F.col("row_num") >= C.RSI_PERIOD + 1).select("symbol", "trade_date", "rsi_14")
 
     def fact(self) -> DataFrame:
-        """R7 + J4: SMA, Bollinger, RSI, MACD line / signal / histogram per
-        price-fact row (left-join semantics: warm-up rows keep nulls)."""
-        up, lo = bollinger_cols(C.BB_PERIOD, C.BB_WIDTH)
-        rsi_v = F.when(F.col("row_num") >= C.RSI_PERIOD + 1, rsi_col())
-        frame = self.core.select(
-            "symbol", "trade_date", "close_price",
-            sma_col(C.MA_SHORT).alias("ma50"), sma_col(C.MA_LONG).alias("ma200"),
-            up.alias("bb_upper"), lo.alias("bb_lower"), rsi_v.alias("rsi_14"))
-        macd = (self.line.join(self.signal, ["symbol", "trade_date"], "left")
-                .select("symbol", "trade_date", "macd_line", "macd_signal",
-                        (F.col("macd_line") - F.col("macd_signal")).alias("macd_histogram")))
-        return frame.join(macd, ["symbol", "trade_date"], "left")
+        """R7 + J4: one row per price-fact row (warm-up rows keep nulls, as
+        the left joins of the indicator tables give)."""
+        return self.wide.select("symbol", "trade_date", "close_price", "ma50", "ma200", "bb_upper", "bb_lower",
+                                "rsi_14", "macd_line", "macd_signal", "macd_histogram")
 
 
 def fact_stock_indicators(fact: DataFrame, block: int | None = None, materialize=None) -> DataFrame:

@@ -1,16 +1,17 @@
 """Quality gates: not_null, unique, unique combination, expression_is_true.
 
-Each gate is a count of failing rows (or failing key groups for uniqueness)
-computed as an aggregate; a layer's gates are unioned into one small report
-frame. ``enforce`` raises ``QualityError`` when any gate fails, which stops
+Each gate is a count of failing rows (or failing key groups for uniqueness).
+Row-level gates over the same frame are evaluated together in one aggregate;
+a layer's gates are unioned into one small report frame. ``enforce`` raises ``QualityError`` when any gate fails, which stops
 the build between layers.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -22,20 +23,20 @@ class QualityError(RuntimeError):
 
 @dataclass(frozen=True)
 class Gate:
+    """A row-level gate carries ``count`` (failing rows of ``source``); the
+    report evaluates all row-level gates of one source in a single
+    aggregate. A key-level gate carries ``frame`` (one row, ``failures``)."""
     layer: str
     model: str
     test: str
-    frame: DataFrame          # one row, column "failures"
-
-
-def _gate(layer, model, test, frame) -> Gate:
-    return Gate(layer, model, test, frame.select(F.col("failures").cast("bigint")))
+    source: DataFrame
+    count: Column | None = None
+    frame: DataFrame | None = None
 
 
 def not_null(df: DataFrame, col: str, layer: str, model: str) -> Gate:
     """Q1: rows where the column is null."""
-    return _gate(layer, model, f"not_null({col})",
-                 df.agg(F.count_if(F.col(col).isNull()).alias("failures")))
+    return Gate(layer, model, f"not_null({col})", df, count=F.count_if(F.col(col).isNull()))
 
 
 def unique(df: DataFrame, cols, layer: str, model: str) -> Gate:
@@ -46,15 +47,14 @@ def unique(df: DataFrame, cols, layer: str, model: str) -> Gate:
     src = df.filter(F.col(cols[0]).isNotNull()) if len(cols) == 1 else df
     dup = src.groupBy(*cols).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
     name = f"unique({cols[0]})" if len(cols) == 1 else f"unique_combination({', '.join(cols)})"
-    return _gate(layer, model, name, dup.agg(F.count(F.lit(1)).alias("failures")))
+    return Gate(layer, model, name, df, frame=dup.agg(F.count(F.lit(1)).alias("failures")))
 
 
 def expression_is_true(df: DataFrame, expr: str, layer: str, model: str, where: str | None = None) -> Gate:
     """Q4: rows (after the optional ``where``) where the expression is false;
-    a null result passes."""
-    src = df.filter(F.expr(where)) if where else df
-    return _gate(layer, model, f"expression_is_true({expr})",
-                 src.agg(F.count_if(~F.expr(expr)).alias("failures")))
+    a null result passes, and so does a row whose ``where`` is not true."""
+    failing = ~F.expr(expr) if where is None else (F.expr(where) & ~F.expr(expr))
+    return Gate(layer, model, f"expression_is_true({expr})", df, count=F.count_if(failing))
 
 
 def silver_gates(silver_prices: DataFrame, silver_index: DataFrame) -> list[Gate]:
@@ -83,13 +83,23 @@ def gold_gates(indicators: DataFrame, summary: DataFrame, dim: DataFrame) -> lis
 
 
 def report(gates: list[Gate]) -> DataFrame:
-    """One row per gate: layer, model, test, failures."""
-    frames = [g.frame.select(F.lit(g.layer).alias("layer"), F.lit(g.model).alias("model"),
-                             F.lit(g.test).alias("test"), "failures") for g in gates]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    """One row per gate: layer, model, test, failures. Row-level gates on the
+    same source frame share one aggregate (one pass over that frame)."""
+    def labelled(i, g, failures):
+        return F.struct(F.lit(i).alias("ordinal"), F.lit(g.layer).alias("layer"), F.lit(g.model).alias("model"),
+                        F.lit(g.test).alias("test"), failures.cast("bigint").alias("failures"))
+
+    parts, by_source = [], {}
+    for i, g in enumerate(gates):
+        if g.count is not None:
+            by_source.setdefault(id(g.source), (g.source, []))[1].append((i, g))
+        else:
+            parts.append(g.frame.select(F.inline(F.array(labelled(i, g, F.col("failures"))))))
+    for source, gs in by_source.values():
+        row = source.agg(*[g.count.alias(f"_g{i}") for i, g in gs])
+        parts.append(row.select(F.inline(F.array(*[labelled(i, g, F.col(f"_g{i}")) for i, g in gs]))))
+    out = reduce(lambda a, b: a.unionByName(b), parts)
+    return out.orderBy("ordinal").drop("ordinal")
 
 
 def enforce(gates: list[Gate]) -> DataFrame:

@@ -8,40 +8,43 @@ coefficient is associative, so it is evaluated in two levels instead:
    blocks of ``B`` rows: ``blk = (rn - 1) div B``, ``j = (rn - 1) mod B``.
    Inside a block the closed form is a running sum:
    ``loc_r = a^j * sum_{i <= j} b_i * a^(-i)``
-   (one window over (key, blk), ordered by the row number).
-2. Each block's end value with zero carry-in is
-   ``S_k = a^(B-1) * sum_block b_i * a^(-i)`` (an aggregate per (key, blk)).
-   The value carried into block ``k`` is
+   (a window over (key, blk), ordered by the row number). The same window
+   with a whole-block frame gives the block's end value with zero carry-in,
+   ``S_k = a^(B-1) * sum_block b_i * a^(-i)``.
+2. The value carried into block ``k`` is
    ``carry_k = S_(k-1) + A * S_(k-2) + A^2 * S_(k-3) + ...`` with
-   ``A = a^B``; it is evaluated by a Horner fold over the previous ``M``
-   block ends on the small block table (one row per block).
+   ``A = a^B``. Every block before the current one is full, so on the first
+   row of block ``k`` the sum of block ``k - m`` is ``lag((m - 1) * B + 1)``
+   over the key's rows: a fixed offset. The carry is formed there and
+   spread over the block with ``last(ignorenulls)``.
 3. ``y_r = loc_r + a^(j+1) * carry_k``.
 
-``M`` is chosen so that ``A^M`` is below the smallest positive double
-(``-M * B * ln a > 745``): every omitted term underflows to zero, so the
-truncation drops nothing a double can hold. ``B`` is chosen so that
-``a^(-(B-1))`` stays far from overflow.
+Only the ``M`` latest block sums are read, with ``A^M`` below the smallest
+positive double (``M * B * -ln a > 745``): every omitted term underflows to
+zero, so the truncation drops nothing a double can hold. ``B`` is as large
+as keeps ``a^(-(B-1))`` far from overflow, which makes ``M`` 2 to 4.
 
 Nulls: window sums skip nulls but a recursion does not; once ``b`` is null
-every later ``y`` of the key is null (the running "seen a null" flag is
-carried across blocks like the sum).
-
-Scale: the block table has one row per B rows. The row-level work runs in
-windows partitioned by (key, blk), and the block table is aggregated and
-joined back on (key, blk), so a long series is spread over block groups.
-When the input is already hash-partitioned by key, Spark reuses that
-partitioning for every step (no additional exchange).
+every later ``y`` of the key is null (a running "seen a null" flag).
+
+Plan: all windows partition by the key (or by (key, blk), which the key's
+hash partitioning satisfies) and order by (blk, rn), so a scan is one sort
+and a chain of window operators on one hash partitioning by key: no
+aggregate, no join back, and the input is read once. A key's rows are one
+window partition; for daily bars that is bounded by the trading days of
+the key (one row per (key, day)), see README "Scale".
 """
 
 from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BLOCK = 512
+MAX_BLOCK = 8192
 _UNDERFLOW_LN = 745.0     # -ln(smallest positive subnormal double) ~ 744.44
 _SAFE_EXP_LN = 600.0      # keep a^(-j) below e^600
 
@@ -69,52 +72,56 @@ def carry_depth(a: float, block: int) -> int:
     return int(math.ceil(_UNDERFLOW_LN / (-block * math.log(a)))) + 1
 
 
+def _carry_at_block_start(s_col: str, a: float, B: int, by_key) -> Column:
+    """On the first row of a block: sum over the M previous (full) blocks of
+    S_(k-m) * A^(m-1), each block sum read at a fixed lag."""
+    A = a ** B
+    terms = []
+    for m in range(1, carry_depth(a, B) + 1):
+        w = A ** (m - 1)
+        if w == 0.0:
+            break
+        end = F.coalesce(F.lag(s_col, (m - 1) * B + 1).over(by_key), F.lit(0.0)) * F.lit(a ** (B - 1))
+        terms.append(end * F.lit(w) if m > 1 else end)
+    return F.when(F.col("_j") == 0, reduce(lambda x, y: x + y, terms))
+
+
 def linear_scan(df: DataFrame, specs: list[ScanSpec], key: str = "symbol", rn: str = "row_num",
                 block: int | None = None) -> DataFrame:
     """Add one column per spec with ``y_r = a * y_(r-1) + b_r`` (y_0 = 0)
     over rows ordered by the dense 1-based ``rn`` within ``key``."""
-    B = block or min(safe_block(s.a) for s in specs)
     for s in specs:
         if not 0.0 <= s.a < 1.0:
             raise ValueError(f"{s.name}: coefficient must be in [0, 1)")
-    j = (F.col(rn) - 1) % B
-    base = df.withColumn("_blk", F.floor((F.col(rn) - 1) / B)).withColumn("_j", j)
-    w_in = (Window.partitionBy(key, "_blk").orderBy(rn)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    w_blk = Window.partitionBy(key).orderBy("_blk")
-
-    row_cols, blk_aggs, blk_cols = [], [], []
+    B = block or min(safe_block(s.a) for s in specs)
+    by_key = Window.partitionBy(key).orderBy("_blk", rn)
+    key_run = by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    in_blk = Window.partitionBy(key, "_blk").orderBy(rn)
+    blk_run = in_blk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    blk_all = in_blk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+    base = (df.withColumn("_blk", F.floor((F.col(rn) - 1) / B))
+              .withColumn("_j", (F.col(rn) - 1) % B))
+    scaled = [s.b if s.a == 0.0 else s.b * F.pow(F.lit(s.a), -F.col("_j")) for s in specs]
+    base = base.select("*", *[c.alias(f"_c{i}") for i, c in enumerate(scaled)])
+    # The key-partitioned window comes first, so the exchange (if any) is by
+    # key and every later window reuses it and its sort.
+    base = base.select("*", *[F.max(F.col(f"_c{i}").isNull()).over(key_run).alias(f"_bad{i}")
+                              for i in range(len(specs))])
+    base = base.select("*", *[x for i in range(len(specs)) for x in (
+        F.sum(f"_c{i}").over(blk_run).alias(f"_r{i}"), F.sum(f"_c{i}").over(blk_all).alias(f"_s{i}"))])
+    live = [i for i, s in enumerate(specs) if s.a > 0.0]
+    base = base.select("*", *[_carry_at_block_start(f"_s{i}", specs[i].a, B, by_key).alias(f"_z{i}")
+                              for i in live])
+    base = base.select("*", *[F.last(f"_z{i}", ignorenulls=True).over(key_run).alias(f"_k{i}") for i in live])
+
+    out = base
     for i, s in enumerate(specs):
-        nul = s.b.isNull()
-        if s.a == 0.0:
-            scaled = s.b
-        else:
-            scaled = s.b * F.pow(F.lit(s.a), -F.col("_j"))
-        base = base.withColumn(f"_c{i}", scaled).withColumn(f"_n{i}", nul)
-        blk_aggs += [F.sum(f"_c{i}").alias(f"_s{i}"), F.max(f"_n{i}").alias(f"_bn{i}")]
-        M = carry_depth(s.a, B)
-        A = s.a ** B
-        ends = F.coalesce(F.col(f"_s{i}") * F.lit(s.a ** (B - 1)), F.lit(0.0)) if s.a else F.lit(0.0)
-        if M > 0:
-            prev = F.collect_list(ends).over(w_blk.rowsBetween(-M, -1))
-            carry = F.aggregate(prev, F.lit(0.0), lambda acc, x: acc * F.lit(A) + x)
-        else:
-            carry = F.lit(0.0)
-        bad_before = F.max(f"_bn{i}").over(w_blk.rowsBetween(Window.unboundedPreceding, -1))
-        blk_cols += [carry.alias(f"_k{i}"), F.coalesce(bad_before, F.lit(False)).alias(f"_bb{i}")]
         if s.a == 0.0:
-            loc = F.col(f"_c{i}")
-            y = loc
+            y = F.col(f"_c{i}")
         else:
-            loc = F.pow(F.lit(s.a), F.col("_j")) * F.sum(f"_c{i}").over(w_in)
-            y = loc + F.pow(F.lit(s.a), F.col("_j") + 1) * F.col(f"_k{i}")
-        bad = F.col(f"_bb{i}") | F.max(f"_n{i}").over(w_in)
-        row_cols.append((s.name, y, bad))
-
-    blocks = base.groupBy(key, "_blk").agg(*blk_aggs).select(key, "_blk", *blk_cols)
-    joined = base.join(blocks, [key, "_blk"], "left")
-    for name, y, bad in row_cols:
-        joined = joined.withColumn(name, F.when(~bad, y))
-    drop = [c for c in joined.columns if c in {"_blk", "_j"} or
-            (c[:2] in {"_c", "_n", "_k"} and c[2:].isdigit()) or (c[:3] == "_bb" and c[3:].isdigit())]
-    return joined.drop(*drop)
+            y = (F.pow(F.lit(s.a), F.col("_j")) * F.col(f"_r{i}")
+                 + F.pow(F.lit(s.a), F.col("_j") + 1) * F.coalesce(F.col(f"_k{i}"), F.lit(0.0)))
+        out = out.withColumn(s.name, F.when(~F.col(f"_bad{i}"), y))
+    temp = {"_blk", "_j"} | {f"{p}{i}" for i in range(len(specs)) for p in ("_c", "_bad", "_r", "_s", "_z", "_k")}
+    return out.drop(*[c for c in out.columns if c in temp])

@@ -41,9 +41,10 @@ class Layers:
         self.fact = gold.fact_stock_price(self.silver_prices, audit=False)
 
     def indicators(self, block: int | None = None) -> indicators.Indicators:
-        # The scan reads the fact twice (rows and block table) and its output
-        # feeds three branches: cut both lineages once.
-        return indicators.Indicators(checkpointed(self.fact), block, checkpointed)
+        # Bronze -> silver -> fact -> indicators share one hash partitioning by
+        # symbol (one exchange). The wide indicator frame feeds several
+        # projections: cut its lineage once.
+        return indicators.Indicators(self.fact, block, checkpointed)
 
 
 @query("silver_prices")
