@@ -14,13 +14,17 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from .scan import ScanSpec, linear_scan
-from .windows import bollinger_cols, sma_col
+from .windows import bollinger_frame, with_sma
 
 
-def _seed(value: str, rows: int, key: str, order: str) -> Column:
-    """Mean of ``value`` over the current row and the ``rows - 1`` before."""
-    w = Window.partitionBy(key).orderBy(order).rowsBetween(-(rows - 1), Window.currentRow)
-    return F.avg(value).over(w)
+def _seed(value: str, key: str, order: str, first_row: Column | None = None) -> Column:
+    """Mean of ``value`` from the key's first row (or from the first row
+    where ``first_row`` holds) to the current row. Read at the seed row it
+    is the seed mean; a running frame is updated in O(1) per row, where a
+    sliding frame would be re-aggregated row by row."""
+    w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    v = F.col(value) if first_row is None else F.when(first_row, F.col(value))
+    return F.avg(v).over(w)
 
 
 def ema_alpha(period: int) -> float:
@@ -34,7 +38,7 @@ def ema_spec(period: int, value: str, name: str, key: str = "symbol", rn: str =
     alpha = ema_alpha(period)
     r = F.col(rn)
     b = (F.when(r < period, F.lit(0.0))
-          .when(r == period, _seed(value, period, key, order))
+          .when(r == period, _seed(value, key, order))
           .otherwise(F.lit(alpha) * F.col(value)))
     return ScanSpec(name, 1.0 - alpha, b)
 
@@ -49,7 +53,7 @@ def wilder_specs(period: int, key: str = "symbol", rn: str = "row_num",
     specs = []
     for v in ("gain", "loss"):
         b = (F.when(r < start, F.lit(0.0))
-              .when(r == start, _seed(v, period, key, order))
+              .when(r == start, _seed(v, key, order, r >= 2))
               .otherwise(F.col(v) / F.lit(float(period))))
         specs.append(ScanSpec(f"avg_{v}", (period - 1.0) / period, b))
     return specs
@@ -140,13 +144,15 @@ class Indicators:
     def __init__(self, fact: DataFrame, block: int | None = None, materialize=None):
         """``materialize`` (optional) cuts the lineage of the wide frame,
         which every projection below reuses."""
-        base = fact.select("symbol", "trade_date", "row_num", "close_price", "gain", "loss")
+        base = with_sma(fact.select("symbol", "trade_date", "row_num", "close_price", "gain", "loss"),
+                        {"ma50": C.MA_SHORT, "ma200": C.MA_LONG})
+        # The averages, bands and scan seeds share one window specification
+        # (symbol, trade_date), so they are evaluated by one window operator.
+        base = bollinger_frame(base, C.BB_PERIOD, C.BB_WIDTH)
         wide = _with_macd(_core(base, block), block)
-        up, lo = bollinger_cols(C.BB_PERIOD, C.BB_WIDTH)
         wide = wide.select(
             "symbol", "trade_date", "row_num", "close_price", "ema_12", "ema_26",
-            sma_col(C.MA_SHORT).alias("ma50"), sma_col(C.MA_LONG).alias("ma200"),
-            up.alias("bb_upper"), lo.alias("bb_lower"),
+            "ma50", "ma200", "bb_upper", "bb_lower",
             F.when(F.col("row_num") >= C.RSI_PERIOD + 1, rsi_col()).alias("rsi_14"),
             "macd_line", "macd_signal",
             (F.col("macd_line") - F.col("macd_signal")).alias("macd_histogram"))

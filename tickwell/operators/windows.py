@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def by_symbol(key: str = "symbol", order: str = "trade_date"):
@@ -36,9 +37,37 @@ def with_gain_loss(df: DataFrame, value: str = "close_price") -> DataFrame:
               .withColumn("loss", F.abs(F.least(change, F.lit(0.0)))))
 
 
+# Running sums for the moving averages are kept in this decimal type. Prices
+# are stored with 4 decimal places (bronze NUMERIC(18,4)), so a price cast
+# here is exact and so is every running sum: a frame sum is the exact
+# difference of two running sums, with no cancellation.
+EXACT_SUM = T.DecimalType(38, 10)
+
+
+def with_sma(df: DataFrame, periods: dict[str, int], value: str = "close_price", rn: str = "row_num",
+             key: str = "symbol", order: str = "trade_date") -> DataFrame:
+    """W5 / W6 for several periods at once: mean of the non-null values
+    among the last ``period`` rows, null before row ``period``.
+
+    A sliding row frame is re-aggregated for every row (``period`` updates
+    per row); here each mean is the difference of two exact running sums
+    read ``period`` rows apart with ``lag``: O(1) per row whatever the
+    period."""
+    w = by_symbol(key, order)
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    zero = F.lit(0).cast(EXACT_SUM)
+    out = (df.withColumn("_cs", F.coalesce(F.sum(F.col(value).cast(EXACT_SUM)).over(run), zero))
+             .withColumn("_cn", F.count(value).over(run)))
+    for name, p in periods.items():
+        s = F.col("_cs") - F.coalesce(F.lag("_cs", p).over(w), zero)
+        n = F.col("_cn") - F.coalesce(F.lag("_cn", p).over(w), F.lit(0))
+        out = out.withColumn(name, F.when((F.col(rn) >= p) & (n > 0), s.cast("double") / n))
+    return out.drop("_cs", "_cn")
+
+
 def sma_col(period: int, value: str = "close_price", rn: str = "row_num") -> Column:
-    """Mean of the last ``period`` rows (nulls skipped), null before
-    row ``period``."""
+    """W5 / W6 as one column over a sliding frame (re-aggregated per row;
+    ``with_sma`` is the O(1) form used by the indicator fact)."""
     return F.when(F.col(rn) >= period, F.avg(value).over(trailing(period)))
 
 
@@ -52,6 +81,18 @@ def bollinger_cols(period: int = 20, width: float = 2.0, value: str = "close_pri
     return F.when(ready, mid + F.lit(width) * sd), F.when(ready, mid - F.lit(width) * sd)
 
 
+def bollinger_frame(df: DataFrame, period: int = 20, width: float = 2.0, value: str = "close_price",
+                    rn: str = "row_num", upper: str = "bb_upper", lower: str = "bb_lower") -> DataFrame:
+    """W7 / W8 with the window mean and deviation evaluated once for both
+    bands (a sliding frame re-aggregates per row, so shared terms matter)."""
+    w = trailing(period)
+    ready = F.col(rn) >= period
+    out = df.withColumn("_bb_mid", F.avg(value).over(w)).withColumn("_bb_sd", F.stddev_pop(value).over(w))
+    return (out.withColumn(upper, F.when(ready, F.col("_bb_mid") + F.lit(width) * F.col("_bb_sd")))
+               .withColumn(lower, F.when(ready, F.col("_bb_mid") - F.lit(width) * F.col("_bb_sd")))
+               .drop("_bb_mid", "_bb_sd"))
+
+
 def sma(df: DataFrame, period: int, value: str = "close_price", out: str | None = None) -> DataFrame:
     return df.withColumn(out or f"ma{period}", sma_col(period, value))
 

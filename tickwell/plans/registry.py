@@ -83,18 +83,16 @@ def q_dim_stock(spark, sf_dir):
 
 @query("sma")
 def q_sma(spark, sf_dir):
-    from ..operators.windows import sma_col
-    f = Layers(spark, sf_dir).fact
-    return f.select("symbol", "trade_date", F.round(sma_col(50), 6).alias("ma50"),
-                    F.round(sma_col(200), 6).alias("ma200"))
+    from ..operators.windows import with_sma
+    f = with_sma(Layers(spark, sf_dir).fact, {"ma50": 50, "ma200": 200})
+    return f.select("symbol", "trade_date", r6("ma50"), r6("ma200"))
 
 
 @query("bollinger")
 def q_bollinger(spark, sf_dir):
-    from ..operators.windows import bollinger_cols
-    f = Layers(spark, sf_dir).fact
-    up, lo = bollinger_cols(20, 2.0)
-    return f.select("symbol", "trade_date", F.round(up, 6).alias("bb_upper"), F.round(lo, 6).alias("bb_lower"))
+    from ..operators.windows import bollinger_frame
+    f = bollinger_frame(Layers(spark, sf_dir).fact, 20, 2.0)
+    return f.select("symbol", "trade_date", r6("bb_upper"), r6("bb_lower"))
 
 
 @query("ema12")
