@@ -105,7 +105,9 @@ def coverage(bars: DataFrame, members: DataFrame, cal: DataFrame, force: bool =
     n_members = m.agg(F.count(F.lit(1)).cast("bigint")).scalar()
     years = (cal.groupBy("year").agg(F.min("date").alias("start"), F.max("date").alias("end")))
     years = count_trading_days(years, cal, "start", "end")
-    existing = (bars.join(F.broadcast(m), "code", "left_semi")
+    # The member list grows with the listing, not the calendar: no hint; the
+    # planner broadcasts it when its size is under the broadcast threshold.
+    existing = (bars.join(m, "code", "left_semi")
                 .groupBy(F.year("date").alias("year")).agg(F.count(F.lit(1)).cast("bigint").alias("existing_rows")))
     out = (years.withColumn("symbols", n_members)
            .join(existing, "year", "left")

@@ -53,10 +53,12 @@ def market_history(summary: DataFrame, days: int = C.LOOKBACK_DAYS) -> DataFrame
 
 
 def with_member_flag(df: DataFrame, dim: DataFrame) -> DataFrame:
-    """``is_vn30`` from the stock dimension, false when absent (the
-    dimension has one row per symbol: broadcast)."""
+    """``is_vn30`` from the stock dimension, false when absent. The
+    dimension has one row per symbol, which grows with the listing: no
+    broadcast hint; the planner broadcasts it under the broadcast threshold
+    (a stored dimension has an exact size) and AQE re-plans at runtime."""
     d = dim.select(F.col("symbol").alias("_s"), F.col("is_vn30").alias("_m"))
-    return (df.join(F.broadcast(d), F.col("symbol") == F.col("_s"), "left")
+    return (df.join(d, F.col("symbol") == F.col("_s"), "left")
               .withColumn("is_vn30", F.coalesce(F.col("_m"), F.lit(False))).drop("_s", "_m"))
 
 

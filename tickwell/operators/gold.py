@@ -78,9 +78,11 @@ def distinct_sources(silver: DataFrame) -> DataFrame:
 def flag_members(df: DataFrame, components: DataFrame, key: str = "symbol",
                  out: str = "is_vn30") -> DataFrame:
     """Boolean membership by a left join against the distinct constituent
-    codes (one row per listed symbol: broadcast)."""
+    codes. Their number grows with the listing, so there is no broadcast
+    hint: the planner broadcasts the list when its size is under the
+    broadcast threshold and AQE re-plans from the real size."""
     members = components.select(F.col("code").alias("_member")).distinct()
-    return (df.join(F.broadcast(members), F.col(key) == F.col("_member"), "left")
+    return (df.join(members, F.col(key) == F.col("_member"), "left")
               .withColumn(out, F.col("_member").isNotNull()).drop("_member"))
 
 
