@@ -174,6 +174,26 @@ def slice_prices(prices: DataFrame, dim: DataFrame | None = None, members: bool
     return out
 
 
+def star(fact: DataFrame, dim: DataFrame, cal: DataFrame, date: str = "trade_date") -> DataFrame:
+    """A fact with its dimensions for slicing: the stock dimension by
+    symbol (``exchange``, ``is_vn30``, false when absent) and the calendar by
+    date (day name, month, quarter, year, trading-day flag). The calendar has
+    one row per day (broadcast); the stock dimension goes through the
+    planner's size check (see ``with_member_flag``)."""
+    d = dim.select(F.col("symbol").alias("_s"), "exchange", F.col("is_vn30").alias("_m"))
+    c = cal.select(F.col("date").alias("_d"), "day_of_week", "month", "quarter", "year", "is_trading_day")
+    return (fact.join(d, F.col("symbol") == F.col("_s"), "left")
+                .join(F.broadcast(c), F.col(date) == F.col("_d"), "left")
+                .withColumn("is_vn30", F.coalesce(F.col("_m"), F.lit(False)))
+                .drop("_s", "_m", "_d"))
+
+
+def measure_trend_sliced(starred: DataFrame, by=("year", "quarter", "is_vn30")) -> DataFrame:
+    """M4 + M5 under M6 slicers taken from the star (by default per
+    calendar quarter and constituent flag)."""
+    return starred.groupBy(*by).agg(*_breadth_cols(), F.count(F.lit(1)).cast("bigint").alias("bars"))
+
+
 def measure_percent_change(prices: DataFrame, cal: DataFrame) -> DataFrame:
     """M1 per symbol: (close on the latest trading day - close on the
     previous trading day) / previous close; blank (no row) when the previous

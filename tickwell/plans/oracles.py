@@ -460,6 +460,14 @@ FROM fact_stock_price p JOIN m_dates d ON p.trade_date = d.latest_date GROUP BY
 ORACLES["measure_trend"] = S.compose(f"""
 SELECT trade_date, {_oc_counts()} FROM fact_stock_price GROUP BY trade_date""", "fact_stock_price")
 
+ORACLES["star_quarterly_trend"] = S.compose(f"""
+SELECT c.year, c.quarter, COALESCE(d.is_vn30, FALSE) AS is_vn30, {_oc_counts()},
+  CAST(COUNT(*) AS BIGINT) AS bars
+FROM fact_stock_price p
+LEFT JOIN dim_stock d ON d.symbol = p.symbol
+LEFT JOIN cal c ON c.date = p.trade_date
+GROUP BY c.year, c.quarter, COALESCE(d.is_vn30, FALSE)""", "fact_stock_price", "dim_stock", "cal")
+
 ORACLES["signals"] = S.compose("""
 SELECT symbol, trade_date,
   CASE WHEN LAG(ma_d) OVER w <= 0 AND ma_d > 0 THEN 'golden'

@@ -293,6 +293,13 @@ def q_measure_trend(spark, sf_dir):
     return D.measure_trend(Layers(spark, sf_dir).fact)
 
 
+@query("star_quarterly_trend")
+def q_star_quarterly_trend(spark, sf_dir):
+    from ..operators import dashboard as D
+    m = Marts(spark, sf_dir)
+    return D.measure_trend_sliced(D.star(m.fact, m.dim, _calendar(m.bronze)))
+
+
 @query("signals")
 def q_signals(spark, sf_dir):
     from ..operators import signals as SG
