@@ -1,20 +1,23 @@
 """Lineage cuts for frames that several branches of a plan reuse.
 
-``checkpointed`` writes the frame to the shared folder named by
-``spark.checkpoint.dir`` (reliable checkpoint, never a local one) and
-returns a frame that reads it back. The checkpoint keeps the physical
-partitioning, so a frame hash-partitioned by symbol stays that way and the
-windows and joins after it need no new exchange. A lost executor only loses
-cached copies; the checkpoint files are on shared storage.
+``checkpointed`` writes the frame as a Parquet table under the shared folder
+named by ``spark.checkpoint.dir`` and returns a frame that reads it back.
+An eager ``Dataset.checkpoint`` computes the plan once for its action and
+again to write the checkpoint files (unless it is also persisted); a
+written table is computed once, is columnar, and lets each reader prune
+columns. The files are on shared storage, so a lost executor loses nothing.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 from ..session import checkpoint_root
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def checkpointed(df: DataFrame, name: str = "frame") -> DataFrame:
+    path = f"{checkpoint_root(df.sparkSession)}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
