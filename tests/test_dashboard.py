@@ -95,6 +95,7 @@ def test_payload_sections_are_json(spark):
         "ma50", "ma200", "bb_upper", "bb_lower", "rsi_14", "macd_line", "macd_signal", "macd_histogram")])
     p = D.dashboard_payload(_summary(spark, [1, 2]), D.price_extract(fact, dim), D.indicator_extract(ind, dim))
     rows = {(r["section"], r["key"]): json.loads(r["json"]) for r in p.collect()}
-    assert rows[("symbols", "symbols")]["symbols"] == ["A"]
+    assert rows[("symbols", "A")] == {"symbol": "A", "is_vn30": True}
+    assert rows[("movers", "A")]["pct_change"] == 9.09
     assert rows[("indicators_by_symbol", "A")]["trade_date"] == ["2024-01-01", "2024-01-02"]
     assert rows[("top_movers", "top_movers")]["items"][0]["symbol"] == "A"

@@ -259,11 +259,15 @@ def series_by_symbol(df: DataFrame, cols) -> DataFrame:
     return g.select("symbol", *arrays, "is_vn30")
 
 
-def dashboard_payload(summary: DataFrame, extract: DataFrame, ind_extract: DataFrame) -> DataFrame:
-    """IO11 as JSON lines: one (section, key, json) row per part of the
-    payload, so no single row or task carries the whole document. Sections:
-    latest_market, market_history, vn30_history, top_movers, symbols and one
-    indicators row per symbol."""
+def dashboard_payload(summary: DataFrame, extract: DataFrame, ind_extract: DataFrame,
+                      n_top: int = C.TOP_MOVERS) -> DataFrame:
+    """IO11 as JSON lines: (section, key, json) rows, so no single row or
+    task carries the whole document. One row each for the latest market
+    row, the market history and the constituent history (arrays bounded by
+    the look-back) and the top movers (bounded by ``n_top``); one row per
+    symbol for the movers of the latest date, the symbol list and the
+    indicator series. Anything that grows with the listing is split by
+    symbol."""
     def one(section: str, frame: DataFrame, key: Column | None = None) -> DataFrame:
         body = F.to_json(F.struct(*[F.col(c) for c in frame.columns]))
         return frame.select(F.lit(section).alias("section"),
@@ -280,25 +284,26 @@ def dashboard_payload(summary: DataFrame, extract: DataFrame, ind_extract: DataF
                     *[_sorted_values("trade_date", c).alias(c)
                       for c in ("total_volume", "gainers", "losers", "unchanged")])
     mv = movers(extract, summary)
-    mv_rows = mv.select(F.struct("symbol", "close_price", "prev_close", "pct_change", "is_vn30", "volume",
-                                 "rank_change").alias("r"))
-    mv_arr = mv_rows.agg(F.transform(
-        F.array_sort(F.collect_list("r"), lambda a, b: F.when(
-            a["rank_change"].isNull() & b["rank_change"].isNull(), F.lit(0))
-            .when(a["rank_change"].isNull(), F.lit(1)).when(b["rank_change"].isNull(), F.lit(-1))
-            .when(a["rank_change"] > b["rank_change"], F.lit(-1))
-            .when(a["rank_change"] < b["rank_change"], F.lit(1))
-            .when(a["symbol"] < b["symbol"], F.lit(-1)).when(a["symbol"] > b["symbol"], F.lit(1))
-            .otherwise(F.lit(0))),
-        lambda r: F.struct(r["symbol"].alias("symbol"), r["close_price"].alias("close_price"),
-                           r["prev_close"].alias("prev_close"), r["pct_change"].alias("pct_change"),
-                           r["is_vn30"].alias("is_vn30"), r["volume"].alias("volume"))).alias("items"))
-    syms = ind_extract.select("symbol").distinct().agg(F.sort_array(F.collect_list("symbol")).alias("symbols"))
+    item = ("symbol", "close_price", "prev_close", "pct_change", "is_vn30", "volume")
+    top = top_n(mv, "rank_change", n_top).select(
+        F.struct(F.col("rank_change").alias("_k"), F.col("symbol").alias("_s"),
+                 F.struct(*item).alias("item")).alias("r"))
+    # Ten rows at most: order them inside one array (change descending, nulls
+    # last, then symbol).
+    top_arr = top.agg(F.transform(
+        F.array_sort(F.collect_list("r"), lambda a, b: F.when(a["_k"].isNull() & b["_k"].isNull(), F.lit(0))
+                     .when(a["_k"].isNull(), F.lit(1)).when(b["_k"].isNull(), F.lit(-1))
+                     .when(a["_k"] > b["_k"], F.lit(-1)).when(a["_k"] < b["_k"], F.lit(1))
+                     .when(a["_s"] < b["_s"], F.lit(-1)).when(a["_s"] > b["_s"], F.lit(1))
+                     .otherwise(F.lit(0))),
+        lambda r: r["item"]).alias("items"))
+    syms = ind_extract.groupBy("symbol").agg(F.max("is_vn30").alias("is_vn30"))
     per_symbol = series_by_symbol(ind_extract, ["close_price", "ma50", "ma200", "bb_upper", "bb_lower", "rsi_14",
                                                 "macd_line", "macd_signal", "macd_histogram"])
     return (one("latest_market", lm)
             .unionByName(one("market_history", hist_arr))
             .unionByName(one("vn30_history", vb_arr))
-            .unionByName(one("top_movers", mv_arr))
-            .unionByName(one("symbols", syms))
-            .unionByName(one("indicators_by_symbol", per_symbol.drop(), F.col("symbol"))))
+            .unionByName(one("top_movers", top_arr))
+            .unionByName(one("movers", mv.select(*item), F.col("symbol")))
+            .unionByName(one("symbols", syms, F.col("symbol")))
+            .unionByName(one("indicators_by_symbol", per_symbol, F.col("symbol"))))
