@@ -33,15 +33,23 @@ def landing_stream(spark: SparkSession, landing_dir: str, fmt: str = "json",
 def _batch_writer(bronze_path: str, staging_root: str):
     def write(batch: DataFrame, epoch_id: int) -> None:
         B.require_columns(batch)
-        audit = B.audit_bars(batch).first()
-        if audit["rows"] == 0:
-            return
-        if audit["null_code"] or audit["null_date"]:
-            raise B.ContractError(f"micro-batch {epoch_id} has null keys")
-        order = ["ingested_at"] if "ingested_at" in batch.columns else ["source"]
-        latest = B.dedup_last(batch, ["code", "date"], order).drop("ingested_at")
-        B.upsert_into(batch.sparkSession, latest.withColumn("seq", F.lit(epoch_id).cast("long")),
-                      bronze_path, staging_root)
+        # The audit and the upsert both read the micro-batch: keep it for the
+        # duration of this write (recomputed from the landing files if lost).
+        batch = batch.persist()
+        try:
+            audit = B.audit_bars(batch).first()
+            if audit["rows"] == 0:
+                return
+            if audit["null_code"] or audit["null_date"]:
+                raise B.ContractError(f"micro-batch {epoch_id} has null keys")
+            order = ["ingested_at", "source"] if "ingested_at" in batch.columns else ["source"]
+            latest = B.dedup_last(batch, ["code", "date"], order)
+            if "ingested_at" in latest.columns:
+                latest = latest.drop("ingested_at")
+            B.upsert_into(batch.sparkSession, latest.withColumn("seq", F.lit(epoch_id).cast("long")),
+                          bronze_path, staging_root)
+        finally:
+            batch.unpersist()
     return write
 
 
