@@ -62,3 +62,32 @@ def test_replace_components_empty_is_noop(spark, scratch):
     assert B.replace_components(spark, codes, path) == 2
     assert B.replace_components(spark, codes.limit(0), path) == 0
     assert spark.read.parquet(path).count() == 2
+
+
+def _files(path):
+    import os
+    out = {}
+    for root, _, names in os.walk(path):
+        for n in names:
+            if n.endswith(".parquet"):
+                out[os.path.join(root, n)] = os.path.getmtime(os.path.join(root, n))
+    return out
+
+
+def test_month_grain_rewrites_only_touched_months(spark, scratch):
+    path, stage = f"{scratch}/bronze", f"{scratch}/stage"
+    B.upsert_into(spark, ten(spark), path, stage, grain=B.YEAR_MONTH)
+    parts = {(r["year"], r["month"]) for r in table(spark, path).select("year", "month").distinct().collect()}
+    assert parts == {(2023, 12), (2024, 1)}
+    before = _files(path)
+    upd = ten(spark, close=12.5, seq=2).filter(F.col("date") >= D(2024, 1, 1))
+    B.upsert_into(spark, upd, path, stage, grain=B.YEAR_MONTH)
+    after = _files(path)
+    dec = {p: t for p, t in before.items() if "month=12" in p}
+    assert dec and all(after.get(p) == t for p, t in dec.items())      # December untouched
+    rows = B.read_bronze(spark, scratch, "bronze").collect()
+    assert len(rows) == 10 and "month" not in rows[0].asDict()
+    closes = {r["date"]: float(r["close"]) for r in rows}
+    assert closes[D(2023, 12, 31)] == 10.0 and closes[D(2024, 1, 3)] == 12.5
+    jan = B.select_range(table(spark, path), ["AAA"], "2024-01-02", "2024-01-03")
+    assert sorted(r["date"].day for r in jan.collect()) == [2, 3]

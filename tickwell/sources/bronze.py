@@ -29,32 +29,49 @@ def read_bronze(spark: SparkSession, root: str, name: str, fmt: str = "parquet")
     """IO1: read a bronze table (``bronze_prices``, ``bronze_index`` or
     ``bronze_components``) with its explicit schema."""
     schema = schemas.COMPONENTS if name.endswith("components") else schemas.BRONZE_BARS
-    reader = spark.read.schema(_with_year(schema) if name != "bronze_components" else schema)
-    df = reader.format(fmt).load(f"{root}/{name}")
-    return df.drop("year") if "year" in df.columns else df
+    df = spark.read.format(fmt).schema(schema).load(f"{root}/{name}")
+    return df.drop(*[c for c in YEAR_MONTH if c in df.columns])
 
 
-def _with_year(schema):
-    from pyspark.sql import types as T
-    return T.StructType(list(schema.fields) + [T.StructField("year", T.IntegerType(), True)])
+# Partition grains: the reference's layout is by year. ("year", "month")
+# bounds what a daily upsert rewrites to one month instead of one year.
+YEAR = ("year",)
+YEAR_MONTH = ("year", "month")
+
+
+def with_grain(df: DataFrame, grain=YEAR, date: str = "date") -> DataFrame:
+    out = df.withColumn("year", F.year(F.col(date)))
+    return out.withColumn("month", F.month(F.col(date))) if "month" in grain else out
+
+
+def _period(c_year: Column, c_month: Column | None) -> Column:
+    return c_year if c_month is None else c_year * 100 + c_month
 
 
 def select_range(df: DataFrame, symbols=None, start=None, end=None,
                  code: str = "code", date: str = "date") -> DataFrame:
     """IO13 / P10: bars of the listed symbols between start and end, both
-    inclusive. When the frame carries the ``year`` partition column the
-    implied year bounds are added so the scan prunes partitions."""
+    inclusive. When the frame carries the partition columns (``year``, and
+    ``month`` for the finer grain) the implied bounds on them are added so
+    the scan prunes partitions."""
     cond = F.lit(True)
+    month = "month" in df.columns and "year" in df.columns
+    part = _period(F.col("year"), F.col("month") if month else None)
+
+    def bound(d):
+        d = F.lit(d).cast("date")
+        return _period(F.year(d), F.month(d) if month else None)
+
     if symbols is not None:
         cond = cond & F.col(code).isin(list(symbols))
     if start is not None:
         cond = cond & (F.col(date) >= F.lit(start).cast("date"))
         if "year" in df.columns:
-            cond = cond & (F.col("year") >= F.year(F.lit(start).cast("date")))
+            cond = cond & (part >= bound(start))
     if end is not None:
         cond = cond & (F.col(date) <= F.lit(end).cast("date"))
         if "year" in df.columns:
-            cond = cond & (F.col("year") <= F.year(F.lit(end).cast("date")))
+            cond = cond & (part <= bound(end))
     return df.filter(cond)
 
 
@@ -175,24 +192,25 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def with_year(df: DataFrame, date: str = "date") -> DataFrame:
-    return df.withColumn("year", F.year(F.col(date)))
+    return with_grain(df, YEAR, date)
 
 
 def write_partitioned(df: DataFrame, path: str, date: str = "date", mode: str = "overwrite",
-                      cluster_by=("code",)) -> None:
-    """IO10: year-partitioned table (any year is accepted).
-
-    Rows are hash-distributed on (year, code), not on the year alone: one
-    year can hold a large share of all rows, and distributing on it alone
-    would put each year in one task. Each task writes one file per year it
-    holds, sorted by (code, date) so row-group statistics on the key prune
-    well for the readers."""
-    out = with_year(df, date)
+                      cluster_by=("code",), grain=YEAR) -> None:
+    """IO10: table partitioned by year (or by year and month); any year is
+    accepted.
+
+    Rows are hash-distributed on (partition, code), not on the partition
+    alone: one year can hold a large share of all rows, and distributing on
+    it alone would put each year in one task. Each task writes one file per
+    partition it holds, sorted by (code, date) so row-group statistics on
+    the key prune well for the readers."""
+    out = with_grain(df, grain, date)
     keys = [c for c in cluster_by if c in out.columns]
     if keys:
-        out = out.repartition("year", *keys)
-    (out.sortWithinPartitions("year", *keys, date).write.mode(mode)
-     .partitionBy("year").parquet(path))
+        out = out.repartition(*grain, *keys)
+    (out.sortWithinPartitions(*grain, *keys, date).write.mode(mode)
+     .partitionBy(*grain).parquet(path))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -201,31 +219,37 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def upsert_into(spark: SparkSession, batch: DataFrame, path: str, staging_root: str,
-                keys=("code", "date"), seq: str = "seq") -> int:
-    """IO7 writer: merge ``batch`` into the year-partitioned bronze table at
-    ``path``, rewriting only the years the batch touches.
-
-    Parquet cannot be overwritten while it is read, so the merged years go to
-    a staging folder first and then replace those partitions with dynamic
-    partition overwrite. Rerunning after a failure between the two steps
-    repairs the table because the merge is idempotent. Returns the number of
-    bars written (after de-duplication)."""
+                keys=("code", "date"), seq: str = "seq", grain=YEAR) -> int:
+    """IO7 writer: merge ``batch`` into the partitioned bronze table at
+    ``path``, rewriting only the partitions (years, or months with the finer
+    grain) the batch touches.
+
+    Parquet cannot be overwritten while it is read, so the merged partitions
+    go to a staging folder first and then replace those partitions with
+    dynamic partition overwrite. Rerunning after a failure between the two
+    steps repairs the table because the merge is idempotent. Returns the
+    number of bars written (after de-duplication)."""
     batch = batch if seq in batch.columns else batch.withColumn(seq, F.lit(1))
-    years = [r["year"] for r in batch.select(F.year("date").alias("year")).distinct().collect()]
-    if not years:
+    month = "month" in grain
+    period = _period(F.year("date"), F.month("date") if month else None).alias("_p")
+    # One value per touched partition: bounded by the calendar.
+    touched = [r["_p"] for r in batch.select(period).distinct().collect()]
+    if not touched:
         return 0
+    cols = [c for c in batch.columns if c != seq]
     try:
-        existing = (spark.read.parquet(path).filter(F.col("year").isin(years)).drop("year"))
+        stored = spark.read.parquet(path)
+        part = _period(F.col("year"), F.col("month") if month else None)
+        existing = stored.filter(part.isin(touched)).select(*cols)
     except Exception:  # noqa: BLE001 - first load: no table yet
-        existing = batch.limit(0).drop(seq)
-    existing = existing.select(*[c for c in batch.columns if c != seq])
+        existing = batch.limit(0).select(*cols)
     merged = upsert_bronze(existing, batch, keys, seq)
     stage = f"{staging_root}/upsert-{uuid.uuid4().hex}"
-    write_partitioned(merged, stage, mode="overwrite")
+    write_partitioned(merged, stage, mode="overwrite", grain=grain)
     staged = spark.read.parquet(stage)
-    # The staged files are already one set per touched year and sorted;
-    # copy them into the table's partitions (no shuffle: each task writes
-    # the years it reads).
-    (staged.sortWithinPartitions("year", *keys).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(path))
+    # The staged files are already one set per touched partition and
+    # sorted; copy them into the table (no shuffle: each task writes the
+    # partitions it reads).
+    (staged.sortWithinPartitions(*grain, *keys).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*grain).parquet(path))
     return spark.read.parquet(stage).count()
