@@ -40,11 +40,11 @@ class Layers:
         self.silver_index = silver.silver_index(self.bronze.index, audit=False)
         self.fact = gold.fact_stock_price(self.silver_prices, audit=False)
 
-    def indicators(self, block: int | None = None) -> indicators.Indicators:
+    def indicators(self, block: int | None = None, reused: bool = True) -> indicators.Indicators:
         # Bronze -> silver -> fact -> indicators share one hash partitioning by
-        # symbol (one exchange). The wide indicator frame feeds several
-        # projections: cut its lineage once.
-        return indicators.Indicators(self.fact, block, checkpointed)
+        # symbol (one exchange). When a query reads the wide indicator frame
+        # more than once (``reused``), its lineage is cut once.
+        return indicators.Indicators(self.fact, block, checkpointed if reused else None)
 
 
 @query("silver_prices")
@@ -97,32 +97,32 @@ def q_bollinger(spark, sf_dir):
 
 @query("ema12")
 def q_ema12(spark, sf_dir):
-    return Layers(spark, sf_dir).indicators().ema12().select("symbol", "trade_date", r6("ema_12"))
+    return Layers(spark, sf_dir).indicators(reused=False).ema12().select("symbol", "trade_date", r6("ema_12"))
 
 
 @query("ema26")
 def q_ema26(spark, sf_dir):
-    return Layers(spark, sf_dir).indicators().ema26().select("symbol", "trade_date", r6("ema_26"))
+    return Layers(spark, sf_dir).indicators(reused=False).ema26().select("symbol", "trade_date", r6("ema_26"))
 
 
 @query("macd_line")
 def q_macd_line(spark, sf_dir):
-    return Layers(spark, sf_dir).indicators().line.select("symbol", "trade_date", "row_num", r6("macd_line"))
+    return Layers(spark, sf_dir).indicators(reused=False).line.select("symbol", "trade_date", "row_num", r6("macd_line"))
 
 
 @query("macd_signal")
 def q_macd_signal(spark, sf_dir):
-    return Layers(spark, sf_dir).indicators().signal.select("symbol", "trade_date", r6("macd_signal"))
+    return Layers(spark, sf_dir).indicators(reused=False).signal.select("symbol", "trade_date", r6("macd_signal"))
 
 
 @query("rsi14")
 def q_rsi14(spark, sf_dir):
-    return Layers(spark, sf_dir).indicators().rsi14()
+    return Layers(spark, sf_dir).indicators(reused=False).rsi14()
 
 
 @query("fact_stock_indicators")
 def q_fact_stock_indicators(spark, sf_dir):
-    ind = Layers(spark, sf_dir).indicators().fact()
+    ind = Layers(spark, sf_dir).indicators(reused=False).fact()
     return ind.select("symbol", "trade_date", "close_price", r6("ma50"), r6("ma200"), r6("bb_upper"),
                       r6("bb_lower"), "rsi_14", r6("macd_line"), r6("macd_signal"), r6("macd_histogram"))
 
@@ -197,7 +197,7 @@ def q_coverage(spark, sf_dir):
 def q_quality_report(spark, sf_dir):
     from ..operators import quality as Q
     L = Layers(spark, sf_dir)
-    ind = L.indicators().fact()
+    ind = L.indicators(reused=False).fact()
     summary = gold.fact_market_summary(L.fact, L.silver_index)
     dim = gold.dim_stock(L.silver_prices, L.bronze.components)
     return Q.report(Q.silver_gates(L.silver_prices, L.silver_index) + Q.gold_gates(ind, summary, dim))
@@ -303,7 +303,7 @@ def q_star_quarterly_trend(spark, sf_dir):
 @query("signals")
 def q_signals(spark, sf_dir):
     from ..operators import signals as SG
-    return SG.signals(Layers(spark, sf_dir).indicators().fact())
+    return SG.signals(Layers(spark, sf_dir).indicators(reused=False).fact())
 
 
 # --- verification -------------------------------------------------------------
