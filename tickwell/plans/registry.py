@@ -35,7 +35,9 @@ class Layers:
     """Lazily built silver and gold frames over one bronze derivation."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.bronze = fixtures.load(spark, sf_dir)
+        # The tick aggregation feeds prices, index and constituents: store the
+        # bars once (the rebuild reads stored bronze tables the same way).
+        self.bronze = fixtures.load(spark, sf_dir, checkpointed)
         self.silver_prices = silver.silver_prices(self.bronze.prices, self.bronze.index, audit=False)
         self.silver_index = silver.silver_index(self.bronze.index, audit=False)
         self.fact = gold.fact_stock_price(self.silver_prices, audit=False)

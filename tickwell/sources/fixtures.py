@@ -98,20 +98,25 @@ def components_from_bars(b: DataFrame) -> DataFrame:
 
 
 class Bronze:
-    """The three bronze inputs derived from one ``lineitem`` read."""
+    """The three bronze inputs derived from one ``lineitem`` read.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    ``materialize`` (optional) stores the aggregated bars once: prices, index
+    and constituents all derive from them, so the tick aggregation then runs
+    once instead of once per branch (as stored bronze tables do in the
+    rebuild)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize=None):
         self.spark = spark
         self.sf_dir = sf_dir
         li = read_table(spark, sf_dir, "lineitem")
-        self.bars = bars(li)
+        self.bars = bars(li) if materialize is None else materialize(bars(li))
         self.prices = bronze_prices_from_bars(self.bars)
         self.index = bronze_index_from_bars(self.bars)
         self.components = components_from_bars(self.bars)
 
 
-def load(spark: SparkSession, sf_dir: str) -> Bronze:
-    return Bronze(spark, sf_dir)
+def load(spark: SparkSession, sf_dir: str, materialize=None) -> Bronze:
+    return Bronze(spark, sf_dir, materialize)
 
 
 def upsert_batches(bronze_prices: DataFrame) -> tuple[DataFrame, DataFrame]:
