@@ -162,7 +162,7 @@ def q_audit_bars(spark, sf_dir):
 @query("universe_others")
 def q_universe_others(spark, sf_dir):
     from ..operators import calendar as K
-    b = fixtures.load(spark, sf_dir)
+    b = fixtures.load(spark, sf_dir, checkpointed)
     return K.universe_others(b.prices.select(F.col("code").alias("symbol")), b.components)
 
 
@@ -189,7 +189,7 @@ def q_trading_days(spark, sf_dir):
 @query("coverage")
 def q_coverage(spark, sf_dir):
     from ..operators import calendar as K
-    b = fixtures.load(spark, sf_dir)
+    b = fixtures.load(spark, sf_dir, checkpointed)
     return K.coverage(b.prices, b.components, _calendar(b))
 
 
