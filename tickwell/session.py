@@ -2,13 +2,13 @@
 
 The library never creates a session inside an operator; callers pass one in.
 ``build_session`` is for scripts and tests. ``checkpoint_root`` reads the
-shared folder the cluster names in ``spark.checkpoint.dir`` and only falls
-back to a fresh scratch folder when that setting is absent (local tests).
+shared folder the cluster names in ``spark.checkpoint.dir``; only a local
+session without that setting gets a scratch folder of its own.
 """
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -46,20 +46,26 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+#: Folders made for local sessions whose settings name none, by application.
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and intermediate tables.
+    """Shared folder for intermediate tables.
 
-    Uses ``spark.checkpoint.dir`` when the cluster sets it; otherwise (tests,
-    local runs) creates a new scratch folder and records it in the session.
+    It is the one the cluster names in ``spark.checkpoint.dir``. A session
+    whose tasks run in the driver's own process (``local[n]``, as in tests)
+    gets one new folder for its lifetime; any other session without the
+    setting is refused, because its executors would each write to their own
+    disk and later reads would miss rows.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
-    if not path:
-        path = tempfile.mkdtemp(prefix="tickwell-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        try:
-            spark.conf.set("spark.checkpoint.dir", path)
-        except Exception:  # noqa: BLE001 - a core setting may be read-only at runtime
-            pass
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    if path:
+        return path.rstrip("/")
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError(f"spark.checkpoint.dir must name a folder that the driver and all executors share (master {master})")
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="tickwell-ckpt-")
+    return _LOCAL_ROOTS[app]
