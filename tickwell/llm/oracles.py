@@ -42,5 +42,51 @@ FROM documents d JOIN c ON c.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_i
 """
 
 
+# The general marks never occur: the table's roles are the template's three.
+OP1 = r"""
+WITH t AS (
+  SELECT conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (
+  SELECT *, length(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(text, chr(92), chr(92) || '0'),
+      '<<SYS>>', '..'), '<</SYS>>', '..'), '[INST]', '..'), '[/INST]', '..'), '<s>', '..'), '</s>', '..'), '[ROLE]', '..'), '[TEXT]', '..'), '[/TEXT]', '..'))
+    + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 ELSE 7 END AS chars,
+    LAG(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS before,
+    ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS place
+  FROM t),
+s AS (
+  SELECT *, NOT ((before IS NULL AND role IN ('system', 'user')) OR (COALESCE(before, '') IN ('system', 'assistant') AND role = 'user')
+    OR (COALESCE(before, '') = 'user' AND role = 'assistant')) AS bad FROM e)
+SELECT conv_id, COUNT(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(COALESCE(SUM(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(COALESCE(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(SUM(chars) AS BIGINT) AS formatted_chars,
+  NOT bool_or(bad) AND arg_max(role, place) = 'assistant' AS valid, MIN(place) FILTER (WHERE bad) AS bad_turn
+FROM s GROUP BY conv_id
+"""
+
+OP7 = r"""
+WITH b AS (
+  SELECT item_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS x FROM benchmark),
+w AS (
+  SELECT DISTINCT COALESCE(CAST(item_id AS VARCHAR), '') AS item, k, array_to_string(x[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT item_id, x, LEAST(len(x), 10) AS k, UNNEST(generate_series(1, len(x) - LEAST(len(x), 10) + 1)) AS i FROM b WHERE len(x) > 0)),
+d AS (
+  SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS x FROM documents),
+s AS (
+  SELECT doc_id, k, i, array_to_string(x[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT doc_id, x, k, UNNEST(generate_series(1, len(x) - k + 1)) AS i FROM d, (SELECT DISTINCT k FROM w) WHERE len(x) >= k)),
+m AS (SELECT s.doc_id, s.i, s.k, w.item FROM s JOIN w ON s.k = w.k AND s.phrase = w.phrase),
+h AS (SELECT doc_id, COUNT(DISTINCT p) AS n_hit FROM (SELECT doc_id, UNNEST(generate_series(i, i + k - 1)) AS p FROM m) GROUP BY doc_id),
+t AS (SELECT doc_id, COUNT(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM m GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.x) AS BIGINT) AS n_words, COALESCE(h.n_hit, 0) AS n_hit, COALESCE(t.n_items, 0) AS n_items,
+  sha256(COALESCE(t.items, '')) AS items_sha256, COALESCE(h.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h ON h.doc_id = d.doc_id LEFT JOIN t ON t.doc_id = d.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": OP2, "op4_minhash_near_dedup": OP4}
+    return {"op1_chat_formatting": OP1, "op2_line_dedup": OP2, "op4_minhash_near_dedup": OP4, "op7_decontamination": OP7}
