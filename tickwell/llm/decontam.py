@@ -24,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .sieve import sift
 from .storage import Scratch
 from .text import ASCII_LOWER, ASCII_UPPER
 
@@ -98,7 +99,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     ident = F.coalesce(F.col(doc_id).cast("bigint"), F.lit(_NULL_ID))
     found = find_places(docs.select(ident.alias("id"), F.col(text).alias("text")), windows, store, slop)
     found = found.select(F.col("id").alias("__d_key"), F.col("places").alias("__d_places"), F.coalesce("n_near", F.lit(0)).cast("bigint").alias("__d_near"))
-    out = docs.withColumn("__d_id", ident).join(found, F.col("__d_id") == F.col("__d_key"), "left").withColumn("__d_words", _cut(F.col(text)))
+    # only texts that may have places move to them; the rest stay where they are read
+    marked = sift(docs.withColumn("__d_id", ident), "__d_id", found, "__d_key")
+    columns = [*[F.col(f"`{c}`") for c in docs.columns], "__d_places", "__d_near"]
+    moved = marked.where("__may").join(found, F.col("__d_id") == F.col("__d_key"), "left").select(columns)
+    kind = found.schema["__d_places"].dataType
+    stayed = marked.where("not __may").withColumns({"__d_places": F.lit(None).cast(kind), "__d_near": F.lit(None).cast("bigint")}).select(columns)
+    out = stayed.unionByName(moved).withColumn("__d_words", _cut(F.col(text)))
     words = F.col("__d_words")
     edge = lambda at: F.when(F.element_at(words, at) == "", 1).otherwise(0)
     n_words = (F.size(words) - edge(1) - F.when(F.size(words) > 1, edge(-1)).otherwise(0)).cast("bigint")
@@ -111,7 +118,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
         "__d_n_hit": F.aggregate("__d_matches", zero, grow, lambda a: a["n"]),
         "__d_items": F.array_sort(F.array_distinct(F.flatten(F.transform("__d_matches", lambda p: p["items"])))),
         "__d_n_near": F.coalesce("__d_near", F.lit(0).cast("bigint")),
-    }).drop("__d_id", "__d_key", "__d_words", "__d_places", "__d_near")
+    }).drop("__d_words", "__d_places", "__d_near")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
