@@ -244,7 +244,7 @@ def whole_ids(texts, end):
 
 
 def test_ids_equal_the_tokenizer(monkeypatch):
-    monkeypatch.setattr(tokenize, "MEMO_WORDS", 50)
+    monkeypatch.setattr(tokenize, "MEMO_ATOMS", 50)
     monkeypatch.setattr(tokenize, "PIECE_BYTES", 2000)
     texts = token_texts()
     ids, bound = tokenize.Encoder(BPE).encode(pa.array(texts, pa.string()), 1)
