@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .sieve import sift
-from .storage import Scratch
+from .storage import Scratch, columns_of
 from .text import ASCII_LOWER, ASCII_UPPER
 
 WINDOW = 10
@@ -101,7 +101,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     found = found.select(F.col("id").alias("__d_key"), F.col("places").alias("__d_places"), F.coalesce("n_near", F.lit(0)).cast("bigint").alias("__d_near"))
     # only texts that may have places move to them; the rest stay where they are read
     marked = sift(docs.withColumn("__d_id", ident), "__d_id", found, "__d_key")
-    columns = [*[F.col(f"`{c}`") for c in docs.columns], "__d_places", "__d_near"]
+    columns = [*columns_of(docs), "__d_places", "__d_near"]
     moved = marked.where("__may").join(found, F.col("__d_id") == F.col("__d_key"), "left").select(columns)
     kind = found.schema["__d_places"].dataType
     stayed = marked.where("not __may").withColumns({"__d_places": F.lit(None).cast(kind), "__d_near": F.lit(None).cast("bigint")}).select(columns)
@@ -123,4 +123,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no window of the benchmark."""
-    return decontaminate(docs, benchmark).where("__d_n_hit = 0").select(docs.columns)
+    return decontaminate(docs, benchmark).where("__d_n_hit = 0").select(columns_of(docs))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
-from .storage import Scratch
+from .storage import Scratch, columns_of
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -157,4 +157,4 @@ def keep_documents(docs: DataFrame, text: str = "text", lang: str = "lang", sour
     narrow = docs.select(F.col(lang).alias("doc_lang"), F.col(source).alias("doc_source"), F.col(text).alias("text"))
     table = fences(with_counts(narrow))
     wide = docs.withColumns({"__q_doc_lang": F.col(lang), "__q_doc_source": F.col(source)})
-    return judged(with_counts(wide, text, "__q_", keep_text=True), table, "__q_").where("__q_kept").select(docs.columns)
+    return judged(with_counts(wide, text, "__q_", keep_text=True), table, "__q_").where("__q_kept").select(columns_of(docs))

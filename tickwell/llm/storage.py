@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
 
@@ -28,3 +29,8 @@ class Scratch:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def columns_of(df: DataFrame) -> list[Column]:
+    """The columns of ``df`` by name, whatever characters the names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
