@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwell.llm import decontam, line_dedup, near_dup, packing, quality
-from tickwell.llm.storage import Scratch, read_table
+from tickwell.llm.storage import Scratch, columns_of, read_table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -27,7 +27,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(docs)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(docs.columns)
+    return out.select(columns_of(docs))
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
