@@ -3,10 +3,6 @@
 import json
 import os
 
-import pytest
-from pyspark.sql import functions as F
-
-from tickwell.sources import bronze as B
 from tickwell.streaming.landing import start_bronze_ingest
 
 
@@ -46,14 +42,15 @@ def test_ingest_dedup_and_upsert(spark, scratch):
     assert sorted(r["year"] for r in t.select("year").distinct().collect()) == [2023, 2024]
 
 
-def test_null_key_rejects_batch(spark, scratch):
-    land(f"{scratch}/landing", "bad.json", [bar(None, "2024-01-02", 10.0)])
-    q = start_bronze_ingest(spark, f"{scratch}/landing", f"{scratch}/bronze", f"{scratch}/chk", f"{scratch}/stage")
-    with pytest.raises(Exception):
-        q.awaitTermination(120)
-        if q.exception() is not None:
-            raise q.exception()
-    assert not os.path.exists(f"{scratch}/bronze")
+def test_null_keys_are_set_aside_and_the_stream_goes_on(spark, scratch):
+    land(f"{scratch}/landing", "bad.json", [bar(None, "2024-01-02", 10.0), bar("A", "2024-01-02", 11.0), bar("B", None, 9.0)])
+    run(spark, scratch)
+    t = spark.read.parquet(f"{scratch}/bronze")
+    assert [(r["code"], r["ingested_at"] is not None) for r in t.collect()] == [("A", True)]
+    assert spark.read.json(f"{scratch}/stage/rejected").count() == 2
+    land(f"{scratch}/landing", "good.json", [bar("C", "2024-01-03", 12.0)])
+    run(spark, scratch)
+    assert spark.read.parquet(f"{scratch}/bronze").count() == 2
 
 
 def test_replayed_batch_leaves_table_unchanged(spark, scratch):

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tickwell.sources import bronze as B
@@ -86,8 +87,106 @@ def test_month_grain_rewrites_only_touched_months(spark, scratch):
     dec = {p: t for p, t in before.items() if "month=12" in p}
     assert dec and all(after.get(p) == t for p, t in dec.items())      # December untouched
     rows = B.read_bronze(spark, scratch, "bronze").collect()
-    assert len(rows) == 10 and "month" not in rows[0].asDict()
+    assert len(rows) == 10 and {"year", "month"} <= set(rows[0].asDict())
     closes = {r["date"]: float(r["close"]) for r in rows}
     assert closes[D(2023, 12, 31)] == 10.0 and closes[D(2024, 1, 3)] == 12.5
     jan = B.select_range(table(spark, path), ["AAA"], "2024-01-02", "2024-01-03")
     assert sorted(r["date"].day for r in jan.collect()) == [2, 3]
+
+
+def closes(spark, path):
+    return {(r["code"], str(r["date"])): r["close"] and float(r["close"]) for r in table(spark, path).collect()}
+
+
+def test_unknown_column_is_refused_and_nothing_is_lost(spark, scratch):
+    path, stage = f"{scratch}/bronze", f"{scratch}/stage"
+    B.upsert_into(spark, ten(spark), path, stage)
+    before = closes(spark, path)
+    with pytest.raises(B.ContractError, match="extra"):
+        B.upsert_into(spark, ten(spark, close=1.0).limit(1).withColumn("extra", F.lit(1)), path, stage)
+    assert closes(spark, path) == before
+
+
+def test_narrow_batch_keeps_stored_columns(spark, scratch):
+    path, stage = f"{scratch}/bronze", f"{scratch}/stage"
+    stamp = F.lit("2024-01-09 00:00:00").cast("timestamp")
+    B.upsert_into(spark, ten(spark).withColumn("ingested_at", stamp), path, stage)
+    B.upsert_into(spark, ten(spark, close=12.0).filter("volume < 103"), path, stage)
+    rows = table(spark, path).collect()
+    assert len(rows) == 10 and sum(r["ingested_at"] is None for r in rows) == 3
+    assert sorted({float(r["close"]) for r in rows}) == [10.0, 12.0]
+
+
+def test_grain_is_the_stored_one(spark, scratch):
+    path, stage = f"{scratch}/bronze", f"{scratch}/stage"
+    B.upsert_into(spark, ten(spark), path, stage)
+    B.upsert_into(spark, ten(spark, close=12.0), path, stage, grain=B.YEAR_MONTH)
+    assert "month" not in table(spark, path).columns
+    assert set(closes(spark, path).values()) == {12.0} and table(spark, path).count() == 10
+
+
+def test_unreadable_table_is_raised(spark, scratch):
+    import os
+    path, stage = f"{scratch}/bronze", f"{scratch}/stage"
+    os.makedirs(f"{path}/year=2024")
+    with open(f"{path}/year=2024/part-0.parquet", "w") as f:
+        f.write("this is no parquet file")
+    with pytest.raises(Exception):
+        B.upsert_into(spark, ten(spark), path, stage)
+    assert os.listdir(f"{path}/year=2024") == ["part-0.parquet"]
+
+
+def test_null_key_is_refused_with_its_count(spark, scratch):
+    path, stage = f"{scratch}/bronze", f"{scratch}/stage"
+    bad = ten(spark).withColumn("code", F.when(F.col("volume") > 101, F.col("code")))
+    with pytest.raises(B.ContractError, match="code=2"):
+        B.upsert_into(spark, bad, path, stage)
+    assert not B.path_exists(spark, path)
+
+
+@pytest.mark.parametrize("turn", [1, -1])
+def test_duplicates_without_seq_keep_the_latest_whatever_their_order(spark, scratch, turn):
+    path, stage = f"{scratch}/bronze", f"{scratch}/stage"
+    stamped = [ten(spark, close=c).drop("seq").withColumn("ingested_at", F.lit(t).cast("timestamp"))
+               for c, t in ((1.0, "2024-01-02"), (2.0, "2024-01-05"), (3.0, "2024-01-03"), (4.0, None))]
+    assert B.upsert_into(spark, B.union_bars(stamped[::turn]).coalesce(1), path, stage) == 10
+    assert set(closes(spark, path).values()) == {2.0}
+
+
+def test_finished_stage_of_an_ended_run_is_copied_first(spark, scratch, monkeypatch):
+    path, stage = f"{scratch}/bronze", f"{scratch}/stage"
+    B.upsert_into(spark, ten(spark), path, stage)
+    with monkeypatch.context() as m:
+        m.setattr(B, "_copy_partitions", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            B.upsert_into(spark, ten(spark, close=12.0).filter("volume < 103"), path, stage)
+    assert set(closes(spark, path).values()) == {10.0}
+    B.upsert_into(spark, ten(spark, close=13.0).filter("volume = 109"), path, stage)
+    assert sorted(closes(spark, path).values()) == [10.0] * 6 + [12.0] * 3 + [13.0]
+    import os
+    assert os.listdir(stage) == []
+
+
+def test_stored_rows_are_not_shuffled(spark):
+    old, new = ten(spark).drop("seq"), ten(spark, close=2.0).filter("volume < 102")
+    plan = B.upsert_bronze(old, new)._jdf.queryExecution().toString()
+    assert "LeftAnti" in plan
+    merged = B.upsert_bronze(old, new)
+    assert sorted(float(r["close"]) for r in merged.collect()) == [2.0] * 2 + [10.0] * 8
+
+
+def test_bounded_load_prunes_partitions(spark, scratch):
+    B.write_partitioned(ten(spark).drop("seq"), f"{scratch}/bronze_prices")
+    wanted = spark.createDataFrame([("AAA",)], "code string")
+    out = B.select_range(B.read_bronze(spark, scratch, "bronze_prices"), wanted, "2024-01-02", "2024-01-03")
+    assert sorted(r["date"].day for r in out.collect()) == [2, 3]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan
+
+
+def test_ordered_extract_reads_back_in_order(spark, scratch):
+    import glob
+    import json
+    B.write_ordered(ten(spark).select("code", "date", "volume").repartition(5), f"{scratch}/x", ["volume"])
+    rows = [json.loads(line)["volume"] for f in sorted(glob.glob(f"{scratch}/x/part-*")) for line in open(f)]
+    assert rows == list(range(100, 110))

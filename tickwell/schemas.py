@@ -42,18 +42,3 @@ LISTING = T.StructType([
 HOLIDAYS = T.StructType([
     T.StructField("date", T.DateType(), False),
 ])
-
-# Output of the indicator fact; used by the sequential cross-check.
-INDICATORS = T.StructType([
-    T.StructField("symbol", T.StringType(), False),
-    T.StructField("trade_date", T.DateType(), False),
-    T.StructField("close_price", T.DoubleType(), True),
-    T.StructField("ma50", T.DoubleType(), True),
-    T.StructField("ma200", T.DoubleType(), True),
-    T.StructField("bb_upper", T.DoubleType(), True),
-    T.StructField("bb_lower", T.DoubleType(), True),
-    T.StructField("rsi_14", T.DoubleType(), True),
-    T.StructField("macd_line", T.DoubleType(), True),
-    T.StructField("macd_signal", T.DoubleType(), True),
-    T.StructField("macd_histogram", T.DoubleType(), True),
-])

@@ -8,10 +8,10 @@ contract ``code, date, open, high, low, close, volume, source``.
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -23,14 +23,40 @@ class ContractError(ValueError):
     """Landing or bar data that breaks the column contract."""
 
 
+# --- storage ------------------------------------------------------------------
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path exists, in whatever store it names. A listing that
+    fails raises: it never reads as "no table yet"."""
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def rename_path(spark: SparkSession, old: str, new: str) -> None:
+    fs, a = _fs(spark, old)
+    if not fs.rename(a, _fs(spark, new)[1]):
+        raise OSError(f"could not rename {old} to {new}")
+
+
 # --- IO1 / IO13 -------------------------------------------------------------
 
 def read_bronze(spark: SparkSession, root: str, name: str, fmt: str = "parquet") -> DataFrame:
     """IO1: read a bronze table (``bronze_prices``, ``bronze_index`` or
-    ``bronze_components``) with its explicit schema."""
+    ``bronze_components``) with its explicit schema. The partition columns
+    (``year``, ``month``) stay, so that ``select_range`` prunes the scan."""
     schema = schemas.COMPONENTS if name.endswith("components") else schemas.BRONZE_BARS
-    df = spark.read.format(fmt).schema(schema).load(f"{root}/{name}")
-    return df.drop(*[c for c in YEAR_MONTH if c in df.columns])
+    return spark.read.format(fmt).schema(schema).load(f"{root}/{name}")
 
 
 # Partition grains: the reference's layout is by year. ("year", "month")
@@ -51,7 +77,9 @@ def _period(c_year: Column, c_month: Column | None) -> Column:
 def select_range(df: DataFrame, symbols=None, start=None, end=None,
                  code: str = "code", date: str = "date") -> DataFrame:
     """IO13 / P10: bars of the listed symbols between start and end, both
-    inclusive. When the frame carries the partition columns (``year``, and
+    inclusive. ``symbols`` is a short list, or a frame with a ``code`` column
+    (a universe that grows with the listing stays off the driver: it is a
+    semi join). When the frame carries the partition columns (``year``, and
     ``month`` for the finer grain) the implied bounds on them are added so
     the scan prunes partitions."""
     cond = F.lit(True)
@@ -62,7 +90,7 @@ def select_range(df: DataFrame, symbols=None, start=None, end=None,
         d = F.lit(d).cast("date")
         return _period(F.year(d), F.month(d) if month else None)
 
-    if symbols is not None:
+    if symbols is not None and not isinstance(symbols, DataFrame):
         cond = cond & F.col(code).isin(list(symbols))
     if start is not None:
         cond = cond & (F.col(date) >= F.lit(start).cast("date"))
@@ -72,7 +100,11 @@ def select_range(df: DataFrame, symbols=None, start=None, end=None,
         cond = cond & (F.col(date) <= F.lit(end).cast("date"))
         if "year" in df.columns:
             cond = cond & (part <= bound(end))
-    return df.filter(cond)
+    out = df.filter(cond)
+    if isinstance(symbols, DataFrame):
+        wanted = symbols.select(F.col("code").alias("_wanted"))
+        out = out.join(wanted, F.col(code) == F.col("_wanted"), "left_semi")
+    return out
 
 
 # --- IO2 / IO3 / IO5 ---------------------------------------------------------
@@ -87,7 +119,8 @@ def require_columns(df: DataFrame, cols=C.BAR_COLUMNS) -> DataFrame:
 
 
 def normalise_bars(df: DataFrame, code: str | Column | None = None, source: str = "VCI") -> DataFrame:
-    """IO2: landing frame -> bar contract. ``time`` becomes ``date`` (cast),
+    """IO2: landing frame -> bar contract. ``time`` becomes ``date`` (a text
+    that is no date becomes null, which the audit counts as a null key),
     the symbol comes from ``code`` (a literal, a column, or the frame's own
     ``code`` column), the source is tagged ``<prefix>_<source>``."""
     require_columns(df, C.LANDING_COLUMNS if "time" in df.columns else ("date", "open", "high", "low", "close", "volume"))
@@ -100,7 +133,7 @@ def normalise_bars(df: DataFrame, code: str | Column | None = None, source: str
     src = F.col("source") if "source" in df.columns and source is None else tag_source(F.lit(source))
     return df.select(
         code_col.cast("string").alias("code"),
-        F.to_date(F.col(date_col)).alias("date"),
+        F.col(date_col).try_cast("date").alias("date"),
         F.col("open").cast(schemas.PRICE).alias("open"),
         F.col("high").cast(schemas.PRICE).alias("high"),
         F.col("low").cast(schemas.PRICE).alias("low"),
@@ -140,47 +173,70 @@ def check_audit(df: DataFrame) -> dict:
     row = audit_bars(df).first().asDict()
     if row["rows"] == 0:
         raise ContractError("batch is empty")
+    check_keys(row)
+    return row
+
+
+def check_keys(row: dict) -> None:
     if row["null_code"] or row["null_date"]:
         raise ContractError(f"batch has null keys: code={row['null_code']} date={row['null_date']}")
-    return row
+
+
+def key_is_null(keys=("code", "date")) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
 # --- IO6 / IO7 / IO8 ---------------------------------------------------------
 
 def dedup_last(df: DataFrame, keys, order) -> DataFrame:
     """IO6: keep the last row per key under ``order`` (a column name or a
-    list of them, compared left to right).
+    list of them, compared left to right, null first). Rows that tie are told
+    apart by their other columns, so the survivor never depends on the input
+    order.
 
-    Written as one aggregate (``max_by`` of the row under the order), so it
-    is combined map-side: a key with many copies never gathers its raw rows
-    in one task, and no per-key sort is needed."""
+    One ``row_number``: one exchange and one sort. The planner keeps only the
+    first row per key and task before the exchange (a group limit), so a key
+    with many copies never gathers its raw rows in one task."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     order = [order] if isinstance(order, str) else list(order)
-    rest = [c for c in df.columns if c not in keys]
-    picked = F.max_by(F.struct(*[F.col(c) for c in rest]), F.struct(*[F.col(c) for c in order]))
-    return df.groupBy(*keys).agg(picked.alias("_row")).select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in [*order, *rest]])
+    return df.withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank")
+
+
+def batch_order(columns, seq: str = "seq") -> list[str]:
+    """Which of a batch's duplicate bars is the last: the highest ``seq``
+    where there is one, else the latest ``ingested_at``, then ``source``."""
+    return [seq] if seq in columns else [c for c in ("ingested_at", "source") if c in columns]
 
 
 def upsert_bronze(existing: DataFrame, batch: DataFrame, keys=("code", "date"), seq: str = "seq") -> DataFrame:
     """IO7: merged table after upserting ``batch`` into ``existing`` on
-    ``keys``: a batch row replaces every non-key column of a stored row; the
-    batch's own duplicates keep the highest ``seq``. Idempotent."""
+    ``keys``: a batch row replaces every non-key column of a stored row; of
+    the batch's own duplicates the last stays. Idempotent.
+
+    Stored rows only pass an anti join with the batch's keys: the batch is
+    the small side, and when the planner broadcasts it no stored row moves."""
     cols = [c for c in existing.columns if c != seq]
-    old = existing.select(*cols, F.lit(0).alias("_prio"), F.lit(0).cast("long").alias("_seq"))
-    new = batch.select(*cols, F.lit(1).alias("_prio"), F.col(seq).cast("long").alias("_seq"))
-    merged = dedup_last(old.unionByName(new), list(keys), ["_prio", "_seq"])
-    return merged.select(*cols)
+    new = dedup_last(batch, list(keys), batch_order(batch.columns, seq)).select(*cols)
+    return existing.select(*cols).join(new.select(*keys), list(keys), "left_anti").unionByName(new)
 
 
 def replace_components(spark: SparkSession, codes: DataFrame, path: str) -> int:
     """IO8: truncate-and-load the constituent list with distinct codes; an
-    empty list is a no-op (the stored list is kept). Returns the count."""
+    empty list is a no-op (the stored list is kept). Returns the count.
+
+    The list is written beside the stored one and then takes its place, so
+    its input is evaluated once and may be the stored list itself."""
     distinct = codes.select(F.col("code").cast("string")).filter(F.col("code").isNotNull()).distinct()
-    distinct = distinct.withColumn("ingested_at", F.current_timestamp())
-    n = distinct.count()
-    if n == 0:
-        return 0
-    distinct.write.mode("overwrite").parquet(path)
+    fresh = f"{path}.new"
+    distinct.withColumn("ingested_at", F.current_timestamp()).write.mode("overwrite").parquet(fresh)
+    n = spark.read.schema(schemas.COMPONENTS).parquet(fresh).count()
+    if n:
+        delete_path(spark, path)
+        rename_path(spark, fresh, path)
+    else:
+        delete_path(spark, fresh)
     return n
 
 
@@ -191,10 +247,6 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").format(fmt).save(path)
 
 
-def with_year(df: DataFrame, date: str = "date") -> DataFrame:
-    return with_grain(df, YEAR, date)
-
-
 def write_partitioned(df: DataFrame, path: str, date: str = "date", mode: str = "overwrite",
                       cluster_by=("code",), grain=YEAR) -> None:
     """IO10: table partitioned by year (or by year and month); any year is
@@ -218,38 +270,82 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("dateFormat", "yyyy-MM-dd").csv(path)
 
 
-def upsert_into(spark: SparkSession, batch: DataFrame, path: str, staging_root: str,
-                keys=("code", "date"), seq: str = "seq", grain=YEAR) -> int:
-    """IO7 writer: merge ``batch`` into the partitioned bronze table at
-    ``path``, rewriting only the partitions (years, or months with the finer
-    grain) the batch touches.
-
-    Parquet cannot be overwritten while it is read, so the merged partitions
-    go to a staging folder first and then replace those partitions with
-    dynamic partition overwrite. Rerunning after a failure between the two
-    steps repairs the table because the merge is idempotent. Returns the
-    number of bars written (after de-duplication)."""
-    batch = batch if seq in batch.columns else batch.withColumn(seq, F.lit(1))
-    month = "month" in grain
-    period = _period(F.year("date"), F.month("date") if month else None).alias("_p")
-    # One value per touched partition: bounded by the calendar.
-    touched = [r["_p"] for r in batch.select(period).distinct().collect()]
-    if not touched:
-        return 0
-    cols = [c for c in batch.columns if c != seq]
-    try:
-        stored = spark.read.parquet(path)
-        part = _period(F.col("year"), F.col("month") if month else None)
-        existing = stored.filter(part.isin(touched)).select(*cols)
-    except Exception:  # noqa: BLE001 - first load: no table yet
-        existing = batch.limit(0).select(*cols)
-    merged = upsert_bronze(existing, batch, keys, seq)
-    stage = f"{staging_root}/upsert-{uuid.uuid4().hex}"
-    write_partitioned(merged, stage, mode="overwrite", grain=grain)
+def write_ordered(df: DataFrame, path: str, order, fmt: str = "json") -> None:
+    """T5: an extract in order: range-partitioned and sorted, so the files in
+    name order hold the rows in ``order`` (column names or columns)."""
+    order = [order] if isinstance(order, str | Column) else list(order)
+    out = df.orderBy(*order).write.mode("overwrite")
+    out = out.option("header", True) if fmt == "csv" else out
+    out.format(fmt).save(path)
+
+
+def _copy_partitions(spark: SparkSession, stage: str, path: str, grain, keys) -> None:
     staged = spark.read.parquet(stage)
     # The staged files are already one set per touched partition and
     # sorted; copy them into the table (no shuffle: each task writes the
     # partitions it reads).
     (staged.sortWithinPartitions(*grain, *keys).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*grain).parquet(path))
-    return spark.read.parquet(stage).count()
+
+
+def stored_grain(columns) -> tuple[str, ...]:
+    return tuple(c for c in YEAR_MONTH if c in columns)
+
+
+def upsert_into(spark: SparkSession, batch: DataFrame, path: str, staging_root: str,
+                keys=("code", "date"), seq: str = "seq", grain=None) -> int:
+    """IO7 writer: merge ``batch`` into the partitioned bronze table at
+    ``path``, rewriting only the partitions (years, or months with the finer
+    grain) the batch touches. Returns the batch's bars after de-duplication.
+
+    * Columns and grain are the stored table's; ``grain`` (by default years)
+      counts for the first load only. A stored column that the batch lacks
+      is null in its bars; a column that the table lacks is refused.
+    * A null key refuses the batch, with the count.
+    * Any failure to read the stored table is raised.
+    * All or nothing: the merged partitions are staged first (Parquet cannot
+      be overwritten while it is read) and then replace the table's with
+      dynamic partition overwrite. If a run ends between the two, the next
+      one finds the finished stage and copies it before its own merge; an
+      unfinished stage is dropped, as nothing of the table has changed. The
+      stage is removed after success. One writer per table at a time."""
+    stage = f"{staging_root}/upsert-{hashlib.sha256(path.encode()).hexdigest()[:16]}"
+    stored = spark.read.parquet(path) if path_exists(spark, path) else None
+    if path_exists(spark, stage):
+        if path_exists(spark, f"{stage}/_SUCCESS"):
+            _copy_partitions(spark, stage, path, stored_grain(spark.read.parquet(stage).columns), keys)
+            stored = spark.read.parquet(path)
+        delete_path(spark, stage)
+
+    audit = batch.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(k).isNull()).alias(f"null_{k}") for k in keys]).first()
+    if audit["rows"] == 0:
+        return 0
+    if any(audit[f"null_{k}"] for k in keys):
+        raise ContractError("batch has null keys: " + " ".join(f"{k}={audit[f'null_{k}']}" for k in keys))
+    if stored is None:
+        grain, columns = grain or YEAR, [c for c in batch.columns if c != seq]
+    else:
+        grain = stored_grain(stored.columns)
+        columns = [c for c in stored.columns if c not in grain]
+        if unknown := sorted(set(batch.columns) - set(columns) - {seq}):
+            raise ContractError(f"the table at {path} has no columns {unknown}")
+    new = dedup_last(batch, list(keys), batch_order(batch.columns, seq))
+    if stored is not None:
+        kinds = stored.schema
+        new = new.select(*[(F.col(c) if c in new.columns else F.lit(None)).cast(kinds[c].dataType).alias(c) for c in columns])
+    if stored is None:
+        write_partitioned(new.select(*columns), stage, grain=grain)
+    else:
+        month = "month" in grain
+        period = _period(F.year("date"), F.month("date") if month else None).alias("_p")
+        # One value per touched partition: bounded by the calendar.
+        touched = [r["_p"] for r in batch.select(period).distinct().collect()]
+        part = _period(F.col("year"), F.col("month") if month else None)
+        merged = upsert_bronze(stored.filter(part.isin(touched)).select(*columns), new, keys, seq)
+        # The stored files are already dealt and sorted: their rows stay in
+        # the tasks that read them.
+        (with_grain(merged, grain).sortWithinPartitions(*grain, *keys).write.mode("overwrite")
+         .partitionBy(*grain).parquet(stage))
+    _copy_partitions(spark, stage, path, grain, keys)
+    delete_path(spark, stage)
+    return new.count()

@@ -1,10 +1,12 @@
 """Daily bar ingestion as a Structured Streaming job.
 
 New landing files (bar contract: code, date, open, high, low, close, volume,
-source, optional ingested_at) are picked up by a file stream; each
-micro-batch is audited (null keys reject the batch), de-duplicated on
-(code, date) keeping the latest ``ingested_at``, and upserted into the
-year-partitioned bronze table, rewriting only the years it touches.
+source, optional ingested_at) are picked up by a file stream. Rows with a
+null key are set aside under ``<staging_root>/rejected/epoch=<n>`` (one bad
+file doesn't stop the stream, and nothing is lost); the rest of each
+micro-batch is upserted into the partitioned bronze table, of duplicate
+(code, date) the latest ``ingested_at``, rewriting only the partitions it
+touches. ``ingested_at`` is stored.
 
 The upsert is idempotent, so a micro-batch replayed after a failure (the
 sink is at-least-once, the checkpoint tracks which files were read) leaves
@@ -15,7 +17,6 @@ landed and stops, which matches a daily schedule.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -37,17 +38,11 @@ def _batch_writer(bronze_path: str, staging_root: str):
         # duration of this write (recomputed from the landing files if lost).
         batch = batch.persist()
         try:
+            bad = B.key_is_null()
             audit = B.audit_bars(batch).first()
-            if audit["rows"] == 0:
-                return
             if audit["null_code"] or audit["null_date"]:
-                raise B.ContractError(f"micro-batch {epoch_id} has null keys")
-            order = ["ingested_at", "source"] if "ingested_at" in batch.columns else ["source"]
-            latest = B.dedup_last(batch, ["code", "date"], order)
-            if "ingested_at" in latest.columns:
-                latest = latest.drop("ingested_at")
-            B.upsert_into(batch.sparkSession, latest.withColumn("seq", F.lit(epoch_id).cast("long")),
-                          bronze_path, staging_root)
+                batch.filter(bad).write.mode("overwrite").json(f"{staging_root}/rejected/epoch={epoch_id}")
+            B.upsert_into(batch.sparkSession, batch.filter(~bad), bronze_path, staging_root)
         finally:
             batch.unpersist()
     return write
