@@ -2,8 +2,10 @@
 RSI, MACD on random series with nulls, with blocks small enough that the
 carry crosses several blocks."""
 
+import datetime as dt
 import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -57,20 +59,35 @@ def test_carry_depth_reaches_underflow():
             assert (a ** block) ** m == 0.0 or m * block * -math.log(a) > 745
 
 
-def _ema_ref(x, period):
-    out = [None] * len(x)
-    if len(x) < period:
+def decayed(x, seed, a, w):
+    """Closed form of y_0 = seed, y_r = a * y_(r-1) + w * x_r: weights times inputs. Null from the first null on."""
+    x = np.array([np.nan if v is None else v for v in x], float)
+    r = np.arange(len(x))
+    weights = np.tril(w * a ** np.maximum(r[:, None] - r, 0.0))
+    y = a ** (r + 1.0) * seed + weights @ np.nan_to_num(x)
+    return np.where(np.maximum.accumulate(np.isnan(x)) if len(x) else False, np.nan, y)
+
+
+def smoothed(x, period, a, w, first):
+    """Mean of x[first:first + period] at the seed row, decayed from there; NaN before."""
+    out = np.full(len(x), np.nan)
+    if len(x) < first + period:
         return out
-    seed = [v for v in x[:period] if v is not None]
-    prev = sum(seed) / len(seed) if seed else None
-    out[period - 1] = prev
-    alpha = 2 / (period + 1)
-    for i in range(period, len(x)):
-        prev = None if prev is None or x[i] is None else x[i] * alpha + prev * (1 - alpha)
-        out[i] = prev
+    seed = np.nanmean(np.array([np.nan if v is None else v for v in x[first:first + period]], float))
+    out[first + period - 1] = seed
+    out[first + period:] = decayed(x[first + period:], seed, a, w)
     return out
 
 
+def ema_of(x, period):
+    alpha = 2 / (period + 1)
+    return smoothed(x, period, 1 - alpha, alpha, 0)
+
+
+def same(got, want, tol=1e-9):
+    return got is None if np.isnan(want) else got == pytest.approx(want, rel=tol, abs=tol)
+
+
 def fact_frame(spark, closes):
     rows = []
     for k, xs in closes.items():
@@ -97,17 +114,11 @@ def test_ema_with_seed_and_null(spark, block):
     got = {(r["symbol"], r["row_num"]): r["ema_12"] for r in out.collect()}
     assert not any(k[0] == "SHORT" for k in got)
     for k, series in (("A", xs), ("B", ys)):
-        ref = _ema_ref(series, 12)
-        for i in range(11, len(series)):
-            if ref[i] is None:
-                assert got[(k, i + 1)] is None
-            else:
-                assert got[(k, i + 1)] == pytest.approx(ref[i], rel=1e-12)
+        for i, want in list(enumerate(ema_of(series, 12)))[11:]:
+            assert same(got[(k, i + 1)], want, 1e-12)
 
 
-def test_rsi_and_macd_match_sequential(spark):
-    from tickwell.operators.verify import _per_symbol
-    import pandas as pd
+def test_rsi_and_macd_match_closed_form(spark):
     rng = np.random.default_rng(3)
     closes = {f"S{k}": list(50 + np.cumsum(rng.normal(size=int(rng.integers(10, 140))))) for k in range(5)}
     closes["FLAT"] = [10.0] * 40
@@ -115,16 +126,21 @@ def test_rsi_and_macd_match_sequential(spark):
     closes["NULL30"] = gap[:29] + [None] + gap[30:]          # line ends before its 9th row
     closes["NULL60"] = gap[:59] + [None] + gap[60:]          # line and signal end at row 60
     fact = fact_frame(spark, closes)
-    ours = {(r["symbol"], r["trade_date"]): r for r in I.Indicators(fact, block=48).fact().collect()}
-    for k in closes:
-        pdf = fact.filter(fact.symbol == k).toPandas()
-        pdf["close_price"] = pdf["close_price"].astype(float)
-        ref = _per_symbol(pdf)
-        for _, row in ref.iterrows():
-            mine = ours[(k, row["trade_date"])]
-            for c in ("rsi_14", "macd_line", "macd_signal", "ma50", "bb_upper"):
-                want = row[c]
-                if pd.isna(want):
-                    assert mine[c] is None, (k, c, row["trade_date"])
-                else:
-                    assert mine[c] == pytest.approx(want, rel=1e-9, abs=1e-9), (k, c)
+    ours = {(r["symbol"], (r["trade_date"] - dt.date(2020, 1, 1)).days): r for r in I.Indicators(fact, block=48).fact().collect()}
+    moves = {(r["symbol"], r["row_num"] - 1): r for r in fact.collect()}
+    for k, xs in closes.items():
+        line = ema_of(xs, 12) - ema_of(xs, 26)
+        signal = np.full(len(xs), np.nan)
+        signal[25:] = ema_of(line[25:], 9)
+        gain, loss = ([moves[(k, i)][c] for i in range(len(xs))] for c in ("gain", "loss"))
+        up, down = (smoothed(v, 14, 13 / 14, 1 / 14, 1) for v in (gain, loss))
+        for i in range(len(xs)):
+            r = ours[(k, i)]
+            assert same(r["macd_line"], line[i]) and same(r["macd_signal"], signal[i] if not np.isnan(line[i]) else np.nan), (k, i)
+            rsi = np.nan if np.isnan(up[i]) or up[i] == down[i] == 0 else 100.0 if down[i] == 0 else 100 - 100 / (1 + up[i] / down[i])
+            assert same(r["rsi_14"], rsi, 1e-4), (k, i)
+
+
+def test_both_scans_share_blocks_and_sorts(spark):
+    plan = I.Indicators(fact_frame(spark, {"A": [1.0] * 30})).wide._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"\bSort \[", plan)) == 2

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from .silver import valid_only
-from .windows import by_symbol
+from .windows import by_symbol, with_gain_loss
 
 
 def fact_stock_price(silver: DataFrame, audit: bool = True) -> DataFrame:
@@ -20,11 +20,7 @@ def fact_stock_price(silver: DataFrame, audit: bool = True) -> DataFrame:
         base = base.select(*cols, F.col("loaded_at").alias("silver_loaded_at"))
     else:
         base = base.select(*cols)
-    w = by_symbol()
-    change = F.coalesce(F.col("close_price") - F.lag("close_price").over(w), F.lit(0.0))
-    out = (base.withColumn("row_num", F.row_number().over(w).cast("bigint"))
-               .withColumn("gain", F.greatest(change, F.lit(0.0)))
-               .withColumn("loss", F.abs(F.least(change, F.lit(0.0)))))
+    out = with_gain_loss(base.withColumn("row_num", F.row_number().over(by_symbol()).cast("bigint")))
     keep = ["symbol", "trade_date", "row_num", "open_price", "high_price", "low_price",
             "close_price", "volume", "source"]
     if audit and "silver_loaded_at" in out.columns:

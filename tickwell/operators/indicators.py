@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
-from .scan import ScanSpec, linear_scan
+from .scan import ScanSpec, linear_scan, safe_block
 from .windows import bollinger_frame, with_sma
 
 
@@ -92,7 +92,14 @@ def _core(fact: DataFrame, block: int | None) -> DataFrame:
     specs = [ema_spec(C.EMA_FAST, "close_price", "ema_12"),
              ema_spec(C.EMA_SLOW, "close_price", "ema_26"),
              *wilder_specs(C.RSI_PERIOD)]
-    return linear_scan(fact, specs, "symbol", "row_num", block)
+    return linear_scan(fact, specs, "symbol", "row_num", block, keep_blocks=True)
+
+
+def common_block() -> int:
+    """One block size that is safe for every recurrence here, so that both
+    scans share their blocks and one sort."""
+    decays = [1.0 - ema_alpha(p) for p in (C.EMA_FAST, C.EMA_SLOW, C.MACD_SIGNAL)] + [(C.RSI_PERIOD - 1.0) / C.RSI_PERIOD]
+    return min(safe_block(a) for a in decays)
 
 
 # The MACD line exists on rows EMA_SLOW.. while both EMAs are not null. An
@@ -114,7 +121,8 @@ def _with_macd(core: DataFrame, block: int | None) -> DataFrame:
                 .withColumn("ema_26", F.when(F.col("row_num") >= C.EMA_SLOW, F.col("ema_26")))
                 .withColumn("macd_line", F.when(_has_line(), F.col("ema_12") - F.col("ema_26")))
                 .withColumn("_line_rn", F.col("row_num") - F.lit(LINE_OFFSET)))
-    spec = ema_spec(C.MACD_SIGNAL, "macd_line", "_sig", rn="_line_rn")
+    # Ordered as the first scan left the rows, so nothing is sorted again.
+    spec = ema_spec(C.MACD_SIGNAL, "macd_line", "_sig", rn="_line_rn", order=["_blk", "row_num"])
     out = linear_scan(rows, [spec], "symbol", "row_num", block)
     ready = (F.col("_line_rn") >= C.MACD_SIGNAL) & F.col("macd_line").isNotNull()
     return out.withColumn("macd_signal", F.when(ready, F.col("_sig"))).drop("_sig", "_line_rn")
@@ -149,6 +157,7 @@ class Indicators:
         # The averages, bands and scan seeds share one window specification
         # (symbol, trade_date), so they are evaluated by one window operator.
         base = bollinger_frame(base, C.BB_PERIOD, C.BB_WIDTH)
+        block = block or common_block()
         wide = _with_macd(_core(base, block), block)
         wide = wide.select(
             "symbol", "trade_date", "row_num", "close_price", "ema_12", "ema_26",

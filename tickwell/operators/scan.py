@@ -87,9 +87,12 @@ def _carry_at_block_start(s_col: str, a: float, B: int, by_key) -> Column:
 
 
 def linear_scan(df: DataFrame, specs: list[ScanSpec], key: str = "symbol", rn: str = "row_num",
-                block: int | None = None) -> DataFrame:
+                block: int | None = None, keep_blocks: bool = False) -> DataFrame:
     """Add one column per spec with ``y_r = a * y_(r-1) + b_r`` (y_0 = 0)
-    over rows ordered by the dense 1-based ``rn`` within ``key``."""
+    over rows ordered by the dense 1-based ``rn`` within ``key``.
+
+    With ``keep_blocks`` the block columns stay, and a later scan of the
+    same ``block`` over the frame reuses them and their sort."""
     for s in specs:
         if not 0.0 <= s.a < 1.0:
             raise ValueError(f"{s.name}: coefficient must be in [0, 1)")
@@ -100,8 +103,8 @@ def linear_scan(df: DataFrame, specs: list[ScanSpec], key: str = "symbol", rn: s
     blk_run = in_blk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     blk_all = in_blk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
-    base = (df.withColumn("_blk", F.floor((F.col(rn) - 1) / B))
-              .withColumn("_j", (F.col(rn) - 1) % B))
+    base = df if "_blk" in df.columns else (df.withColumn("_blk", F.floor((F.col(rn) - 1) / B))
+                                              .withColumn("_j", (F.col(rn) - 1) % B))
     scaled = [s.b if s.a == 0.0 else s.b * F.pow(F.lit(s.a), -F.col("_j")) for s in specs]
     base = base.select("*", *[c.alias(f"_c{i}") for i, c in enumerate(scaled)])
     # The key-partitioned window comes first, so the exchange (if any) is by
@@ -123,5 +126,5 @@ def linear_scan(df: DataFrame, specs: list[ScanSpec], key: str = "symbol", rn: s
             y = (F.pow(F.lit(s.a), F.col("_j")) * F.col(f"_r{i}")
                  + F.pow(F.lit(s.a), F.col("_j") + 1) * F.coalesce(F.col(f"_k{i}"), F.lit(0.0)))
         out = out.withColumn(s.name, F.when(~F.col(f"_bad{i}"), y))
-    temp = {"_blk", "_j"} | {f"{p}{i}" for i in range(len(specs)) for p in ("_c", "_bad", "_r", "_s", "_z", "_k")}
+    temp = (set() if keep_blocks else {"_blk", "_j"}) | {f"{p}{i}" for i in range(len(specs)) for p in ("_c", "_bad", "_r", "_s", "_z", "_k")}
     return out.drop(*[c for c in out.columns if c in temp])

@@ -1,99 +1,18 @@
-"""Cross-checks of the indicator fact against an independent computation.
+"""Comparison of two indicator tables: drift report and MACD acceptance.
 
-``sequential_indicators`` recomputes every indicator per symbol with a plain
-loop over the rows (``applyInPandas``: one group = one symbol's series,
-bounded by its trading days). It is the independent side of the checks and
-not part of the production path. ``drift_report`` and ``macd_acceptance``
-join the two on (symbol, trade_date) and aggregate per symbol.
+Both join the two tables on (symbol, trade_date) and aggregate per symbol;
+a table and the same table built from changed prices, from another source or
+by another version can be held against each other.
 """
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from .. import schemas
 from ..functions.columns import pct_error
 
-
-def _ema_loop(x: np.ndarray, period: int) -> np.ndarray:
-    """Seed = mean of the first ``period`` values (nulls skipped; all rows
-    counted), then x * a + prev * (1 - a); null after a null."""
-    out = np.full(len(x), np.nan)
-    if len(x) < period:
-        return out
-    seed = np.nanmean(x[:period]) if not np.all(np.isnan(x[:period])) else np.nan
-    alpha = 2.0 / (period + 1.0)
-    prev = seed
-    out[period - 1] = prev
-    for i in range(period, len(x)):
-        prev = x[i] * alpha + prev * (1.0 - alpha)
-        out[i] = prev
-    return out
-
-
-def _rsi_loop(gain: np.ndarray, loss: np.ndarray, period: int) -> np.ndarray:
-    out = np.full(len(gain), np.nan)
-    if len(gain) < period + 1:
-        return out
-    g, l = gain[1:period + 1].mean(), loss[1:period + 1].mean()
-    for i in range(period, len(gain)):
-        if i > period:
-            g = (g * (period - 1) + gain[i]) / period
-            l = (l * (period - 1) + loss[i]) / period
-        if l == 0 and g == 0:
-            out[i] = np.nan
-        elif l == 0:
-            out[i] = 100.0
-        else:
-            v = 100.0 - 100.0 / (1.0 + g / l)
-            out[i] = math.floor(v * 10000.0 + 0.5) / 10000.0 if v >= 0 else -math.floor(-v * 10000.0 + 0.5) / 10000.0
-    return out
-
-
-def _rolling(x: pd.Series, n: int, fn: str) -> np.ndarray:
-    r = x.rolling(n, min_periods=1)
-    v = r.mean() if fn == "mean" else r.std(ddof=0)
-    v = v.to_numpy(dtype=float)
-    v[: n - 1] = np.nan
-    return v
-
-
-def _per_symbol(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("trade_date").reset_index(drop=True)
-    close = pdf["close_price"].astype(float)
-    x = close.to_numpy()
-    chg = np.nan_to_num(np.diff(x, prepend=np.nan), nan=0.0)
-    gain, loss = np.maximum(chg, 0.0), np.abs(np.minimum(chg, 0.0))
-    e12, e26 = _ema_loop(x, C.EMA_FAST), _ema_loop(x, C.EMA_SLOW)
-    line = e12 - e26
-    has_line = ~np.isnan(line) & (np.arange(len(x)) >= C.EMA_SLOW - 1)
-    sig = np.full(len(x), np.nan)
-    idx = np.flatnonzero(has_line)
-    sig[idx] = _ema_loop(line[idx], C.MACD_SIGNAL)
-    mid, sd = _rolling(close, C.BB_PERIOD, "mean"), _rolling(close, C.BB_PERIOD, "std")
-    out = pd.DataFrame({
-        "symbol": pdf["symbol"], "trade_date": pdf["trade_date"], "close_price": x,
-        "ma50": _rolling(close, C.MA_SHORT, "mean"), "ma200": _rolling(close, C.MA_LONG, "mean"),
-        "bb_upper": mid + C.BB_WIDTH * sd, "bb_lower": mid - C.BB_WIDTH * sd,
-        "rsi_14": _rsi_loop(gain, loss, C.RSI_PERIOD),
-        "macd_line": np.where(has_line, line, np.nan), "macd_signal": sig,
-    })
-    out["macd_histogram"] = out["macd_line"] - out["macd_signal"]
-    return out
-
-
-def sequential_indicators(fact: DataFrame) -> DataFrame:
-    """Independent per-symbol loop over the price fact (verification only)."""
-    return (fact.select("symbol", "trade_date", "close_price")
-            .groupBy("symbol").applyInPandas(_per_symbol, schema=schemas.INDICATORS))
-
-
 _FLOORS = {"rsi_14": C.DRIFT_FLOOR_RSI}
 _DRIFT_COLS = ("rsi_14", "macd_line", "macd_signal", "ma50", "ma200", "bb_upper", "bb_lower")
 

@@ -23,12 +23,6 @@ def trailing(rows: int, key: str = "symbol", order: str = "trade_date"):
     return by_symbol(key, order).rowsBetween(-(rows - 1), Window.currentRow)
 
 
-def with_row_num(df: DataFrame, key: str = "symbol", order: str = "trade_date",
-                 out: str = "row_num") -> DataFrame:
-    """Dense 1-based row number per key."""
-    return df.withColumn(out, F.row_number().over(by_symbol(key, order)))
-
-
 def with_gain_loss(df: DataFrame, value: str = "close_price") -> DataFrame:
     """Day change against the previous row, gain = max(change, 0),
     loss = |min(change, 0)|, both 0 on the first row and after a null."""
@@ -71,16 +65,6 @@ def sma_col(period: int, value: str = "close_price", rn: str = "row_num") -> Col
     return F.when(F.col(rn) >= period, F.avg(value).over(trailing(period)))
 
 
-def bollinger_cols(period: int = 20, width: float = 2.0, value: str = "close_price",
-                   rn: str = "row_num") -> tuple[Column, Column]:
-    """Mean +/- width * population standard deviation over the last
-    ``period`` rows, null before row ``period``."""
-    w = trailing(period)
-    mid, sd = F.avg(value).over(w), F.stddev_pop(value).over(w)
-    ready = F.col(rn) >= period
-    return F.when(ready, mid + F.lit(width) * sd), F.when(ready, mid - F.lit(width) * sd)
-
-
 def bollinger_frame(df: DataFrame, period: int = 20, width: float = 2.0, value: str = "close_price",
                     rn: str = "row_num", upper: str = "bb_upper", lower: str = "bb_lower") -> DataFrame:
     """W7 / W8 with the window mean and deviation evaluated once for both
@@ -91,12 +75,3 @@ def bollinger_frame(df: DataFrame, period: int = 20, width: float = 2.0, value:
     return (out.withColumn(upper, F.when(ready, F.col("_bb_mid") + F.lit(width) * F.col("_bb_sd")))
                .withColumn(lower, F.when(ready, F.col("_bb_mid") - F.lit(width) * F.col("_bb_sd")))
                .drop("_bb_mid", "_bb_sd"))
-
-
-def sma(df: DataFrame, period: int, value: str = "close_price", out: str | None = None) -> DataFrame:
-    return df.withColumn(out or f"ma{period}", sma_col(period, value))
-
-
-def bollinger(df: DataFrame, period: int = 20, width: float = 2.0, value: str = "close_price") -> DataFrame:
-    up, lo = bollinger_cols(period, width, value)
-    return df.withColumn("bb_upper", up).withColumn("bb_lower", lo)
