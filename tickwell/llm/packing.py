@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokenize
+from .storage import bounded_batches
 
 TIERS = (4096, 2048, 1024, 512, 256)
 GROUP_TOKENS = 1 << 20
@@ -146,5 +147,6 @@ def _packed(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordB
 
 def pack_documents(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """A row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, window, step_id."""
+    bounded_batches(docs.sparkSession)
     narrow = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint").alias("bytes"))
     return narrow.mapInArrow(lambda it: _packed(it, tokenizer), _SCHEMA)

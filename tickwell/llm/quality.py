@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
-from .storage import Scratch, columns_of
+from .storage import Scratch, bounded_batches, columns_of
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -91,6 +91,7 @@ def with_counts(docs: DataFrame, text: str = "text", prefix: str = "", keep_text
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in names] + [pa.array(counts[c], pa.int64()) for c in COUNTS],
                                              names + [f"{prefix}{c}" for c in COUNTS])
 
+    bounded_batches(docs.sparkSession)
     return docs.mapInArrow(run, schema)
 
 

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
+from .storage import bounded_batches
 
 KINDS = ("assign", "access", "hex")
 # The base patterns.
@@ -226,4 +227,5 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def scan_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans), a row for each row of ``docs``."""
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(_scan, _SCHEMA)

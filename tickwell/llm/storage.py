@@ -10,6 +10,18 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_root
 
 
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Holds the session's Arrow batches to BATCH_BYTES, in the executors' buffers and in their Python workers, so that
+    long texts don't make them large; a lower setting stays. A batch has one row at least, whatever its length."""
+    now = spark.conf.get(_BATCH_SETTING).rstrip("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
 class Scratch:
     """One folder under ``spark.checkpoint.dir`` for the tables of one call.
 
@@ -18,6 +30,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, name: str) -> None:
+        bounded_batches(spark)
         self.spark = spark
         self.folder = f"{checkpoint_root(spark)}/tables/{name}-{uuid.uuid4().hex}"
 

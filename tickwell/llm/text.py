@@ -57,7 +57,7 @@ class _Powers:
 
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            size = max(n, 2 * PIECE_BYTES) + 1
+            size = max(n, PIECE_BYTES + 1)
             row = lambda base: np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(size - 1, base, np.uint64))])
             self.up, self.down = row(np.uint64(_BASE)), row(np.uint64(pow(_BASE, -1, 1 << 64)))
         return self.up[:n], self.down[:n]

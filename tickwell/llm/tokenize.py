@@ -21,8 +21,8 @@ import pyarrow as pa
 
 from . import text as T
 
-MEMO_ATOMS = 1_500_000
-PIECE_BYTES = 2 << 20
+MEMO_ATOMS = 300_000
+PIECE_BYTES = 1 << 20
 
 _SPACE, _LETTER, _MARK, _MIXED = 0, 1, 2, 3
 
