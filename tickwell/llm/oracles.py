@@ -62,7 +62,7 @@ SELECT conv_id, COUNT(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   CAST(COALESCE(SUM(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(COALESCE(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
   CAST(SUM(chars) AS BIGINT) AS formatted_chars,
-  NOT bool_or(bad) AND arg_max(role, place) = 'assistant' AS valid, MIN(place) FILTER (WHERE bad) AS bad_turn
+  NOT bool_or(bad) AND arg_max(role, place) = 'assistant' AS valid, COALESCE(MIN(place) FILTER (WHERE bad), -1) AS bad_turn
 FROM s GROUP BY conv_id
 """
 

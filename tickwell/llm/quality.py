@@ -33,8 +33,8 @@ CAPITALS = T._class(lambda b: 0x41 <= b <= 0x5A)
 MEASURES = {
     "symbol_share": ("n_symbols / n_words", 0.1),
     "capital_share": ("n_capitals / word_chars", 0.4),
-    "dup_line_share": ("n_dup_lines / n_lines", 0.3),
-    "repeat_share": ("n_repeat_words / n_words", 0.3),
+    "dup_line_share": ("n_dup_lines / n_lines", 0.5),
+    "repeat_share": ("n_repeat_words / n_words", 0.45),
     "word_length": ("word_chars / n_words", 12.0),
 }
 SPREADS = 8.0

@@ -26,7 +26,7 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return out.select(
         "conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"), F.char_length("loss").cast("bigint").alias("loss_chars"),
-        F.sha2("loss", 256).alias("loss_sha256"), F.char_length("formatted").cast("bigint").alias("formatted_chars"), "valid", F.col("bad_turn").cast("bigint").alias("bad_turn"))
+        F.sha2("loss", 256).alias("loss_sha256"), F.char_length("formatted").cast("bigint").alias("formatted_chars"), "valid", F.coalesce("bad_turn", F.lit(-1)).cast("bigint").alias("bad_turn"))
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
