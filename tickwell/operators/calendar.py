@@ -28,7 +28,8 @@ def calendar_frame(days: DataFrame, holidays: DataFrame | None = None) -> DataFr
     weekday = F.weekday(d) < 5
     if holidays is None:
         return out.withColumn("is_trading_day", weekday)
-    h = holidays.select(F.col("date").alias("_h")).distinct()
+    # A caller's table may cover more than these days: cut to them, it is as bounded as they are.
+    h = holidays.select(F.col("date").alias("_h")).join(days.select(d.alias("_h")), "_h", "left_semi").distinct()
     return (out.join(F.broadcast(h), d == F.col("_h"), "left")
                .withColumn("is_trading_day", weekday & F.col("_h").isNull()).drop("_h"))
 
@@ -119,6 +120,31 @@ def coverage(bars: DataFrame, members: DataFrame, cal: DataFrame, force: bool =
         "year", "start", "end", "symbols", "trading_days", "expected_rows", "existing_rows", "threshold", "needs_load")
 
 
+def count_bars(bars: DataFrame, symbols: DataFrame, start, end) -> DataFrame:
+    """How many bars of ``symbols`` (a frame with ``code``) lie between
+    start and end, both inclusive: one row, ``existing_rows``. The range
+    prunes a partitioned table; the symbols stay a semi join."""
+    from ..sources.bronze import select_range
+    return select_range(bars, symbols, start, end).agg(F.count(F.lit(1)).cast("bigint").alias("existing_rows"))
+
+
+def needs_backfill(bars: DataFrame, symbols: DataFrame, start, end, force: bool = False) -> DataFrame:
+    """C4: one row saying whether [start, end] must be loaded for
+    ``symbols``: not when at least floor(0.8 * symbols * trading days) bars
+    are there and any are expected, unless forced."""
+    spark = bars.sparkSession
+    span = dim_date(spark, start, end)
+    wanted = symbols.select("code").distinct()
+    days = span.filter(is_fixed_trading_day(F.col("date"))).agg(F.count(F.lit(1)).cast("bigint")).scalar()
+    n = wanted.agg(F.count(F.lit(1)).cast("bigint")).scalar()
+    out = (count_bars(bars, wanted, start, end)
+           .withColumn("symbols", n).withColumn("trading_days", days)
+           .withColumn("expected_rows", F.col("symbols") * F.col("trading_days"))
+           .withColumn("threshold", F.floor(F.col("expected_rows") * F.lit(C.COVERAGE_RATIO)).cast("bigint")))
+    skip = (F.col("expected_rows") > 0) & (F.col("existing_rows") >= F.col("threshold")) & F.lit(not force)
+    return out.select("symbols", "trading_days", "expected_rows", "existing_rows", "threshold", (~skip).alias("needs_load"))
+
+
 def listed_stocks(listing: DataFrame, type_: str = "STOCK", exchange: str = "HSX") -> DataFrame:
     """P13."""
     return listing.filter((F.col("type") == type_) & (F.col("exchange") == exchange)).select("symbol")

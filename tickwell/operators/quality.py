@@ -57,6 +57,13 @@ def expression_is_true(df: DataFrame, expr: str, layer: str, model: str, where:
     return Gate(layer, model, f"expression_is_true({expr})", df, count=F.count_if(failing))
 
 
+def bronze_gates(prices: DataFrame, index: DataFrame) -> list[Gate]:
+    """Null keys, looked for before any window: all of them would land in
+    one window group."""
+    return [not_null(df, c, "bronze", model) for df, model in ((prices, "bronze_prices"), (index, "bronze_index"))
+            for c in ("code", "date")]
+
+
 def silver_gates(silver_prices: DataFrame, silver_index: DataFrame) -> list[Gate]:
     return [
         unique(silver_prices, ["symbol", "trade_date"], "silver", "silver_prices"),
@@ -102,11 +109,11 @@ def report(gates: list[Gate]) -> DataFrame:
     return out.orderBy("ordinal").drop("ordinal")
 
 
-def enforce(gates: list[Gate]) -> DataFrame:
-    """Q5: evaluate a layer's gates (one small job, one row per gate to the
-    driver) and raise on any failure."""
-    rep = report(gates)
-    failed = {f"{r['model']}.{r['test']}": r["failures"] for r in rep.collect() if r["failures"]}
+def enforce(gates: list[Gate]) -> list[dict]:
+    """Q5: evaluate a layer's gates once (one small job, one row per gate to
+    the driver), raise on any failure, and return the rows."""
+    rows = [r.asDict() for r in report(gates).collect()]
+    failed = {f"{r['model']}.{r['test']}": r["failures"] for r in rows if r["failures"]}
     if failed:
         raise QualityError(failed)
-    return rep
+    return rows
