@@ -7,7 +7,11 @@ import os
 import pytest
 
 from tickwell.operators.quality import QualityError
-from tickwell.plans.warehouse import build_warehouse
+from pyspark.sql import functions as F
+
+from tickwell.operators import dashboard as D
+from tickwell.operators import gold, silver
+from tickwell.plans.warehouse import build_warehouse, run_pipeline
 from tickwell.sources import fixtures
 
 from conftest import SF_SMOKE
@@ -32,11 +36,40 @@ def test_full_rebuild(spark, scratch):
     assert set(cal.columns) == {"date", "day", "day_of_week", "month", "quarter", "year", "is_trading_day"}
 
 
-def test_failing_silver_gate_stops_before_gold(spark, scratch):
+def test_failing_silver_gate_keeps_the_last_good_layer(spark, scratch):
     b = fixtures.load(spark, SF_SMOKE)
     dup = b.prices.unionByName(b.prices.limit(1))
     with pytest.raises(QualityError) as e:
         build_warehouse(spark, dup, b.index, b.components, f"{scratch}/wh")
     assert e.value.failures == {"silver_prices.unique_combination(symbol, trade_date)": 1}
-    assert os.path.isdir(f"{scratch}/wh/silver_prices")
-    assert not os.path.exists(f"{scratch}/wh/fact_stock_price")
+    assert not os.path.exists(f"{scratch}/wh/silver_prices") and not os.path.exists(f"{scratch}/wh/fact_stock_price")
+    build_warehouse(spark, b.prices, b.index, b.components, f"{scratch}/wh", extracts=False)
+    good = spark.read.parquet(f"{scratch}/wh/silver_prices").count()
+    with pytest.raises(QualityError):
+        build_warehouse(spark, dup, b.index, b.components, f"{scratch}/wh", extracts=False)
+    assert spark.read.parquet(f"{scratch}/wh/silver_prices").count() == good
+
+
+def test_null_keys_are_stopped_before_any_window(spark, scratch):
+    b = fixtures.load(spark, SF_SMOKE)
+    bad = b.prices.withColumn("code", F.when(F.col("volume") % 7 != 0, F.col("code")))
+    with pytest.raises(QualityError) as e:
+        build_warehouse(spark, bad, b.index, b.components, f"{scratch}/wh")
+    assert list(e.value.failures) == ["bronze_prices.not_null(code)"]
+    assert not os.path.exists(f"{scratch}/wh/silver_prices")
+
+
+def test_members_only_run_and_pruned_extract(spark, scratch):
+    b = fixtures.load(spark, SF_SMOKE)
+    rep = run_pipeline(spark, b.prices, b.index, b.components, f"{scratch}/bronze", f"{scratch}/wh", members_only=True, extracts=False)
+    members = {r["code"] for r in b.components.collect()}
+    fact = spark.read.parquet(rep.tables["fact_stock_price"])
+    assert {r["symbol"] for r in fact.select("symbol").distinct().collect()} == members
+    full = run_pipeline(spark, b.prices, b.index, b.components, f"{scratch}/bronze", f"{scratch}/wh", extracts=False)
+    assert spark.read.parquet(full.tables["fact_stock_price"]).count() == b_fact_rows(spark, b)
+    plan = D.since_max(fact, 200)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan
+
+
+def b_fact_rows(spark, b):
+    return gold.fact_stock_price(silver.silver_prices(b.prices, b.index)).count()

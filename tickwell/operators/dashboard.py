@@ -20,10 +20,19 @@ def max_date(df: DataFrame, date: str = "trade_date", out: str = "max_date") ->
     return df.agg(F.max(date).alias(out))
 
 
-def since_max(df: DataFrame, days: int, date: str = "trade_date") -> DataFrame:
+def from_date(df: DataFrame, low: Column, date: str = "trade_date") -> DataFrame:
+    """Rows on or after ``low``; on a table partitioned by year the implied
+    bound on the year prunes the scan."""
+    out = df.filter(F.col(date) >= low)
+    return out.filter(F.col("year") >= F.year(low)) if "year" in df.columns else out
+
+
+def since_max(df: DataFrame, days: int, date: str = "trade_date", latest: Column | None = None) -> DataFrame:
     """J10 + F11: rows within ``days`` of the frame's own latest date (an
-    uncorrelated scalar subquery)."""
-    return df.filter(F.col(date) >= F.date_sub(max_date(df, date).scalar(), days))
+    uncorrelated scalar subquery; ``latest`` gives it where a cheaper table
+    holds the same dates)."""
+    latest = max_date(df, date).scalar() if latest is None else latest
+    return from_date(df, F.date_sub(latest, days), date)
 
 
 def latest_row(df: DataFrame, date: str = "trade_date") -> DataFrame:
@@ -65,19 +74,21 @@ def with_member_flag(df: DataFrame, dim: DataFrame) -> DataFrame:
 def price_extract(fact: DataFrame, dim: DataFrame, days: int = C.LOOKBACK_DAYS,
                   n_latest: int = C.LATEST_DATES) -> DataFrame:
     """D3: constituents over the last ``days`` days, plus every symbol on the
-    ``n_latest`` latest distinct dates (J9 as a flag column, since it is
-    OR-ed with the member condition)."""
-    base = with_member_flag(fact.select("symbol", "trade_date", "close_price", "volume"), dim)
+    ``n_latest`` latest distinct dates (J9). The dates are bounded before the
+    join with the dimension."""
     cut = F.date_sub(max_date(fact).scalar(), days)
-    recent = latest_dates(fact, n_latest).select(F.col("trade_date").alias("_ld"), F.lit(True).alias("_recent"))
-    j = base.join(F.broadcast(recent), F.col("trade_date") == F.col("_ld"), "left")
-    keep = (F.col("is_vn30") & (F.col("trade_date") >= cut)) | F.coalesce(F.col("_recent"), F.lit(False))
-    return j.filter(keep).select("symbol", "trade_date", "close_price", "volume", "is_vn30")
+    recent = latest_dates(fact, n_latest).agg(F.min("trade_date")).scalar()     # the dates from here on are the latest
+    kept = from_date(fact, F.least(cut, recent)).select("symbol", "trade_date", "close_price", "volume")
+    keep = (F.col("is_vn30") & (F.col("trade_date") >= cut)) | (F.col("trade_date") >= recent)
+    return with_member_flag(kept, dim).filter(keep).select("symbol", "trade_date", "close_price", "volume", "is_vn30")
 
 
 def with_pct_change(extract: DataFrame) -> DataFrame:
     """Normalised close (P11), previous normalised close inside the
-    extract, percent change rounded half-even to 2 places."""
+    extract, percent change rounded half-even to 2 places. An extract that
+    has them already is returned as it is."""
+    if "pct_change" in extract.columns:
+        return extract
     w = Window.partitionBy("symbol").orderBy("trade_date")
     cn = normalize_price("close_price")
     return (extract.withColumn("close_normalized", cn)
@@ -112,9 +123,12 @@ def top_movers(extract: DataFrame, summary: DataFrame, n: int = C.TOP_MOVERS,
     return top_n(m, "rank_change", n).drop("rank_change")
 
 
-def indicator_extract(ind: DataFrame, dim: DataFrame, days: int = C.LOOKBACK_DAYS) -> DataFrame:
-    """Indicators over the last ``days`` days, prices normalised."""
-    x = with_member_flag(since_max(ind, days), dim)
+def indicator_extract(ind: DataFrame, dim: DataFrame, days: int = C.LOOKBACK_DAYS,
+                      latest: Column | None = None) -> DataFrame:
+    """Indicators over the last ``days`` days, prices normalised.
+    ``latest``: the latest date, as a scalar from the price fact, which has
+    the same dates."""
+    x = with_member_flag(since_max(ind, days, latest=latest), dim)
     cols = [normalize_price(c).alias(c) if c in ("close_price", "ma50", "ma200", "bb_upper", "bb_lower")
             else F.col(c) for c in ("symbol", "trade_date", "close_price", "ma50", "ma200", "bb_upper",
                                     "bb_lower", "rsi_14", "macd_line", "macd_signal", "macd_histogram",
@@ -142,9 +156,10 @@ def member_kpis(extract: DataFrame, summary: DataFrame) -> DataFrame:
               F.count_if(F.col("pct_change") < 0).cast("bigint").alias("losers"),
               F.count_if(F.col("pct_change") == 0).cast("bigint").alias("unchanged"),
               F.coalesce(F.sum("volume"), F.lit(0)).cast("bigint").alias("total_volume"))
-    lm = latest_market(summary)
-    return k.select(lm.select("trade_date").scalar().alias("trade_date"), "gainers", "losers", "unchanged",
-                    "total_volume", lm.select("vn30_close").scalar().alias("index_close"))
+    lm = latest_market(summary).select(F.struct("trade_date", "vn30_close").alias("m")).scalar()
+    return (k.withColumn("_m", lm)
+            .select(F.col("_m.trade_date").alias("trade_date"), "gainers", "losers", "unchanged", "total_volume",
+                    F.col("_m.vn30_close").alias("index_close")))
 
 
 # --- report measures --------------------------------------------------------
@@ -199,12 +214,11 @@ def measure_percent_change(prices: DataFrame, cal: DataFrame) -> DataFrame:
     previous trading day) / previous close; blank (no row) when the previous
     close is missing or zero."""
     dates = _latest_trading_dates(prices, cal)
-    p = prices.select("symbol", "trade_date", "close_price")
-    j = p.join(F.broadcast(dates), (F.col("trade_date") == F.col("latest_date"))
-               | (F.col("trade_date") == F.col("prev_date")), "inner")
-    g = j.groupBy("symbol", "latest_date", "prev_date").agg(
-        F.sum(F.when(F.col("trade_date") == F.col("latest_date"), F.col("close_price"))).alias("close_latest"),
-        F.sum(F.when(F.col("trade_date") == F.col("prev_date"), F.col("close_price"))).alias("close_prev"))
+    latest, prev = dates.select("latest_date").scalar(), dates.select("prev_date").scalar()
+    two = from_date(prices, prev).filter((F.col("trade_date") == latest) | (F.col("trade_date") == prev))
+    g = two.groupBy("symbol").agg(
+        F.sum(F.when(F.col("trade_date") == latest, F.col("close_price"))).alias("close_latest"),
+        F.sum(F.when(F.col("trade_date") == prev, F.col("close_price"))).alias("close_prev")).withColumn("latest_date", latest)
     pct = F.when(F.col("close_prev") != 0,
                  (F.coalesce(F.col("close_latest"), F.lit(0.0)) - F.col("close_prev")) / F.col("close_prev"))
     return (g.withColumn("percent_change", pct).filter(F.col("percent_change").isNotNull())
@@ -222,9 +236,9 @@ def _breadth_cols() -> list[Column]:
 def measure_latest_breadth(prices: DataFrame, cal: DataFrame) -> DataFrame:
     """M2 + M3: on the latest trading day, rows closing above / below / at
     the open, and total volume."""
-    dates = _latest_trading_dates(prices, cal).select("latest_date")
-    j = prices.join(F.broadcast(dates), F.col("trade_date") == F.col("latest_date"), "inner")
-    return j.groupBy(F.col("latest_date").alias("trade_date")).agg(*_breadth_cols())
+    latest = _latest_trading_dates(prices, cal).select("latest_date").scalar()
+    day = from_date(prices, latest).filter(F.col("trade_date") == latest)
+    return day.groupBy("trade_date").agg(*_breadth_cols())
 
 
 def measure_trend(prices: DataFrame) -> DataFrame:
@@ -307,3 +321,29 @@ def dashboard_payload(summary: DataFrame, extract: DataFrame, ind_extract: DataF
             .unionByName(one("movers", mv.select(*item), F.col("symbol")))
             .unionByName(one("symbols", syms, F.col("symbol")))
             .unionByName(one("indicators_by_symbol", per_symbol, F.col("symbol"))))
+
+
+def payload_rows(payload: DataFrame) -> DataFrame:
+    """The payload's JSON read back as typed rows: section, key, field,
+    position in its array (-1 outside arrays), number and text. Dates and symbols are
+    texts; a null in an array keeps its position."""
+    def flat(sections: list[str], kind: str, fields) -> DataFrame:
+        return payload.filter(F.col("section").isin(sections)).select("section", "key", F.from_json("json", kind).alias("j")).select("section", "key", *fields)
+
+    arrays = flat(["market_history", "vn30_history"], "map<string, array<string>>", [F.explode("j").alias("field", "v")])
+    arrays = arrays.select("section", "key", "field", F.posexplode("v").alias("pos", "text"))
+    series = payload.filter("section = 'indicators_by_symbol'").select(
+        "section", "key", F.from_json("json", "trade_date array<string>, close_price array<string>, ma50 array<string>, ma200 array<string>, "
+                                      "bb_upper array<string>, bb_lower array<string>, rsi_14 array<string>, macd_line array<string>, "
+                                      "macd_signal array<string>, macd_histogram array<string>").alias("j"))
+    names = ("trade_date", "close_price", "ma50", "ma200", "bb_upper", "bb_lower", "rsi_14", "macd_line", "macd_signal", "macd_histogram")
+    series = series.select("section", "key", F.explode(F.map_from_arrays(F.array(*[F.lit(n) for n in names]), F.array(*[F.col(f"j.{n}") for n in names]))).alias("field", "v"))
+    series = series.select("section", "key", "field", F.posexplode("v").alias("pos", "text"))
+    items = flat(["top_movers"], "items array<map<string, string>>", [F.posexplode("j.items").alias("pos", "item")])
+    items = items.select("section", "key", "pos", F.explode("item").alias("field", "text")).select("section", "key", "field", "pos", "text")
+    single = flat(["latest_market", "movers", "symbols"], "map<string, string>", [F.explode("j").alias("field", "text")])
+    single = single.select("section", "key", "field", F.lit(-1).alias("pos"), "text")
+    rows = arrays.unionByName(series).unionByName(items).unionByName(single)
+    number = F.col("text").try_cast("double")
+    return rows.select("section", "key", "field", F.col("pos").cast("bigint").alias("pos"), F.round(number, 6).alias("number"),
+                       F.when(number.isNull(), F.col("text")).alias("text"))

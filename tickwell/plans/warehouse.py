@@ -1,18 +1,20 @@
 """Q5: the full rebuild, layer by layer, stopped by the first failing gate.
 
-bronze -> silver tables -> silver gates -> price fact -> indicators, market
-summary, stock dimension -> gold gates -> calendar CSV and dashboard
+bronze key gates -> silver tables -> silver gates -> price fact, indicators,
+market summary, stock dimension -> gold gates -> calendar CSV and dashboard
 payload (JSON lines).
 
-Every layer is written as a table under ``root`` and the next layer reads it
-back, so a lost executor costs at most the stage it was running. The
-indicator frame (one shuffle by symbol over the price fact) is computed once
-as a reliable checkpoint in the shared ``spark.checkpoint.dir``; the six
-indicator tables are projections of it.
+A layer is built in a folder of its own under ``<root>/_builds`` and takes
+the place of the stored one after its gates have passed: a failing gate
+leaves the last good layer. Within a build every table is written and the
+next step reads it back, so a lost executor costs at most the stage it was
+running. The daily tables are partitioned by year, which the extracts'
+bounds prune. Each layer's gates run once.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,34 +24,55 @@ from ..operators import dashboard as D
 from ..operators import gold, quality, silver
 from ..operators.indicators import Indicators
 from ..sources import bronze as B
-from .materialize import checkpointed
 
 
 @dataclass
 class BuildReport:
     root: str
+    build: str
     tables: dict[str, str] = field(default_factory=dict)
     gates: dict[str, list] = field(default_factory=dict)
 
 
-def _write(report: BuildReport, name: str, df: DataFrame, fmt: str = "parquet") -> DataFrame:
-    path = f"{report.root}/{name}"
-    B.write_table(df, path, fmt)
-    report.tables[name] = path
-    return df.sparkSession.read.format(fmt).load(path)
+DAILY = ("silver_prices", "fact_stock_price", "fact_stock_indicators", "int_ema12", "int_ema26", "int_rsi14", "int_macd_line", "int_macd_signal")
+
+
+def _write(report: BuildReport, name: str, df: DataFrame) -> DataFrame:
+    """Writes a table of the running build and reads it back. Daily tables
+    are partitioned by year from where their rows are: no shuffle."""
+    path = f"{report.build}/{name}"
+    if name in DAILY:
+        (B.with_grain(df, date="trade_date").write.mode("overwrite").partitionBy("year").parquet(path))
+    else:
+        B.write_table(df, path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _publish(spark: SparkSession, report: BuildReport, names) -> list[DataFrame]:
+    """Puts the built tables in the place of the stored ones."""
+    out = []
+    for name in names:
+        final, old = f"{report.root}/{name}", f"{report.build}/replaced-{name}"
+        if B.path_exists(spark, final):
+            B.rename_path(spark, final, old)
+        B.rename_path(spark, f"{report.build}/{name}", final)
+        report.tables[name] = final
+        out.append(spark.read.parquet(final))
+    return out
 
 
 def build_silver(spark: SparkSession, prices: DataFrame, index: DataFrame, report: BuildReport):
+    report.gates["bronze"] = quality.enforce(quality.bronze_gates(prices, index))
     sp = _write(report, "silver_prices", silver.silver_prices(prices, index))
     si = _write(report, "silver_index", silver.silver_index(index))
-    gates = quality.enforce(quality.silver_gates(sp, si))
-    report.gates["silver"] = [r.asDict() for r in gates.collect()]
-    return sp, si
+    report.gates["silver"] = quality.enforce(quality.silver_gates(sp, si))
+    return _publish(spark, report, ("silver_prices", "silver_index"))
 
 
 def build_gold(spark: SparkSession, sp: DataFrame, si: DataFrame, components: DataFrame, report: BuildReport):
     fact = _write(report, "fact_stock_price", gold.fact_stock_price(sp))
-    ind = Indicators(fact, materialize=checkpointed)
+    # The wide frame is stored once; the six indicator tables are projections of it.
+    ind = Indicators(fact, materialize=lambda wide: _write(report, "wide", wide))
     _write(report, "int_ema12", ind.ema12())
     _write(report, "int_ema26", ind.ema26())
     _write(report, "int_rsi14", ind.rsi14())
@@ -58,19 +81,22 @@ def build_gold(spark: SparkSession, sp: DataFrame, si: DataFrame, components: Da
     indicators = _write(report, "fact_stock_indicators", ind.fact())
     summary = _write(report, "fact_market_summary", gold.fact_market_summary(fact, si))
     dim = _write(report, "dim_stock", gold.dim_stock(sp, components))
-    gates = quality.enforce(quality.gold_gates(indicators, summary, dim))
-    report.gates["gold"] = [r.asDict() for r in gates.collect()]
-    return fact, indicators, summary, dim
+    report.gates["gold"] = quality.enforce(quality.gold_gates(indicators, summary, dim))
+    names = ("fact_stock_price", "fact_stock_indicators", "fact_market_summary", "dim_stock")
+    out = _publish(spark, report, names)
+    _publish(spark, report, [n for n in DAILY if n.startswith("int_")])
+    return out
 
 
 def build_extracts(spark: SparkSession, prices: DataFrame, fact: DataFrame, indicators: DataFrame,
                    summary: DataFrame, dim: DataFrame, report: BuildReport) -> None:
     cal = K.data_years_calendar(prices, "date")
-    B.write_csv(cal, f"{report.root}/dim_date_csv")
+    B.write_csv(cal.orderBy("date"), f"{report.root}/dim_date_csv")
     report.tables["dim_date_csv"] = f"{report.root}/dim_date_csv"
-    extract = D.price_extract(fact, dim)
-    payload = D.dashboard_payload(summary, extract, D.indicator_extract(indicators, dim))
-    payload.write.mode("overwrite").json(f"{report.root}/dashboard_payload")
+    extract = _write(report, "extract", D.with_pct_change(D.price_extract(fact, dim)))
+    series = _write(report, "indicator_extract", D.indicator_extract(indicators, dim, latest=D.max_date(fact).scalar()))
+    payload = D.dashboard_payload(summary, extract, series)
+    B.write_ordered(payload, f"{report.root}/dashboard_payload", ["section", "key"])
     report.tables["dashboard_payload"] = f"{report.root}/dashboard_payload"
 
 
@@ -78,9 +104,21 @@ def build_warehouse(spark: SparkSession, prices: DataFrame, index: DataFrame, co
                     root: str, extracts: bool = True) -> BuildReport:
     """Run the whole rebuild; raises ``QualityError`` at the first failing
     layer (silver gates stop the gold build)."""
-    report = BuildReport(root)
+    report = BuildReport(root, f"{root}/_builds/{uuid.uuid4().hex}")
     sp, si = build_silver(spark, prices, index, report)
     fact, indicators, summary, dim = build_gold(spark, sp, si, components, report)
     if extracts:
         build_extracts(spark, prices, fact, indicators, summary, dim, report)
+    B.delete_path(spark, report.build)
     return report
+
+
+def run_pipeline(spark: SparkSession, batch: DataFrame, index: DataFrame, components: DataFrame, bronze_path: str,
+                 root: str, members_only: bool = False, extracts: bool = True) -> BuildReport:
+    """The daily run: upsert the day's bars into the stored bronze prices
+    (with ``members_only`` the constituents' bars alone), then rebuild from
+    what is stored."""
+    if members_only:
+        batch = batch.join(components.select("code").distinct(), "code", "left_semi")
+    B.upsert_into(spark, batch, bronze_path, f"{root}/_staging")
+    return build_warehouse(spark, spark.read.parquet(bronze_path), index, components, root, extracts)
