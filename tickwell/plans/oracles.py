@@ -140,22 +140,8 @@ S.add("dim_stock", """
   LEFT JOIN (SELECT DISTINCT code FROM bronze_components) c ON c.code = g.symbol""",
       ["silver_prices", "bronze_components"], materialized=True)
 
-# --- rolling windows
-S.add("ma_bb", """
-  SELECT symbol, trade_date, close_price, row_num,
-    CASE WHEN row_num >= 50 THEN AVG(close_price) OVER w50 END AS ma50,
-    CASE WHEN row_num >= 200 THEN AVG(close_price) OVER w200 END AS ma200,
-    CASE WHEN row_num >= 20 THEN AVG(close_price) OVER w20 + 2.0 * STDDEV_POP(close_price) OVER w20 END AS bb_upper,
-    CASE WHEN row_num >= 20 THEN AVG(close_price) OVER w20 - 2.0 * STDDEV_POP(close_price) OVER w20 END AS bb_lower
-  FROM fact_stock_price
-  WINDOW w50 AS (PARTITION BY symbol ORDER BY trade_date ROWS BETWEEN 49 PRECEDING AND CURRENT ROW),
-         w200 AS (PARTITION BY symbol ORDER BY trade_date ROWS BETWEEN 199 PRECEDING AND CURRENT ROW),
-         w20 AS (PARTITION BY symbol ORDER BY trade_date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)""",
-      ["fact_stock_price"], materialized=True)
-
-
-# --- literal recursions
-def _ema_ctes(name: str, period: int, src: str, value: str, deps) -> None:
+# --- rolling windows and literal recursions over a price fact
+def _ema_ctes(name: str, column: str, period: int, src: str, value: str, deps) -> None:
     alpha = f"(CAST(2 AS DOUBLE) / {period + 1})"
     S.add(f"{name}_seed", f"""
   SELECT symbol, AVG({value}) AS v FROM {src} WHERE row_num <= {period}
@@ -167,46 +153,73 @@ def _ema_ctes(name: str, period: int, src: str, value: str, deps) -> None:
   SELECT b.symbol, b.row_num, b.trade_date, b.{value} * {alpha} + r.v * (1 - {alpha})
   FROM {name}_rec r JOIN {src} b ON b.symbol = r.symbol AND b.row_num = r.rn + 1""",
           [*deps, f"{name}_seed"], columns="symbol, rn, trade_date, v")
-    S.add(name, f"SELECT symbol, trade_date, v AS {name} FROM {name}_rec", [f"{name}_rec"], materialized=True)
+    S.add(name, f"SELECT symbol, trade_date, v AS {column} FROM {name}_rec", [f"{name}_rec"], materialized=True)
 
 
-_ema_ctes("ema_12", 12, "fact_stock_price", "close_price", ["fact_stock_price"])
-_ema_ctes("ema_26", 26, "fact_stock_price", "close_price", ["fact_stock_price"])
-S.add("macd_line", """
+def _indicator_ctes(src: str, x: str = "") -> None:
+    """The indicator tables of the price fact ``src``; ``x`` ends their names."""
+    S.add(f"ma_bb{x}", f"""
+  SELECT symbol, trade_date, close_price, row_num,
+    CASE WHEN row_num >= 50 THEN AVG(close_price) OVER w50 END AS ma50,
+    CASE WHEN row_num >= 200 THEN AVG(close_price) OVER w200 END AS ma200,
+    CASE WHEN row_num >= 20 THEN AVG(close_price) OVER w20 + 2.0 * STDDEV_POP(close_price) OVER w20 END AS bb_upper,
+    CASE WHEN row_num >= 20 THEN AVG(close_price) OVER w20 - 2.0 * STDDEV_POP(close_price) OVER w20 END AS bb_lower
+  FROM {src}
+  WINDOW w50 AS (PARTITION BY symbol ORDER BY trade_date ROWS BETWEEN 49 PRECEDING AND CURRENT ROW),
+         w200 AS (PARTITION BY symbol ORDER BY trade_date ROWS BETWEEN 199 PRECEDING AND CURRENT ROW),
+         w20 AS (PARTITION BY symbol ORDER BY trade_date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)""",
+          [src], materialized=True)
+    _ema_ctes(f"ema_12{x}", "ema_12", 12, src, "close_price", [src])
+    _ema_ctes(f"ema_26{x}", "ema_26", 26, src, "close_price", [src])
+    S.add(f"macd_line{x}", f"""
   SELECT symbol, trade_date, ROW_NUMBER() OVER (PARTITION BY symbol ORDER BY trade_date) AS row_num,
     macd_line
   FROM (SELECT a.symbol, a.trade_date, a.ema_12 - b.ema_26 AS macd_line
-        FROM ema_12 a JOIN ema_26 b ON a.symbol = b.symbol AND a.trade_date = b.trade_date
-        WHERE a.ema_12 IS NOT NULL AND b.ema_26 IS NOT NULL) t""", ["ema_12", "ema_26"], materialized=True)
-_ema_ctes("ema_9", 9, "macd_line", "macd_line", ["macd_line"])
-S.add("macd_signal", "SELECT symbol, trade_date, ema_9 AS macd_signal FROM ema_9", ["ema_9"])
-S.add("rsi_seed", """
-  SELECT symbol, AVG(gain) AS g, AVG(loss) AS l FROM fact_stock_price
-  WHERE row_num BETWEEN 2 AND 15 GROUP BY symbol""", ["fact_stock_price"])
-S.add("rsi_rec", """
+        FROM ema_12{x} a JOIN ema_26{x} b ON a.symbol = b.symbol AND a.trade_date = b.trade_date
+        WHERE a.ema_12 IS NOT NULL AND b.ema_26 IS NOT NULL) t""", [f"ema_12{x}", f"ema_26{x}"], materialized=True)
+    _ema_ctes(f"ema_9{x}", "ema_9", 9, f"macd_line{x}", "macd_line", [f"macd_line{x}"])
+    S.add(f"macd_signal{x}", f"SELECT symbol, trade_date, ema_9 AS macd_signal FROM ema_9{x}", [f"ema_9{x}"])
+    S.add(f"rsi_seed{x}", f"""
+  SELECT symbol, AVG(gain) AS g, AVG(loss) AS l FROM {src}
+  WHERE row_num BETWEEN 2 AND 15 GROUP BY symbol""", [src])
+    S.add(f"rsi_rec{x}", f"""
   SELECT b.symbol, b.row_num, b.trade_date, s.g, s.l
-  FROM fact_stock_price b JOIN rsi_seed s ON b.symbol = s.symbol AND b.row_num = 15
+  FROM {src} b JOIN rsi_seed{x} s ON b.symbol = s.symbol AND b.row_num = 15
   UNION ALL
   SELECT b.symbol, b.row_num, b.trade_date, (r.g * 13 + b.gain) / CAST(14 AS DOUBLE),
          (r.l * 13 + b.loss) / CAST(14 AS DOUBLE)
-  FROM rsi_rec r JOIN fact_stock_price b ON b.symbol = r.symbol AND b.row_num = r.rn + 1""",
-      ["fact_stock_price", "rsi_seed"], columns="symbol, rn, trade_date, g, l")
-S.add("rsi14", """
+  FROM rsi_rec{x} r JOIN {src} b ON b.symbol = r.symbol AND b.row_num = r.rn + 1""",
+          [src, f"rsi_seed{x}"], columns="symbol, rn, trade_date, g, l")
+    S.add(f"rsi14{x}", f"""
   SELECT symbol, trade_date,
     CASE WHEN l = 0 AND g = 0 THEN NULL
          WHEN l = 0 THEN 100.0
          ELSE ROUND(100.0 - 100.0 / (1.0 + g / l), 4) END AS rsi_14
-  FROM rsi_rec""", ["rsi_rec"], materialized=True)
-S.add("fact_stock_indicators", """
+  FROM rsi_rec{x}""", [f"rsi_rec{x}"], materialized=True)
+    S.add(f"fact_stock_indicators{x}", f"""
   SELECT m.symbol, m.trade_date, m.close_price, m.ma50, m.ma200, m.bb_upper, m.bb_lower, r.rsi_14,
     x.macd_line, x.macd_signal, x.macd_line - x.macd_signal AS macd_histogram
-  FROM ma_bb m
-  LEFT JOIN rsi14 r ON m.symbol = r.symbol AND m.trade_date = r.trade_date
+  FROM ma_bb{x} m
+  LEFT JOIN rsi14{x} r ON m.symbol = r.symbol AND m.trade_date = r.trade_date
   LEFT JOIN (SELECT l.symbol, l.trade_date, l.macd_line, s.macd_signal
-             FROM macd_line l LEFT JOIN macd_signal s
+             FROM macd_line{x} l LEFT JOIN macd_signal{x} s
                ON l.symbol = s.symbol AND l.trade_date = s.trade_date) x
     ON m.symbol = x.symbol AND m.trade_date = x.trade_date""",
-      ["ma_bb", "rsi14", "macd_line", "macd_signal"], materialized=True)
+          [f"ma_bb{x}", f"rsi14{x}", f"macd_line{x}", f"macd_signal{x}"], materialized=True)
+
+
+_indicator_ctes("fact_stock_price")
+
+# The other feed of the verification queries.
+S.add("fact_nudged", """
+  SELECT symbol, trade_date, row_num, close_price,
+    GREATEST(COALESCE(chg, 0), 0) AS gain, ABS(LEAST(COALESCE(chg, 0), 0)) AS loss
+  FROM (SELECT *, close_price - LAG(close_price) OVER (PARTITION BY symbol ORDER BY trade_date) AS chg
+        FROM (SELECT symbol, trade_date, row_num,
+                CASE WHEN CAST(substr(symbol, 2) AS BIGINT) % 2 = 0 AND row_num % 37 = 0
+                     THEN close_price + CAST(0.01 AS DOUBLE) ELSE close_price END AS close_price
+              FROM fact_stock_price) n) t""", ["fact_stock_price"], materialized=True)
+_indicator_ctes("fact_nudged", "_n")
 
 
 def r6(c: str, alias: str | None = None) -> str:
@@ -481,30 +494,174 @@ SELECT symbol, trade_date,
 FROM (SELECT *, ROUND(ma50 - ma200, 9) AS ma_d, ROUND(macd_histogram, 9) AS h_d FROM fact_stock_indicators) i
 WINDOW w AS (PARTITION BY symbol ORDER BY trade_date)""", "fact_stock_indicators")
 
-# --- verification: the oracle's two sides are the same literal recursion,
-# so every error is 0; the Spark side compares the block scan with a
-# sequential per-symbol loop and must round to the same zeros.
+# --- verification: both tables by literal recursion
 _drift_floor = {"rsi_14": "0.1"}
-ORACLES["drift_report"] = S.compose("\nUNION ALL\n".join(
-    f"""SELECT i.symbol, '{c}' AS indicator, CAST(COUNT(*) AS BIGINT) AS rows,
-  ROUND(MAX(ABS(i.{c} - i.{c})), 6) AS max_abs_err,
-  ROUND(AVG(CASE WHEN {'ABS(i.' + c + ')' if c.startswith('macd') else 'i.' + c} > {_drift_floor.get(c, '0.01')}
-                 THEN ABS(i.{c} - i.{c}) / {'ABS(i.' + c + ')' if c.startswith('macd') else 'i.' + c} * 100
-                 ELSE 0.0 END), 6) AS mape
-FROM fact_stock_indicators i JOIN fact_stock_price f ON f.symbol = i.symbol AND f.trade_date = i.trade_date
+
+
+def _drift(c: str) -> str:
+    ref = f"ABS(r.{c})" if c.startswith("macd") else f"r.{c}"
+    return f"""SELECT i.symbol, '{c}' AS indicator, CAST(COUNT(*) AS BIGINT) AS rows,
+  ROUND(MAX(ABS(i.{c} - r.{c})), 6) AS max_abs_err,
+  ROUND(AVG(CASE WHEN {ref} > {_drift_floor.get(c, '0.01')} THEN ABS(i.{c} - r.{c}) / {ref} * 100 ELSE 0.0 END), 6) AS mape
+FROM fact_stock_indicators i JOIN fact_stock_indicators_n r ON r.symbol = i.symbol AND r.trade_date = i.trade_date
+JOIN fact_stock_price f ON f.symbol = i.symbol AND f.trade_date = i.trade_date
 WHERE f.row_num > 250 GROUP BY i.symbol"""
-    for c in ("rsi_14", "macd_line", "macd_signal", "ma50", "ma200", "bb_upper", "bb_lower")),
-    "fact_stock_indicators", "fact_stock_price")
-
-ORACLES["macd_acceptance"] = S.compose("""
-SELECT i.symbol,
-  CAST(COUNT(*) FILTER (WHERE macd_line IS NOT NULL) AS BIGINT) AS line_rows,
-  CAST(COUNT(*) FILTER (WHERE macd_signal IS NOT NULL) AS BIGINT) AS signal_rows,
-  0.0 AS max_line_err, 0.0 AS max_signal_err, TRUE AS passed
-FROM fact_stock_indicators i
-WHERE i.symbol IN (SELECT symbol FROM fact_stock_price GROUP BY symbol HAVING COUNT(*) >= 35)
-GROUP BY i.symbol
-HAVING COUNT(*) FILTER (WHERE macd_line IS NOT NULL) > 0""", "fact_stock_indicators", "fact_stock_price")
+
+
+ORACLES["drift_report"] = S.compose("\nUNION ALL\n".join(
+    _drift(c) for c in ("rsi_14", "macd_line", "macd_signal", "ma50", "ma200", "bb_upper", "bb_lower")),
+    "fact_stock_indicators", "fact_stock_indicators_n", "fact_stock_price")
+
+
+def _err(c: str) -> str:
+    return f"""CASE WHEN r.{c} IS NULL OR i.{c} IS NULL THEN NULL WHEN ABS(r.{c}) < 1e-10 THEN 0.0
+    ELSE ABS(r.{c} - i.{c}) / ABS(r.{c}) * 100.0 END"""
+
+
+ORACLES["macd_acceptance"] = S.compose(f"""
+SELECT symbol, line_rows, signal_rows, ROUND(LEAST(line_err, 100.0), 4) AS max_line_err,
+  ROUND(LEAST(signal_err, 100.0), 4) AS max_signal_err, line_err < 0.1 AND signal_err < 0.1 AS passed
+FROM (
+  SELECT i.symbol, CAST(COUNT(*) FILTER (WHERE i.macd_line IS NOT NULL AND r.macd_line IS NOT NULL) AS BIGINT) AS line_rows,
+    CAST(COUNT(*) FILTER (WHERE i.macd_signal IS NOT NULL AND r.macd_signal IS NOT NULL) AS BIGINT) AS signal_rows,
+    COALESCE(MAX({_err('macd_line')}), 0.0) AS line_err, COALESCE(MAX({_err('macd_signal')}), 0.0) AS signal_err
+  FROM fact_stock_indicators i JOIN fact_stock_indicators_n r ON r.symbol = i.symbol AND r.trade_date = i.trade_date
+  WHERE i.symbol IN (SELECT symbol FROM fact_stock_price GROUP BY symbol HAVING COUNT(*) >= 35)
+  GROUP BY i.symbol) t
+WHERE line_rows > 0""", "fact_stock_indicators", "fact_stock_indicators_n", "fact_stock_price")
+
+# --- gates over injected faults
+S.add("bad_silver", """
+  SELECT CASE WHEN volume % 11 <> 0 THEN symbol END AS symbol, CASE WHEN volume % 13 <> 0 THEN trade_date END AS trade_date
+  FROM (SELECT * FROM silver_prices UNION ALL SELECT * FROM silver_prices WHERE volume % 5 = 0) t""", ["silver_prices"], materialized=True)
+S.add("bad_index", """
+  SELECT CASE WHEN volume % 17 <> 0 THEN index_code END AS index_code, CASE WHEN volume % 19 <> 0 THEN trade_date END AS trade_date
+  FROM (SELECT * FROM silver_index UNION ALL SELECT * FROM silver_index WHERE volume % 7 = 0) t""", ["silver_index"], materialized=True)
+S.add("bad_ind", """
+  SELECT CASE WHEN day(trade_date) = 3 THEN rsi_14 + 60 ELSE rsi_14 END AS rsi_14,
+    CASE WHEN day(trade_date) = 4 THEN -ma200 ELSE ma200 END AS ma200,
+    CASE WHEN day(trade_date) = 5 THEN bb_lower - 1 ELSE bb_upper END AS bb_upper, bb_lower
+  FROM fact_stock_indicators""", ["fact_stock_indicators"], materialized=True)
+S.add("bad_summary", """
+  SELECT CASE WHEN day(trade_date) = 6 THEN gainers + 1 ELSE gainers END AS gainers, losers, unchanged, total_symbols
+  FROM fact_market_summary""", ["fact_market_summary"])
+S.add("bad_dim", """
+  SELECT CASE WHEN NOT ends_with(symbol, '7') THEN symbol END AS symbol
+  FROM (SELECT * FROM dim_stock UNION ALL SELECT * FROM dim_stock WHERE is_vn30) t""", ["dim_stock"], materialized=True)
+_BAD = {"silver_prices": "bad_silver", "silver_index": "bad_index", "fact_stock_indicators": "bad_ind", "fact_market_summary": "bad_summary", "dim_stock": "bad_dim"}
+ORACLES["quality_failures"] = S.compose("\nUNION ALL\n".join(
+    f"SELECT '{l}' AS layer, '{m}' AS model, '{t}' AS test, CAST(({q.replace('FROM ' + m, 'FROM ' + _BAD[m])}) AS BIGINT) AS failures"
+    for l, m, t, q in _gates), *_BAD.values())
+
+# --- bronze: landing, storage, bounded loads
+_AS_DOUBLE = "CAST(open AS DOUBLE) AS open, CAST(high AS DOUBLE) AS high, CAST(low AS DOUBLE) AS low, CAST(close AS DOUBLE) AS close, volume"
+ORACLES["landing_normalise"] = S.compose(f"""
+SELECT code, CASE WHEN volume % 17 <> 0 THEN CAST(date AS VARCHAR) END AS date, {_AS_DOUBLE}, '{C.SOURCE_PREFIX}_' || upper(source) AS source
+FROM bronze_prices""", "bronze_prices")
+ORACLES["upsert_roundtrip"] = ORACLES["upsert_bronze"]
+ORACLES["range_load"] = S.compose(f"""
+SELECT code, date, {_AS_DOUBLE}, source FROM bronze_prices
+WHERE code IN (SELECT code FROM bronze_components) AND date BETWEEN DATE '2023-02-10' AND DATE '2024-05-20'""",
+    "bronze_prices", "bronze_components")
+ORACLES["components_replace"] = S.compose("SELECT DISTINCT code FROM bronze_components", "bronze_components")
+
+
+def _ask(name: str, who: str, start: str, end: str, force: bool) -> str:
+    return f"""
+SELECT ask, symbols, trading_days, symbols * trading_days AS expected_rows, existing_rows,
+  CAST(FLOOR(symbols * trading_days * CAST(0.8 AS DOUBLE)) AS BIGINT) AS threshold,
+  NOT (symbols * trading_days > 0 AND existing_rows >= CAST(FLOOR(symbols * trading_days * CAST(0.8 AS DOUBLE)) AS BIGINT) AND {not force}) AS needs_load
+FROM (SELECT '{name}' AS ask, (SELECT COUNT(DISTINCT code) FROM {who}) AS symbols,
+    (SELECT COUNT(*) FROM (SELECT UNNEST(generate_series(TIMESTAMP '{start}', TIMESTAMP '{end}', INTERVAL 1 DAY)) AS d) s
+     WHERE isodow(d) <= 5 AND strftime(d, '%m-%d') NOT IN ('01-01', '04-30', '05-01', '09-02', '09-03')) AS trading_days,
+    (SELECT COUNT(*) FROM bronze_prices WHERE code IN (SELECT code FROM {who}) AND date BETWEEN DATE '{start}' AND DATE '{end}') AS existing_rows) t"""
+
+
+ORACLES["needs_backfill"] = S.compose("\nUNION ALL\n".join([
+    _ask("members 2022-03", "bronze_components", "2022-03-01", "2022-03-31", False), _ask("members 2030-01", "bronze_components", "2030-01-01", "2030-01-31", False),
+    _ask("all 2023", "bronze_prices", "2023-01-01", "2023-12-31", False), _ask("all 2023 forced", "bronze_prices", "2023-01-01", "2023-12-31", True),
+    _ask("one day", "bronze_components", "2024-04-30", "2024-04-30", False)]), "bronze_prices", "bronze_components")
+ORACLES["dim_date_span"] = S.compose("""
+SELECT CAST(d AS DATE) AS date, CAST(day(d) AS INTEGER) AS day, dayname(d) AS day_of_week, CAST(month(d) AS INTEGER) AS month,
+  CAST(quarter(d) AS INTEGER) AS quarter, CAST(year(d) AS INTEGER) AS year, isodow(d) <= 5 AS is_trading_day
+FROM (SELECT UNNEST(generate_series(CAST(MIN(date) AS TIMESTAMP), CAST(MAX(date) AS TIMESTAMP), INTERVAL 1 DAY)) AS d FROM bronze_prices) t""",
+    "bronze_prices")
+S.add("listed", """
+  SELECT DISTINCT code AS symbol FROM bronze_prices
+  WHERE CAST(substr(code, 2) AS BIGINT) % 7 <> 0 AND CAST(substr(code, 2) AS BIGINT) % 5 <> 0""", ["bronze_prices"], materialized=True)
+ORACLES["universe"] = S.compose(f"""
+SELECT 'vn30' AS mode, code AS symbol FROM bronze_components
+UNION ALL SELECT 'others', symbol FROM listed WHERE symbol NOT IN (SELECT code FROM bronze_components)
+UNION ALL SELECT 'all', symbol FROM listed
+UNION ALL SELECT 'None', UNNEST([{', '.join(repr(m) for m in C.DEFAULT_MEMBERS)}])""", "listed", "bronze_components")
+
+# --- units, slicers, members
+ORACLES["unit_normalisation"] = S.compose(f"""
+SELECT name, trade_date, ROUND(raw, 6) AS raw, ROUND(value, 6) AS value FROM (
+  SELECT name, trade_date, raw, {_np('raw')} AS value
+  FROM (SELECT symbol AS name, trade_date, CASE WHEN CAST(substr(symbol, 2) AS BIGINT) % 2 = 0 THEN close_price * 1000 ELSE close_price END AS raw
+        FROM fact_stock_price) p
+  UNION ALL
+  SELECT name, trade_date, raw, {_ni('raw')}
+  FROM (SELECT index_code AS name, trade_date, close_price * 100 AS raw FROM silver_index) i) t""", "fact_stock_price", "silver_index")
+ORACLES["top_movers_members"] = S.compose("""
+SELECT symbol, trade_date, ROUND(close_price, 6) AS close_price, ROUND(prev_close, 6) AS prev_close, pct_change,
+  is_vn30, volume
+FROM movers WHERE is_vn30 ORDER BY rank_change DESC NULLS LAST, symbol LIMIT 10""", "movers")
+_SLICES = {"members 2022": "COALESCE(d.is_vn30, FALSE) AND p.trade_date BETWEEN DATE '2022-01-01' AND DATE '2022-12-31'",
+           "others from 2025": "NOT COALESCE(d.is_vn30, FALSE) AND p.trade_date >= DATE '2025-01-01'",
+           "one day": "p.trade_date = DATE '2023-06-01'", "one symbol": "p.symbol = 'S3'"}
+ORACLES["measures_sliced"] = S.compose("\nUNION ALL\n".join(f"""
+SELECT '{name}' AS slice, trade_date, {_oc_counts()} FROM (
+  SELECT p.* FROM fact_stock_price p LEFT JOIN dim_stock d ON d.symbol = p.symbol WHERE {cond}) t
+GROUP BY trade_date""" for name, cond in _SLICES.items()), "fact_stock_price", "dim_stock")
+
+
+# --- payload, as typed rows
+def _cells(section: str, src: str, key: str, pos: str, numbers, texts=(), keep_null: bool = True) -> list[str]:
+    """One SELECT for each field. A field of an object that is null is not written; a null in an array is."""
+    out = []
+    for f in (*numbers, *texts):
+        number = f"ROUND(CAST({f} AS DOUBLE), 6)" if f in numbers else "CAST(NULL AS DOUBLE)"
+        text = f"CAST({f} AS VARCHAR)" if f in texts else "CAST(NULL AS VARCHAR)"
+        where = "" if keep_null else f" WHERE {f} IS NOT NULL"
+        out.append(f"SELECT '{section}' AS section, {key} AS key, '{f}' AS field, {pos} AS pos, {number} AS number, {text} AS text FROM {src}{where}")
+    return out
+
+
+S.add("pl_market", f"""
+  SELECT trade_date, {_ni('vnindex_close')} AS vnindex_close, {_ni('vn30_close')} AS vn30_close, total_volume, gainers, losers, unchanged,
+    total_symbols, ROW_NUMBER() OVER (ORDER BY trade_date) - 1 AS i, trade_date = MAX(trade_date) OVER () AS latest
+  FROM fact_market_summary
+  WHERE trade_date >= (SELECT MAX(trade_date) FROM fact_market_summary) - INTERVAL 200 DAY""", ["fact_market_summary"], materialized=True)
+S.add("pl_latest", "SELECT * FROM pl_market WHERE latest", ["pl_market"])
+S.add("pl_breadth", """
+  SELECT *, ROW_NUMBER() OVER (ORDER BY trade_date) - 1 AS i FROM (
+    SELECT trade_date, COALESCE(SUM(volume), 0) AS total_volume, COUNT(*) FILTER (WHERE pct_change > 0) AS gainers,
+      COUNT(*) FILTER (WHERE pct_change < 0) AS losers, COUNT(*) FILTER (WHERE pct_change = 0) AS unchanged
+    FROM ext_pct WHERE is_vn30 GROUP BY trade_date) t""", ["ext_pct"], materialized=True)
+S.add("pl_top", """
+  SELECT *, ROW_NUMBER() OVER (ORDER BY rank_change DESC NULLS LAST, symbol) - 1 AS i FROM movers
+  QUALIFY i < 10""", ["movers"], materialized=True)
+S.add("pl_series", f"""
+  SELECT i.symbol, i.trade_date, {', '.join(f'{_np("i." + c)} AS {c}' for c in ('close_price', 'ma50', 'ma200', 'bb_upper', 'bb_lower'))},
+    i.rsi_14, i.macd_line, i.macd_signal, i.macd_histogram, COALESCE(d.is_vn30, FALSE) AS is_vn30,
+    ROW_NUMBER() OVER (PARTITION BY i.symbol ORDER BY i.trade_date) - 1 AS i
+  FROM fact_stock_indicators i LEFT JOIN dim_stock d ON i.symbol = d.symbol
+  WHERE i.trade_date >= (SELECT MAX(trade_date) FROM fact_stock_indicators) - INTERVAL 200 DAY""",
+      ["fact_stock_indicators", "dim_stock"], materialized=True)
+S.add("pl_symbols", "SELECT symbol, MAX(is_vn30) AS is_vn30 FROM pl_series GROUP BY symbol", ["pl_series"])
+_none = "CAST(-1 AS BIGINT)"
+_item = ("close_price", "prev_close", "pct_change", "volume")
+ORACLES["dashboard_payload"] = S.compose("\nUNION ALL\n".join([
+    *_cells("latest_market", "pl_latest", "'latest_market'", _none, ("gainers", "losers", "unchanged", "total_symbols", "total_volume", "vnindex_close", "vn30_close"), ("trade_date",), False),
+    *_cells("market_history", "pl_market", "'market_history'", "i", ("vnindex_close", "vn30_close", "total_volume", "gainers", "losers", "unchanged"), ("trade_date",)),
+    *_cells("vn30_history", "pl_breadth", "'vn30_history'", "i", ("total_volume", "gainers", "losers", "unchanged"), ("trade_date",)),
+    *_cells("top_movers", "pl_top", "'top_movers'", "i", _item, ("symbol", "is_vn30"), False),
+    *_cells("movers", "movers", "symbol", _none, _item, ("symbol", "is_vn30"), False),
+    *_cells("symbols", "pl_symbols", "symbol", _none, (), ("symbol", "is_vn30"), False),
+    *_cells("indicators_by_symbol", "pl_series", "symbol", "i", ("close_price", "ma50", "ma200", "bb_upper", "bb_lower", "rsi_14", "macd_line", "macd_signal", "macd_histogram"), ("trade_date",)),
+]), "pl_latest", "pl_market", "pl_breadth", "pl_top", "movers", "pl_symbols", "pl_series")
 
 
 def oracle_sql() -> dict[str, str]:
