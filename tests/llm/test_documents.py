@@ -148,3 +148,23 @@ def test_clashing_columns_stay(spark, docs):
     for out in (quality.keep_documents(wide), line_dedup.dedup_lines(wide).select(wide.columns), near_dup.keep_one(wide), decontam.drop_contaminated(wide, bench)):
         assert out.columns == wide.columns
         assert all(r.kept == "kept" and r.n_words == "n_words" for r in out.collect())
+
+
+def test_near_duplicates_in_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "BLOCK", 2)
+    monkeypatch.setattr(near_dup, "CHUNK", 3)
+    docs = [*chain(24), *[(100 + i, t) for i, t in chain(12, words=44, step=7)], *brute.documents(seed=11, n=60)[9:]]
+    docs = [(i, t) for i, (_, t) in enumerate(docs)]
+    got = near_dup.near_duplicates(table(spark, docs), k=4).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute.near_dup(docs)
+
+
+def test_sieve_lets_every_partner_through(spark, monkeypatch):
+    from tickwell.llm import sieve
+    monkeypatch.setattr(sieve, "BITS", 1 << 10)
+    rows = spark.range(-500, 500).selectExpr("if(id = 7, null, id) as k", "'x' as v")
+    ids = spark.range(0, 300, 3).selectExpr("id as wanted")
+    got = {r.k: r["__may"] for r in sieve.sift(rows, "k", ids, "wanted").collect()}
+    assert len(got) == 1000 and all(got[i] for i in range(0, 300, 3)) and not got[None]
+    assert sum(got.values()) < 400
+    assert not any(r["__may"] for r in sieve.sift(rows, "k", ids.limit(0), "wanted").collect())

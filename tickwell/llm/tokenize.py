@@ -21,7 +21,7 @@ import pyarrow as pa
 
 from . import text as T
 
-MEMO_ATOMS = 300_000
+MEMO_ATOMS = 400_000
 PIECE_BYTES = 1 << 20
 
 _SPACE, _LETTER, _MARK, _MIXED = 0, 1, 2, 3
@@ -76,9 +76,19 @@ class Encoder:
         self.check = np.zeros(0, np.uint64)
         self.start = np.zeros(0, np.int64)
         self.size = np.zeros(0, np.int64)
+        self.uses = np.zeros(0, np.int64)
         self.flat = np.zeros(1 << 20, np.uint32)
         self.used = 0
 
+    def _forget(self) -> None:
+        """Keeps the half of the memo that has been used most; older uses count less."""
+        keep = np.sort(np.argsort(-self.uses, kind="stable")[:MEMO_ATOMS // 2])
+        size = self.size[keep]
+        start = np.cumsum(size) - size
+        self.used = int(size.sum())
+        self.flat[:self.used] = self.flat[np.repeat(self.start[keep] - start, size) + np.arange(self.used)]
+        self.key, self.check, self.start, self.size, self.uses = self.key[keep], self.check[keep], start, size, self.uses[keep] // 2
+
     def _coded(self, words: list[str], pure: np.ndarray) -> list[np.ndarray]:
         out: list = [None] * len(words)
         plain = np.flatnonzero(pure).tolist()
@@ -106,6 +116,7 @@ class Encoder:
         at = np.searchsorted(self.key, key)
         self.key, self.check = np.insert(self.key, at, key), np.insert(self.check, at, check)
         self.start, self.size = np.insert(self.start, at, self.used + np.cumsum(size) - size), np.insert(self.size, at, size)
+        self.uses = np.insert(self.uses, at, 0)
         self.used += len(ids)
 
     def _piece(self, piece: T.Piece) -> tuple[np.ndarray, np.ndarray]:
@@ -125,11 +136,12 @@ class Encoder:
             raise ValueError("two atoms share a 64-bit hash")
         new = first[~known]
         if len(new):
-            if len(self.key) + len(new) > MEMO_ATOMS and len(self.key):
-                self._clear()
+            if len(self.key) + len(new) > MEMO_ATOMS and len(self.key) > MEMO_ATOMS // 2:
+                self._forget()
                 return self._piece(piece)
             self._learn(piece, spans.start[new], spans.end[new], pure[new], distinct[~known], check[new])
             at = np.searchsorted(self.key, distinct)
+        self.uses[at] += np.bincount(which, minlength=len(distinct))
         size = self.size[at][which]
         total = np.concatenate([[0], np.cumsum(size)])
         ids = self.flat[np.repeat(self.start[at][which] - total[:-1], size) + np.arange(total[-1])]
