@@ -49,6 +49,25 @@ def test_fences_follow_the_data_and_no_junk_source_raises_its_own(spark):
     assert all(r.kept == (r.doc_id < 300) for r in out)
 
 
+def judge(spark, rows):
+    """Rows (text, lang, source); doc_id is the place."""
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id bigint, text string, lang string, source string")
+    return sorted(quality.quality_rules(frame).collect(), key=lambda r: r.doc_id)
+
+
+def prose(i, n=100, letters=0):
+    return " ".join(f"w{i}x{j}" + "abcdefgh"[:letters + (j < 5 * (i % 5))] for j in range(n))
+
+
+def test_the_sketches_set_the_bar(spark):
+    rows = [(prose(i), "en", "short") for i in range(300)] + [(prose(i, letters=1), "en", "long") for i in range(300)]
+    rows += [(prose(700) + " #" * 10, "en", "short"), (prose(701), "en", "short"), (prose(702, letters=4), "en", "short")]
+    out = judge(spark, rows)
+    assert [r.kept for r in out] == [True] * 600 + [False, True, False]
+    assert 0.5 < out[300].fence_word_length - out[0].fence_word_length < 1.5
+    assert out[600].symbol_share < 0.1 and out[600].fence_symbol_share < 0.04 and out[602].word_length < 12
+
+
 def test_line_dedup_equals_brute_force(spark, docs):
     got = line_dedup.dedup_lines(table(spark, docs)).select("doc_id", "__n_lines", "__n_dropped", F.sha2("text", 256)).collect()
     assert sorted(map(tuple, got)) == sorted(brute.line_dedup(docs))

@@ -1,11 +1,13 @@
 """Quality rules with adaptive thresholds (operator 10).
 
-Per document the base counts are taken in one pass over its bytes. Each measure's distribution goes into KLL quantile
-sketches, one for each (language, source); the small sketches merge into one for each language and one for all
-documents. A group's fence is its median plus a multiple of its upper spread (third quartile less median), never under
-the measure's benign floor and never above the same fence taken over the language: a source made of junk can't raise
-its own bar. Groups of fewer than ``min_group`` documents use the language's fence, and languages of fewer that of all
-documents. A document is kept if it passes the base rule and no measure lies above its fence.
+Per document the base counts are taken in one pass over its bytes. Each measure's distribution over the documents that
+pass the base rule goes into KLL quantile sketches, one for each (language, source). A group's fence is its ``TAIL``
+quantile plus a multiple of that quantile's distance from the median, so the data alone set it. A document's fence adds
+what one event (a repeated sentence, a shouted line) makes of its length; that is all there is where the spread is 0.
+
+No fence lies above the same fence taken over the language. Groups of fewer than ``min_group`` documents use the
+language's fence, languages of fewer that of all documents, and a corpus of fewer fixed ones.
+A document is kept if it passes the base rule and no measure lies above its fence.
 
 Defined cases: null text has no words and fails the base rule; null language or source is a group of its own; rows that
 repeat a doc_id are judged one by one; an empty table gives an empty result; other columns are left alone.
@@ -29,15 +31,16 @@ REPEAT_WORDS = 3
 SYMBOLS = T._class(lambda b: chr(b) in "#*$%&|<>")
 CAPITALS = T._class(lambda b: 0x41 <= b <= 0x5A)
 
-#: Measure: its expression over the counts, and the floor under which no document is rejected.
+#: Measure: its expression over the counts, the count that one event adds to it, and the fence of a corpus under ``min_group``.
 MEASURES = {
-    "symbol_share": ("n_symbols / n_words", 0.1),
-    "capital_share": ("n_capitals / word_chars", 0.4),
-    "dup_line_share": ("n_dup_lines / n_lines", 0.5),
-    "repeat_share": ("n_repeat_words / n_words", 0.45),
-    "word_length": ("word_chars / n_words", 12.0),
+    "symbol_share": ("n_symbols / n_words", 3, 0.1),
+    "capital_share": ("n_capitals / word_chars", 20, 0.4),
+    "dup_line_share": ("n_dup_lines / n_lines", 3, 0.5),
+    "repeat_share": ("n_repeat_words / n_words", 30, 0.45),
+    "word_length": ("word_chars / n_words", 40, 12.0),
 }
-SPREADS = 8.0
+TAIL = 0.9
+SPREADS = 4.0
 MIN_GROUP = 200
 SKETCH_K = 400
 
@@ -104,13 +107,18 @@ def _measure(m: str, prefix: str = "") -> Column:
     return F.expr(f"if({prefix}{under} > 0, {prefix}{top} / {prefix}{under}, 0D)")
 
 
+def _event(m: str, prefix: str = "") -> Column:
+    under = prefix + MEASURES[m][0].split(" / ")[1]
+    return F.expr(f"if({under} > 0, {MEASURES[m][1]} / {under}, 0D)")
+
+
 def _level(sketches: DataFrame, keys: list[str], spreads: float, min_group: int, name: str) -> DataFrame:
     """Merges the sketches by ``keys`` and reads each measure's fence; null where the group is too small."""
     merged = sketches.groupBy(*keys).agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(m).alias(m) for m in MEASURES])
 
     def fence(m: str) -> Column:
-        mid, high = (F.kll_sketch_get_quantile_double(F.col(m), F.lit(q)) for q in (0.5, 0.75))
-        return F.greatest(F.lit(MEASURES[m][1]), mid + F.lit(spreads) * (high - mid))
+        mid, high = (F.kll_sketch_get_quantile_double(F.col(m), F.lit(q)) for q in (0.5, TAIL))
+        return high + F.lit(spreads) * (high - mid)
 
     return merged.select(*keys, *[F.when(F.col("n") >= min_group, fence(m)).alias(f"{name}_{m}") for m in MEASURES])
 
@@ -121,24 +129,25 @@ def fences(counts: DataFrame, spreads: float = SPREADS, min_group: int = MIN_GRO
     The sketches are partial aggregates, so a source with a third of all rows sends one sketch from each task.
     """
     store = Scratch(counts.sparkSession, "quality")
-    sketches = store.save(counts.where("n_words > 0").groupBy("doc_lang", "doc_source").agg(
+    sketches = store.save(counts.where(~base_failed()).groupBy("doc_lang", "doc_source").agg(
         F.count(F.lit(1)).alias("n"), *[F.kll_sketch_agg_double(_measure(m), F.lit(SKETCH_K)).alias(m) for m in MEASURES]), "sketches")
     own = _level(sketches, ["doc_lang", "doc_source"], spreads, min_group, "own")
     lang = _level(sketches, ["doc_lang"], spreads, min_group, "lang").withColumnRenamed("doc_lang", "l")
-    every = _level(sketches, [], spreads, 0, "all").first()  # one row of numbers, whatever the input
-    for m, (_, floor) in MEASURES.items():
+    every = _level(sketches, [], spreads, min_group, "all").first()  # one row of numbers, whatever the input
+    for m, (_, _, small) in MEASURES.items():
         whole = every[f"all_{m}"] if every is not None else None
-        lang = lang.withColumn(f"lang_{m}", F.coalesce(f"lang_{m}", F.lit(floor if whole is None else whole)))
+        lang = lang.withColumn(f"lang_{m}", F.coalesce(f"lang_{m}", F.lit(small if whole is None else whole)))
     table = own.join(lang, own.doc_lang.eqNullSafe(lang.l), "left").select(
         "doc_lang", "doc_source", *[F.least(F.coalesce(f"own_{m}", f"lang_{m}"), f"lang_{m}").alias(f"fence_{m}") for m in MEASURES])
     return store.save(table, "fences")
 
 
 def judged(counts: DataFrame, table: DataFrame, prefix: str = "") -> DataFrame:
-    """``counts`` joined with its group's fences: measures, base_failed and kept, their names prefixed."""
+    """``counts`` joined with its group's fences: measures, fences, base_failed and kept, their names prefixed."""
     table = table.withColumnsRenamed({c: f"{prefix}{c}" for c in table.columns if c.startswith("fence_")} | {"doc_lang": "__lang", "doc_source": "__source"})
     on = counts[f"{prefix}doc_lang"].eqNullSafe(table["__lang"]) & counts[f"{prefix}doc_source"].eqNullSafe(table["__source"])
     out = counts.join(table, on, "left").drop("__lang", "__source")
+    out = out.withColumns({f"{prefix}fence_{m}": F.col(f"{prefix}fence_{m}") + _event(m, prefix) for m in MEASURES})
     out = out.withColumns({f"{prefix}{m}": _measure(m, prefix) for m in MEASURES}).withColumn(f"{prefix}base_failed", base_failed(prefix))
     within = F.lit(True)
     for m in MEASURES:
