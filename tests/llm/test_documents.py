@@ -68,6 +68,16 @@ def test_the_sketches_set_the_bar(spark):
     assert out[600].symbol_share < 0.1 and out[600].fence_symbol_share < 0.04 and out[602].word_length < 12
 
 
+def test_no_large_source_or_language_sets_its_own_bar(spark):
+    junk = lambda i: prose(i) + " ##" * 30
+    rows = [(prose(i), "en", "a") for i in range(400)] + [(junk(i), "en", "b") for i in range(400, 600)]
+    assert [r.kept for r in judge(spark, rows)] == [True] * 400 + [False] * 200
+    rows = [(prose(i), ("en", "fr")[i % 2], f"s{i % 3}") for i in range(1500)] + [(junk(i), "en", "big") for i in range(1500, 2300)]
+    rows += [(junk(i), lang, "s0") for lang in (None, "zz") for i in range(250)]
+    rows += [(prose(i), "de", f"t{i % 90}") for i in range(250)] + [(junk(i), "de", "big") for i in range(300)]
+    assert [r.kept for r in judge(spark, rows)] == [True] * 1500 + [False] * 1300 + [True] * 250 + [False] * 300
+
+
 def test_line_dedup_equals_brute_force(spark, docs):
     got = line_dedup.dedup_lines(table(spark, docs)).select("doc_id", "__n_lines", "__n_dropped", F.sha2("text", 256)).collect()
     assert sorted(map(tuple, got)) == sorted(brute.line_dedup(docs))

@@ -5,8 +5,12 @@ pass the base rule goes into KLL quantile sketches, one for each (language, sour
 quantile plus a multiple of that quantile's distance from the median, so the data alone set it. A document's fence adds
 what one event (a repeated sentence, a shouted line) makes of its length; that is all there is where the spread is 0.
 
-No fence lies above the same fence taken over the language. Groups of fewer than ``min_group`` documents use the
-language's fence, languages of fewer that of all documents, and a corpus of fewer fixed ones.
+No group sets its own bar: a language's middle fence is the lower median over its sources' fences, one vote for each
+source of ``min_group`` documents and one for the smaller ones together; the middle of all is that of the languages. No
+fence lies above ``SLACK`` times the middle one of its language, or of all, however many rows its source or language
+holds. Sources of fewer than ``min_group`` documents use the fence of their language's smaller ones together; where these
+are too few as well, the middle fence of the language, or else of all; a corpus of fewer uses fixed ones. What most sources of most languages have in
+common counts as usual: nothing in the counts tells it from good text.
 A document is kept if it passes the base rule and no measure lies above its fence.
 
 Defined cases: null text has no words and fails the base rule; null language or source is a group of its own; rows that
@@ -41,6 +45,7 @@ MEASURES = {
 }
 TAIL = 0.9
 SPREADS = 4.0
+SLACK = 1.5
 MIN_GROUP = 200
 SKETCH_K = 400
 
@@ -112,15 +117,24 @@ def _event(m: str, prefix: str = "") -> Column:
     return F.expr(f"if({under} > 0, {MEASURES[m][1]} / {under}, 0D)")
 
 
-def _level(sketches: DataFrame, keys: list[str], spreads: float, min_group: int, name: str) -> DataFrame:
-    """Merges the sketches by ``keys`` and reads each measure's fence; null where the group is too small."""
-    merged = sketches.groupBy(*keys).agg(F.sum("n").alias("n"), *[F.kll_merge_agg_double(m).alias(m) for m in MEASURES])
-
+def _read(sketches: DataFrame, keys: list[str], spreads: float, min_group: int) -> DataFrame:
+    """Each measure's fence; null where the group is too small."""
     def fence(m: str) -> Column:
         mid, high = (F.kll_sketch_get_quantile_double(F.col(m), F.lit(q)) for q in (0.5, TAIL))
         return high + F.lit(spreads) * (high - mid)
 
-    return merged.select(*keys, *[F.when(F.col("n") >= min_group, fence(m)).alias(f"{name}_{m}") for m in MEASURES])
+    big = F.col("n") >= min_group
+    return sketches.select(*keys, big.alias("big"), *[F.when(big, fence(m)).alias(f"own_{m}") for m in MEASURES])
+
+
+def _merged(sketches: DataFrame, *keys: str) -> DataFrame:
+    return sketches.groupBy(*keys).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), *[F.kll_merge_agg_double(m).alias(m) for m in MEASURES])
+
+
+def _middle(votes: DataFrame, *keys: str) -> DataFrame:
+    """Lower medians over the votes, whatever number of rows stands behind each."""
+    return votes.groupBy(*keys).agg(*[F.percentile_approx(f"own_{m}", 0.5, 10000).alias(f"own_{m}") for m in MEASURES],
+                                    *[F.max(F.when(F.col("pooled"), F.col(f"own_{m}"))).alias(f"pool_{m}") for m in MEASURES])
 
 
 def fences(counts: DataFrame, spreads: float = SPREADS, min_group: int = MIN_GROUP) -> DataFrame:
@@ -131,14 +145,19 @@ def fences(counts: DataFrame, spreads: float = SPREADS, min_group: int = MIN_GRO
     store = Scratch(counts.sparkSession, "quality")
     sketches = store.save(counts.where(~base_failed()).groupBy("doc_lang", "doc_source").agg(
         F.count(F.lit(1)).alias("n"), *[F.kll_sketch_agg_double(_measure(m), F.lit(SKETCH_K)).alias(m) for m in MEASURES]), "sketches")
-    own = _level(sketches, ["doc_lang", "doc_source"], spreads, min_group, "own")
-    lang = _level(sketches, ["doc_lang"], spreads, min_group, "lang").withColumnRenamed("doc_lang", "l")
-    every = _level(sketches, [], spreads, min_group, "all").first()  # one row of numbers, whatever the input
-    for m, (_, _, small) in MEASURES.items():
-        whole = every[f"all_{m}"] if every is not None else None
-        lang = lang.withColumn(f"lang_{m}", F.coalesce(f"lang_{m}", F.lit(small if whole is None else whole)))
-    table = own.join(lang, own.doc_lang.eqNullSafe(lang.l), "left").select(
-        "doc_lang", "doc_source", *[F.least(F.coalesce(f"own_{m}", f"lang_{m}"), f"lang_{m}").alias(f"fence_{m}") for m in MEASURES])
+    own = store.save(_read(sketches, ["doc_lang", "doc_source"], spreads, min_group), "own")
+    pools = store.save(_merged(sketches.where(F.col("n") < min_group), "doc_lang"), "pools")
+    pooled = _read(pools, ["doc_lang"], spreads, min_group).where("big")
+    votes = own.where("big").drop("doc_source").withColumn("pooled", F.lit(False)).unionByName(pooled.withColumn("pooled", F.lit(True)))
+    lang = store.save(_middle(votes, "doc_lang").withColumnRenamed("doc_lang", "l"), "languages")
+    rest = _merged(pools.join(lang, pools.doc_lang.eqNullSafe(lang.l), "left_anti"))
+    every = _middle(lang.drop("l").unionByName(_read(rest, [], spreads, min_group).where("big").drop("big"), allowMissingColumns=True).withColumn("pooled", F.lit(False))).first()  # one row of numbers, whatever the input
+
+    def fence(m: str) -> Column:
+        mine, middle, common = own[f"own_{m}"], lang[f"own_{m}"], F.lit(every[f"own_{m}"]).cast("double")
+        return F.coalesce(F.least(F.coalesce(mine, lang[f"pool_{m}"], middle, common), F.lit(SLACK) * middle, F.lit(SLACK) * common), F.lit(MEASURES[m][2]))
+
+    table = own.join(lang, own.doc_lang.eqNullSafe(lang.l), "left").select("doc_lang", "doc_source", *[fence(m).alias(f"fence_{m}") for m in MEASURES])
     return store.save(table, "fences")
 
 
