@@ -127,6 +127,17 @@ def test_language_sample_is_bounded(spark):
     assert {r.lang for r in got} == {"aa", "bb"} and all(1000 <= r.n <= 2000 for r in got)
 
 
+def test_long_documents_neither_bar_nor_lose_a_language(spark):
+    limit = 4000
+    rows = [(i, f"only long texts {i} " * 1200, "aa") for i in range(20)]
+    rows += [(100 + i, f"word {i} " * 10, "bb") for i in range(200)] + [(400 + i, f"huge é {i} " * 20000, "bb") for i in range(3)]
+    rows += [(500, "alone " * 5000, "cc"), (501, "é", "dd"), (502, "", "ee")]
+    got = langid.sample(spark.createDataFrame(rows, DOCS), limit).groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n")).collect()
+    got = {r.lang: r.n for r in got}
+    assert set(got) == {"aa", "bb", "cc", "dd"} and got["dd"] == 2
+    assert all(0.8 * limit <= got[x] <= limit for x in ("aa", "bb", "cc"))
+
+
 # --- secrets --------------------------------------------------------------------------------------------------------
 
 def plain_spans(text):

@@ -7,8 +7,10 @@ statistics are frozen after training, so a tree compiles into a table: a row for
 1/512 bit for every byte and language. A text's state is its longest known context; the sum over its bytes is exact
 integer arithmetic. The language with the shortest code wins; the score is its posterior under equal priors.
 
-The sample: whole labelled documents in the order of a hash of their id, at most ``SAMPLE_BYTES`` bytes for each
-language. It bounds the model, which is collected and sent to the tasks; every byte of every text is scored.
+The sample: pieces of labelled documents in the order of a hash, at most ``SAMPLE_BYTES`` bytes for each language. A
+document up to ``limit / PIECES`` characters is one piece, a longer one is cut into such pieces and each is drawn by
+itself, so every part of every text has the same chance and a long text neither fills the sample nor bars the others
+from it. The sample bounds the model, which is collected and sent to the tasks; every byte of every text is scored.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0, and so is everything if there is no
 labelled text; ties go to the first language by name; a null doc_id is not held out; rows that share a doc_id are scored
@@ -29,6 +31,7 @@ from . import text as T
 from .storage import Scratch
 
 SAMPLE_BYTES = 1_000_000
+PIECES = 32
 ORDER = 3
 SCALE = 512
 UNKNOWN = "und"
@@ -40,15 +43,19 @@ def held_out(doc_id: Column) -> Column:
 
 
 def sample(docs: DataFrame, limit: int = SAMPLE_BYTES) -> DataFrame:
-    """At most ``limit`` bytes of whole texts for each language, taken by a hash of doc_id. ``docs``: doc_id, lang, text."""
-    sized = docs.where("lang is not null and text is not null").withColumn("bytes", F.octet_length("text").cast("bigint"))
-    total = sized.groupBy("lang").agg(F.sum("bytes").alias("total"))
+    """At most ``limit`` bytes of pieces for each language with a text, taken by a hash. ``docs``: doc_id, lang, text."""
+    size = max(1, limit // PIECES)
+    draw = lambda k: F.pmod(F.xxhash64("key", k), F.lit(1 << 30)) / float(1 << 30)
+    sized = docs.where("lang is not null and text != ''").withColumns({"bytes": F.octet_length("text").cast("bigint"), "key": F.xxhash64("doc_id", "text")})
+    total = sized.groupBy("lang").agg(F.sum("bytes").alias("total"), F.min(draw(F.lit(0))).alias("least"))
     total = Scratch(docs.sparkSession, "langid").save(total, "total")
-    draw = F.pmod(F.xxhash64("doc_id", "bytes"), F.lit(1 << 30)) / float(1 << 30)
-    # about twice the limit passes this; the running sum then looks at that little
-    near = sized.withColumn("draw", draw).join(total, "lang").where(F.col("draw") * F.col("total") < 2.0 * limit)
-    order = Window.partitionBy("lang").orderBy("draw", "doc_id", "text").rowsBetween(Window.unboundedPreceding, 0)
-    return near.withColumn("upto", F.sum("bytes").over(order)).where(F.col("upto") <= limit).select("lang", "text")
+    # about twice the limit passes this, and one piece at least; the running sum then looks at that little
+    passes = lambda k: (draw(k) * F.col("total") < 2.0 * limit) | (draw(k) <= F.col("least"))
+    drawn = F.filter(F.sequence(F.lit(0), F.floor((F.char_length("text") - 1) / size).cast("int")), passes)
+    near = sized.join(total, "lang").withColumn("k", F.explode(drawn)).select(
+        "lang", "doc_id", "k", draw(F.col("k")).alias("draw"), F.substring("text", F.col("k") * size + 1, F.lit(size)).alias("text"))
+    order = Window.partitionBy("lang").orderBy("draw", "doc_id", "k", "text").rowsBetween(Window.unboundedPreceding, 0)
+    return near.withColumn("upto", F.sum(F.octet_length("text").cast("bigint")).over(order)).where(F.col("upto") <= limit).select("lang", "text")
 
 
 def _contexts(piece: T.Piece, order: int) -> np.ndarray:
