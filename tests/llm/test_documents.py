@@ -151,6 +151,16 @@ def test_decontamination_equals_brute_force(spark, docs):
     assert sum(w[2] > 0 for w in want) > 3
 
 
+def test_decontamination_folds_by_the_contract_only(spark):
+    words = "ΟΙ ΝΟΜΟΣ ΑΛΛΟ ΛΟΓΟΣ ΤΗΣ ΠΟΛΗΣ İSTANBUL \u212aELVIN ÉTÉ Word"
+    bench = [(1, words), (2, words.replace(" ", ".")), (3, "νομος λογος της")]
+    docs = [(1, words), (2, words.replace(" ", ".")), (3, words.replace("ΝΟΜΟΣ ", "ΝΟΜΟΣ:").replace("Word", "wORD")), (4, words.lower()), (5, "x ΝΟΜΟΣ'ΑΛΛΟ.ΛΟΓΟΣ")]
+    out = decontam.decontaminate(table(spark, docs), spark.createDataFrame(bench, "item_id bigint, text string"))
+    got = out.select("doc_id", "__d_n_words", "__d_n_hit", F.size("__d_items"), F.sha2(F.array_join("__d_items", ","), 256)).collect()
+    assert sorted(map(tuple, got)) == sorted(brute.decontaminate(docs, bench))
+    assert sum(r["__d_n_hit"] > 0 for r in got) == 3
+
+
 def test_decontamination_proximity(spark):
     item = [(1, " ".join(f"w{i}" for i in range(12)))]
     near = " ".join(["w0", "gap", *[f"w{i}" for i in range(1, 12)]])
