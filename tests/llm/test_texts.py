@@ -241,6 +241,15 @@ def test_license_expressions(text, postfix, level):
         assert licenses.value(postfix)[0] == level
 
 
+@pytest.mark.parametrize(("line", "labels", "level", "score"), [
+    ("MIT, see LICENSE", "mit", 1, 1.0), ("MIT Copyright 2021 X", "mit", 1, 1.0), ("MIT.", "mit", 1, 1.0), ("Apache-2.0: x", "apache-2", 1, 1.0), ("MIT */ function f(a) { return (a) }", "mit", 1, 1.0),
+    ("(MIT OR GPL-3.0-only) (c) 2020", "gpl-3,mit", 1, 1.0), ("MIT) and more", "mit", 1, 1.0), ("GPL-2.0-only WITH x-1.0 AND MIT. All (rest", "gpl-2,mit", 2, 1.0),
+    ("MIT OR", "mit", 1, 0.5), ("(MIT", "", None, 0.5), ("OR MIT", "", None, 0.5), ("-->", "", None, 0.5), ("MIT--> x", "mit", 1, 1.0)])
+def test_identifier_tag_reads_the_longest_expression(line, labels, level, score):
+    got = licenses.scan_text(f"x\n// SPDX-License-Identifier: {line}\nGPL-2.0")
+    assert (got["labels"], got["license_class"], got["score"]) == (labels, level, score)
+
+
 # --- tokens ---------------------------------------------------------------------------------------------------------
 
 def token_texts():

@@ -1,13 +1,13 @@
 """License scans (operator 8).
 
 Words are runs of non-ASCII characters, digits and letters, A-Z lower-cased. One Aho-Corasick automaton finds all
-phrases of the table at word boundaries, overlapping ones too. Where it meets an identifier tag, the rest of that line
-is read as a license expression: a shunting-yard parser orders and / or / with by their strength, and the expression is
-valued over the identifiers' classes (or: the freer side, and: the stricter, with: an exception loosens by one class).
+phrases of the table at word boundaries, overlapping ones too. Where it meets an identifier tag, the longest expression
+that begins there and stands on that line is read: an operand after an operand, a bracket that closes none and a comment
+mark end it. A shunting-yard parser orders and / or / with by their strength, and the expression is valued over the identifiers' classes (or: the freer side, and: the stricter, with: an exception loosens by one class).
 
 Only texts that hold some phrase's rarest word are cut into words; the others are counted by a pass over their bytes.
 
-The score is the best evidence met: an expression that parses 1.0, an expression that doesn't 0.5, a notice phrase its
+The score is the best evidence met: an expression 1.0, none or one that breaks off (``MIT OR``) 0.5, a notice phrase its
 own weight in the table; 0 where there is none.
 
 Defined cases: null or empty text has no words; repeated rows are scanned one by one; an empty table gives an empty
@@ -17,7 +17,7 @@ result.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -71,14 +71,52 @@ _UNKNOWN_CLASS = 4
 
 _CASE = str.maketrans(T.ASCII_UPPER, T.ASCII_LOWER)
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-_TOKEN = re.compile(r"\(|\)|[A-Za-z0-9.+:-]+")
+_TOKEN = re.compile(r"\*/|-->|#|\(|\)|(?:(?!-->)[A-Za-z0-9.+:-])+")
+_ENDS = ("*/", "-->", "#")
+_AFTER_TAG = re.compile(r"[ \t:=]*")
 _LEVEL = {"or": 1, "and": 2, "with": 3}
 
 
+def _tokens(text: str, lo: int, hi: int) -> Iterator[str]:
+    """Lower-cased tokens up to a comment mark, without the full stop or colon of the sentence around them."""
+    for m in _TOKEN.finditer(text, lo, hi):
+        if m[0] in _ENDS:
+            return
+        if t := m[0].lower().rstrip(".:"):
+            yield t
+
+
+def leading(tokens: Iterable[str]) -> tuple[list[str], bool]:
+    """The longest expression that the tokens begin with, and whether it is all that could belong to it."""
+    taken, whole, depth, operand = [], 0, 0, True
+    for t in tokens:
+        if t == ")":
+            if operand or not depth:
+                break
+            depth -= 1
+        elif t in _LEVEL:
+            if operand:
+                break
+            operand = True
+        elif not operand:
+            break
+        elif t == "(":
+            depth += 1
+        else:
+            operand = False
+        taken.append(t)
+        if not operand and not depth:
+            whole = len(taken)
+    return taken[:whole], whole == len(taken)
+
+
 def parse(expression: str) -> list[str] | None:
     """The expression in postfix order, lower-cased, or null if it isn't one. A trailing comment mark ends it."""
+    return _postfix(_tokens(expression, 0, len(expression)))
+
+
+def _postfix(tokens: Iterable[str]) -> list[str] | None:
     out, waiting, operand = [], [], True
-    tokens = [t.lower() for t in _TOKEN.findall(re.split(r"\*/|-->|#", expression)[0])]
     for t in tokens:
         if t == "(":
             if not operand:
@@ -162,10 +200,12 @@ def scan_text(text: str) -> dict:
             score = max(score, weight)
         if phrase == TAG:
             after = words[first + len(TAG.split()) - 1].end()
-            rest = text[after:].split("\n", 1)[0].lstrip(" \t:=")
-            postfix = parse(rest)
-            score = max(score, 0.5 if postfix is None else 1.0)
-            if postfix is not None:
+            stop = text.find("\n", after)
+            stop = len(text) if stop < 0 else stop
+            tokens, complete = leading(_tokens(text, _AFTER_TAG.match(text, after, stop).end(), stop))
+            postfix = _postfix(tokens)
+            score = max(score, 1.0 if postfix and complete else 0.5)
+            if postfix:
                 kind, names = value(postfix)
                 kinds.append(kind)
                 labels |= names
