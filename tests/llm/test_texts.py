@@ -193,6 +193,28 @@ def test_span_of_a_partly_escaped_secret_is_exact():
     assert a == 4 and b64(b"xyz" + SECRET.encode()).rstrip("=")[:b - 1] == coded[:b - 1]
 
 
+def hidden(text):
+    return [s for s in secrets.all_spans(text)[1] if s[1] == 0]
+
+
+def test_compressed_layers_are_read_to_their_end(monkeypatch):
+    late = b64(gzip.compress(("é" * 11 + "\n") .encode() * (1 << 20) + SECRET.encode()))
+    assert hidden(late) == [(0, 0, len(late))]
+    members = b64(gzip.compress(b"first\n") + gzip.compress(b"second\n") + b"\0" * 5 + gzip.compress(SECRET.encode()))
+    assert hidden(members) == [(0, 0, len(members))]
+    nested = b64(gzip.compress(zlib.compress(gzip.compress(SECRET.encode()))))
+    assert hidden(nested) == [(0, 0, len(nested))]
+    monkeypatch.setattr(secrets, "CHUNK", 500)
+    lines = "\n".join(["some plain words"] * 100 + [b64(b"x y z " * 200 + SECRET.encode())] + ["some plain words"] * 100)
+    assert hidden(b64(zlib.compress(lines.encode())))
+
+
+def test_a_stream_that_inflates_to_itself_ends(monkeypatch):
+    quine = b"\x1f\x8b\x08 and so on"
+    monkeypatch.setattr(secrets, "_inflated", lambda blocks: iter([b"".join(blocks)]))
+    assert hidden(b64(quine)) == []
+
+
 def test_layers_end():
     text = b64(b64(b64(b"harmless words without any")  .encode()).encode()) * 3 + "%25" * 400
     assert secrets.all_spans(text)[0] == []

@@ -1,16 +1,17 @@
 """Secret scans with a recursive decoding worklist (operator 5).
 
 The base patterns run over every text. Encoded layers are unwrapped and scanned in turn: URL escapes and Unicode
-escapes (the line that holds them, decoded), base64 tokens, and what is compressed inside them (gzip, zlib). Every
-layer keeps, for each of its code points, the span of the original text it came from, so what is found in a layer is
-reported where it stands in the document. Layers go on a worklist until no new one appears; a layer whose text has been
-seen at the same place is not opened again, so cycles end.
+escapes (the line that holds them, decoded), base64 tokens, and what is compressed inside them (gzip, zlib).
+Every layer keeps, for each of its code points, the span of the original text it came from, so what is found in a layer
+is reported where it stands in the document. Layers go on a worklist until no new one appears; a text or compressed
+stream that has been seen at the same place is not opened again, so cycles end.
 
 Texts that can hold neither a base match nor an encoded layer are passed over after one look at their bytes: every
 pattern needs a key word, ``AKIA``, a long enough run of its characters, or an escape.
 
-A compressed layer is opened up to ``MAX_LAYER`` bytes, which guards against decompression bombs; a larger one is
-scanned as far as that.
+A compressed stream is read to its end, all its members, in chunks of ``CHUNK`` bytes, so a decompression bomb takes time
+but no memory. Chunks are cut between lines that are no base64; where there is no such place in ``CARRY`` characters,
+neighbours share ``OVERLAP`` characters, and an encoded layer longer than that may be cut there.
 
 Defined cases: null or empty text has no spans; repeated rows are scanned one by one; an empty table gives an empty
 result.
@@ -19,11 +20,12 @@ result.
 from __future__ import annotations
 
 import base64
-import binascii
+import codecs
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +49,10 @@ URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\u\{([0-9A-Fa-f]{1,6})\}")
 MIN_BASE64 = 16
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_BASE64)
-MAX_LAYER = 16 << 20
+BLOCK = 64 << 10
+CHUNK = 4 << 20
+CARRY = 32 << 20
+OVERLAP = 1 << 20
 
 _HEX_BYTE = T._class(lambda b: chr(b) in "0123456789abcdef")
 _B64_BYTE = T._class(lambda b: b < 0x80 and (chr(b).isalnum() or chr(b) in "+/_-"))
@@ -137,50 +142,148 @@ def _readable(raw: bytes) -> str | None:
     return text if text and sum(c.isprintable() or c in "\t\r\n" for c in text) >= 0.9 * len(text) else None
 
 
-def _inflated(raw: bytes) -> bytes | None:
-    if raw[:2] != b"\x1f\x8b" and not (len(raw) > 2 and raw[0] & 15 == 8 and (raw[0] << 8 | raw[1]) % 31 == 0):
-        return None
-    try:
-        return zlib.decompressobj(47).decompress(raw, MAX_LAYER)
-    except zlib.error:
-        return None
-
-
-def _base64(layer: Layer) -> Iterator[Layer]:
+class Stream:
+    """Bytes that may be compressed, readable again and again, and the original span they stand for."""
+
+    __slots__ = ("end", "make", "start")
+
+    def __init__(self, make: Callable[[], Iterator[bytes]], start: int, end: int) -> None:
+        self.make, self.start, self.end = make, start, end
+
+
+def _compressed(raw: bytes) -> bool:
+    return bytes(raw[:2]) == b"\x1f\x8b" or (len(raw) > 2 and raw[0] & 15 == 8 and (raw[0] << 8 | raw[1]) % 31 == 0)
+
+
+def _blocks(raw: bytes, at: int = 0) -> Iterator[bytes]:
+    for lo in range(at, len(raw), BLOCK):
+        yield raw[lo:lo + BLOCK]
+
+
+def _inflated(blocks: Iterator[bytes]) -> Iterator[bytes]:
+    """What a compressed stream and the members after it hold, up to their end or a fault."""
+    member, rest, first = None, b"", True
+    for block in blocks:
+        rest += block
+        while rest:
+            if member is None:
+                rest = rest if first else rest.lstrip(b"\0")
+                if len(rest) < 3:
+                    break
+                if not _compressed(rest):
+                    return
+                member, first = zlib.decompressobj(47), False
+            try:
+                out = member.decompress(rest, CHUNK)
+                rest = member.unconsumed_tail
+                yield out
+                while len(out) == CHUNK and not member.eof:  # all input taken, more output waits
+                    out = member.decompress(rest, CHUNK)
+                    rest = member.unconsumed_tail
+                    yield out
+            except zlib.error:
+                return
+            if member.eof:
+                rest, member = member.unused_data, None
+
+
+def _opens(raw: bytes, at: int = 0) -> bool:
+    return _compressed(raw[at:at + 3]) and any(_inflated(_blocks(raw, at)))
+
+
+def _cut(text: str) -> int:
+    """The end of the last line that no base64 goes on from; 0 if there is none."""
+    end = text.rfind("\n")
+    while end >= 0:
+        lo = text.rfind("\n", 0, end) + 1
+        if not BASE64.fullmatch(text[lo:end].strip()):
+            return end + 1
+        end = lo - 1
+    return 0
+
+
+def _texts(chunks: Iterator[bytes]) -> Iterator[str]:
+    decode, text = codecs.getincrementaldecoder("utf-8")("replace").decode, ""
+    for chunk in chunks:
+        text += decode(chunk)
+        if len(text) >= CHUNK and (cut := _cut(text)):
+            yield text[:cut]
+            text = text[cut:]
+        elif len(text) >= CARRY:
+            yield text
+            text = text[-OVERLAP:]
+    text += decode(b"", True)
+    if text:
+        yield text
+
+
+def _unpacked(stream: Stream) -> Iterator[Layer | Stream]:
+    inner = lambda: _inflated(stream.make())
+    if _compressed(next(filter(None, inner()), b"")):
+        yield Stream(inner, stream.start, stream.end)
+    for text in _texts(inner()):
+        yield Layer(text, np.broadcast_to(np.int64(stream.start), len(text)), np.broadcast_to(np.int64(stream.end), len(text)))
+
+
+def _base64(layer: Layer) -> Iterator[Layer | Stream]:
     for m in BASE64.finditer(layer.text):
         word = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-        word = word[:-1] if len(word) % 4 == 1 else word
-        try:
-            raw = base64.b64decode(word + "=" * (-len(word) % 4))
-        except (binascii.Error, ValueError):
-            continue
-        at, whole = m.start(), False
-        while (more := _inflated(raw)) is not None:
-            raw, whole = more, True
-        text = _readable(raw)
-        if text is None:
+        place = np.arange(*m.span())
+
+        def decoded(at: int) -> bytes:
+            part = word[at:len(word) - ((len(word) - at) % 4 == 1)]
+            return base64.b64decode(part + "=" * (-len(part) % 4))
+
+        def stream(raw: bytes, at: int, lo: int) -> Stream:
+            return Stream(lambda: _blocks(raw, lo), int(layer.start[place[at + lo // 3 * 4 + lo % 3]]), int(layer.end[m.end() - 1]))
+
+        def inner(text: str, size: np.ndarray, at: int, lo: int) -> Layer:
+            stop = lo + np.cumsum(size)
+            first, last = at + (stop - size) // 3 * 4 + (stop - size) % 3, at + (stop - 1) // 3 * 4 + (stop - 1) % 3 + 1
+            return Layer(text, layer.start[place[first]], layer.end[place[last]])
+
+        raw = decoded(0)
+        if _opens(raw):
+            yield stream(raw, 0, 0)
             continue
-        size = np.array([len(c.encode("utf-8")) for c in text]) if not text.isascii() else np.ones(len(text), np.int64)
-        stop = np.cumsum(size)
-        first, last = at + (stop - size) // 3 * 4 + (stop - size) % 3, at + (stop - 1) // 3 * 4 + (stop - 1) % 3 + 1
-        if whole:
-            first, last = np.full(len(text), at), np.full(len(text), m.end() - 1)
-        yield Layer(text, layer.start[first], layer.end[last])
+        if (text := _readable(raw)) is not None:
+            yield inner(text, _sizes(text), 0, 0)
+
+
+def _sizes(text: str) -> np.ndarray:
+    return np.ones(len(text), np.int64) if text.isascii() else np.array([len(c.encode("utf-8")) for c in text])
+
+
+def _inside(found: Layer | Stream) -> Iterator[Layer | Stream]:
+    if isinstance(found, Stream):
+        return _unpacked(found)
+    return chain(_lines_with(found, URL, _url), _lines_with(found, ESCAPE, _escape), _base64(found))
+
+
+def _key(found: Layer | Stream) -> tuple:
+    if isinstance(found, Layer):
+        return xxhash.xxh3_128_digest(found.text), int(found.start[0]), int(found.end[-1])
+    digest = xxhash.xxh3_128()
+    for chunk in found.make():
+        digest.update(chunk)
+    return "stream", digest.digest(), found.start, found.end
 
 
 def all_spans(text: str) -> tuple[list[Span], list[Span]]:
     """The base spans, and with them those of every layer, mapped to the text."""
     base = base_spans(text)
     found, place = set(base), np.arange(len(text))
-    work, seen = [Layer(text, place, place + 1)], {(xxhash.xxh3_128_digest(text), 0, len(text))}
+    whole = Layer(text, place, place + 1)
+    work, seen = [_inside(whole)], {(xxhash.xxh3_128_digest(text), 0, len(text))}
     while work:
-        layer = work.pop()
-        for inner in (*_lines_with(layer, URL, _url), *_lines_with(layer, ESCAPE, _escape), *_base64(layer)):
-            key = (xxhash.xxh3_128_digest(inner.text), int(inner.start[0]), int(inner.end[-1]))
-            if key not in seen:
-                seen.add(key)
+        inner = next(work[-1], None)
+        if inner is None:
+            work.pop()
+        elif (key := _key(inner)) not in seen:
+            seen.add(key)
+            if isinstance(inner, Layer):
                 found.update((int(inner.start[a]), k, int(inner.end[b - 1])) for a, k, b in base_spans(inner.text))
-                work.append(inner)
+            work.append(_inside(inner))
     return base, sorted(found)
 
 
