@@ -4,6 +4,7 @@ import base64
 import gzip
 import os
 import sys
+import urllib.parse
 import zlib
 
 import numpy as np
@@ -205,7 +206,7 @@ def test_compressed_layers_are_read_to_their_end(monkeypatch):
     nested = b64(gzip.compress(zlib.compress(gzip.compress(SECRET.encode()))))
     assert hidden(nested) == [(0, 0, len(nested))]
     monkeypatch.setattr(secrets, "CHUNK", 500)
-    lines = "\n".join(["some plain words"] * 100 + [b64(b"x y z " * 200 + SECRET.encode())] + ["some plain words"] * 100)
+    lines = "\n".join(["some plain words"] * 100 + [base64.encodebytes(b"x y z " * 200 + SECRET.encode()).decode()] + ["some plain words"] * 100)
     assert hidden(b64(zlib.compress(lines.encode())))
 
 
@@ -215,6 +216,21 @@ def test_a_stream_that_inflates_to_itself_ends(monkeypatch):
     assert hidden(b64(quine)) == []
 
 
+@pytest.mark.parametrize("wrap", [
+    lambda s: base64.encodebytes(b"x y " * 30 + s).decode(),
+    lambda s: base64.encodebytes(b"x y " * 30 + s).decode().replace("\n", "\\n"),
+    lambda s: base64.encodebytes(gzip.compress(bytes(np.random.default_rng(1).integers(32, 127, 300, np.uint8)) + b"\n" + s)).decode().replace("\n", "\r\n  "),
+    lambda s: "-----BEGIN CERTIFICATE-----\n" + base64.encodebytes(b"x y " * 30 + s).decode(),
+    lambda s: "https://x/ab/" + b64(s), lambda s: "https://x/abc/" + b64(gzip.compress(s)), lambda s: "id-" + b64(s), lambda s: "some_id_" + b64(zlib.compress(s)),
+    lambda s: "".join(f"%{b:02X}" for b in gzip.compress(s)), lambda s: urllib.parse.quote(zlib.compress(s)), lambda s: urllib.parse.quote_plus(gzip.compress(s), safe=""),
+    lambda s: "".join(f"\\x{b:02x}" for b in gzip.compress(s)), lambda s: repr(zlib.compress(s)), lambda s: "".join(f"\\u{b:04x}" for b in gzip.compress(s)),
+])
+def test_layers_over_lines_at_any_alignment_and_under_escapes(wrap):
+    coded = wrap(SECRET.encode())
+    spans = hidden(f"see\n{coded}\nhere")
+    assert spans and all(4 <= a < b <= 4 + len(coded) for a, _, b in spans)
+
+
 def test_layers_end():
     text = b64(b64(b64(b"harmless words without any")  .encode()).encode()) * 3 + "%25" * 400
     assert secrets.all_spans(text)[0] == []

@@ -1,7 +1,8 @@
 """Secret scans with a recursive decoding worklist (operator 5).
 
 The base patterns run over every text. Encoded layers are unwrapped and scanned in turn: URL escapes and Unicode
-escapes (the line that holds them, decoded), base64 tokens, and what is compressed inside them (gzip, zlib).
+escapes (the line that holds them, decoded), base64 tokens (over line breaks too; where one doesn't decode whole, what is
+readable or compressed at any of its four alignments), and what is compressed inside them or under escapes (gzip, zlib).
 Every layer keeps, for each of its code points, the span of the original text it came from, so what is found in a layer
 is reported where it stands in the document. Layers go on a worklist until no new one appears; a text or compressed
 stream that has been seen at the same place is not opened again, so cycles end.
@@ -26,6 +27,7 @@ import re
 import zlib
 from collections.abc import Callable, Iterator
 from itertools import chain
+from urllib.parse import unquote_to_bytes
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +50,16 @@ MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 8, 16, 32
 URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\u\{([0-9A-Fa-f]{1,6})\}")
 MIN_BASE64 = 16
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_BASE64)
+# line breaks, real or written as escapes, join full lines of base64 with a last one of any length
+BREAK = re.compile(r"[ \t]*(?:\r?\n|(?:\\r)?\\n)[ \t]*")
+BASE64 = re.compile(r"[A-Za-z0-9+/_-]{%d,}+(?:%s[A-Za-z0-9+/_-]{%d,}+)*+(?:%s[A-Za-z0-9+/_-]+(?=[=\s\"'\\<,;)\]}]|$))?={0,2}" % (MIN_BASE64, BREAK.pattern, MIN_BASE64, BREAK.pattern))
+#: Readable stretches of bytes that can hold a match or a layer.
+READABLE = re.compile(rb"(?:[\t\r\n\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}){12,}")
+# how compressed streams begin: as bytes, code points, URL escapes, string escapes
+HEAD = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]")
+POINTS = re.compile("(?:\x1f\x8b\x08|x[\x01\x9c\xda])[\x00-\xff]*")
+URL_STREAM = re.compile(r"(?:%1f%8b%08|(?:x|%78)(?:%01|%5e|\^|%9c|%da))(?:%[0-9a-f]{2}|[a-z0-9_.~!*'()$+,;:@/^-])*", re.IGNORECASE | re.ASCII)
+STRING_STREAM = re.compile(r"""(?:\\x1f\\x8b(?:\\x08|\\b)|(?:x|\\x78)(?:\\x01|\\x5e|\^|\\x9c|\\xda))(?:\\x[0-9a-f]{2}|\\[abfnrtv0'"\\]|[\x20-\x5b\x5d-\x7e])*""", re.IGNORECASE | re.ASCII)
 BLOCK = 64 << 10
 CHUNK = 4 << 20
 CARRY = 32 << 20
@@ -225,10 +236,29 @@ def _unpacked(stream: Stream) -> Iterator[Layer | Stream]:
         yield Layer(text, np.broadcast_to(np.int64(stream.start), len(text)), np.broadcast_to(np.int64(stream.end), len(text)))
 
 
+def _escaped_streams(layer: Layer) -> Iterator[Stream]:
+    """Compressed bytes written as URL or string escapes, or as code points."""
+    for pattern, decode in ((URL_STREAM, lambda t: unquote_to_bytes(t.replace("+", " "))), (STRING_STREAM, lambda t: codecs.escape_decode(t.encode())[0]), (POINTS, lambda t: t.encode("latin-1"))):
+        at = 0
+        while m := pattern.search(layer.text, at):
+            lo, hi = m.span()
+            quote = layer.text[lo - 1:lo]
+            if pattern is STRING_STREAM and quote in ("'", '"') and (close := re.search(r"(?<!\\)(?:\\\\)*" + quote, layer.text[lo:hi])):
+                hi = lo + close.end() - 1
+            raw = decode(layer.text[lo:hi])
+            if _opens(raw):
+                yield Stream(lambda raw=raw: _blocks(raw), int(layer.start[lo]), int(layer.end[hi - 1]))
+                at = hi
+            else:
+                at = lo + 1
+
+
 def _base64(layer: Layer) -> Iterator[Layer | Stream]:
     for m in BASE64.finditer(layer.text):
-        word = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-        place = np.arange(*m.span())
+        cuts = [m.start(), *chain.from_iterable(b.span() for b in BREAK.finditer(layer.text, *m.span())), m.end()]
+        parts = list(zip(cuts[::2], cuts[1::2], strict=True))
+        word = "".join(layer.text[a:b] for a, b in parts).rstrip("=").replace("-", "+").replace("_", "/")
+        place = np.concatenate([np.arange(a, b) for a, b in parts])
 
         def decoded(at: int) -> bytes:
             part = word[at:len(word) - ((len(word) - at) % 4 == 1)]
@@ -248,6 +278,18 @@ def _base64(layer: Layer) -> Iterator[Layer | Stream]:
             continue
         if (text := _readable(raw)) is not None:
             yield inner(text, _sizes(text), 0, 0)
+            continue
+        for at in range(4):
+            raw = decoded(at)
+            for head in HEAD.finditer(raw):
+                if _opens(raw, head.start()):
+                    yield stream(raw, at, head.start())
+            for run in READABLE.finditer(raw):
+                try:
+                    text = run[0].decode("utf-8")
+                    yield inner(text, _sizes(text), at, run.start())
+                except UnicodeDecodeError:  # forms that UTF-8 forbids: byte by byte
+                    yield inner(run[0].decode("latin-1"), np.ones(len(run[0]), np.int64), at, run.start())
 
 
 def _sizes(text: str) -> np.ndarray:
@@ -257,7 +299,7 @@ def _sizes(text: str) -> np.ndarray:
 def _inside(found: Layer | Stream) -> Iterator[Layer | Stream]:
     if isinstance(found, Stream):
         return _unpacked(found)
-    return chain(_lines_with(found, URL, _url), _lines_with(found, ESCAPE, _escape), _base64(found))
+    return chain(_lines_with(found, URL, _url), _lines_with(found, ESCAPE, _escape), _base64(found), _escaped_streams(found))
 
 
 def _key(found: Layer | Stream) -> tuple:
