@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, licenses, line_dedup, near_dup, packing, quality, secrets, tokenfile
+from . import chat, decontam, langid, licenses, line_dedup, near_dup, packing, pieces, quality, secrets, tokenfile
 from .storage import read_table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -71,6 +72,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *quality.MEASURES)
 
 
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pieces.encode_documents(_documents(spark, sf_dir, "text"), PIECES)
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_chat_formatting, op2_line_dedup, op3_language_id, op4_minhash_near_dedup, op5_secret_scan, op6_token_files, op7_decontamination, op8_license_scan, op9_packing, op10_quality_rules)
+    every = (op1_chat_formatting, op2_line_dedup, op3_language_id, op4_minhash_near_dedup, op5_secret_scan, op6_token_files, op7_decontamination, op8_license_scan, op9_packing, op10_quality_rules,
+             op13_sentencepiece)
     return {f.__name__: f for f in every}
