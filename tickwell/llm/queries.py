@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, licenses, line_dedup, near_dup, packing, pieces, quality, secrets, tokenfile
+from . import chat, decontam, langid, licenses, line_dedup, near_dup, packing, pieces, quality, runs, secrets, tokenfile
 from .storage import read_table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -72,6 +72,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *quality.MEASURES)
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = runs.find_runs(runs.with_planted_tail(_documents(spark, sf_dir, "text"))).withColumn("best", runs.strongest(F.col("runs")))
+    line = lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n"))
+    return out.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period", F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pieces.encode_documents(_documents(spark, sf_dir, "text"), PIECES)
     return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -79,5 +87,5 @@ def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (op1_chat_formatting, op2_line_dedup, op3_language_id, op4_minhash_near_dedup, op5_secret_scan, op6_token_files, op7_decontamination, op8_license_scan, op9_packing, op10_quality_rules,
-             op13_sentencepiece)
+             op12_periodic_runs, op13_sentencepiece)
     return {f.__name__: f for f in every}
