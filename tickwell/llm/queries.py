@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, licenses, line_dedup, near_dup, packing, pieces, quality, runs, secrets, tokenfile
+from . import chat, decontam, langid, licenses, line_dedup, near_dup, packing, pieces, quality, repair, runs, secrets, tokenfile
 from .storage import read_table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -72,6 +72,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *quality.MEASURES)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("bigint").alias("conv_id"), "turn", "role", "text")
+    return repair.repair_report(repair.damaged(turns), turns.select("conv_id").distinct())
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = runs.find_runs(runs.with_planted_tail(_documents(spark, sf_dir, "text"))).withColumn("best", runs.strongest(F.col("runs")))
     line = lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n"))
@@ -87,5 +92,5 @@ def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (op1_chat_formatting, op2_line_dedup, op3_language_id, op4_minhash_near_dedup, op5_secret_scan, op6_token_files, op7_decontamination, op8_license_scan, op9_packing, op10_quality_rules,
-             op12_periodic_runs, op13_sentencepiece)
+             op11_conversation_repair, op12_periodic_runs, op13_sentencepiece)
     return {f.__name__: f for f in every}
