@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickwell.sources import bronze as B
+from tickwell.sources import published as P
 
 D = dt.date
 
@@ -24,7 +25,7 @@ def ten(spark, close=10.0, seq=1):
 
 
 def table(spark, path):
-    return spark.read.parquet(path)
+    return B.read_stored(spark, path)
 
 
 def test_partial_then_full_write_gives_all_rows(spark, scratch):
@@ -62,7 +63,7 @@ def test_replace_components_empty_is_noop(spark, scratch):
     codes = spark.createDataFrame([("A",), ("B",), ("A",)], "code string")
     assert B.replace_components(spark, codes, path) == 2
     assert B.replace_components(spark, codes.limit(0), path) == 0
-    assert spark.read.parquet(path).count() == 2
+    assert table(spark, path).count() == 2
 
 
 def _files(path):
@@ -153,20 +154,100 @@ def test_duplicates_without_seq_keep_the_latest_whatever_their_order(spark, scra
     assert set(closes(spark, path).values()) == {2.0}
 
 
-def test_finished_stage_of_an_ended_run_is_copied_first(spark, scratch, monkeypatch):
+STEPS = ("dedup_last", "upsert_bronze", "_partitions", "rename_path")
+
+
+@pytest.mark.parametrize("step", [*STEPS, "publish"])
+def test_a_run_that_ends_anywhere_has_changed_nothing(spark, scratch, monkeypatch, step):
     path, stage = f"{scratch}/bronze", f"{scratch}/stage"
     B.upsert_into(spark, ten(spark), path, stage)
     with monkeypatch.context() as m:
-        m.setattr(B, "_copy_partitions", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
-        with pytest.raises(RuntimeError):
-            B.upsert_into(spark, ten(spark, close=12.0).filter("volume < 103"), path, stage)
+        m.setattr(B if step in STEPS else P, step, lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            B.upsert_into(spark, ten(spark, close=12.0).filter("volume < 108"), path, stage)
     assert set(closes(spark, path).values()) == {10.0}
     B.upsert_into(spark, ten(spark, close=13.0).filter("volume = 109"), path, stage)
-    assert sorted(closes(spark, path).values()) == [10.0] * 6 + [12.0] * 3 + [13.0]
+    assert sorted(closes(spark, path).values()) == [10.0] * 9 + [13.0]
     import os
     assert os.listdir(stage) == []
 
 
+def test_of_two_writers_the_second_is_refused_and_readers_see_one_state(spark, scratch, monkeypatch):
+    path, stage = f"{scratch}/bronze", f"{scratch}/stage"
+    B.upsert_into(spark, ten(spark), path, stage)
+    before = table(spark, path)  # a reader that has resolved the first publication
+    renamed, moved = B.rename_path, []
+
+    def rename(spark_, old, new):
+        renamed(spark_, old, new)
+        moved.append(new)
+        if len(moved) == 1:  # the first writer has one of its two years in place when the second comes and a reader looks
+            assert set(closes(spark, path).values()) == {10.0}
+            assert B.upsert_into(spark, ten(spark, close=20.0).filter("volume < 104"), path, stage) == 4
+            assert sorted(closes(spark, path).values()) == [10.0] * 6 + [20.0] * 4
+
+    monkeypatch.setattr(B, "rename_path", rename)
+    with pytest.raises(P.Conflict):
+        B.upsert_into(spark, ten(spark, close=12.0), path, stage)
+    assert sorted(closes(spark, path).values()) == [10.0] * 6 + [20.0] * 4
+    assert {float(r["close"]) for r in before.collect()} == {10.0}
+
+
+def test_an_unfinished_publication_does_not_count(spark, scratch):
+    path, stage = f"{scratch}/bronze", f"{scratch}/stage"
+    B.upsert_into(spark, ten(spark), path, stage)
+    with open(f"{path}/{P.FOLDER}/00000002.json", "w") as f:
+        f.write('{"parts": [')
+    assert set(closes(spark, path).values()) == {10.0}
+    with pytest.raises(P.Conflict):  # its writer may still be at it
+        B.upsert_into(spark, ten(spark, close=12.0), path, stage)
+    import os
+    os.utime(f"{path}/{P.FOLDER}/00000002.json", (1, 1))
+    B.upsert_into(spark, ten(spark, close=12.0), path, stage)
+    assert set(closes(spark, path).values()) == {12.0}
+
+
+def test_a_table_from_before_any_upsert_is_taken_over(spark, scratch):
+    import glob
+    path, stage = f"{scratch}/bronze", f"{scratch}/stage"
+    B.write_partitioned(ten(spark).drop("seq"), path)
+    for close in (11.0, 12.0, 13.0):
+        B.upsert_into(spark, ten(spark, close=close).filter("year(date) = 2024"), path, stage)
+    assert sorted(closes(spark, path).values()) == [10.0] * 4 + [13.0] * 6
+    assert "PartitionFilters: [isnotnull(year" in B.select_range(table(spark, path), ["AAA"], "2024-01-02", "2024-01-03")._jdf.queryExecution().executedPlan().toString()
+    # superseded folders go, but for those of the publication before
+    assert len(glob.glob(f"{path}/year=2024/load=*")) == 2 and not glob.glob(f"{path}/year=2024/*.parquet")
+
+
+def test_the_batch_is_evaluated_once(spark, scratch):
+    path, stage = f"{scratch}/bronze", f"{scratch}/stage"
+    B.upsert_into(spark, ten(spark), path, stage)
+    runs = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            runs.add(b.num_rows)
+            yield b
+
+    batch_ = ten(spark, close=12.0).coalesce(1)
+    assert B.upsert_into(spark, batch_.mapInArrow(seen, batch_.schema), path, stage) == 10
+    assert runs.value == 10
+
+
+def test_components_swap_that_stops_leaves_the_old_list(spark, scratch, monkeypatch):
+    path = f"{scratch}/components"
+    codes = spark.createDataFrame([("A",), ("B",)], "code string")
+    B.replace_components(spark, codes, path)
+    with monkeypatch.context() as m:
+        m.setattr(P, "publish", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            B.replace_components(spark, codes.filter("code = 'A'"), path)
+    assert table(spark, path).count() == 2
+    for _ in range(3):
+        assert B.replace_components(spark, table(spark, path).filter("code = 'B'"), path) == 1
+    assert [r["code"] for r in table(spark, path).collect()] == ["B"]
+
+
 def test_stored_rows_are_not_shuffled(spark):
     old, new = ten(spark).drop("seq"), ten(spark, close=2.0).filter("volume < 102")
     plan = B.upsert_bronze(old, new)._jdf.queryExecution().toString()

@@ -11,7 +11,12 @@ from pyspark.sql import functions as F
 
 from tickwell.operators import dashboard as D
 from tickwell.operators import gold, silver
-from tickwell.plans.warehouse import build_warehouse, run_pipeline
+from tickwell.operators import quality
+from tickwell.operators.indicators import Indicators
+from tickwell.plans import store as S
+from tickwell.plans import warehouse as W
+from tickwell.plans.store import Store
+from tickwell.plans.warehouse import build_warehouse, open_table, run_pipeline
 from tickwell.sources import fixtures
 
 from conftest import SF_SMOKE
@@ -42,12 +47,12 @@ def test_failing_silver_gate_keeps_the_last_good_layer(spark, scratch):
     with pytest.raises(QualityError) as e:
         build_warehouse(spark, dup, b.index, b.components, f"{scratch}/wh")
     assert e.value.failures == {"silver_prices.unique_combination(symbol, trade_date)": 1}
-    assert not os.path.exists(f"{scratch}/wh/silver_prices") and not os.path.exists(f"{scratch}/wh/fact_stock_price")
+    assert Store(spark, f"{scratch}/wh").tables == {}
     build_warehouse(spark, b.prices, b.index, b.components, f"{scratch}/wh", extracts=False)
-    good = spark.read.parquet(f"{scratch}/wh/silver_prices").count()
+    good = open_table(spark, f"{scratch}/wh", "silver_prices").count()
     with pytest.raises(QualityError):
         build_warehouse(spark, dup, b.index, b.components, f"{scratch}/wh", extracts=False)
-    assert spark.read.parquet(f"{scratch}/wh/silver_prices").count() == good
+    assert open_table(spark, f"{scratch}/wh", "silver_prices").count() == good > 0
 
 
 def test_null_keys_are_stopped_before_any_window(spark, scratch):
@@ -56,7 +61,7 @@ def test_null_keys_are_stopped_before_any_window(spark, scratch):
     with pytest.raises(QualityError) as e:
         build_warehouse(spark, bad, b.index, b.components, f"{scratch}/wh")
     assert list(e.value.failures) == ["bronze_prices.not_null(code)"]
-    assert not os.path.exists(f"{scratch}/wh/silver_prices")
+    assert Store(spark, f"{scratch}/wh").tables == {}
 
 
 def test_members_only_run_and_pruned_extract(spark, scratch):
@@ -73,3 +78,83 @@ def test_members_only_run_and_pruned_extract(spark, scratch):
 
 def b_fact_rows(spark, b):
     return gold.fact_stock_price(silver.silver_prices(b.prices, b.index)).count()
+
+
+@pytest.fixture()
+def small(spark):
+    """Few partitions, so few buckets and files."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+STOPS = [("write_entry", n) for n in (1, 3, 6)] + [("quality.enforce", 3), ("build_extracts", 1), ("published.publish", 1)]
+
+
+def test_a_run_that_stops_anywhere_leaves_all_layers_of_one_run(spark, scratch, monkeypatch, small):
+    """Two feeds with different closes: layers of both would not fit together."""
+    b = fixtures.load(spark, SF_SMOKE)
+    root, names = f"{scratch}/wh", ("silver_prices", "fact_stock_price", "fact_stock_indicators", "int_ema12")
+    few = b.prices.filter("code in ('S1', 'S2', 'S3')").persist()
+    build_warehouse(spark, few, b.index, b.components, root)
+    total = lambda name: open_table(spark, root, name).agg(F.sum("close_price" if "ema" not in name else "ema_12")).first()[0]
+    first = {n: total(n) for n in names}
+    other = few.withColumn("close", (F.col("close") + 1).cast("decimal(18,4)"))
+    for step, call in STOPS:
+        module, name = {"quality.enforce": (quality, "enforce"), "published.publish": (S.P, "publish")}.get(step, (W, step))
+        real, calls = getattr(module, name), []
+
+        def stops(*a, **k):
+            calls.append(1)
+            if len(calls) == call:
+                raise RuntimeError("stopped")
+            return real(*a, **k)
+
+        with monkeypatch.context() as m:
+            m.setattr(module, name, stops)
+            with pytest.raises(RuntimeError, match="stopped"):
+                build_warehouse(spark, other, b.index, b.components, root)
+        assert {n: total(n) for n in names} == first, step
+    rep = build_warehouse(spark, other, b.index, b.components, root, extracts=False)
+    second = {n: total(n) for n in names}
+    assert all(second[n] > first[n] for n in names)
+    assert Store(spark, root).info["build"] == rep.load
+    few.unpersist()
+
+
+def test_of_two_builds_the_second_to_finish_is_refused(spark, scratch, small):
+    b = fixtures.load(spark, SF_SMOKE)
+    few = b.prices.filter("code = 'S1'")
+    early = Store(spark, f"{scratch}/wh")
+    build_warehouse(spark, few, b.index, b.components, f"{scratch}/wh", extracts=False)
+    with pytest.raises(S.P.Conflict):
+        early.publish({}, {})
+    assert open_table(spark, f"{scratch}/wh", "dim_stock").count() == 1
+
+
+def test_stored_layout_needs_no_exchange_and_few_files(spark, scratch):
+    b = fixtures.load(spark, SF_SMOKE)
+    rep = build_warehouse(spark, b.prices, b.index, b.components, f"{scratch}/wh", extracts=False)
+    fact = open_table(spark, f"{scratch}/wh", "fact_stock_price")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan(Indicators(fact).fact()) and "Bucketed: true" in plan(Indicators(fact).fact())
+    silver_ = open_table(spark, f"{scratch}/wh", "silver_prices")
+    assert plan(quality.unique(silver_, ["symbol", "trade_date"], "silver", "x").frame).count("Exchange") == 1  # of one row a task
+    assert "Exchange" not in plan(gold.fact_stock_price(silver_))
+    both = silver_.select("symbol", "trade_date").join(fact.select("symbol", "trade_date", "row_num"), ["symbol", "trade_date"])
+    assert "Exchange" not in plan(both.hint("merge"))
+    for name in W.DAILY:
+        if name in rep.tables:
+            for year in os.listdir(rep.tables[name]):
+                if year.startswith("year="):
+                    assert len([f for f in os.listdir(f"{rep.tables[name]}/{year}") if f.endswith(".parquet")]) <= rep.buckets
+
+
+def test_old_builds_go_but_for_the_one_before(spark, scratch, small):
+    b = fixtures.load(spark, SF_SMOKE)
+    few, root = b.prices.filter("code = 'S1'"), f"{scratch}/wh"
+    for _ in range(4):
+        build_warehouse(spark, few, b.index, b.components, root, extracts=False)
+    full = [d for d in os.listdir(f"{root}/_builds") if any(f.endswith(".parquet") for _, _, fs in os.walk(f"{root}/_builds/{d}") for f in fs)]
+    assert len(full) == 2

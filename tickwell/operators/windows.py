@@ -65,13 +65,38 @@ def sma_col(period: int, value: str = "close_price", rn: str = "row_num") -> Col
     return F.when(F.col(rn) >= period, F.avg(value).over(trailing(period)))
 
 
+# Bands: prices (4 decimal places) and their squares (8) are exact in these
+# types, and so are their running sums and ``n * sum(x^2) - sum(x)^2`` of a
+# frame, which is n^2 times the variance. A flat frame has exactly 0.
+_PRICE, _SUM, _SQUARES = T.DecimalType(18, 4), T.DecimalType(28, 4), T.DecimalType(37, 8)
+_FRAME_SUM, _FRAME_SQUARES, _FRAME_ROWS = T.DecimalType(18, 4), T.DecimalType(33, 8), T.DecimalType(3, 0)
+
+
 def bollinger_frame(df: DataFrame, period: int = 20, width: float = 2.0, value: str = "close_price",
-                    rn: str = "row_num", upper: str = "bb_upper", lower: str = "bb_lower") -> DataFrame:
-    """W7 / W8 with the window mean and deviation evaluated once for both
-    bands (a sliding frame re-aggregates per row, so shared terms matter)."""
-    w = trailing(period)
-    ready = F.col(rn) >= period
-    out = df.withColumn("_bb_mid", F.avg(value).over(w)).withColumn("_bb_sd", F.stddev_pop(value).over(w))
-    return (out.withColumn(upper, F.when(ready, F.col("_bb_mid") + F.lit(width) * F.col("_bb_sd")))
-               .withColumn(lower, F.when(ready, F.col("_bb_mid") - F.lit(width) * F.col("_bb_sd")))
-               .drop("_bb_mid", "_bb_sd"))
+                    rn: str = "row_num", upper: str = "bb_upper", lower: str = "bb_lower",
+                    key: str = "symbol", order: str = "trade_date") -> DataFrame:
+    """Mean plus and minus ``width`` population deviations of the
+    non-null values among the last ``period`` rows (at most 999), null before
+    row ``period``.
+
+    As in ``with_sma`` a frame's sums are differences of two exact running
+    sums: O(1) a row, no sliding frame. Values count to 4 decimal places, as
+    prices have; a frame whose values sum to 10^14 or more has no bands."""
+    w = by_symbol(key, order)
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    x = F.col(value).cast(_PRICE)
+    out = df.withColumns({"_bs": F.coalesce(F.sum(x).over(run).cast(_SUM), F.lit(0).cast(_SUM)),
+                          "_bq": F.coalesce(F.sum(x * x).over(run).cast(_SQUARES), F.lit(0).cast(_SQUARES)),
+                          "_bn": F.count(value).over(run)})
+    since = lambda c, zero: F.col(c) - F.coalesce(F.lag(c, period).over(w), zero)
+    out = out.withColumns({"_fs": since("_bs", F.lit(0).cast(_SUM)).try_cast(_FRAME_SUM),
+                           "_fq": since("_bq", F.lit(0).cast(_SQUARES)).try_cast(_FRAME_SQUARES),
+                           "_fn": since("_bn", F.lit(0))})
+    n = F.col("_fn").cast("double")
+    spread = F.col("_fn").cast(_FRAME_ROWS) * F.col("_fq") - F.col("_fs") * F.col("_fs")
+    ready = (F.col(rn) >= period) & (F.col("_fn") > 0)
+    out = out.withColumns({"_bb_mid": F.when(ready, F.col("_fs").cast("double") / n),
+                           "_bb_sd": F.when(ready, F.sqrt(spread.cast("double")) / n)})
+    return (out.withColumn(upper, F.col("_bb_mid") + F.lit(width) * F.col("_bb_sd"))
+               .withColumn(lower, F.col("_bb_mid") - F.lit(width) * F.col("_bb_sd"))
+               .drop("_bs", "_bq", "_bn", "_fs", "_fq", "_fn", "_bb_mid", "_bb_sd"))

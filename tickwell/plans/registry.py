@@ -449,7 +449,7 @@ def q_components_replace(spark, sf_dir):
     B.replace_components(spark, b.prices.select("code").filter(F.col("volume") % 2 == 0), path)
     B.replace_components(spark, b.prices.join(b.components, "code", "left_semi").select("code"), path)
     B.replace_components(spark, b.components.filter("code is null"), path)
-    return spark.read.parquet(path).select("code")
+    return B.read_stored(spark, path).select("code")
 
 
 @query("needs_backfill")

@@ -4,17 +4,21 @@ bronze key gates -> silver tables -> silver gates -> price fact, indicators,
 market summary, stock dimension -> gold gates -> calendar CSV and dashboard
 payload (JSON lines).
 
-A layer is built in a folder of its own under ``<root>/_builds`` and takes
-the place of the stored one after its gates have passed: a failing gate
-leaves the last good layer. Within a build every table is written and the
-next step reads it back, so a lost executor costs at most the stage it was
-running. The daily tables are partitioned by year, which the extracts'
-bounds prune. Each layer's gates run once.
+A run writes into a folder of its own under ``<root>/_builds``. When all
+gates have passed and all is written, one publication names its tables, so
+readers (``open_table``) see all layers of one run: a failing gate, or a run
+that stops anywhere, leaves the last good state. Every table is written once
+and the next step reads it back, so a lost executor costs at most the stage
+it was running. The daily tables lie by year and in buckets by symbol
+(``store.py``): from the bronze scan to the indicators rows are dealt by
+symbol once, and gates over them add no exchange. Each layer's gates run
+once.
 """
 
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,93 +28,108 @@ from ..operators import dashboard as D
 from ..operators import gold, quality, silver
 from ..operators.indicators import Indicators
 from ..sources import bronze as B
+from . import store as S
 
 
 @dataclass
 class BuildReport:
     root: str
     build: str
+    buckets: int
     tables: dict[str, str] = field(default_factory=dict)
     gates: dict[str, list] = field(default_factory=dict)
+    entries: dict[str, dict] = field(default_factory=dict)
 
+    @property
+    def load(self) -> str:
+        return self.build.rsplit("/", 1)[-1]
 
-DAILY = ("silver_prices", "fact_stock_price", "fact_stock_indicators", "int_ema12", "int_ema26", "int_rsi14", "int_macd_line", "int_macd_signal")
 
+INTERMEDIATE = ("int_ema12", "int_ema26", "int_rsi14", "int_macd_line", "int_macd_signal")
+#: Tables that are written at the same time.
+WRITERS = 4
+DAILY = ("silver_prices", "fact_stock_price", "fact_stock_indicators", "wide", *INTERMEDIATE)
 
-def _write(report: BuildReport, name: str, df: DataFrame) -> DataFrame:
-    """Writes a table of the running build and reads it back. Daily tables
-    are partitioned by year from where their rows are: no shuffle."""
+
+def new_report(spark: SparkSession, root: str) -> BuildReport:
+    return BuildReport(root, f"{root}/_builds/{uuid.uuid4().hex}", S.bucket_count(spark))
+
+
+def write_entry(report: BuildReport, name: str, df: DataFrame) -> DataFrame:
+    """Writes a table of the running build and reads it back."""
     path = f"{report.build}/{name}"
     if name in DAILY:
-        (B.with_grain(df, date="trade_date").write.mode("overwrite").partitionBy("year").parquet(path))
+        report.entries[name] = S.write_daily(df, path, report.load, report.buckets)
     else:
         B.write_table(df, path)
-    return df.sparkSession.read.parquet(path)
-
-
-def _publish(spark: SparkSession, report: BuildReport, names) -> list[DataFrame]:
-    """Puts the built tables in the place of the stored ones."""
-    out = []
-    for name in names:
-        final, old = f"{report.root}/{name}", f"{report.build}/replaced-{name}"
-        if B.path_exists(spark, final):
-            B.rename_path(spark, final, old)
-        B.rename_path(spark, f"{report.build}/{name}", final)
-        report.tables[name] = final
-        out.append(spark.read.parquet(final))
-    return out
+        report.entries[name] = {"path": path}
+    report.tables[name] = path
+    return S.open_entry(df.sparkSession, report.entries[name])
 
 
 def build_silver(spark: SparkSession, prices: DataFrame, index: DataFrame, report: BuildReport):
     report.gates["bronze"] = quality.enforce(quality.bronze_gates(prices, index))
-    sp = _write(report, "silver_prices", silver.silver_prices(prices, index))
-    si = _write(report, "silver_index", silver.silver_index(index))
+    # dealt once, into the buckets: the windows of silver and all later steps keep that
+    dealt = prices.repartition(report.buckets, "code")
+    sp = write_entry(report, "silver_prices", silver.silver_prices(dealt, index))
+    si = write_entry(report, "silver_index", silver.silver_index(index))
     report.gates["silver"] = quality.enforce(quality.silver_gates(sp, si))
-    return _publish(spark, report, ("silver_prices", "silver_index"))
+    return sp, si
 
 
 def build_gold(spark: SparkSession, sp: DataFrame, si: DataFrame, components: DataFrame, report: BuildReport):
-    fact = _write(report, "fact_stock_price", gold.fact_stock_price(sp))
-    # The wide frame is stored once; the six indicator tables are projections of it.
-    ind = Indicators(fact, materialize=lambda wide: _write(report, "wide", wide))
-    _write(report, "int_ema12", ind.ema12())
-    _write(report, "int_ema26", ind.ema26())
-    _write(report, "int_rsi14", ind.rsi14())
-    _write(report, "int_macd_line", ind.line)
-    _write(report, "int_macd_signal", ind.signal)
-    indicators = _write(report, "fact_stock_indicators", ind.fact())
-    summary = _write(report, "fact_market_summary", gold.fact_market_summary(fact, si))
-    dim = _write(report, "dim_stock", gold.dim_stock(sp, components))
+    with S.bucketed_scans(spark):
+        fact = write_entry(report, "fact_stock_price", gold.fact_stock_price(sp))
+        # The wide frame is stored once; the six indicator tables are projections of it, which don't wait for each other.
+        ind = Indicators(fact, materialize=lambda wide: write_entry(report, "wide", wide))
+        frames = {"fact_stock_indicators": ind.fact(), "int_ema12": ind.ema12(), "int_ema26": ind.ema26(), "int_rsi14": ind.rsi14(),
+                  "int_macd_line": ind.line, "int_macd_signal": ind.signal,
+                  "fact_market_summary": gold.fact_market_summary(fact, si), "dim_stock": gold.dim_stock(sp, components)}
+        with ThreadPoolExecutor(WRITERS) as pool:
+            done = dict(zip(frames, pool.map(lambda x: write_entry(report, *x), frames.items()), strict=True))
+    indicators, summary, dim = (done[n] for n in ("fact_stock_indicators", "fact_market_summary", "dim_stock"))
     report.gates["gold"] = quality.enforce(quality.gold_gates(indicators, summary, dim))
-    names = ("fact_stock_price", "fact_stock_indicators", "fact_market_summary", "dim_stock")
-    out = _publish(spark, report, names)
-    _publish(spark, report, [n for n in DAILY if n.startswith("int_")])
-    return out
+    return fact, indicators, summary, dim
 
 
 def build_extracts(spark: SparkSession, prices: DataFrame, fact: DataFrame, indicators: DataFrame,
                    summary: DataFrame, dim: DataFrame, report: BuildReport) -> None:
     cal = K.data_years_calendar(prices, "date")
-    B.write_csv(cal.orderBy("date"), f"{report.root}/dim_date_csv")
-    report.tables["dim_date_csv"] = f"{report.root}/dim_date_csv"
-    extract = _write(report, "extract", D.with_pct_change(D.price_extract(fact, dim)))
-    series = _write(report, "indicator_extract", D.indicator_extract(indicators, dim, latest=D.max_date(fact).scalar()))
+    outputs = {n: f"{report.build}/{n}" for n in ("dim_date_csv", "dashboard_payload")}
+    B.write_csv(cal.orderBy("date"), outputs["dim_date_csv"])
+    extract = write_entry(report, "extract", D.with_pct_change(D.price_extract(fact, dim)))
+    series = write_entry(report, "indicator_extract", D.indicator_extract(indicators, dim, latest=D.max_date(fact).scalar()))
     payload = D.dashboard_payload(summary, extract, series)
-    B.write_ordered(payload, f"{report.root}/dashboard_payload", ["section", "key"])
-    report.tables["dashboard_payload"] = f"{report.root}/dashboard_payload"
+    B.write_ordered(payload, outputs["dashboard_payload"], ["section", "key"])
+    for name, path in outputs.items():
+        report.tables[name], report.entries[name] = path, {"path": path}
+
+
+def finish(spark: SparkSession, report: BuildReport, store: S.Store, dropped=("wide", "extract", "indicator_extract")) -> BuildReport:
+    """Publishes the build's tables and drops its temporary ones."""
+    for name in dropped:
+        if report.entries.pop(name, None):
+            B.delete_path(spark, report.tables.pop(name))
+    store.publish(report.entries, {"build": report.load})
+    return report
 
 
 def build_warehouse(spark: SparkSession, prices: DataFrame, index: DataFrame, components: DataFrame,
                     root: str, extracts: bool = True) -> BuildReport:
     """Run the whole rebuild; raises ``QualityError`` at the first failing
-    layer (silver gates stop the gold build)."""
-    report = BuildReport(root, f"{root}/_builds/{uuid.uuid4().hex}")
+    layer (silver gates stop the gold build), and ``published.Conflict``
+    where another run has published since this one started."""
+    store, report = S.Store(spark, root), new_report(spark, root)
     sp, si = build_silver(spark, prices, index, report)
     fact, indicators, summary, dim = build_gold(spark, sp, si, components, report)
     if extracts:
         build_extracts(spark, prices, fact, indicators, summary, dim, report)
-    B.delete_path(spark, report.build)
-    return report
+    return finish(spark, report, store)
+
+
+def open_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A stored table of the warehouse as last published."""
+    return S.Store(spark, root).table(name)
 
 
 def run_pipeline(spark: SparkSession, batch: DataFrame, index: DataFrame, components: DataFrame, bronze_path: str,
@@ -121,4 +140,4 @@ def run_pipeline(spark: SparkSession, batch: DataFrame, index: DataFrame, compon
     if members_only:
         batch = batch.join(components.select("code").distinct(), "code", "left_semi")
     B.upsert_into(spark, batch, bronze_path, f"{root}/_staging")
-    return build_warehouse(spark, spark.read.parquet(bronze_path), index, components, root, extracts)
+    return build_warehouse(spark, B.read_stored(spark, bronze_path), index, components, root, extracts)

@@ -8,15 +8,16 @@ contract ``code, date, open, high, low, close, volume, source``.
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
 from .. import schemas
 from ..functions.columns import tag_source
+from . import published as P
 
 
 class ContractError(ValueError):
@@ -25,27 +26,23 @@ class ContractError(ValueError):
 
 # --- storage ------------------------------------------------------------------
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether the path exists, in whatever store it names. A listing that
     fails raises: it never reads as "no table yet"."""
-    fs, p = _fs(spark, path)
+    fs, p = P.filesystem(spark, path)
     return fs.exists(p)
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
-    fs, p = _fs(spark, path)
+    fs, p = P.filesystem(spark, path)
     fs.delete(p, True)
 
 
 def rename_path(spark: SparkSession, old: str, new: str) -> None:
-    fs, a = _fs(spark, old)
-    if not fs.rename(a, _fs(spark, new)[1]):
+    fs, a = P.filesystem(spark, old)
+    b = P.filesystem(spark, new)[1]
+    fs.mkdirs(b.getParent())
+    if not fs.rename(a, b):
         raise OSError(f"could not rename {old} to {new}")
 
 
@@ -56,7 +53,28 @@ def read_bronze(spark: SparkSession, root: str, name: str, fmt: str = "parquet")
     ``bronze_components``) with its explicit schema. The partition columns
     (``year``, ``month``) stay, so that ``select_range`` prunes the scan."""
     schema = schemas.COMPONENTS if name.endswith("components") else schemas.BRONZE_BARS
-    return spark.read.format(fmt).schema(schema).load(f"{root}/{name}")
+    return read_stored(spark, f"{root}/{name}", fmt, schema)
+
+
+def read_stored(spark: SparkSession, path: str, fmt: str = "parquet", schema=None) -> DataFrame:
+    """A stored table as last published: the folders that the publication
+    names, read whole, whatever a writer is adding meanwhile. A table that
+    no upsert has published is read from its folder."""
+    reader = spark.read.format(fmt) if schema is None else spark.read.format(fmt).schema(schema)
+    number, state = P.latest(spark, path)
+    if not number:
+        return reader.load(path)
+    if "folder" in state:
+        return reader.load(f"{path}/{state['folder']}")
+    plain = [f"{path}/{x}" for x in state["parts"] if "/load=" not in x]
+    loads = [f"{path}/{x}" for x in state["parts"] if "/load=" in x]
+    reader = reader.option("basePath", path)
+    frames = [reader.load(x) for x in (plain, loads) if x]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [f.drop("load") for f in frames])
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    return bool(P.latest(spark, path)[0]) or path_exists(spark, path)
 
 
 # Partition grains: the reference's layout is by year. ("year", "month")
@@ -226,18 +244,22 @@ def replace_components(spark: SparkSession, codes: DataFrame, path: str) -> int:
     """IO8: truncate-and-load the constituent list with distinct codes; an
     empty list is a no-op (the stored list is kept). Returns the count.
 
-    The list is written beside the stored one and then takes its place, so
-    its input is evaluated once and may be the stored list itself."""
+    The list is written into a folder of its own, and a publication names it
+    then: readers (``read_stored``) have the old list or the new one, also
+    when a run ends in between, and the input may be the stored list."""
+    number, state = P.latest(spark, path)
     distinct = codes.select(F.col("code").cast("string")).filter(F.col("code").isNotNull()).distinct()
-    fresh = f"{path}.new"
-    distinct.withColumn("ingested_at", F.current_timestamp()).write.mode("overwrite").parquet(fresh)
-    n = spark.read.schema(schemas.COMPONENTS).parquet(fresh).count()
-    if n:
-        delete_path(spark, path)
-        rename_path(spark, fresh, path)
+    folder, seen = f"_list-{uuid.uuid4().hex}", Observation()
+    (distinct.withColumn("ingested_at", F.current_timestamp()).observe(seen, F.count(F.lit(1)).alias("n"))
+     .write.parquet(f"{path}/{folder}"))
+    if seen.get["n"]:
+        P.publish(spark, path, number, {"folder": folder, "before": state.get("folder")})
+        P.forget(spark, path, number)
+        if state.get("before"):  # readers of the list just replaced can finish
+            delete_path(spark, f"{path}/{state['before']}")
     else:
-        delete_path(spark, fresh)
-    return n
+        delete_path(spark, f"{path}/{folder}")
+    return seen.get["n"]
 
 
 # --- IO9 / IO10 / IO12 -------------------------------------------------------
@@ -279,15 +301,6 @@ def write_ordered(df: DataFrame, path: str, order, fmt: str = "json") -> None:
     out.format(fmt).save(path)
 
 
-def _copy_partitions(spark: SparkSession, stage: str, path: str, grain, keys) -> None:
-    staged = spark.read.parquet(stage)
-    # The staged files are already one set per touched partition and
-    # sorted; copy them into the table (no shuffle: each task writes the
-    # partitions it reads).
-    (staged.sortWithinPartitions(*grain, *keys).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*grain).parquet(path))
-
-
 def stored_grain(columns) -> tuple[str, ...]:
     return tuple(c for c in YEAR_MONTH if c in columns)
 
@@ -301,27 +314,26 @@ def upsert_into(spark: SparkSession, batch: DataFrame, path: str, staging_root:
     * Columns and grain are the stored table's; ``grain`` (by default years)
       counts for the first load only. A stored column that the batch lacks
       is null in its bars; a column that the table lacks is refused.
-    * A null key refuses the batch, with the count.
+    * The batch is evaluated once: its last bars are stored, and its rows and
+      null keys are counted as they pass. A null key refuses the batch.
     * Any failure to read the stored table is raised.
-    * All or nothing: the merged partitions are staged first (Parquet cannot
-      be overwritten while it is read) and then replace the table's with
-      dynamic partition overwrite. If a run ends between the two, the next
-      one finds the finished stage and copies it before its own merge; an
-      unfinished stage is dropped, as nothing of the table has changed. The
-      stage is removed after success. One writer per table at a time."""
-    stage = f"{staging_root}/upsert-{hashlib.sha256(path.encode()).hexdigest()[:16]}"
-    stored = spark.read.parquet(path) if path_exists(spark, path) else None
-    if path_exists(spark, stage):
-        if path_exists(spark, f"{stage}/_SUCCESS"):
-            _copy_partitions(spark, stage, path, stored_grain(spark.read.parquet(stage).columns), keys)
-            stored = spark.read.parquet(path)
-        delete_path(spark, stage)
-
-    audit = batch.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(k).isNull()).alias(f"null_{k}") for k in keys]).first()
-    if audit["rows"] == 0:
-        return 0
-    if any(audit[f"null_{k}"] for k in keys):
-        raise ContractError("batch has null keys: " + " ".join(f"{k}={audit[f'null_{k}']}" for k in keys))
+    * All or nothing: the merged partitions are written beside the stored
+      ones, each in a folder of this load, and one publication then names
+      the folders of every partition. Readers (``read_stored``) follow it.
+      Of two writers that started from the same publication the second is
+      refused (``published.Conflict``) and has changed nothing. The folders
+      that the publication before still names stay for its readers."""
+    number, state = P.latest(spark, path)
+    load = f"b{uuid.uuid4().hex}"
+    work = f"{staging_root}/upsert-{load}"
+    try:
+        return _upsert(spark, batch, path, keys, seq, grain, number, state, load, work)
+    finally:
+        delete_path(spark, work)
+
+
+def _upsert(spark, batch, path, keys, seq, grain, number, state, load, work) -> int:
+    stored = read_stored(spark, path) if number or path_exists(spark, path) else None
     if stored is None:
         grain, columns = grain or YEAR, [c for c in batch.columns if c != seq]
     else:
@@ -329,23 +341,61 @@ def upsert_into(spark: SparkSession, batch: DataFrame, path: str, staging_root:
         columns = [c for c in stored.columns if c not in grain]
         if unknown := sorted(set(batch.columns) - set(columns) - {seq}):
             raise ContractError(f"the table at {path} has no columns {unknown}")
-    new = dedup_last(batch, list(keys), batch_order(batch.columns, seq))
+    audit = Observation()
+    counted = batch.observe(audit, F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(k).isNull()).alias(f"null_{k}") for k in keys])
+    last = dedup_last(counted, list(keys), batch_order(batch.columns, seq))
     if stored is not None:
         kinds = stored.schema
-        new = new.select(*[(F.col(c) if c in new.columns else F.lit(None)).cast(kinds[c].dataType).alias(c) for c in columns])
+        last = last.select(*[(F.col(c) if c in last.columns else F.lit(None)).cast(kinds[c].dataType).alias(c) for c in columns])
+    last.select(*columns).write.parquet(f"{work}/batch")
+    if audit.get["rows"] == 0:
+        return 0
+    if any(audit.get[f"null_{k}"] for k in keys):
+        raise ContractError("batch has null keys: " + " ".join(f"{k}={audit.get[f'null_{k}']}" for k in keys))
+    new = spark.read.schema(last.select(*columns).schema).parquet(f"{work}/batch")
     if stored is None:
-        write_partitioned(new.select(*columns), stage, grain=grain)
+        write_partitioned(new, f"{work}/table", grain=grain)
     else:
         month = "month" in grain
         period = _period(F.year("date"), F.month("date") if month else None).alias("_p")
         # One value per touched partition: bounded by the calendar.
-        touched = [r["_p"] for r in batch.select(period).distinct().collect()]
+        touched = [r["_p"] for r in new.select(period).distinct().collect()]
         part = _period(F.col("year"), F.col("month") if month else None)
         merged = upsert_bronze(stored.filter(part.isin(touched)).select(*columns), new, keys, seq)
         # The stored files are already dealt and sorted: their rows stay in
         # the tasks that read them.
-        (with_grain(merged, grain).sortWithinPartitions(*grain, *keys).write.mode("overwrite")
-         .partitionBy(*grain).parquet(stage))
-    _copy_partitions(spark, stage, path, grain, keys)
-    delete_path(spark, stage)
+        (with_grain(merged, grain).sortWithinPartitions(*grain, *keys).write.partitionBy(*grain).parquet(f"{work}/table"))
+    fresh = _partitions(spark, f"{work}/table", len(grain))
+    parts = state.get("parts") if number else _partitions(spark, path, len(grain)) if stored is not None else []
+    kept = [x for x in parts if x.split("/load=")[0] not in fresh]
+    for x in fresh:
+        rename_path(spark, f"{work}/table/{x}", f"{path}/{x}/load={load}")
+    P.publish(spark, path, number, {"parts": sorted(kept + [f"{x}/load={load}" for x in fresh]), "before": sorted(parts)})
+    P.forget(spark, path, number)
+    for x in set(state.get("before", [])) - set(parts):
+        _drop_part(spark, path, x)
     return new.count()
+
+
+def _drop_part(spark: SparkSession, path: str, part: str) -> None:
+    """A partition's superseded folder; of one from before the first publication the files alone."""
+    if "/load=" in part:
+        delete_path(spark, f"{path}/{part}")
+        return
+    fs, p = P.filesystem(spark, f"{path}/{part}")
+    for s in fs.listStatus(p) if fs.exists(p) else []:
+        if s.isFile():
+            fs.delete(s.getPath(), False)
+
+
+def _partitions(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """The partition folders under ``path``, relative to it."""
+    out = [""]
+    for _ in range(depth):
+        found = []
+        for x in out:
+            fs, p = P.filesystem(spark, f"{path}/{x}" if x else path)
+            names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+            found += [f"{x}/{n}" if x else n for n in names if "=" in n]
+        out = found
+    return sorted(out)
