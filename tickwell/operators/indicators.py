@@ -87,11 +87,27 @@ def rsi(fact: DataFrame, period: int = C.RSI_PERIOD, block: int | None = None) -
     return wilder(fact, period, block).select("symbol", "trade_date", rsi_col().alias(f"rsi_{period}"))
 
 
+# What the recursions need of all rows before, in the order of their specs.
+CARRIED = ("ema_12", "ema_26", "avg_gain", "avg_loss", "macd_signal")
+
+
+def _carried(spec: ScanSpec, rows: DataFrame, state: str) -> ScanSpec:
+    """A recursion that goes on from a stored state, in a frame that has one:
+    rows with ``_pos`` 0 are the last ones stored, whose value is given
+    (``_state``); rows before it (-1) are there for the windows only and add
+    nothing; all others, and keys without a state, are as usual."""
+    if "_pos" not in rows.columns:
+        return spec
+    b = F.when(F.col("_pos") < 0, F.lit(0.0)).when(F.col("_pos") == 0, F.col(f"_state.{state}")).otherwise(spec.b)
+    return ScanSpec(spec.name, spec.a, b)
+
+
 def _core(fact: DataFrame, block: int | None) -> DataFrame:
     """EMA fast, EMA slow and both Wilder averages in one scan."""
     specs = [ema_spec(C.EMA_FAST, "close_price", "ema_12"),
              ema_spec(C.EMA_SLOW, "close_price", "ema_26"),
              *wilder_specs(C.RSI_PERIOD)]
+    specs = [_carried(x, fact, state) for x, state in zip(specs, CARRIED, strict=False)]
     return linear_scan(fact, specs, "symbol", "row_num", block, keep_blocks=True)
 
 
@@ -123,7 +139,7 @@ def _with_macd(core: DataFrame, block: int | None) -> DataFrame:
                 .withColumn("_line_rn", F.col("row_num") - F.lit(LINE_OFFSET)))
     # Ordered as the first scan left the rows, so nothing is sorted again.
     spec = ema_spec(C.MACD_SIGNAL, "macd_line", "_sig", rn="_line_rn", order=["_blk", "row_num"])
-    out = linear_scan(rows, [spec], "symbol", "row_num", block)
+    out = linear_scan(rows, [_carried(spec, rows, CARRIED[-1])], "symbol", "row_num", block)
     ready = (F.col("_line_rn") >= C.MACD_SIGNAL) & F.col("macd_line").isNotNull()
     return out.withColumn("macd_signal", F.when(ready, F.col("_sig"))).drop("_sig", "_line_rn")
 
@@ -152,7 +168,8 @@ class Indicators:
     def __init__(self, fact: DataFrame, block: int | None = None, materialize=None):
         """``materialize`` (optional) cuts the lineage of the wide frame,
         which every projection below reuses."""
-        base = with_sma(fact.select("symbol", "trade_date", "row_num", "close_price", "gain", "loss"),
+        carried = [c for c in ("_pos", "_state") if c in fact.columns]
+        base = with_sma(fact.select("symbol", "trade_date", "row_num", "close_price", "gain", "loss", *carried),
                         {"ma50": C.MA_SHORT, "ma200": C.MA_LONG})
         # The averages, bands and scan seeds share one window specification
         # (symbol, trade_date), so they are evaluated by one window operator.
@@ -164,25 +181,37 @@ class Indicators:
             "ma50", "ma200", "bb_upper", "bb_lower",
             F.when(F.col("row_num") >= C.RSI_PERIOD + 1, rsi_col()).alias("rsi_14"),
             "macd_line", "macd_signal",
-            (F.col("macd_line") - F.col("macd_signal")).alias("macd_histogram"))
+            (F.col("macd_line") - F.col("macd_signal")).alias("macd_histogram"),
+            "gain", "loss", "avg_gain", "avg_loss")
         self.wide = materialize(wide) if materialize is not None else wide
-        self.line = macd_line(self.wide)
-        self.signal = macd_signal(self.wide)
+        self.tables = projections(self.wide)
+        self.line, self.signal = self.tables["int_macd_line"], self.tables["int_macd_signal"]
 
     def ema12(self) -> DataFrame:
-        return self.wide.filter(F.col("row_num") >= C.EMA_FAST).select("symbol", "trade_date", "ema_12")
+        return self.tables["int_ema12"]
 
     def ema26(self) -> DataFrame:
-        return self.wide.filter(F.col("row_num") >= C.EMA_SLOW).select("symbol", "trade_date", "ema_26")
+        return self.tables["int_ema26"]
 
     def rsi14(self) -> DataFrame:
-        return self.wide.filter(F.col("row_num") >= C.RSI_PERIOD + 1).select("symbol", "trade_date", "rsi_14")
+        return self.tables["int_rsi14"]
 
     def fact(self) -> DataFrame:
         """R7 + J4: one row per price-fact row (warm-up rows keep nulls, as
         the left joins of the indicator tables give)."""
-        return self.wide.select("symbol", "trade_date", "close_price", "ma50", "ma200", "bb_upper", "bb_lower",
-                                "rsi_14", "macd_line", "macd_signal", "macd_histogram")
+        return self.tables["fact_stock_indicators"]
+
+
+def projections(wide: DataFrame) -> dict[str, DataFrame]:
+    """The indicator tables as projections of the wide frame's rows."""
+    from_row = lambda n: wide.filter(F.col("row_num") >= n)
+    return {
+        "fact_stock_indicators": wide.select("symbol", "trade_date", "close_price", "ma50", "ma200", "bb_upper", "bb_lower",
+                                             "rsi_14", "macd_line", "macd_signal", "macd_histogram"),
+        "int_ema12": from_row(C.EMA_FAST).select("symbol", "trade_date", "ema_12"),
+        "int_ema26": from_row(C.EMA_SLOW).select("symbol", "trade_date", "ema_26"),
+        "int_rsi14": from_row(C.RSI_PERIOD + 1).select("symbol", "trade_date", "rsi_14"),
+        "int_macd_line": macd_line(wide), "int_macd_signal": macd_signal(wide)}
 
 
 def fact_stock_indicators(fact: DataFrame, block: int | None = None, materialize=None) -> DataFrame:

@@ -27,6 +27,7 @@ from ..operators import calendar as K
 from ..operators import dashboard as D
 from ..operators import gold, quality, silver
 from ..operators.indicators import Indicators
+from ..operators.state import last_bars, symbol_state
 from ..sources import bronze as B
 from . import store as S
 
@@ -82,9 +83,7 @@ def build_gold(spark: SparkSession, sp: DataFrame, si: DataFrame, components: Da
         fact = write_entry(report, "fact_stock_price", gold.fact_stock_price(sp))
         # The wide frame is stored once; the six indicator tables are projections of it, which don't wait for each other.
         ind = Indicators(fact, materialize=lambda wide: write_entry(report, "wide", wide))
-        frames = {"fact_stock_indicators": ind.fact(), "int_ema12": ind.ema12(), "int_ema26": ind.ema26(), "int_rsi14": ind.rsi14(),
-                  "int_macd_line": ind.line, "int_macd_signal": ind.signal,
-                  "fact_market_summary": gold.fact_market_summary(fact, si), "dim_stock": gold.dim_stock(sp, components)}
+        frames = {**ind.tables, "fact_market_summary": gold.fact_market_summary(fact, si), "dim_stock": gold.dim_stock(sp, components)}
         with ThreadPoolExecutor(WRITERS) as pool:
             done = dict(zip(frames, pool.map(lambda x: write_entry(report, *x), frames.items()), strict=True))
     indicators, summary, dim = (done[n] for n in ("fact_stock_indicators", "fact_market_summary", "dim_stock"))
@@ -105,26 +104,35 @@ def build_extracts(spark: SparkSession, prices: DataFrame, fact: DataFrame, indi
         report.tables[name], report.entries[name] = path, {"path": path}
 
 
-def finish(spark: SparkSession, report: BuildReport, store: S.Store, dropped=("wide", "extract", "indicator_extract")) -> BuildReport:
-    """Publishes the build's tables and drops its temporary ones."""
-    for name in dropped:
+TEMPORARY = ("wide", "extract", "indicator_extract")
+
+
+def finish(spark: SparkSession, report: BuildReport, store: S.Store, info: dict | None = None, keep: dict | None = None) -> BuildReport:
+    """Publishes the build's tables (and those of ``keep`` that it didn't
+    write) and drops its temporary ones."""
+    for name in TEMPORARY:
         if report.entries.pop(name, None):
             B.delete_path(spark, report.tables.pop(name))
-    store.publish(report.entries, {"build": report.load})
+    store.publish({**(keep or {}), **report.entries}, {"build": report.load, **(info or {})})
     return report
 
 
 def build_warehouse(spark: SparkSession, prices: DataFrame, index: DataFrame, components: DataFrame,
-                    root: str, extracts: bool = True) -> BuildReport:
+                    root: str, extracts: bool = True, state: bool = False, info: dict | None = None) -> BuildReport:
     """Run the whole rebuild; raises ``QualityError`` at the first failing
     layer (silver gates stop the gold build), and ``published.Conflict``
-    where another run has published since this one started."""
+    where another run has published since this one started. With ``state``
+    the rows from which the daily run goes on are stored too; ``info`` is
+    kept with the publication."""
     store, report = S.Store(spark, root), new_report(spark, root)
     sp, si = build_silver(spark, prices, index, report)
     fact, indicators, summary, dim = build_gold(spark, sp, si, components, report)
+    if state:
+        wide = S.open_entry(spark, report.entries["wide"])
+        write_entry(report, "symbol_state", symbol_state(wide, last_bars(prices)))
     if extracts:
         build_extracts(spark, prices, fact, indicators, summary, dim, report)
-    return finish(spark, report, store)
+    return finish(spark, report, store, info)
 
 
 def open_table(spark: SparkSession, root: str, name: str) -> DataFrame:
