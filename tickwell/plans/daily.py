@@ -16,6 +16,7 @@ Each run adds a folder a year with at most one file for each bucket; a full rebu
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,9 +74,10 @@ def run_daily(spark: SparkSession, batch: DataFrame, index: DataFrame, component
     since_year = days["corrected"].year if days["corrected"] else None
     columns = [c for c in prices.columns if c not in B.YEAR_MONTH]
     wanted = prices.select(*columns).join(redone, F.col("code") == F.col("symbol"), "left_semi")
-    again = W.write_entry(report, "again_silver", silver.silver_prices(wanted, index))
-    again_fact = W.write_entry(report, "again_fact", gold.fact_stock_price(again))
-    again_wide = W.write_entry(report, "again_wide", Indicators(again_fact).wide)
+    stored = (lambda name, df: W.write_entry(report, name, df)) if since_year else (lambda name, df: spark.createDataFrame([], df.schema))
+    again = stored("again_silver", silver.silver_prices(wanted, index))
+    again_fact = stored("again_fact", gold.fact_stock_price(again))
+    again_wide = stored("again_wide", Indicators(again_fact).wide)
 
     # the others: from their states
     kinds = prices.schema
@@ -89,8 +91,8 @@ def run_daily(spark: SparkSession, batch: DataFrame, index: DataFrame, component
 
     fresh = {"silver_prices": (new, again), "fact_stock_price": (new_fact, again_fact)}
     fresh |= {n: (a, projections(again_wide)[n]) for n, a in projections(new_wide).items()}
-    for name, (added, replaced) in fresh.items():
-        _change(report, store, name, added, replaced, redone, since_year)
+    with S.bucketed_scans(spark), ThreadPoolExecutor(W.WRITERS) as pool:  # the tables don't wait for each other
+        list(pool.map(lambda x: _change(report, store, x[0], *x[1], redone, since_year), fresh.items()))
     after = {n: S.open_daily(spark, report.entries[n]) for n in fresh}
 
     si = W.write_entry(report, "silver_index", silver.silver_index(index))
@@ -113,8 +115,8 @@ def run_daily(spark: SparkSession, batch: DataFrame, index: DataFrame, component
     if extracts:
         W.build_extracts(spark, prices, after["fact_stock_price"], after["fact_stock_indicators"], summary, dim, report)
     for name in ("redone", "again_silver", "again_fact", "again_wide", "new_silver", "new_frame", "new_wide"):
-        report.entries.pop(name)
-        B.delete_path(spark, report.tables.pop(name))
+        if report.entries.pop(name, None):
+            B.delete_path(spark, report.tables.pop(name))
     B.delete_path(spark, f"{report.build}/batch")
     return W.finish(spark, report, store, info, keep=store.tables)
 

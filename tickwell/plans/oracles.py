@@ -518,9 +518,14 @@ def _err(c: str) -> str:
     ELSE ABS(r.{c} - i.{c}) / ABS(r.{c}) * 100.0 END"""
 
 
+def _power(c: str) -> str:
+    return f"CAST(CASE WHEN {c} > 0 THEN FLOOR(LOG10({c})) ELSE 0 END AS BIGINT)"
+
+
 ORACLES["macd_acceptance"] = S.compose(f"""
-SELECT symbol, line_rows, signal_rows, ROUND(LEAST(line_err, 100.0), 4) AS max_line_err,
-  ROUND(LEAST(signal_err, 100.0), 4) AS max_signal_err, line_err < 0.1 AND signal_err < 0.1 AS passed
+SELECT symbol, line_rows, signal_rows, ROUND(line_err / pow(10.0, {_power('line_err')}), 3) AS max_line_err,
+  {_power('line_err')} AS line_err_power, ROUND(signal_err / pow(10.0, {_power('signal_err')}), 3) AS max_signal_err,
+  {_power('signal_err')} AS signal_err_power, line_err < 0.1 AND signal_err < 0.1 AS passed
 FROM (
   SELECT i.symbol, CAST(COUNT(*) FILTER (WHERE i.macd_line IS NOT NULL AND r.macd_line IS NOT NULL) AS BIGINT) AS line_rows,
     CAST(COUNT(*) FILTER (WHERE i.macd_signal IS NOT NULL AND r.macd_signal IS NOT NULL) AS BIGINT) AS signal_rows,
@@ -664,5 +669,12 @@ ORACLES["dashboard_payload"] = S.compose("\nUNION ALL\n".join([
 ]), "pl_latest", "pl_market", "pl_breadth", "pl_top", "movers", "pl_symbols", "pl_series")
 
 
+# --- stored tables and runs, read back
+ORACLES |= {"stored_fact": ORACLES["fact_stock_price"], "dim_date_csv": ORACLES["dim_date"], "warehouse_run": ORACLES["fact_market_summary"],
+            "daily_run": ORACLES["fact_stock_indicators"]}
+ORACLES["ordered_sink"] = S.compose("""
+SELECT symbol, trade_date, close_price, ROW_NUMBER() OVER (ORDER BY trade_date, symbol) - 1 AS position FROM silver_prices""", "silver_prices")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
