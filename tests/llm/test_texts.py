@@ -1,9 +1,12 @@
 """Chat formatting, language identification, secrets, licenses, token files and packing against brute force or round trips."""
 
 import base64
+import bz2
 import gzip
+import lzma
 import os
 import sys
+import time
 import urllib.parse
 import zlib
 
@@ -231,6 +234,37 @@ def test_layers_over_lines_at_any_alignment_and_under_escapes(wrap):
     assert spans and all(4 <= a < b <= 4 + len(coded) for a, _, b in spans)
 
 
+@pytest.mark.parametrize("wrap", [
+    lambda s: gzip.compress(s).decode("latin-1"), lambda s: zlib.compress(s).decode("latin-1"), lambda s: zlib.compress(s, 1).decode("latin-1"), lambda s: zlib.compress(s, 3).decode("latin-1"),
+    lambda s: zlib.compress(s, 9).decode("latin-1"), lambda s: bz2.compress(s).decode("latin-1"), lambda s: lzma.compress(s).decode("latin-1"), lambda s: b64(bz2.compress(s)), lambda s: b64(lzma.compress(s)),
+    lambda s: b64(s.decode().encode("utf-16")), lambda s: b64(s.decode().encode("utf-16-le")), lambda s: b64(s.decode().encode("utf-16-be")), lambda s: b64(gzip.compress(lzma.compress(bz2.compress(s)))),
+    lambda s: "".join(f"%{b:02X}" for b in bz2.compress(s)), lambda s: "".join(f"\\x{b:02x}" for b in lzma.compress(s)), lambda s: repr(bz2.compress(s)), lambda s: urllib.parse.quote(zlib.compress(s, 3)),
+])
+def test_every_kind_of_stream_is_found_by_the_column_scan(wrap):
+    """Also where nothing else in the text makes it a suspect; random tails make streams that look different."""
+    r = np.random.default_rng(5)
+    texts = [f"note {wrap(SECRET.encode() + bytes(r.integers(97, 123, r.integers(0, 40), np.uint8)))}" for _ in range(40)]
+    _, _, every = secrets.scan_column(pa.array(texts, pa.string()))
+    for text, found in zip(texts, every, strict=True):
+        assert "assign:" in found and found == secrets.joined(secrets.all_spans(text)[1])
+
+
+def test_the_column_scan_passes_over_nothing():
+    r = np.random.default_rng(9)
+    parts = ["x^2", "%41", "\\x41", "x\x01", "x\xda", "\x1f\x8b\x08", SECRET, b64(SECRET.encode()), "é", " ", "a" * 40, "0f" * 20, "\n", zlib.compress(SECRET.encode()).decode("latin-1"), "'", '"']
+    texts = ["".join(parts[i] for i in r.integers(0, len(parts), r.integers(0, 8))) for _ in range(800)]
+    _, _, every = secrets.scan_column(pa.array(texts, pa.string()))
+    assert every == [secrets.joined(secrets.all_spans(t)[1]) for t in texts]
+
+
+@pytest.mark.parametrize("unit", ["\\alpha x^2 + ", "x^", "%41 x^", "%78%01", "\\x78\\x01", "x\x01", "\x1f\x8b\x08\x08", "%1f%8b%08%08", "x\xda", "BZh91AY&SY", "'\\x78\\x01", "%", "\\", "QUJD"])
+def test_a_long_line_takes_time_in_proportion(unit):
+    text = unit * ((1 << 20) // len(unit))
+    began = time.process_time()
+    secrets.all_spans(text)
+    assert time.process_time() - began < 40
+
+
 def test_layers_end():
     text = b64(b64(b64(b"harmless words without any")  .encode()).encode()) * 3 + "%25" * 400
     assert secrets.all_spans(text)[0] == []

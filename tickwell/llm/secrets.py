@@ -2,13 +2,18 @@
 
 The base patterns run over every text. Encoded layers are unwrapped and scanned in turn: URL escapes and Unicode
 escapes (the line that holds them, decoded), base64 tokens (over line breaks too; where one doesn't decode whole, what is
-readable or compressed at any of its four alignments), and what is compressed inside them or under escapes (gzip, zlib).
+readable or compressed at any of its four alignments; UTF-16 text too), and what is compressed inside them, under escapes
+or as code points (gzip, zlib, bzip2, xz).
 Every layer keeps, for each of its code points, the span of the original text it came from, so what is found in a layer
 is reported where it stands in the document. Layers go on a worklist until no new one appears; a text or compressed
 stream that has been seen at the same place is not opened again, so cycles end.
 
 Texts that can hold neither a base match nor an encoded layer are passed over after one look at their bytes: every
-pattern needs a key word, ``AKIA``, a long enough run of its characters, or an escape.
+pattern needs a key word, ``AKIA``, a long enough run of its characters, an escape, or the first bytes of a compressed
+stream as code points.
+
+A run of escapes is decoded once, and the beginnings of streams are looked for in its bytes; a beginning is tried on its
+first bytes before the rest is touched, so a line's time is in proportion to its length.
 
 A compressed stream is read to its end, all its members, in chunks of ``CHUNK`` bytes, so a decompression bomb takes time
 but no memory. Chunks are cut between lines that are no base64; where there is no such place in ``CARRY`` characters,
@@ -21,8 +26,10 @@ result.
 from __future__ import annotations
 
 import base64
+import bz2
 import codecs
 import hashlib
+import lzma
 import re
 import zlib
 from collections.abc import Callable, Iterator
@@ -55,15 +62,19 @@ BREAK = re.compile(r"[ \t]*(?:\r?\n|(?:\\r)?\\n)[ \t]*")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{%d,}+(?:%s[A-Za-z0-9+/_-]{%d,}+)*+(?:%s[A-Za-z0-9+/_-]+(?=[=\s\"'\\<,;)\]}]|$))?={0,2}" % (MIN_BASE64, BREAK.pattern, MIN_BASE64, BREAK.pattern))
 #: Readable stretches of bytes that can hold a match or a layer.
 READABLE = re.compile(rb"(?:[\t\r\n\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}){12,}")
-# how compressed streams begin: as bytes, code points, URL escapes, string escapes
-HEAD = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]")
-POINTS = re.compile("(?:\x1f\x8b\x08|x[\x01\x9c\xda])[\x00-\xff]*")
-URL_STREAM = re.compile(r"(?:%1f%8b%08|(?:x|%78)(?:%01|%5e|\^|%9c|%da))(?:%[0-9a-f]{2}|[a-z0-9_.~!*'()$+,;:@/^-])*", re.IGNORECASE | re.ASCII)
-STRING_STREAM = re.compile(r"""(?:\\x1f\\x8b(?:\\x08|\\b)|(?:x|\\x78)(?:\\x01|\\x5e|\^|\\x9c|\\xda))(?:\\x[0-9a-f]{2}|\\[abfnrtv0'"\\]|[\x20-\x5b\x5d-\x7e])*""", re.IGNORECASE | re.ASCII)
+# how compressed streams begin: as bytes, and as code points in UTF-8
+HEAD = re.compile(rb"\x1f\x8b\x08|x[\x01\x5e\x9c\xda]|BZh[1-9]1AY&SY|\xfd7zXZ\0")
+POINT_HEAD = re.compile(rb"\x1f\xc2\x8b\x08|x(?:\x01|\x5e|\xc2\x9c|\xc3\x9a)|BZh[1-9]1AY&SY|\xc3\xbd7zXZ\0")
+# runs that stand for bytes, and one byte's characters in them: code points, URL escapes, string escapes
+POINTS = re.compile("[\x00-\xff]+"), re.compile("[\x00-\xff]")
+URL_RUN = re.compile(r"(?:%[0-9a-f]{2}|[a-z0-9_.~!*'()$+,;:@/^-])+", re.IGNORECASE | re.ASCII), re.compile(r"%[0-9A-Fa-f]{2}|[^%]")
+STRING_RUN = re.compile(r"""(?:\\x[0-9A-Fa-f]{2}|\\[abfnrtv0'"\\]|[\x20-\x5b\x5d-\x7e])+"""), re.compile(r"\\x[0-9A-Fa-f]{2}|\\.|[^\\]")
 BLOCK = 64 << 10
 CHUNK = 4 << 20
 CARRY = 32 << 20
 OVERLAP = 1 << 20
+#: An xz stream that asks for a larger dictionary counts as faulty.
+XZ_MEMORY = 128 << 20
 
 _HEX_BYTE = T._class(lambda b: chr(b) in "0123456789abcdef")
 _B64_BYTE = T._class(lambda b: b < 0x80 and (chr(b).isalnum() or chr(b) in "+/_-"))
@@ -163,7 +174,8 @@ class Stream:
 
 
 def _compressed(raw: bytes) -> bool:
-    return bytes(raw[:2]) == b"\x1f\x8b" or (len(raw) > 2 and raw[0] & 15 == 8 and (raw[0] << 8 | raw[1]) % 31 == 0)
+    return (bytes(raw[:2]) == b"\x1f\x8b" or (len(raw) > 2 and raw[0] & 15 == 8 and (raw[0] << 8 | raw[1]) % 31 == 0)
+            or bytes(raw[:3]) == b"BZh" or bytes(raw[:6]) == b"\xfd7zXZ\0")
 
 
 def _blocks(raw: bytes, at: int = 0) -> Iterator[bytes]:
@@ -171,6 +183,31 @@ def _blocks(raw: bytes, at: int = 0) -> Iterator[bytes]:
         yield raw[lo:lo + BLOCK]
 
 
+class _Zlib:
+    """A zlib or gzip member with the interface of the other decompressors."""
+
+    def __init__(self) -> None:
+        self.member, self.rest = zlib.decompressobj(47), b""
+
+    def decompress(self, data: bytes, most: int) -> bytes:
+        out = self.member.decompress(self.rest + data, most)
+        self.rest = self.member.unconsumed_tail
+        self.full = len(out) == most
+        return out
+
+    needs_input = property(lambda self: not self.rest and not self.full)
+    eof = property(lambda self: self.member.eof)
+    unused_data = property(lambda self: self.member.unused_data)
+
+
+def _member(head: bytes):
+    return bz2.BZ2Decompressor() if head[:3] == b"BZh" else lzma.LZMADecompressor(lzma.FORMAT_XZ, XZ_MEMORY) if head[:1] == b"\xfd" else _Zlib()
+
+
+#: What the decompressors raise at a fault.
+FAULTS = (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError)
+
+
 def _inflated(blocks: Iterator[bytes]) -> Iterator[bytes]:
     """What a compressed stream and the members after it hold, up to their end or a fault."""
     member, rest, first = None, b"", True
@@ -179,27 +216,67 @@ def _inflated(blocks: Iterator[bytes]) -> Iterator[bytes]:
         while rest:
             if member is None:
                 rest = rest if first else rest.lstrip(b"\0")
-                if len(rest) < 3:
+                if len(rest) < 6:
                     break
                 if not _compressed(rest):
                     return
-                member, first = zlib.decompressobj(47), False
+                member, first = _member(rest), False
             try:
-                out = member.decompress(rest, CHUNK)
-                rest = member.unconsumed_tail
+                out, rest = member.decompress(rest, CHUNK), b""
                 yield out
-                while len(out) == CHUNK and not member.eof:  # all input taken, more output waits
-                    out = member.decompress(rest, CHUNK)
-                    rest = member.unconsumed_tail
-                    yield out
-            except zlib.error:
+                while not member.eof and not member.needs_input:  # all input taken, more output waits
+                    yield member.decompress(b"", CHUNK)
+            except FAULTS:
                 return
             if member.eof:
                 rest, member = member.unused_data, None
 
 
-def _opens(raw: bytes, at: int = 0) -> bool:
-    return _compressed(raw[at:at + 3]) and any(_inflated(_blocks(raw, at)))
+def _deflate_at(raw: bytes, at: int) -> int:
+    """Where the data behind a gzip header begins; past the end where the header has none."""
+    flags, at = (raw[at + 3] if at + 3 < len(raw) else 0), at + 10
+    if flags & 4:
+        at += 2 + int.from_bytes(raw[at:at + 2], "little")
+    for flag in (8, 16):
+        if flags & flag:
+            end = raw.find(b"\0", at)
+            at = len(raw) + 1 if end < 0 else end + 1
+    return at + 2 * (flags >> 1 & 1)
+
+
+class _Opener:
+    """Tells where in some bytes a compressed stream begins that gives anything."""
+
+    def __init__(self, raw: bytes) -> None:
+        self.raw, self.last, self.faulty = raw, raw.rfind(b"\0"), set()
+
+    def __call__(self, at: int) -> bool:
+        raw = self.raw
+        if not _compressed(raw[at:at + 6]):
+            return False
+        start = at
+        if raw[at] == 0x1F:
+            if raw[at + 3:at + 4] and raw[at + 3] & 24 and self.last < at + 10:
+                return False  # its name has no end
+            start = _deflate_at(raw, at)
+            if start >= len(raw) or start in self.faulty:
+                return False
+        try:  # a fault in the first bytes is one of the whole
+            if raw[at] == 0x1F:
+                zlib.decompressobj(-15).decompress(raw[start:start + 256], 4096)
+            else:
+                _member(raw[at:at + 6]).decompress(raw[at:at + 256], 4096)
+        except FAULTS:
+            self.faulty.add(start)
+            return False
+        if any(_inflated(_blocks(raw, at))):
+            return True
+        self.faulty.add(start)
+        return False
+
+
+def _opens(raw: bytes) -> bool:
+    return _Opener(raw)(0)
 
 
 def _cut(text: str) -> int:
@@ -238,19 +315,46 @@ def _unpacked(stream: Stream) -> Iterator[Layer | Stream]:
 
 def _escaped_streams(layer: Layer) -> Iterator[Stream]:
     """Compressed bytes written as URL or string escapes, or as code points."""
-    for pattern, decode in ((URL_STREAM, lambda t: unquote_to_bytes(t.replace("+", " "))), (STRING_STREAM, lambda t: codecs.escape_decode(t.encode())[0]), (POINTS, lambda t: t.encode("latin-1"))):
-        at = 0
-        while m := pattern.search(layer.text, at):
-            lo, hi = m.span()
-            quote = layer.text[lo - 1:lo]
-            if pattern is STRING_STREAM and quote in ("'", '"') and (close := re.search(r"(?<!\\)(?:\\\\)*" + quote, layer.text[lo:hi])):
-                hi = lo + close.end() - 1
-            raw = decode(layer.text[lo:hi])
-            if _opens(raw):
-                yield Stream(lambda raw=raw: _blocks(raw), int(layer.start[lo]), int(layer.end[hi - 1]))
-                at = hi
-            else:
-                at = lo + 1
+    text = layer.text
+    for (pattern, one), decode, mark in ((URL_RUN, lambda t: unquote_to_bytes(t.replace("+", " ")), "%"),
+                                         (STRING_RUN, lambda t: codecs.escape_decode(t.encode())[0], "\\"), (POINTS, lambda t: t.encode("latin-1"), "")):
+        if mark not in text:
+            continue  # what stands in it without escapes is code points
+        for m in pattern.finditer(text):
+            if mark not in m[0]:
+                continue
+            raw, places, done = decode(m[0]), None, 0
+            heads = HEAD.finditer(raw)
+            opens = None
+            for head in heads:
+                at = head.start()
+                opens = opens or _Opener(raw)
+                if at < done or not opens(at):
+                    continue
+                if places is None:
+                    places = np.arange(len(raw) + 1) if not mark else np.append(np.fromiter((x.start() for x in one.finditer(m[0])), np.int64, len(raw)), len(m[0]))
+                done = len(raw)
+                lo = m.start() + int(places[at])
+                quote = text[lo - 1:lo] if lo else ""
+                if pattern is STRING_RUN[0] and quote in ("'", '"') and quote:
+                    close = re.compile(r"(?<!\\)(?:\\\\)*" + quote).search(text, lo, m.end())
+                    done = int(np.searchsorted(places, close.end() - 1 - m.start())) if close else done
+                yield Stream(lambda raw=raw, at=at, done=done: _blocks(raw[:done], at), int(layer.start[lo]), int(layer.end[m.start() + int(places[done]) - 1]))
+
+
+def _utf16(raw: bytes) -> tuple[str, int] | None:
+    """UTF-16 text and how many bytes stand before it."""
+    skip = 2 if raw[:2] in (b"\xff\xfe", b"\xfe\xff") else 0
+    body = raw[skip:len(raw) - len(raw) % 2]
+    for kind, high in (("utf-16-le", 1), ("utf-16-be", 0)):
+        if len(body) >= 16 and (raw[:2] == codecs.BOM_UTF16_LE if skip and high else raw[:2] == codecs.BOM_UTF16_BE if skip else body[high::2].count(0) >= len(body) // 4):
+            try:
+                text = body.decode(kind)
+            except UnicodeDecodeError:
+                continue
+            if sum(c.isprintable() or c in "\t\r\n" for c in text) >= 0.9 * len(text):
+                return text, skip
+    return None
 
 
 def _base64(layer: Layer) -> Iterator[Layer | Stream]:
@@ -279,10 +383,14 @@ def _base64(layer: Layer) -> Iterator[Layer | Stream]:
         if (text := _readable(raw)) is not None:
             yield inner(text, _sizes(text), 0, 0)
             continue
+        if (wide := _utf16(raw)) is not None:
+            yield inner(wide[0], np.array([2 if c < "\U00010000" else 4 for c in wide[0]]), 0, wide[1])
+            continue
         for at in range(4):
             raw = decoded(at)
+            opens = _Opener(raw)
             for head in HEAD.finditer(raw):
-                if _opens(raw, head.start()):
+                if opens(head.start()):
                     yield stream(raw, at, head.start())
             for run in READABLE.finditer(raw):
                 try:
@@ -342,7 +450,7 @@ def _suspects(piece: T.Piece) -> np.ndarray:
     for i in np.flatnonzero(~out):
         raw = piece.data[piece.off[i]:piece.off[i + 1]].tobytes()
         low = raw.lower()
-        out[i] = any(k in low for k in KEYWORDS) or b"AKIA" in raw or b"\\" in raw or (b"%" in raw and re.search(rb"%[0-9A-Fa-f]{2}", raw) is not None)
+        out[i] = any(k in low for k in KEYWORDS) or b"AKIA" in raw or b"\\" in raw or POINT_HEAD.search(raw) is not None or (b"%" in raw and re.search(rb"%[0-9A-Fa-f]{2}", raw) is not None)
     return out
 
 
