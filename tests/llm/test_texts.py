@@ -346,7 +346,7 @@ def test_ids_equal_the_tokenizer(monkeypatch):
 
 
 def test_token_files_round_trip(spark, monkeypatch):
-    monkeypatch.setattr(tokenfile, "FILE_DOCS", 20)
+    monkeypatch.setattr(tokenfile, "RANGE_BYTES", 4000)
     texts = token_texts()
     docs = [(3 * i - 40, t) for i, t in enumerate(texts)] + [(None, "null id"), (5, "again"), (5, "and again")]
     docs = [d for d in docs if d[0] != 5] + [d for d in docs if d[0] == 5]
@@ -427,3 +427,33 @@ def test_packed_documents(spark, monkeypatch):
             at += n
         assert at <= 4096
     assert packing.pack_documents(with_lang(spark, []), BPE).count() == 0
+
+
+def test_files_are_read_by_as_many_tasks_and_one_id_is_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(tokenfile, "RANGE_BYTES", 2000)
+    rows = [(None, f"same id {i}") for i in range(400)] + [(7, f"again {i % 50}") for i in range(300)] + [(i, f"text number {i}") for i in range(100, 400)]
+    manifest = tokenfile.write_documents(spark.createDataFrame(rows, "doc_id bigint, text string"), BPE, end=1)
+    files = manifest.count()
+    assert files > 5
+    out = tokenfile.read_documents(manifest).withColumn("task", F.spark_partition_id())
+    got = sorted(out.collect(), key=lambda r: r.start)
+    assert len({r.task for r in got}) == files
+    ids = [-1 if r.doc_id is None else r.doc_id for r in got]
+    assert ids == sorted(-1 if i is None else i for i, _ in rows)
+    assert [r.start for r in got] == np.concatenate([[0], np.cumsum([r.n_tokens for r in got])])[:-1].tolist()
+    buckets = {(r.doc_id or -1): set() for r in got}
+    for r in got:
+        buckets[r.doc_id or -1].add(r.task)
+    assert len(buckets[-1]) > 1 and len(buckets[7]) > 1
+    coder = tokenize.encoder(BPE)
+    want = sorted(brute.crc(coder.encode(pa.array([t]), 1)[0]) for _, t in rows)
+    assert sorted(r.ids_crc32 for r in got) == want
+
+
+def test_buckets_ascend_with_id_and_tie():
+    r = np.random.default_rng(3)
+    bounds = np.sort(r.integers(0, 9, 12))
+    ids, tie = r.integers(-2, 11, 3000), r.integers(0, 1 << 62, 3000) * 2
+    order = np.lexsort((tie, ids))
+    buckets = tokenfile._buckets(bounds, ids, tie)[order]
+    assert (np.diff(buckets) >= 0).all() and buckets.min() >= 0 and buckets.max() <= len(bounds)

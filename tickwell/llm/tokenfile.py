@@ -34,9 +34,9 @@ from . import tokenize
 from .storage import Scratch
 
 END = 1
-FILE_DOCS = 1 << 14
+#: Text of a range of ids, which one task sorts and writes; and compressed ids after which it starts another file.
+RANGE_BYTES = 32 << 20
 FILE_BYTES = 1 << 28
-MAX_RANGES = 4096
 NULL_ID = -(1 << 63)
 
 _SKIPPABLE, _SEEK_TABLE, _FOOT = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -118,6 +118,14 @@ _FRAMES = "bucket bigint, id bigint, tie bigint, n_tokens bigint, check bigint,
 _MANIFEST = "bucket bigint, part bigint, path string, n_docs bigint, n_tokens bigint"
 
 
+def _buckets(bounds: np.ndarray, ids: np.ndarray, tie: np.ndarray) -> np.ndarray:
+    """The range of each id. A bound that occurs several times is an id with as many ranges of rows; they are dealt to
+    these by their tie (0 to 2**63), so that (id, tie) still ascends with the range."""
+    low, high = np.searchsorted(bounds, ids, "left"), np.searchsorted(bounds, ids, "right")
+    share = np.minimum((tie / 2.0 ** 63 * (high - low)).astype(np.int64), np.maximum(high - low - 1, 0))
+    return np.where(high > low, low + 1 + share, high)
+
+
 def _frames(batches: Iterator[pa.RecordBatch], path: str, bounds: np.ndarray, end: int) -> Iterator[pa.RecordBatch]:
     coder, pack = tokenize.encoder(path), zstandard.ZstdCompressor(level=3, write_checksum=True)
     for batch in batches:
@@ -130,8 +138,9 @@ def _frames(batches: Iterator[pa.RecordBatch], path: str, bounds: np.ndarray, en
             each = [raw[4 * a:4 * b] for a, b in zip(bound[:-1].tolist(), bound[1:].tolist(), strict=True)]
             digest = [xxhash.xxh64_intdigest(x) for x in each]
             doc = batch.column("id").slice(lo, hi - lo)
+            tie = np.array([d >> 1 for d in digest], np.int64)
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.searchsorted(bounds, doc.to_numpy(), "right")), doc, pa.array([d >> 1 for d in digest], pa.int64()), pa.array(np.diff(bound)),
+                pa.array(_buckets(bounds, doc.to_numpy(), tie)), doc, pa.array(tie), pa.array(np.diff(bound)),
                 pa.array([d & 0xFFFFFFFF for d in digest], pa.int64()), pa.array([pack.compress(x) for x in each], pa.binary())],
                 ["bucket", "id", "tie", "n_tokens", "check", "frame"])
             lo = hi
@@ -160,12 +169,10 @@ def write_documents(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", tex
     """Writes the files and returns their manifest in document order: bucket, part, path, n_docs, n_tokens, first (ids before)."""
     store = store or Scratch(docs.sparkSession, "tokenfile")
     narrow = docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(NULL_ID)).alias("id"), F.col(text).alias("text"), F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint").alias("bytes"))
-    ids = narrow.select("id")
-    ranges = min(MAX_RANGES, -(-ids.count() // FILE_DOCS))
-    cuts = []
-    if ranges > 1:
-        cuts = ids.agg(F.percentile_approx("id", [i / ranges for i in range(1, ranges)], 4 * MAX_RANGES)).first()[0]
-    bounds = np.array(sorted(set(cuts)), np.int64)
+    total = narrow.agg(F.sum("bytes")).first()[0] or 0
+    ranges = max(1, -(-total // RANGE_BYTES))
+    cuts = narrow.agg(F.percentile_approx("id", [i / ranges for i in range(1, ranges)], 4 * ranges)).first()[0] if ranges > 1 else []
+    bounds = np.array(sorted(cuts), np.int64)
     frames = narrow.mapInArrow(lambda it: _frames(it, tokenizer, bounds, end), _FRAMES)
     dealt = frames.repartitionById(len(bounds) + 1, F.col("bucket").cast("int")).sortWithinPartitions("bucket", "id", "tie")
     folder = f"{store.folder}/files"
@@ -186,6 +193,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_documents(manifest: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of every document, from the files alone."""
+    """(doc_id, start, n_tokens, ids_crc32) of every document, from the files alone, a task for each (a stated number of
+    partitions is not merged at runtime)."""
     files = manifest.select("path", "first")
-    return files.repartition("path").mapInArrow(_read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return files.repartition(max(1, manifest.count())).mapInArrow(_read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
