@@ -17,6 +17,7 @@ from tickwell.plans import store as S
 from tickwell.plans import warehouse as W
 from tickwell.plans.store import Store
 from tickwell.plans.warehouse import build_warehouse, open_table, run_pipeline
+from tickwell.sources import bronze as B
 from tickwell.sources import fixtures
 
 from conftest import SF_SMOKE
@@ -158,3 +159,45 @@ def test_old_builds_go_but_for_the_one_before(spark, scratch, small):
         build_warehouse(spark, few, b.index, b.components, root, extracts=False)
     full = [d for d in os.listdir(f"{root}/_builds") if any(f.endswith(".parquet") for _, _, fs in os.walk(f"{root}/_builds/{d}") for f in fs)]
     assert len(full) == 2
+
+
+def rows_read(df):
+    """Rows that the scan of a plain filter gave, after partitions, buckets, row groups and pages were passed over."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_one_symbol_is_read_without_the_others(spark, scratch, monkeypatch):
+    monkeypatch.setattr(B, "PAGE_ROWS", 20)
+    days, symbols = 60, 400
+    bars = spark.range(days * symbols).select(
+        F.concat(F.lit("S"), (F.col("id") % symbols).cast("string")).alias("code"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") / symbols).cast("int")).alias("date"),
+        *[F.lit(10 + i).cast("decimal(18,4)").alias(c) for i, c in enumerate(("open", "high", "low", "close"))], F.col("id").alias("volume"), F.lit("feed").alias("source"))
+    B.write_partitioned(bars, f"{scratch}/plain/bronze_prices")
+    B.upsert_into(spark, bars.filter("volume % 2 = 0"), f"{scratch}/bronze_prices", f"{scratch}/stage")
+    B.upsert_into(spark, bars.filter("volume % 2 = 1"), f"{scratch}/bronze_prices", f"{scratch}/stage")
+    for root in (f"{scratch}/plain", scratch):
+        one = B.select_range(B.read_bronze(spark, root, "bronze_prices"), ["S77"])
+        assert one.count() == days and rows_read(one) < 0.02 * days * symbols
+    fact = bars.select(F.col("code").alias("symbol"), F.col("date").alias("trade_date"), F.col("close").cast("double").alias("close_price"))
+    entry = S.write_daily(fact, f"{scratch}/fact", "first", 4)
+    one = D.slice_prices(S.open_daily(spark, entry), symbol="S77")
+    assert one.count() == days and rows_read(one) < 0.02 * days * symbols
+
+
+def test_latest_dates_read_the_last_years_alone(spark, scratch, monkeypatch):
+    rows = [("S1", f"{y}-0{m}-03", float(m)) for y in (2021, 2022, 2023, 2024) for m in (1, 2, 3)]
+    fact = spark.createDataFrame(rows, "symbol string, d string, close_price double").select("symbol", F.col("d").cast("date").alias("trade_date"), "close_price")
+    entry = S.write_daily(fact, f"{scratch}/fact", "first", 2)
+    # a last year whose rows have all become invalid: its folder holds none
+    S.write_daily(fact.filter("false"), f"{scratch}/none", "second", 2)
+    entry["parts"].append([2025, "second", f"{scratch}/none"])
+    read, real = [], S.open_daily
+    monkeypatch.setattr(S, "open_daily", lambda s, e: read.append({p[0] for p in e["parts"]}) or real(s, e))
+    assert [str(x) for x in S.latest_dates(spark, entry)] == ["2024-03-03"]
+    assert read == [{2025}, {2024}]
+    read.clear()
+    assert [str(x) for x in S.latest_dates(spark, entry, 4)] == ["2024-03-03", "2024-02-03", "2024-01-03", "2023-03-03"]
+    assert read == [{2025}, {2024}, {2023}]
+    assert S.latest_dates(spark, {**entry, "parts": []}) == []

@@ -72,12 +72,16 @@ def with_member_flag(df: DataFrame, dim: DataFrame) -> DataFrame:
 
 
 def price_extract(fact: DataFrame, dim: DataFrame, days: int = C.LOOKBACK_DAYS,
-                  n_latest: int = C.LATEST_DATES) -> DataFrame:
+                  n_latest: int = C.LATEST_DATES, dates: list | None = None) -> DataFrame:
     """D3: constituents over the last ``days`` days, plus every symbol on the
     ``n_latest`` latest distinct dates (J9). The dates are bounded before the
-    join with the dimension."""
-    cut = F.date_sub(max_date(fact).scalar(), days)
-    recent = latest_dates(fact, n_latest).agg(F.min("trade_date")).scalar()     # the dates from here on are the latest
+    join with the dimension. ``dates``: these latest dates, where they are
+    known already (``store.latest_dates`` reads the last year for them)."""
+    if dates:
+        cut, recent = F.date_sub(F.lit(max(dates)), days), F.lit(min(dates))
+    else:
+        cut = F.date_sub(max_date(fact).scalar(), days)
+        recent = latest_dates(fact, n_latest).agg(F.min("trade_date")).scalar()  # the dates from here on are the latest
     kept = from_date(fact, F.least(cut, recent)).select("symbol", "trade_date", "close_price", "volume")
     keep = (F.col("is_vn30") & (F.col("trade_date") >= cut)) | (F.col("trade_date") >= recent)
     return with_member_flag(kept, dim).filter(keep).select("symbol", "trade_date", "close_price", "volume", "is_vn30")

@@ -14,6 +14,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,7 +55,7 @@ def write_daily(df: DataFrame, path: str, load: str, buckets: int) -> dict:
     if not _dealt(rows, buckets):
         rows = rows.repartition(buckets, KEY)
     name = f"tickwell_{uuid.uuid4().hex}"
-    rows.write.format("parquet").mode("errorifexists").option("path", path).partitionBy("year").bucketBy(buckets, KEY).sortBy(KEY, DATE).saveAsTable(name)
+    B.by_symbol_writer(rows, KEY).format("parquet").mode("errorifexists").option("path", path).partitionBy("year").bucketBy(buckets, KEY).sortBy(KEY, DATE).saveAsTable(name)
     spark.sql(f"DROP TABLE {name}")  # the files stay, as the path is the caller's
     fs, p = P.filesystem(spark, path)
     years = sorted(int(s.getPath().getName()[5:]) for s in fs.listStatus(p) if s.getPath().getName().startswith("year="))
@@ -80,6 +81,18 @@ def open_daily(spark: SparkSession, entry: dict) -> DataFrame:
     return spark.table(name).drop("load")
 
 
+def latest_dates(spark: SparkSession, entry: dict, n: int = 1) -> list[date]:
+    """The ``n`` latest distinct days of a daily table, latest first, from its last years on: a year is read only if the
+    later ones have too few."""
+    found: list[date] = []
+    for year in sorted({p[0] for p in entry["parts"]}, reverse=True):
+        mine = open_daily(spark, {**entry, "parts": [p for p in entry["parts"] if p[0] == year]})
+        found += [r[DATE] for r in mine.select(DATE).distinct().orderBy(F.col(DATE).desc()).limit(n - len(found)).collect()]
+        if len(found) == n:
+            break
+    return found
+
+
 class Store:
     """The tables of a root as its last publication has them."""
 

@@ -22,7 +22,9 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .. import config as C
 from ..operators import calendar as K
 from ..operators import dashboard as D
 from ..operators import gold, quality, silver
@@ -96,8 +98,10 @@ def build_extracts(spark: SparkSession, prices: DataFrame, fact: DataFrame, indi
     cal = K.data_years_calendar(prices, "date")
     outputs = {n: f"{report.build}/{n}" for n in ("dim_date_csv", "dashboard_payload")}
     B.write_csv(cal.orderBy("date"), outputs["dim_date_csv"])
-    extract = write_entry(report, "extract", D.with_pct_change(D.price_extract(fact, dim)))
-    series = write_entry(report, "indicator_extract", D.indicator_extract(indicators, dim, latest=D.max_date(fact).scalar()))
+    dates = S.latest_dates(spark, report.entries["fact_stock_price"], C.LATEST_DATES)  # the last year has them
+    latest = F.lit(dates[0]) if dates else None
+    extract = write_entry(report, "extract", D.with_pct_change(D.price_extract(fact, dim, dates=dates)))
+    series = write_entry(report, "indicator_extract", D.indicator_extract(indicators, dim, latest=latest))
     payload = D.dashboard_payload(summary, extract, series)
     B.write_ordered(payload, outputs["dashboard_payload"], ["section", "key"])
     for name, path in outputs.items():

@@ -269,6 +269,17 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").format(fmt).save(path)
 
 
+#: Rows of a Parquet page: the page index tells a reader of one symbol which pages of a file sorted by symbol hold it.
+PAGE_ROWS = 512
+
+
+def by_symbol_writer(df: DataFrame, key: str):
+    """A Parquet writer for rows sorted by ``key``: small pages, and a Bloom filter by which files without a symbol are
+    passed over."""
+    return (df.write.option("parquet.page.row.count.limit", PAGE_ROWS)
+            .option(f"parquet.bloom.filter.enabled#{key}", "true").option("parquet.bloom.filter.adaptive.enabled", "true"))
+
+
 def write_partitioned(df: DataFrame, path: str, date: str = "date", mode: str = "overwrite",
                       cluster_by=("code",), grain=YEAR) -> None:
     """IO10: table partitioned by year (or by year and month); any year is
@@ -283,8 +294,9 @@ def write_partitioned(df: DataFrame, path: str, date: str = "date", mode: str =
     keys = [c for c in cluster_by if c in out.columns]
     if keys:
         out = out.repartition(*grain, *keys)
-    (out.sortWithinPartitions(*grain, *keys, date).write.mode(mode)
-     .partitionBy(*grain).parquet(path))
+    dealt = out.sortWithinPartitions(*grain, *keys, date)
+    writer = by_symbol_writer(dealt, keys[0]) if keys else dealt.write
+    writer.mode(mode).partitionBy(*grain).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -364,7 +376,7 @@ def _upsert(spark, batch, path, keys, seq, grain, number, state, load, work) ->
         merged = upsert_bronze(stored.filter(part.isin(touched)).select(*columns), new, keys, seq)
         # The stored files are already dealt and sorted: their rows stay in
         # the tasks that read them.
-        (with_grain(merged, grain).sortWithinPartitions(*grain, *keys).write.partitionBy(*grain).parquet(f"{work}/table"))
+        by_symbol_writer(with_grain(merged, grain).sortWithinPartitions(*grain, *keys), keys[0]).partitionBy(*grain).parquet(f"{work}/table")
     fresh = _partitions(spark, f"{work}/table", len(grain))
     parts = state.get("parts") if number else _partitions(spark, path, len(grain)) if stored is not None else []
     kept = [x for x in parts if x.split("/load=")[0] not in fresh]
