@@ -147,8 +147,19 @@ def _postfix(tokens: Iterable[str]) -> list[str] | None:
     return out + waiting[::-1]
 
 
+#: What an identifier that isn't listed looks like: a reference, or parts of which one tells a version.
+_LIKE_ONE = re.compile(r"(?:documentref-[a-z0-9.-]+:)?licenseref-[a-z0-9.-]+|(?=[^-]*-)(?=\D*\d)[a-z0-9.]+(?:-[a-z0-9.]+)+\+?")
+
+
+def identifiers(postfix: list[str]) -> tuple[int, int]:
+    """How many of an expression's licenses are listed or look like identifiers, and how many there are."""
+    names = [t for i, t in enumerate(postfix) if t not in _LEVEL and postfix[i + 1:i + 2] != ["with"]]
+    return sum(t.removesuffix("+") in IDENTIFIERS or _LIKE_ONE.fullmatch(t) is not None for t in names), len(names)
+
+
 def value(postfix: list[str]) -> tuple[int, set[str]]:
-    """Class of the whole and the labels of its identifiers; the right side of ``with`` names an exception, no license."""
+    """Class of the whole and the labels of its identifiers; the right side of ``with`` names an exception, no license. A word
+    that doesn't look like an identifier has the strictest class and no label."""
     stack: list[tuple[int, set[str]]] = []
     for t in postfix:
         if t in _LEVEL:
@@ -159,7 +170,7 @@ def value(postfix: list[str]) -> tuple[int, set[str]]:
                 stack.append((min(a[0], b[0]) if t == "or" else max(a[0], b[0]), a[1] | b[1]))
         else:
             label, kind = IDENTIFIERS.get(t.removesuffix("+"), (t, _UNKNOWN_CLASS))
-            stack.append((kind, {label}))
+            stack.append((kind, {label} if kind != _UNKNOWN_CLASS or t.removesuffix("+") in IDENTIFIERS or _LIKE_ONE.fullmatch(t) else set()))
     return stack[0]
 
 
@@ -204,8 +215,9 @@ def scan_text(text: str) -> dict:
             stop = len(text) if stop < 0 else stop
             tokens, complete = leading(_tokens(text, _AFTER_TAG.match(text, after, stop).end(), stop))
             postfix = _postfix(tokens)
-            score = max(score, 1.0 if postfix and complete else 0.5)
-            if postfix:
+            like, every = identifiers(postfix) if postfix else (0, 1)
+            score = max(score, 1.0 if complete and like == every else 0.5)
+            if like:  # prose behind the tag is no expression
                 kind, names = value(postfix)
                 kinds.append(kind)
                 labels |= names
