@@ -5,7 +5,9 @@ steps between roles is the finite-state machine that checks turn order. A conver
 segments (text, loss) that join to it. Control strings inside texts and role names are escaped, so the marks alone split
 the string, and ``read_back`` restores every role and text from it.
 
-Escaping: the escape character becomes itself and ``0``, control string number n becomes the escape character and n.
+Escaping: the escape character becomes itself and ``0``, control string number n becomes the escape character and its code
+(one character, more where a template has more than 35 control strings). A template whose marks are empty, hold its escape
+character or each other, or don't tell its turns apart is refused.
 Every escape character of an escaped text starts such a pair, so the pairs are replaced back in the reverse order.
 
 A conversation is one training example, one row; its turns meet in one task and nothing larger does.
@@ -18,6 +20,7 @@ rows are turns of their own; rows with a null conv_id form one conversation; an
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from itertools import islice, product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,7 +42,25 @@ class Template:
     steps: frozenset[tuple[str, str]]
     accept: frozenset[str]
     escape: str = "\\"
-    codes: str = field(default="123456789abcdefghijklmnopqrstuvwxyz", repr=False)
+    alphabet: str = field(default="123456789abcdefghijklmnopqrstuvwxyz", repr=False)
+
+    def __post_init__(self) -> None:
+        controls = self.controls
+        if any(not c or self.escape in c for c in controls):
+            raise ValueError("a template's marks can't be empty or hold its escape character")
+        if any(a != b and a in b for a in controls for b in controls):
+            raise ValueError("a template's mark can't hold another one")
+        opens, closes = [m.open for m in self.roles.values()] + [self.general[0]], {m.close for m in self.roles.values()} | {self.general[2]}
+        if len(set(opens)) < len(opens) or self.general[1] in (*opens, *closes) or closes & set(opens):
+            raise ValueError("a template's marks must tell its turns apart")
+
+    @property
+    def codes(self) -> list[str]:
+        """A code for each control string, all of one length and none with the 0 of the escape character itself."""
+        width = 1
+        while len(self.alphabet) ** width < len(self.controls):
+            width += 1
+        return ["".join(c) for c in islice(product(self.alphabet, repeat=width), len(self.controls))]
 
     @property
     def controls(self) -> list[str]:
@@ -57,14 +78,14 @@ INSTRUCT = Template(
 
 def escaped(text: Column, t: Template) -> Column:
     out = F.replace(text, F.lit(t.escape), F.lit(t.escape + "0"))
-    for code, control in zip(t.codes, t.controls, strict=False):
+    for code, control in zip(t.codes, t.controls, strict=True):
         out = F.replace(out, F.lit(control), F.lit(t.escape + code))
     return out
 
 
 def unescaped(text: Column, t: Template) -> Column:
     out = text
-    for code, control in reversed(list(zip(t.codes, t.controls, strict=False))):
+    for code, control in reversed(list(zip(t.codes, t.controls, strict=True))):
         out = F.replace(out, F.lit(t.escape + code), F.lit(control))
     return F.replace(out, F.lit(t.escape + "0"), F.lit(t.escape))
 
