@@ -207,3 +207,23 @@ def test_sieve_lets_every_partner_through(spark, monkeypatch):
     assert len(got) == 1000 and all(got[i] for i in range(0, 300, 3))
     assert sum(got.values()) < 400
     assert not any(r["__may"] for r in sieve.sift(rows, "k", ids.limit(0), "wanted").collect())
+
+
+def test_only_texts_that_lose_lines_move(spark):
+    """And shards beyond the task bound share tasks."""
+    shared = "a line of twenty or more characters"
+    rows = [(i, f"own text number {i}") for i in range(200)] + [(1000 + i, f"{shared}\nown {i}") for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = line_dedup.dedup_lines(df)
+    got = {r.doc_id: (r.text, r["__n_dropped"]) for r in out.collect()}
+    assert got == {i: (t, 0) if i < 1000 or i == 1004 else (t.split("\n")[1], 1) for i, t in rows}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Union" in plan
+
+
+def test_shards_share_tasks_beyond_the_bound(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "SHARD_KEYS", 3)
+    monkeypatch.setattr(line_dedup, "MAX_TASKS", 1)
+    docs = brute.documents()
+    got = line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id bigint, text string"))
+    assert sorted((r.doc_id, r["__n_lines"], r["__n_dropped"], brute.sha(r.text)) for r in got.collect()) == sorted(brute.line_dedup(docs))

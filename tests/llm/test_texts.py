@@ -69,6 +69,18 @@ def test_chat_marks_split_only_at_marks(spark):
     assert chat.format_conversations(spark.createDataFrame([], TURNS)).count() == 0
 
 
+def test_templates_with_many_roles_and_without_sense(spark):
+    many = chat.Template(roles={f"r{i:02d}": chat.Marks(f"<r{i:02d}>", f"</r{i:02d}>", loss=i % 2 == 0) for i in range(60)}, general=("<any>", "<says>", "</any>"),
+                         steps=frozenset({("start", "r00")}), accept=frozenset({"r00"}))
+    assert len(many.codes) == len(many.controls) == 123 and len({len(c) for c in many.codes}) == 1
+    rows = [(1, i, f"r{i:02d}", "".join(many.controls[i:] + ["\\", "\\11", "\\0"])) for i in range(60)] + [(1, 99, "else", "".join(many.controls))]
+    got = chat.format_conversations(spark.createDataFrame(rows, TURNS), many).withColumn("turns", chat.read_back(F.col("formatted"), many)).first()
+    assert [(t.role, t.text) for t in got.turns] == [(r, t) for _, _, r, t in rows]
+    for bad in ({"a": chat.Marks("", "</a>")}, {"a": chat.Marks("<a>", "\\")}, {"a": chat.Marks("<a>", "</a>"), "b": chat.Marks("x<a>", "</b>")}, {"a": chat.Marks("<a>", "</a>"), "b": chat.Marks("<a>", "</b>")}):
+        with pytest.raises(ValueError):
+            chat.Template(roles=bad, general=("[R]", "[T]", "[E]"), steps=frozenset(), accept=frozenset())
+
+
 # --- languages ------------------------------------------------------------------------------------------------------
 
 def test_language_of_held_out_documents(spark):
@@ -430,7 +442,7 @@ def test_packed_documents(spark, monkeypatch):
 
 
 def test_files_are_read_by_as_many_tasks_and_one_id_is_dealt_out(spark, monkeypatch):
-    monkeypatch.setattr(tokenfile, "RANGE_BYTES", 2000)
+    monkeypatch.setattr(tokenfile, "RANGE_BYTES", 1000)
     rows = [(None, f"same id {i}") for i in range(400)] + [(7, f"again {i % 50}") for i in range(300)] + [(i, f"text number {i}") for i in range(100, 400)]
     manifest = tokenfile.write_documents(spark.createDataFrame(rows, "doc_id bigint, text string"), BPE, end=1)
     files = manifest.count()
@@ -457,3 +469,12 @@ def test_buckets_ascend_with_id_and_tie():
     order = np.lexsort((tie, ids))
     buckets = tokenfile._buckets(bounds, ids, tie)[order]
     assert (np.diff(buckets) >= 0).all() and buckets.min() >= 0 and buckets.max() <= len(bounds)
+
+
+@pytest.mark.parametrize(("after", "labels", "score", "kind"), [
+    ("see the file", "", 0.5, None), ("TODO fill in", "", 0.5, None), ("MIT", "mit", 1.0, 1), ("LicenseRef-Acme-1", "licenseref-acme-1", 1.0, 4), ("EUPL-1.2", "eupl-1.2", 1.0, 4),
+    ("MIT OR none", "mit", 0.5, 1), ("none AND MIT", "mit", 0.5, 4), ("GPL-2.0-only WITH some-exception", "gpl-2", 1.0, 2), ("a-word-without-number", "", 0.5, None), ("AGPL-3.0+", "agpl-3.0+", 1.0, 4),
+])
+def test_words_behind_a_tag_are_no_labels(after, labels, score, kind):
+    got = licenses.scan_text(f"// SPDX-License-Identifier: {after}\n")
+    assert (got["labels"], got["score"], got["license_class"]) == (labels, score, kind)

@@ -31,10 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
+from .sieve import sift
 from .storage import Scratch
 
 MIN_CHARS = 20
 MIN_DOCS = 3
+#: Tasks that build shards at most (or the session's shuffle partitions, if more); a task takes one shard after another.
+MAX_TASKS = 4096
 SHARD_KEYS = 1 << 18
 SHARD_PROBES = 1 << 20
 NULL_ID = -(1 << 63)
@@ -159,9 +162,11 @@ _SHARD_ARROW = pa.schema([("shard", pa.int64()), ("splits", pa.int64()), *[(c, p
 _SHARD_SCHEMA = "shard bigint, splits bigint, " + ", ".join(f"{c} binary" for c in _ARRAYS)
 
 
-def _groups(keys: np.ndarray) -> Iterator[tuple[int, int]]:
-    cut = np.flatnonzero(np.diff(keys)) + 1
-    edges = [0, *cut.tolist(), len(keys)] if len(keys) else [0]
+def _groups(*keys: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Stretches of rows that are equal in all keys."""
+    n = len(keys[0])
+    cut = np.flatnonzero(np.any([np.diff(k) != 0 for k in keys], axis=0)) + 1
+    edges = [0, *cut.tolist(), n] if n else [0]
     yield from zip(edges[:-1], edges[1:], strict=True)
 
 
@@ -169,8 +174,8 @@ def _probe(batches: Iterator[pa.RecordBatch], min_docs: int) -> Iterator[pa.Reco
     """Rows sorted by (shard, split, kind): a shard's arrays, then its probes; yields (id, hi, lo) of lines to drop."""
     shard: Shard | None = None
     for batch in batches:
-        kind, place = batch.column("kind").to_numpy(), batch.column("shard").to_numpy() * 4096 + batch.column("split").to_numpy()
-        for lo, hi in _groups(place * 2 + kind):
+        kind = batch.column("kind").to_numpy()
+        for lo, hi in _groups(batch.column("shard").to_numpy(), batch.column("split").to_numpy(), kind):
             if kind[lo] == 0:
                 shard = Shard({c: batch.column(c)[lo].as_py() for c in _ARRAYS})
                 continue
@@ -192,7 +197,8 @@ def find_drops(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
     n = keys.count()
     shards = max(1, -(-n // SHARD_KEYS))
     by_shard = F.pmod(F.col("hi"), F.lit(shards))
-    index = store.save(keys.withColumn("shard", by_shard).repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(_build, _SHARD_SCHEMA), "index")
+    tasks = min(shards, max(MAX_TASKS, int(spark.conf.get("spark.sql.shuffle.partitions"))))  # several shards a task beyond
+    index = store.save(keys.withColumn("shard", by_shard).repartition(tasks, "shard").sortWithinPartitions("shard").mapInArrow(_build, _SHARD_SCHEMA), "index")
     hot = index.where("splits > 1").select("shard", "splits")
     arrays = index.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("splits") - 1)).alias("split")).select(
         "shard", "split", F.lit(0).alias("kind"), *[F.lit(None).cast("bigint").alias(c) for c in ("hi", "lo", "id")], *_ARRAYS)
@@ -231,8 +237,12 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
     """``docs`` with the text cut, and __n_lines and __n_dropped; null texts become empty."""
     ident = F.coalesce(F.col(doc_id).cast("bigint"), F.lit(NULL_ID))
     drops = find_drops(docs.select(ident.alias("id"), F.col(text).alias("text")), min_chars, min_docs)
+    # texts that lose nothing stay where they are; those that may are moved to their drops
+    marked = sift(docs.withColumn("__id", ident), "__id", drops, "id")
     drops = drops.select(F.col("id").alias("__drop_id"), F.col("drops").alias("__drops"))
-    joined = docs.withColumn("__id", ident).join(drops, F.col("__id") == F.col("__drop_id"), "left").drop("__id", "__drop_id")
+    moved = marked.where("__may").join(drops, F.col("__id") == F.col("__drop_id"), "left").drop("__drop_id")
+    still = marked.where("not __may").withColumn("__drops", F.lit(None).cast(drops.schema["__drops"].dataType))
+    joined = still.unionByName(moved).drop("__id", "__may")
     names = docs.columns
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + ["__n_lines bigint", "__n_dropped bigint"])
     return joined.mapInArrow(lambda it: _cut(it, text, names, min_chars), schema)
