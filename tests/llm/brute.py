@@ -115,5 +115,26 @@ def decontaminate(docs, items, window=10):
     return out
 
 
+def near_items(docs, items, window=10, slop=3):
+    """(doc_id, items with a window whose words stand in order in a stretch of its size and at most ``slop`` words more)."""
+    wins = {}
+    for item, text in items:
+        w = ALNUM.findall((text or "").translate(CASE))
+        k = min(window, len(w))
+        for at in range(len(w) - k + 1 if w else 0):
+            wins.setdefault(tuple(w[at:at + k]), set()).add("" if item is None else str(item))
+    out = []
+    for i, text in docs:
+        w = ALNUM.findall((text or "").translate(CASE))
+        found = set()
+        for x in wins:
+            for at in range(len(w)):
+                stretch = iter(w[at:at + len(x) + slop])
+                if w[at] == x[0] and all(any(y == z for z in stretch) for y in x):
+                    found |= wins[x]
+        out.append((i, sorted(found)))
+    return out
+
+
 def crc(ids):
     return zlib.crc32(b"".join(int(x).to_bytes(4, "little") for x in ids))

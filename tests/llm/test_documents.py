@@ -162,12 +162,35 @@ def test_decontamination_folds_by_the_contract_only(spark):
 
 
 def test_decontamination_proximity(spark):
-    item = [(1, " ".join(f"w{i}" for i in range(12)))]
+    item = [(1, " ".join(f"w{i}" for i in range(12))), (2, "w3 w4 gap"), (3, "w3")]
     near = " ".join(["w0", "gap", *[f"w{i}" for i in range(1, 12)]])
     far = " ".join(f"w{i} x x x x x" for i in range(12))
-    out = decontam.decontaminate(table(spark, [(1, near), (2, far), (3, item[0][1])]), spark.createDataFrame(item, "item_id bigint, text string"))
-    got = {r.doc_id: (r.__d_n_hit, r.__d_n_near) if False else (r["__d_n_hit"], r["__d_n_near"]) for r in out.collect()}
-    assert got[3][0] == 12 and got[1][0] == 11 and got[2] == (0, 0) and got[1][1] > 0
+    turned = " ".join(f"w{i}" for i in reversed(range(12)))
+    out = decontam.decontaminate(table(spark, [(1, near), (2, far), (3, item[0][1]), (4, turned)]), spark.createDataFrame(item, "item_id bigint, text string"))
+    got = {r.doc_id: r for r in out.collect()}
+    assert got[1]["__d_n_hit"] == 11 and [(p.start, p.span, p.size, p.phrase, p["items"]) for p in got[1]["__d_near"]] == [(0, 11, 10, " ".join(f"w{i}" for i in range(10)), ["1"])]
+    assert got[3]["__d_n_hit"] == 12 and not got[3]["__d_near"]
+    assert all(got[i]["__d_n_hit"] == 1 and not got[i]["__d_near"] and got[i]["__d_near_items"] == ["3"] for i in (2, 4))
+
+
+def test_proximity_equals_brute_force(spark):
+    import random
+    rng = random.Random(11)
+    vocabulary = [f"v{i}" for i in range(14)]
+    passages = [[rng.choice(vocabulary) for _ in range(n)] for n in (1, 2, 3, 6, 10, 12, 25, 10)]
+    docs = []
+    for i in range(120):
+        words = [rng.choice(vocabulary) for _ in range(rng.randrange(30))]
+        for w in rng.choice(passages):
+            words += [w] + [rng.choice(vocabulary) for _ in range(rng.choice([0, 0, 0, 0, 1, 1, 2]))]
+        docs.append((i, rng.choice([" ", ", ", ". "]).join(words).upper() + rng.choice(["", "."])))
+    docs += [(120, None), (121, ""), (122, "..."), (122, docs[0][1])]
+    bench = [(i, " ".join(p)) for i, p in enumerate(passages)] + [(None, "v1 v2 V3"), (7, "v0 v0 v0 v0")]
+    out = decontam.decontaminate(table(spark, docs), spark.createDataFrame(bench, "item_id bigint, text string")).collect()
+    want = brute.near_items(docs, bench)
+    assert sorted((r.doc_id, r["__d_near_items"]) for r in out) == sorted(want)
+    assert sum(len(r["__d_near_items"]) > len(r["__d_items"]) for r in out) > 20
+    assert all(p.size < p.span <= p.size + 3 for r in out for p in r["__d_near"])
 
 
 @pytest.mark.parametrize("which", ["documents", "benchmark"])

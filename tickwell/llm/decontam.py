@@ -7,9 +7,11 @@ of a benchmark item (all its words, if it has fewer). A document word inside any
 2. Each window keeps its two rarest terms; a window with a term that no document has can't occur. Windows that share
    their two terms and the distance between them share the work of the next steps.
 3. The documents' postings of those terms are stored: a row for each (term, document) with its positions.
-4. The rarest term's list is intersected with the other's, shifted by their distance: exact places for phrases, places
-   within ``slop`` words for proximity matches.
-5. The few places that remain are compared with the document's own words.
+4. The rarest term's list is intersected with the other's, shifted by their distance and by up to ``slop`` words more.
+5. The few places that remain are compared with the document's own words. An exact match has the window's words one
+   after another. A proximity match has all of them in order, with 1 to ``slop`` other words between them in all; from
+   the place of the rarest term the nearest next (and previous) word is taken each time, so its span is the shortest
+   there. Both come with place, span, phrase and items.
 
 Terms are folded by the stated rule in the index as in step 5: lower() would do more, and by context (a final sigma).
 The benchmark's terms are a written table, so they are broadcast only where that file is small; else the words are
@@ -33,6 +35,7 @@ SLOP = 3
 #: What separates words; A-Z are word characters here, so a text can be cut before it is folded.
 CUT = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _NULL_ID = -(1 << 63)
+_NEVER = 1 << 20
 
 
 def _cut(text: Column) -> Column:
@@ -74,7 +77,7 @@ def _anchors(windows: DataFrame, freq: DataFrame, store: Scratch) -> DataFrame:
 
 
 def find_places(docs: DataFrame, windows: DataFrame, store: Scratch, slop: int) -> DataFrame:
-    """(id, places, n_near): where a window may stand in a document by its two rarest terms."""
+    """(id, places): where a window may stand in a document, by its two rarest terms in its order and near enough."""
     vocabulary = store.save(windows.select(F.explode("terms").alias("term")).distinct(), "vocabulary")
     freq = store.save(_tokens(docs).select("term").join(vocabulary, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n")), "frequencies")
     anchors = _anchors(windows, freq, store)
@@ -83,49 +86,77 @@ def find_places(docs: DataFrame, windows: DataFrame, store: Scratch, slop: int)
     pairs = anchors.select("term", "other", "gap").distinct()
     first = postings.join(pairs, "term").select(F.col("other").alias("term"), "id", F.col("term").alias("rare"), "gap", F.col("pos").alias("here"))
     both = first.join(postings, ["term", "id"])
-    shifted = F.transform("pos", lambda p: p - F.col("gap"))
-    around = F.flatten(F.transform(F.sequence(F.lit(-slop), F.lit(slop)), lambda d: F.transform("pos", lambda p: p - F.col("gap") + d)))
-    met = both.select("id", "rare", F.col("term").alias("other"), "gap", F.array_intersect("here", shifted).alias("at"), F.size(F.array_intersect("here", around)).alias("around"))
-    met = store.save(met.where("around > 0"), "met")
-    near = met.groupBy("id").agg(F.sum(F.col("around") - F.size("at")).alias("n_near"))
+    wider = F.transform(F.sequence(F.lit(0), F.lit(slop)), lambda d: F.transform("pos", lambda p: p - F.col("gap") - F.signum("gap").cast("int") * d))
+    met = both.select("id", "rare", F.col("term").alias("other"), "gap", F.array_intersect("here", F.flatten(wider)).alias("at")).where("size(at) > 0")
+    met = store.save(met, "met")
     at = met.select("id", "rare", "other", "gap", F.explode("at").alias("pos")).join(
         anchors.select(F.col("term").alias("rare"), "other", "gap", "wid", "off"), ["rare", "other", "gap"])
-    spots = at.where("pos >= off").select("id", "wid", (F.col("pos") - F.col("off")).cast("bigint").alias("start"))
-    place = F.struct("start", "size", "phrase", "items")
-    places = spots.join(windows.select("wid", "phrase", "size", "items"), "wid").groupBy("id").agg(F.collect_set(place).alias("places"))
-    return store.save(near.join(places, "id", "left"), "places")
+    spots = at.where("pos >= off").select("id", "wid", (F.col("pos") - F.col("off")).cast("bigint").alias("start"), F.col("off").cast("bigint").alias("off"))
+    place = F.struct("start", "size", "phrase", "items", "off")
+    return store.save(spots.join(windows.select("wid", "phrase", "size", "items"), "wid").groupBy("id").agg(F.collect_set(place).alias("places")), "places")
+
+
+def _steps(terms: Column, words: Column) -> Column:
+    """How many of ``words`` it takes to meet all ``terms`` in order, each at its first place after the one before; _NEVER if they don't."""
+    def step(at: Column, term: Column) -> Column:
+        found = F.array_position(F.slice(words, at + 1, _NEVER), term).cast("int")
+        return F.when(found > 0, at + found).otherwise(F.lit(_NEVER))
+
+    return F.aggregate(terms, F.lit(0), step)
+
+
+def _near(place: Column, words: Column, slop: int) -> Column:
+    """The shortest stretch around a place that holds its window's words in order: start, span, size, phrase, items."""
+    terms, off, size = F.split(place["phrase"], " ", -1), place["off"].cast("int"), place["size"].cast("int")
+    pos = (place["start"] + place["off"]).cast("int")
+    folded = lambda part: F.split(_folded(part), " ", -1)
+    after = _steps(F.slice(terms, off + 2, size), folded(F.slice(words, pos + 2, size - off - 1 + slop)))
+    first = F.greatest(F.lit(0), pos - off - slop)
+    before = _steps(F.reverse(F.slice(terms, F.lit(1), off)), F.reverse(folded(F.slice(words, first + 1, pos - first))))
+    return F.struct((pos - before).cast("bigint").alias("start"), (before + after + 1).cast("bigint").alias("span"), place["size"].alias("size"), place["phrase"].alias("phrase"), place["items"].alias("items"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
                   window: int = WINDOW, slop: int = SLOP) -> DataFrame:
-    """``docs`` and, named __d_...: n_words, matches (start, size, phrase, items), n_hit, items, n_near."""
+    """``docs`` and, named __d_...: n_words, matches (start, size, phrase, items), n_hit, items, near (start, span, size,
+    phrase, items), near_items (those found exactly or nearly)."""
     store = Scratch(docs.sparkSession, "decontam")
     windows = store.save(benchmark_windows(benchmark, item_id, item_text, window), "windows")
     ident = F.coalesce(F.col(doc_id).cast("bigint"), F.lit(_NULL_ID))
     found = find_places(docs.select(ident.alias("id"), F.col(text).alias("text")), windows, store, slop)
-    found = found.select(F.col("id").alias("__d_key"), F.col("places").alias("__d_places"), F.coalesce("n_near", F.lit(0)).cast("bigint").alias("__d_near"))
+    found = found.select(F.col("id").alias("__d_key"), F.col("places").alias("__d_places"))
     # only texts that may have places move to them; the rest stay where they are read
     marked = sift(docs.withColumn("__d_id", ident), "__d_id", found, "__d_key")
-    columns = [*columns_of(docs), "__d_places", "__d_near"]
+    columns = [*columns_of(docs), "__d_places"]
     moved = marked.where("__may").join(found, F.col("__d_id") == F.col("__d_key"), "left").select(columns)
     kind = found.schema["__d_places"].dataType
-    stayed = marked.where("not __may").withColumns({"__d_places": F.lit(None).cast(kind), "__d_near": F.lit(None).cast("bigint")}).select(columns)
+    stayed = marked.where("not __may").withColumn("__d_places", F.lit(None).cast(kind)).select(columns)
     out = stayed.unionByName(moved).withColumn("__d_words", _cut(F.col(text)))
     words = F.col("__d_words")
     edge = lambda at: F.when(F.element_at(words, at) == "", 1).otherwise(0)
     n_words = (F.size(words) - edge(1) - F.when(F.size(words) > 1, edge(-1)).otherwise(0)).cast("bigint")
     same = lambda p: _folded(F.slice(words, (p["start"] + 1).cast("int"), p["size"].cast("int"))) == p["phrase"]
-    out = out.withColumns({"__d_n_words": n_words, "__d_matches": F.array_sort(F.coalesce(F.filter("__d_places", same), F.expr("cast(array() as array<struct<start:bigint,size:bigint,phrase:string,items:array<string>>>)")))})
+    places = F.coalesce("__d_places", F.array().cast(kind))
+    bare = lambda p: F.struct(p["start"].alias("start"), p["size"].alias("size"), p["phrase"].alias("phrase"), p["items"].alias("items"))
+    # places are those of all rows of the doc_id, so the rarest term itself is looked up too
+    rarest = lambda p: _folded(F.slice(words, (p["start"] + p["off"] + 1).cast("int"), 1)) == F.get(F.split(p["phrase"], " ", -1), p["off"].cast("int"))
+    inexact = F.filter(places, lambda p: ~same(p) & rarest(p)) if slop else F.slice(places, 1, 0)
+    nearly = F.transform(inexact, lambda p: _near(p, words, slop))
+    out = out.withColumns({
+        "__d_n_words": n_words,
+        "__d_matches": F.array_sort(F.transform(F.filter(places, same), bare)),
+        "__d_near": F.array_sort(F.array_distinct(F.filter(nearly, lambda p: p["span"] <= p["size"] + slop))),
+    })
     upto = lambda a, p: F.greatest(a["upto"], p["start"] + p["size"])
     grow = lambda a, p: F.struct(upto(a, p).alias("upto"), (a["n"] + F.greatest(F.lit(0).cast("bigint"), p["start"] + p["size"] - F.greatest(a["upto"], p["start"]))).alias("n"))
     zero = F.struct(F.lit(0).cast("bigint").alias("upto"), F.lit(0).cast("bigint").alias("n"))
     return out.withColumns({
         "__d_n_hit": F.aggregate("__d_matches", zero, grow, lambda a: a["n"]),
         "__d_items": F.array_sort(F.array_distinct(F.flatten(F.transform("__d_matches", lambda p: p["items"])))),
-        "__d_n_near": F.coalesce("__d_near", F.lit(0).cast("bigint")),
-    }).drop("__d_words", "__d_places", "__d_near")
+        "__d_near_items": F.array_sort(F.array_distinct(F.flatten(F.concat(F.transform("__d_matches", lambda p: p["items"]), F.transform("__d_near", lambda p: p["items"]))))),
+    }).drop("__d_words", "__d_places")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no window of the benchmark."""
-    return decontaminate(docs, benchmark).where("__d_n_hit = 0").select(columns_of(docs))
+    return decontaminate(docs, benchmark, slop=0).where("__d_n_hit = 0").select(columns_of(docs))

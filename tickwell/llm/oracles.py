@@ -66,8 +66,9 @@ SELECT conv_id, COUNT(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM s GROUP BY conv_id
 """
 
+# The words of a window in order within a stretch of its size and 3 words more: the chain goes word by word.
 OP7 = r"""
-WITH b AS (
+WITH RECURSIVE b AS (
   SELECT item_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS x FROM benchmark),
 w AS (
@@ -81,10 +82,22 @@ s AS (
   FROM (SELECT doc_id, x, k, UNNEST(generate_series(1, len(x) - k + 1)) AS i FROM d, (SELECT DISTINCT k FROM w) WHERE len(x) >= k)),
 m AS (SELECT s.doc_id, s.i, s.k, w.item FROM s JOIN w ON s.k = w.k AND s.phrase = w.phrase),
 h AS (SELECT doc_id, COUNT(DISTINCT p) AS n_hit FROM (SELECT doc_id, UNNEST(generate_series(i, i + k - 1)) AS p FROM m) GROUP BY doc_id),
-t AS (SELECT doc_id, COUNT(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM m GROUP BY doc_id)
+t AS (SELECT doc_id, COUNT(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM m GROUP BY doc_id),
+y AS (SELECT doc_id, UNNEST(x) AS word, generate_subscripts(x, 1) AS pos FROM d),
+z AS (SELECT phrase, k, UNNEST(string_split(phrase, ' ')) AS word, generate_subscripts(string_split(phrase, ' '), 1) AS j FROM (SELECT DISTINCT phrase, k FROM w)),
+c AS (
+  SELECT y.doc_id, z.phrase, z.k, z.j, y.pos, y.pos AS first FROM y JOIN z ON z.j = 1 AND z.word = y.word
+  UNION
+  SELECT c.doc_id, c.phrase, c.k, z.j, y.pos, c.first
+  FROM c JOIN (VALUES (1), (2), (3), (4)) g(gap) ON TRUE
+  JOIN y ON y.doc_id = c.doc_id AND y.pos = c.pos + g.gap
+  JOIN z ON z.phrase = c.phrase AND z.j = c.j + 1 AND z.word = y.word
+  WHERE y.pos - c.first <= c.j + 3),
+a AS (SELECT c.doc_id, COUNT(DISTINCT w.item) AS n_near_items FROM c JOIN w ON w.phrase = c.phrase WHERE c.j = c.k GROUP BY c.doc_id)
 SELECT d.doc_id, CAST(len(d.x) AS BIGINT) AS n_words, COALESCE(h.n_hit, 0) AS n_hit, COALESCE(t.n_items, 0) AS n_items,
-  sha256(COALESCE(t.items, '')) AS items_sha256, COALESCE(h.n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN h ON h.doc_id = d.doc_id LEFT JOIN t ON t.doc_id = d.doc_id
+  sha256(COALESCE(t.items, '')) AS items_sha256, COALESCE(h.n_hit, 0) > 0 AS contaminated,
+  COALESCE(a.n_near_items, 0) AS n_near_items
+FROM d LEFT JOIN h ON h.doc_id = d.doc_id LEFT JOIN t ON t.doc_id = d.doc_id LEFT JOIN a ON a.doc_id = d.doc_id
 """
 
 

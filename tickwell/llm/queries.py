@@ -56,7 +56,8 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontam.decontaminate(_documents(spark, sf_dir, "text"), read_table(spark, sf_dir, "benchmark").select("item_id", "text"))
     return out.select(
         "doc_id", F.col("__d_n_words").alias("n_words"), F.col("__d_n_hit").alias("n_hit"), F.size("__d_items").cast("bigint").alias("n_items"),
-        F.sha2(F.array_join("__d_items", ","), 256).alias("items_sha256"), (F.col("__d_n_hit") > 0).alias("contaminated"))
+        F.sha2(F.array_join("__d_items", ","), 256).alias("items_sha256"), (F.col("__d_n_hit") > 0).alias("contaminated"),
+        F.size("__d_near_items").cast("bigint").alias("n_near_items"))
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
