@@ -412,10 +412,6 @@ def test_packing_is_gapless_and_whole(lengths):
         assert n > 0 and s == at.get(d, 0)
         at[d] = s + n
     assert at == {d: n for d, n in enumerate(lengths) if n}
-    step = packing.steps(rows, 1 << 14)
-    for k in set(step):
-        mine = [i for i, s in enumerate(step) if s == k]
-        assert len({sizes[i] for i in mine}) == 1 and sum(sizes[i] for i in mine) <= 2 << 14
 
 
 def test_packed_documents(spark, monkeypatch):
@@ -441,6 +437,29 @@ def test_packed_documents(spark, monkeypatch):
     assert packing.pack_documents(with_lang(spark, []), BPE).count() == 0
 
 
+def test_steps_are_full_and_balanced_over_all_groups(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(packing, "GROUP_TOKENS", 9000)
+    rng = np.random.default_rng(8)
+    docs = [(i, " ".join(rng.choice(["alpha", "beta", "gamma", "of"], int(n)))) for i, n in enumerate(rng.geometric(0.002, 400))]
+    rows = packing.pack_documents(with_lang(spark, docs).repartition(7), BPE, step_tokens=1 << 14).collect()
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r.sequence_id, []).append(r)
+    assert all(len({(r.window, r.step_id) for r in q}) == 1 and sum(r.length for r in q) == q[0].window for q in sequences.values())
+    steps = {}
+    for q in sequences.values():
+        steps.setdefault(q[0].step_id, []).append((q[0].window, sum(r.length ** 2 for r in q)))
+    assert sorted(steps) == list(range(len(steps)))
+    windows = [q[0].window for q in sequences.values()]
+    for window in set(windows):
+        mine = [s for s in steps.values() if s[0][0] == window]
+        assert all(len({w for w, _ in s}) == 1 for s in mine)
+        assert len(mine) == -(-windows.count(window) * window // (1 << 14))  # no more steps than the tokens need
+        tokens, work = [window * len(s) for s in mine], [sum(x for _, x in s) for s in mine]
+        assert max(tokens) - min(tokens) <= window and max(tokens) <= 1 << 14
+        assert max(work) - min(work) <= max(x for s in mine for _, x in s) + window * window
+
+
 def test_files_are_read_by_as_many_tasks_and_one_id_is_dealt_out(spark, monkeypatch):
     monkeypatch.setattr(tokenfile, "RANGE_BYTES", 1000)
     rows = [(None, f"same id {i}") for i in range(400)] + [(7, f"again {i % 50}") for i in range(300)] + [(i, f"text number {i}") for i in range(100, 400)]
