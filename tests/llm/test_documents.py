@@ -78,6 +78,51 @@ def test_no_large_source_or_language_sets_its_own_bar(spark):
     assert [r.kept for r in judge(spark, rows)] == [True] * 1500 + [False] * 1300 + [True] * 250 + [False] * 300
 
 
+def plain_fences(rows):
+    """The documented fences by exact quantiles of the rows' own measures: {(lang, source): {measure: fence}}."""
+    import math
+    low = lambda values, q=0.5: sorted(values)[math.ceil(q * len(values)) - 1]
+    good = [r for r in rows if not r.base_failed]
+    c, out = quality.MIN_GROUP, {(r.doc_lang, r.doc_source): {} for r in good}
+    size = {g: sum((r.doc_lang, r.doc_source) == g for r in good) for g in out}
+    for m in quality.MEASURES:
+        def fence(groups):
+            values = [r[m] for r in good if (r.doc_lang, r.doc_source) in groups]
+            return low(values, quality.TAIL) + quality.SPREADS * (low(values, quality.TAIL) - low(values))
+
+        middle, unvoted = {}, set()
+        for lang in {g[0] for g in out}:
+            mine = {g for g in out if g[0] == lang}
+            small = {g for g in mine if size[g] < c}
+            votes = [fence({g}) for g in mine - small] + ([fence(small)] if sum(size[g] for g in small) >= c else [])
+            unvoted |= set() if votes else mine
+            middle[lang] = low(votes) if votes else fence(mine)
+        tops = [middle[lang] for lang in middle if lang not in {g[0] for g in unvoted}]
+        common = low(tops + ([fence(unvoted)] if sum(size[g] for g in unvoted) >= c or not tops else [])) if out else None
+        blend = lambda n, own, parent: n / (n + c) * own + c / (n + c) * parent
+        for g in out:
+            mid = blend(sum(size[h] for h in out if h[0] == g[0]), middle[g[0]], common)
+            small = {h for h in out if h[0] == g[0] and size[h] < c}
+            parent = blend(sum(size[h] for h in small), fence(small), mid) if small else mid
+            out[g][m] = min(blend(size[g], fence({g}), parent), quality.SLACK * mid, quality.SLACK * common)
+    return out
+
+
+@pytest.mark.parametrize("sizes", [{("en", "a"): 3}, {("en", "a"): 1, ("fr", "b"): 40, (None, None): 25},
+                                   {("en", "a"): 210, ("en", "b"): 90, ("en", "c"): 7, ("fr", "a"): 60, ("fr", "b"): 150, ("de", "a"): 30, (None, "b"): 1}])
+def test_one_rule_at_every_size_equals_exact_quantiles(spark, sizes):
+    rows = [(prose(i + 7 * k, 60 + i % 50, k % 3) + " #" * (i % 4) + "\nAGAIN THIS LINE" * (i % 9 // 3), *g) for k, (g, n) in enumerate(sizes.items()) for i in range(n)]
+    rows += [("too short", "en", "a"), (prose(5) + " ###" * 60, *next(iter(sizes)))]
+    out = judge(spark, rows)
+    want = plain_fences(out)
+    unit = {"symbol_share": "n_words", "capital_share": "word_chars", "dup_line_share": "n_lines", "repeat_share": "n_words", "word_length": "n_words"}
+    for r in out:
+        if not r.base_failed:
+            bars = {m: want[r.doc_lang, r.doc_source][m] + quality.MEASURES[m][1] / r[unit[m]] for m in unit}
+            assert all(abs(r[f"fence_{m}"] - bars[m]) < 1e-9 for m in unit)
+            assert r.kept == all(r[m] <= r[f"fence_{m}"] for m in unit)
+
+
 def test_line_dedup_equals_brute_force(spark, docs):
     got = line_dedup.dedup_lines(table(spark, docs)).select("doc_id", "__n_lines", "__n_dropped", F.sha2("text", 256)).collect()
     assert sorted(map(tuple, got)) == sorted(brute.line_dedup(docs))

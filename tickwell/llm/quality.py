@@ -8,8 +8,9 @@ what one event (a repeated sentence, a shouted line) makes of its length; that i
 No group sets its own bar: a language's middle fence is the lower median over its sources' fences, one vote for each
 source of ``min_group`` documents and one for the smaller ones together; the middle of all is that of the languages. No
 fence lies above ``SLACK`` times the middle one of its language, or of all, however many rows its source or language
-holds. Sources of fewer than ``min_group`` documents use the fence of their language's smaller ones together; where these
-are too few as well, the middle fence of the language, or else of all; a corpus of fewer uses fixed ones. What most sources of most languages have in
+holds. A group of n documents is held to its own fence by the weight n / (n + ``min_group``) and to its parent's by the
+rest: a source to its language's smaller ones together, these to its middle, and that to the middle of all. So one rule serves every size, and the fences
+of a small corpus come from its own sketches too. What most sources of most languages have in
 common counts as usual: nothing in the counts tells it from good text.
 A document is kept if it passes the base rule and no measure lies above its fence.
 
@@ -35,13 +36,13 @@ REPEAT_WORDS = 3
 SYMBOLS = T._class(lambda b: chr(b) in "#*$%&|<>")
 CAPITALS = T._class(lambda b: 0x41 <= b <= 0x5A)
 
-#: Measure: its expression over the counts, the count that one event adds to it, and the fence of a corpus under ``min_group``.
+#: Measure: its expression over the counts, and the count that one event adds to it.
 MEASURES = {
-    "symbol_share": ("n_symbols / n_words", 3, 0.1),
-    "capital_share": ("n_capitals / word_chars", 20, 0.4),
-    "dup_line_share": ("n_dup_lines / n_lines", 3, 0.5),
-    "repeat_share": ("n_repeat_words / n_words", 30, 0.45),
-    "word_length": ("word_chars / n_words", 40, 12.0),
+    "symbol_share": ("n_symbols / n_words", 3),
+    "capital_share": ("n_capitals / word_chars", 20),
+    "dup_line_share": ("n_dup_lines / n_lines", 3),
+    "repeat_share": ("n_repeat_words / n_words", 30),
+    "word_length": ("word_chars / n_words", 40),
 }
 TAIL = 0.9
 SPREADS = 4.0
@@ -117,14 +118,13 @@ def _event(m: str, prefix: str = "") -> Column:
     return F.expr(f"if({under} > 0, {MEASURES[m][1]} / {under}, 0D)")
 
 
-def _read(sketches: DataFrame, keys: list[str], spreads: float, min_group: int) -> DataFrame:
-    """Each measure's fence; null where the group is too small."""
+def _read(sketches: DataFrame, keys: list[str], spreads: float) -> DataFrame:
+    """The number of documents and each measure's fence."""
     def fence(m: str) -> Column:
         mid, high = (F.kll_sketch_get_quantile_double(F.col(m), F.lit(q)) for q in (0.5, TAIL))
         return high + F.lit(spreads) * (high - mid)
 
-    big = F.col("n") >= min_group
-    return sketches.select(*keys, big.alias("big"), *[F.when(big, fence(m)).alias(f"own_{m}") for m in MEASURES])
+    return sketches.select(*keys, "n", *[F.when(F.col("n") > 0, fence(m)).alias(f"own_{m}") for m in MEASURES])
 
 
 def _merged(sketches: DataFrame, *keys: str) -> DataFrame:
@@ -133,8 +133,7 @@ def _merged(sketches: DataFrame, *keys: str) -> DataFrame:
 
 def _middle(votes: DataFrame, *keys: str) -> DataFrame:
     """Lower medians over the votes, whatever number of rows stands behind each."""
-    return votes.groupBy(*keys).agg(*[F.percentile_approx(f"own_{m}", 0.5, 10000).alias(f"own_{m}") for m in MEASURES],
-                                    *[F.max(F.when(F.col("pooled"), F.col(f"own_{m}"))).alias(f"pool_{m}") for m in MEASURES])
+    return votes.groupBy(*keys).agg(*[F.percentile_approx(f"own_{m}", 0.5, 10000).alias(f"mid_{m}") for m in MEASURES])
 
 
 def fences(counts: DataFrame, spreads: float = SPREADS, min_group: int = MIN_GROUP) -> DataFrame:
@@ -145,17 +144,33 @@ def fences(counts: DataFrame, spreads: float = SPREADS, min_group: int = MIN_GRO
     store = Scratch(counts.sparkSession, "quality")
     sketches = store.save(counts.where(~base_failed()).groupBy("doc_lang", "doc_source").agg(
         F.count(F.lit(1)).alias("n"), *[F.kll_sketch_agg_double(_measure(m), F.lit(SKETCH_K)).alias(m) for m in MEASURES]), "sketches")
-    own = store.save(_read(sketches, ["doc_lang", "doc_source"], spreads, min_group), "own")
+    own = store.save(_read(sketches, ["doc_lang", "doc_source"], spreads), "own")
     pools = store.save(_merged(sketches.where(F.col("n") < min_group), "doc_lang"), "pools")
-    pooled = _read(pools, ["doc_lang"], spreads, min_group).where("big")
-    votes = own.where("big").drop("doc_source").withColumn("pooled", F.lit(False)).unionByName(pooled.withColumn("pooled", F.lit(True)))
-    lang = store.save(_middle(votes, "doc_lang").withColumnRenamed("doc_lang", "l"), "languages")
-    rest = _merged(pools.join(lang, pools.doc_lang.eqNullSafe(lang.l), "left_anti"))
-    every = _middle(lang.drop("l").unionByName(_read(rest, [], spreads, min_group).where("big").drop("big"), allowMissingColumns=True).withColumn("pooled", F.lit(False))).first()  # one row of numbers, whatever the input
+    pooled = _read(pools, ["doc_lang"], spreads)
+    big = F.col("n") >= min_group
+    voted = store.save(_middle(own.where(big).drop("doc_source").unionByName(pooled.where(big)), "doc_lang").withColumnRenamed("doc_lang", "l"), "languages")
+    # languages of small sources only have no vote of their own: together they have one, which is the only one of a small corpus
+    unvoted = pools.join(voted, pools.doc_lang.eqNullSafe(voted.l), "left_anti")
+    votes = voted.select(F.lit(True).alias("sure"), *[F.col(f"mid_{m}").alias(f"own_{m}") for m in MEASURES])
+    votes = votes.unionByName(_read(_merged(unvoted), [], spreads).withColumn("sure", big).drop("n"))
+    top = lambda m: F.coalesce(F.percentile_approx(F.when(F.col("sure"), F.col(f"own_{m}")), 0.5, 10000), F.max(f"own_{m}"))
+    every = votes.agg(*[top(m).alias(f"mid_{m}") for m in MEASURES]).first()  # one row of numbers, whatever the input
+    common = {m: F.lit(every[f"mid_{m}"]).cast("double") for m in MEASURES}
+
+    def blend(n: str, mine: str, parent: Column) -> Column:
+        rows = F.coalesce(F.col(n), F.lit(0))
+        weight = rows / (rows + F.lit(min_group))
+        return F.when(rows > 0, weight * F.col(mine) + (1 - weight) * parent).otherwise(parent)
+
+    middles = voted.unionByName(_read(unvoted, ["doc_lang"], spreads).select(F.col("doc_lang").alias("l"), *[F.col(f"own_{m}").alias(f"mid_{m}") for m in MEASURES]))
+    rows = own.groupBy(F.col("doc_lang").alias("r")).agg(F.sum("n").alias("rows"))
+    pool = _read(pools, ["doc_lang"], spreads).select(F.col("doc_lang").alias("p"), F.col("n").alias("pooled"), *[F.col(f"own_{m}").alias(f"pool_{m}") for m in MEASURES])
+    lang = middles.join(rows, middles.l.eqNullSafe(rows.r)).join(pool, middles.l.eqNullSafe(pool.p), "left")
+    lang = lang.select("l", "pooled", *[f"pool_{m}" for m in MEASURES], *[blend("rows", f"mid_{m}", common[m]).alias(f"mid_{m}") for m in MEASURES])
 
     def fence(m: str) -> Column:
-        mine, middle, common = own[f"own_{m}"], lang[f"own_{m}"], F.lit(every[f"own_{m}"]).cast("double")
-        return F.coalesce(F.least(F.coalesce(mine, lang[f"pool_{m}"], middle, common), F.lit(SLACK) * middle, F.lit(SLACK) * common), F.lit(MEASURES[m][2]))
+        middle = F.col(f"mid_{m}")
+        return F.least(blend("n", f"own_{m}", blend("pooled", f"pool_{m}", middle)), F.lit(SLACK) * middle, F.lit(SLACK) * common[m])
 
     table = own.join(lang, own.doc_lang.eqNullSafe(lang.l), "left").select("doc_lang", "doc_source", *[fence(m).alias(f"fence_{m}") for m in MEASURES])
     return store.save(table, "fences")
