@@ -100,6 +100,7 @@ def plain_fences(rows):
         tops = [middle[lang] for lang in middle if lang not in {g[0] for g in unvoted}]
         common = low(tops + ([fence(unvoted)] if sum(size[g] for g in unvoted) >= c or not tops else [])) if out else None
         blend = lambda n, own, parent: n / (n + c) * own + c / (n + c) * parent
+        common = blend(len(good), common, quality.MEASURES[m][2]) if out else None
         for g in out:
             mid = blend(sum(size[h] for h in out if h[0] == g[0]), middle[g[0]], common)
             small = {h for h in out if h[0] == g[0] and size[h] < c}

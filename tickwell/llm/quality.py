@@ -9,8 +9,8 @@ No group sets its own bar: a language's middle fence is the lower median over it
 source of ``min_group`` documents and one for the smaller ones together; the middle of all is that of the languages. No
 fence lies above ``SLACK`` times the middle one of its language, or of all, however many rows its source or language
 holds. A group of n documents is held to its own fence by the weight n / (n + ``min_group``) and to its parent's by the
-rest: a source to its language's smaller ones together, these to its middle, and that to the middle of all. So one rule serves every size, and the fences
-of a small corpus come from its own sketches too. What most sources of most languages have in
+rest: a source to its language's smaller ones together, these to its middle, and that to the middle of all, which is
+held to a stated prior by a corpus of few documents. So one rule serves every size without a switch; the prior fades. What most sources of most languages have in
 common counts as usual: nothing in the counts tells it from good text.
 A document is kept if it passes the base rule and no measure lies above its fence.
 
@@ -36,13 +36,13 @@ REPEAT_WORDS = 3
 SYMBOLS = T._class(lambda b: chr(b) in "#*$%&|<>")
 CAPITALS = T._class(lambda b: 0x41 <= b <= 0x5A)
 
-#: Measure: its expression over the counts, and the count that one event adds to it.
+#: Measure: its expression over the counts, the count that one event adds to it, and the prior of its fence.
 MEASURES = {
-    "symbol_share": ("n_symbols / n_words", 3),
-    "capital_share": ("n_capitals / word_chars", 20),
-    "dup_line_share": ("n_dup_lines / n_lines", 3),
-    "repeat_share": ("n_repeat_words / n_words", 30),
-    "word_length": ("word_chars / n_words", 40),
+    "symbol_share": ("n_symbols / n_words", 3, 0.1),
+    "capital_share": ("n_capitals / word_chars", 20, 0.4),
+    "dup_line_share": ("n_dup_lines / n_lines", 3, 0.5),
+    "repeat_share": ("n_repeat_words / n_words", 30, 0.45),
+    "word_length": ("word_chars / n_words", 40, 12.0),
 }
 TAIL = 0.9
 SPREADS = 4.0
@@ -155,7 +155,8 @@ def fences(counts: DataFrame, spreads: float = SPREADS, min_group: int = MIN_GRO
     votes = votes.unionByName(_read(_merged(unvoted), [], spreads).withColumn("sure", big).drop("n"))
     top = lambda m: F.coalesce(F.percentile_approx(F.when(F.col("sure"), F.col(f"own_{m}")), 0.5, 10000), F.max(f"own_{m}"))
     every = votes.agg(*[top(m).alias(f"mid_{m}") for m in MEASURES]).first()  # one row of numbers, whatever the input
-    common = {m: F.lit(every[f"mid_{m}"]).cast("double") for m in MEASURES}
+    n = own.agg(F.sum("n")).first()[0] or 0
+    common = {m: F.lit(None if every[f"mid_{m}"] is None else (n * every[f"mid_{m}"] + min_group * MEASURES[m][2]) / (n + min_group)).cast("double") for m in MEASURES}
 
     def blend(n: str, mine: str, parent: Column) -> Column:
         rows = F.coalesce(F.col(n), F.lit(0))
