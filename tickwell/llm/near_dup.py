@@ -9,14 +9,15 @@ the Jaccard similarity of their sets is at least ``percent`` per cent.
    sequence names: optimal densification).
 2. Documents with equal sets form a class; only the class's smallest doc_id goes on. Copies are never paired.
 3. Every bucket links its members to its smallest one: as many candidates as members, not their square.
-4. Candidates are confirmed on the full sets, built anew from both texts. The links give components.
+4. Candidates whose set sizes and sketches (a bit for each of SKETCH slots) allow the similarity are confirmed on the
+   full sets, built anew from both texts; only these texts move. The links give components.
 5. The exact rest: a star misses a link between two members whose star edges failed. Documents that candidates connect
    form a cluster; where a cluster holds more than one component, all its members stream past those outside its largest
-   component (blocks of about BLOCK of these against chunks of about CHUNK of those, so a large cluster is many tasks), as
+   component (blocks of about BLOCK of these against chunks of FEW to CHUNK of those, so a cluster of some thousands is several tasks), as
    signatures of LONG slots. Pairs of
    different components whose signatures agree on about the similarity are confirmed too, and the components updated.
 
-At similarity 0.8 a pair shares no bucket with probability (1 - 0.8^4)^32 = 5e-8; the signature filters of step 5 lie
+At similarity 0.8 a pair shares no bucket with probability (1 - 0.8^4)^32 = 5e-8; the filters of steps 4 and 5 lie
 more than five standard errors below the limit.
 
 Defined cases: null or empty texts have the empty set; rows that share a doc_id are one node, linked as any of them is;
@@ -43,14 +44,15 @@ PERCENT = 80
 SLOTS, ROWS = 128, 4
 BANDS = SLOTS // ROWS
 LONG = 1024
-BLOCK, CHUNK = 1 << 13, 1 << 14
+SKETCH = 512
+BLOCK, CHUNK, FEW = 1 << 13, 1 << 14, 1 << 10
 TRIES = 1024
 _ROUNDS = (16, 128, TRIES)
 
 
-def _agree(slots: int, percent: int) -> int:
-    """Slots of a pair at the similarity that agree, less 5.5 standard errors."""
-    p = percent / 100
+def _agree(slots: int, percent: int, chance: float = 0.0) -> int:
+    """Slots of a pair at the similarity that agree, less 5.5 standard errors; others agree by ``chance``."""
+    p = percent / 100 + (1 - percent / 100) * chance
     return int(slots * p - 5.5 * (slots * p * (1 - p)) ** 0.5)
 
 
@@ -93,14 +95,25 @@ def row_sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
 _BAND_SALT = T.mix(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
+_BIT_SALT = T.mix(np.arange(1, SKETCH + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
+
+
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """A bit for each slot of a signature of SKETCH slots, as bigints. Each slot hashes by itself, so that slots that differ
+    agree by chance independently also where a set has few shingles."""
+    bits = (T.mix(signature(hashes, SKETCH) ^ _BIT_SALT) & np.uint64(1)).astype(np.uint8)
+    return np.packbits(bits).view(np.int64)
+
+
 def _signed(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        n, fp, bands = [], [], []
+        n, fp, bands, sketches = [], [], [], []
         for one in row_sets(batch.column("text"), k):
             n.append(len(one))
             if not len(one):
                 fp.append((0, 0))
                 bands.append(None)
+                sketches.append(None)
                 continue
             fp.append((int(T.mix(one).sum().view(np.int64)), int(T.mix(one ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum().view(np.int64))))
             sig = signature(one)
@@ -108,12 +121,13 @@ def _signed(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
             for r in range(ROWS):
                 key = T.mix(key + sig[r::ROWS])
             bands.append(key.view(np.int64))
+            sketches.append(sketch(one))
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array([x for x, _ in fp], pa.int64()), pa.array([x for _, x in fp], pa.int64()),
-             pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "fp1", "fp2", "bands"])
+             pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "fp1", "fp2", "bands", "sketch"])
 
 
-_SIGNED = "doc_id bigint, n_shingles bigint, fp1 bigint, fp2 bigint, bands array<bigint>"
+_SIGNED = "doc_id bigint, n_shingles bigint, fp1 bigint, fp2 bigint, bands array<bigint>, sketch array<bigint>"
 SALTS = 32
 
 
@@ -153,6 +167,17 @@ def _texts_of(wanted: DataFrame, texts: DataFrame) -> DataFrame:
     return sift(texts, "doc_id", wanted, "doc_id").where("__may").drop("__may")
 
 
+def _likely(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """The ``pairs`` whose set sizes and sketches allow the similarity. A hub with many members is dealt to SALTS tasks."""
+    side = lambda name: reps.select(F.col("doc_id").alias(name), F.col("n_shingles").alias(f"{name}_n"), F.col("sketch").alias(f"{name}_sketch"))
+    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("member"), F.lit(SALTS)))
+    hubs = salted.select("hub", "salt").distinct().join(side("hub"), "hub")
+    met = salted.join(side("member"), "member").join(hubs, ["hub", "salt"])
+    differ = sum((F.bit_count(F.get("hub_sketch", F.lit(i)).bitwiseXOR(F.get("member_sketch", F.lit(i)))) for i in range(SKETCH // 64)), F.lit(0))
+    near = (SKETCH - differ >= _agree(SKETCH, percent, 0.5)) & (100 * F.least("hub_n", "member_n") >= percent * F.greatest("hub_n", "member_n"))
+    return met.where(near).select("hub", "member")  # confirm takes distinct ones
+
+
 def confirm(pairs: DataFrame, texts: DataFrame, k: int, percent: int, store: Scratch, name: str) -> DataFrame:
     """The links among ``pairs`` (hub, member). A hub with many members is dealt to SALTS tasks, its text with it.
 
@@ -227,7 +252,8 @@ def _unmet(pairs: DataFrame, comp: DataFrame, texts: DataFrame, k: int, percent:
     placed = store.save(whole.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("cluster", "doc_id", F.coalesce("component", "doc_id").alias("component")), "placed")
     parts = placed.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("size"))
     shape = parts.groupBy("cluster").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.sum("size").alias("all"), (F.sum("size") - F.max("size")).alias("strays"))
-    shape = shape.where("strays > 0").withColumns({"blocks": F.ceil(F.col("strays") / BLOCK).cast("bigint"), "chunks": F.ceil(F.col("all") / CHUNK).cast("bigint")})
+    chunk = F.least(F.lit(CHUNK), F.greatest(F.lit(FEW), F.ceil(F.col("all") / 8)))
+    shape = shape.where("strays > 0").withColumns({"blocks": F.ceil(F.col("strays") / BLOCK).cast("bigint"), "chunks": F.ceil(F.col("all") / chunk).cast("bigint")})
     open_ = store.save(placed.join(shape, "cluster").select("cluster", "doc_id", "component", "blocks", "chunks", (F.col("component") != F.col("main")).alias("stray")), "open")
     sigs = store.save(open_.select("doc_id").join(_texts_of(open_, texts), "doc_id").mapInArrow(lambda it: _long(it, k), "doc_id bigint, n bigint, sig binary"), "long")
     rows = open_.join(sigs.where("n > 0"), "doc_id")
@@ -256,7 +282,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     held = rows.join(buckets, "key")
     texts = narrow.where("doc_id is not null")
     pairs = store.save(held.where("doc_id <> hub").select("hub", F.col("doc_id").alias("member")).distinct(), "pairs")
-    links = confirm(pairs, texts, k, percent, store, "star")
+    links = confirm(_likely(pairs, reps, percent), texts, k, percent, store, "star")
     alike = member.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     linked = links.unionByName(alike)
     comp = components(links.unionByName(alike.join(member.where("doc_id = rep").select(F.col("doc_id").alias("a")), "a", "left_semi")), store, "first")
