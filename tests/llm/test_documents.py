@@ -278,6 +278,37 @@ def test_sieve_lets_every_partner_through(spark, monkeypatch):
     assert not any(r["__may"] for r in sieve.sift(rows, "k", ids.limit(0), "wanted").collect())
 
 
+def test_sieve_over_many_pages_grows_with_its_ids(spark, monkeypatch):
+    from tickwell.llm import sieve
+    assert sieve.size_for(0) == sieve.size_for(1_000_000) == sieve.BITS and sieve.size_for(1_100_000) == 2 * sieve.BITS
+    assert sieve.size_for(10**12) == sieve.MOST
+    monkeypatch.setattr(sieve, "BITS", 1 << 10)
+    monkeypatch.setattr(sieve, "PAGE", 1 << 4)
+    ids = spark.range(0, 40_000, 2).selectExpr("id as wanted")  # 2^20 bits: 1,024 pages of 16 words
+    got = sieve.sift(spark.range(40_000).selectExpr("id as k"), "k", ids, "wanted").groupBy(F.col("k") % 2).agg(F.sum(F.col("__may").cast("int"))).collect()
+    passed = {r[0]: r[1] for r in got}
+    assert passed[0] == 20_000 and 0 < passed[1] < 20_000 / 16
+
+
+def test_sketches_keep_every_linked_pair_and_bar_most_others():
+    import numpy as np
+    rng = np.random.default_rng(5)
+
+    def agreed(size, common):
+        """Agreeing slots of two sets with ``common`` of ``size`` elements in their union shared."""
+        union = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64) * np.uint64(2))
+        mine = rng.permutation(len(union))[common:]
+        left = np.isin(np.arange(len(union)), mine[::2])
+        right = np.isin(np.arange(len(union)), mine[1::2])
+        a, b = near_dup.sketch(union[~left]), near_dup.sketch(union[~right])
+        return near_dup.SKETCH - sum(int(x).bit_count() for x in (a ^ b).view(np.uint64))
+
+    least = near_dup._agree(near_dup.SKETCH, 80, 0.5)
+    for size in (5, 10, 15, 100, 500, 3000):
+        assert min(agreed(size, size * 4 // 5) for _ in range(150)) >= least, size
+    assert sum(agreed(300, 150) >= least for _ in range(200)) < 4  # similarity 0.5
+
+
 def test_only_texts_that_lose_lines_move(spark):
     """And shards beyond the task bound share tasks."""
     shared = "a line of twenty or more characters"
