@@ -11,7 +11,8 @@ of a benchmark item (all its words, if it has fewer). A document word inside any
 5. The few places that remain are compared with the document's own words. An exact match has the window's words one
    after another. A proximity match has all of them in order, with 1 to ``slop`` other words between them in all; from
    the place of the rarest term the nearest next (and previous) word is taken each time, so its span is the shortest
-   there. Both come with place, span, phrase and items.
+   there. Both come with place, span, phrase and items. Places name a list of items; each distinct list that a document
+   needs comes to it once, however many windows and places share it.
 
 Terms are folded by the stated rule in the index as in step 5: lower() would do more, and by context (a final sigma).
 The benchmark's terms are a written table, so they are broadcast only where that file is small; else the words are
@@ -53,13 +54,13 @@ def _term(word: Column) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame, item_id: str, text: str, window: int) -> DataFrame:
-    """Distinct windows: wid, phrase, size, items, terms."""
+    """Distinct windows: wid, phrase, size, items, list (a number for equal items), terms."""
     words = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"), F.filter(_cut(F.col(text)), lambda w: w != "").alias("words")).where("size(words) > 0")
     size = F.least(F.size("words"), F.lit(window))
     at = words.withColumn("size", size).select("item", "words", "size", F.explode(F.sequence(F.lit(1), F.size("words") - size + 1)).alias("at"))
     cut = at.select("item", F.col("size").cast("bigint").alias("size"), F.slice("words", F.col("at"), F.col("size")).alias("w"))
     phrase = cut.withColumn("phrase", _folded(F.col("w"))).groupBy("phrase", "size").agg(F.sort_array(F.collect_set("item")).alias("items"))
-    return phrase.select(F.xxhash64("phrase").alias("wid"), "phrase", "size", "items", F.split("phrase", " ").alias("terms"))
+    return phrase.select(F.xxhash64("phrase").alias("wid"), "phrase", "size", "items", F.xxhash64("items").alias("list"), F.split("phrase", " ").alias("terms"))
 
 
 def _tokens(docs: DataFrame) -> DataFrame:
@@ -77,7 +78,8 @@ def _anchors(windows: DataFrame, freq: DataFrame, store: Scratch) -> DataFrame:
 
 
 def find_places(docs: DataFrame, windows: DataFrame, store: Scratch, slop: int) -> DataFrame:
-    """(id, places): where a window may stand in a document, by its two rarest terms in its order and near enough."""
+    """(id, places, lists): where a window may stand in a document, by its two rarest terms in its order and near enough,
+    and the lists of items that these places name."""
     vocabulary = store.save(windows.select(F.explode("terms").alias("term")).distinct(), "vocabulary")
     freq = store.save(_tokens(docs).select("term").join(vocabulary, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n")), "frequencies")
     anchors = _anchors(windows, freq, store)
@@ -92,8 +94,11 @@ def find_places(docs: DataFrame, windows: DataFrame, store: Scratch, slop: int)
     at = met.select("id", "rare", "other", "gap", F.explode("at").alias("pos")).join(
         anchors.select(F.col("term").alias("rare"), "other", "gap", "wid", "off"), ["rare", "other", "gap"])
     spots = at.where("pos >= off").select("id", "wid", (F.col("pos") - F.col("off")).cast("bigint").alias("start"), F.col("off").cast("bigint").alias("off"))
-    place = F.struct("start", "size", "phrase", "items", "off")
-    return store.save(spots.join(windows.select("wid", "phrase", "size", "items"), "wid").groupBy("id").agg(F.collect_set(place).alias("places")), "places")
+    place = F.struct("start", "size", "phrase", "list", "off")
+    placed = store.save(spots.join(windows.select("wid", "phrase", "size", "list"), "wid"), "placed")
+    named = windows.select("list", "items").distinct()
+    lists = placed.select("id", "list").distinct().join(named, "list").groupBy("id").agg(F.collect_list(F.struct("list", "items")).alias("lists"))
+    return store.save(placed.groupBy("id").agg(F.collect_set(place).alias("places")).join(lists, "id"), "places")
 
 
 def _steps(terms: Column, words: Column) -> Column:
@@ -106,14 +111,14 @@ def _steps(terms: Column, words: Column) -> Column:
 
 
 def _near(place: Column, words: Column, slop: int) -> Column:
-    """The shortest stretch around a place that holds its window's words in order: start, span, size, phrase, items."""
+    """The shortest stretch around a place that holds its window's words in order: start, span, size, phrase, list."""
     terms, off, size = F.split(place["phrase"], " ", -1), place["off"].cast("int"), place["size"].cast("int")
     pos = (place["start"] + place["off"]).cast("int")
     folded = lambda part: F.split(_folded(part), " ", -1)
     after = _steps(F.slice(terms, off + 2, size), folded(F.slice(words, pos + 2, size - off - 1 + slop)))
     first = F.greatest(F.lit(0), pos - off - slop)
     before = _steps(F.reverse(F.slice(terms, F.lit(1), off)), F.reverse(folded(F.slice(words, first + 1, pos - first))))
-    return F.struct((pos - before).cast("bigint").alias("start"), (before + after + 1).cast("bigint").alias("span"), place["size"].alias("size"), place["phrase"].alias("phrase"), place["items"].alias("items"))
+    return F.struct((pos - before).cast("bigint").alias("start"), (before + after + 1).cast("bigint").alias("span"), place["size"].alias("size"), place["phrase"].alias("phrase"), place["list"].alias("list"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
@@ -124,37 +129,44 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     windows = store.save(benchmark_windows(benchmark, item_id, item_text, window), "windows")
     ident = F.coalesce(F.col(doc_id).cast("bigint"), F.lit(_NULL_ID))
     found = find_places(docs.select(ident.alias("id"), F.col(text).alias("text")), windows, store, slop)
-    found = found.select(F.col("id").alias("__d_key"), F.col("places").alias("__d_places"))
+    found = found.select(F.col("id").alias("__d_key"), F.col("places").alias("__d_places"), F.col("lists").alias("__d_lists"))
     # only texts that may have places move to them; the rest stay where they are read
     marked = sift(docs.withColumn("__d_id", ident), "__d_id", found, "__d_key")
-    columns = [*columns_of(docs), "__d_places"]
+    columns = [*columns_of(docs), "__d_places", "__d_lists"]
     moved = marked.where("__may").join(found, F.col("__d_id") == F.col("__d_key"), "left").select(columns)
-    kind = found.schema["__d_places"].dataType
-    stayed = marked.where("not __may").withColumn("__d_places", F.lit(None).cast(kind)).select(columns)
+    empty = {c: F.array().cast(found.schema[c].dataType) for c in ("__d_places", "__d_lists")}
+    stayed = marked.where("not __may").withColumns(empty).select(columns)
     out = stayed.unionByName(moved).withColumn("__d_words", _cut(F.col(text)))
     words = F.col("__d_words")
     edge = lambda at: F.when(F.element_at(words, at) == "", 1).otherwise(0)
     n_words = (F.size(words) - edge(1) - F.when(F.size(words) > 1, edge(-1)).otherwise(0)).cast("bigint")
     same = lambda p: _folded(F.slice(words, (p["start"] + 1).cast("int"), p["size"].cast("int"))) == p["phrase"]
-    places = F.coalesce("__d_places", F.array().cast(kind))
-    bare = lambda p: F.struct(p["start"].alias("start"), p["size"].alias("size"), p["phrase"].alias("phrase"), p["items"].alias("items"))
+    places, lists = (F.coalesce(c, empty[c]) for c in ("__d_places", "__d_lists"))
+    bare = lambda p: F.struct(p["start"].alias("start"), p["size"].alias("size"), p["phrase"].alias("phrase"), p["list"].alias("list"))
     # places are those of all rows of the doc_id, so the rarest term itself is looked up too
     rarest = lambda p: _folded(F.slice(words, (p["start"] + p["off"] + 1).cast("int"), 1)) == F.get(F.split(p["phrase"], " ", -1), p["off"].cast("int"))
     inexact = F.filter(places, lambda p: ~same(p) & rarest(p)) if slop else F.slice(places, 1, 0)
     nearly = F.transform(inexact, lambda p: _near(p, words, slop))
     out = out.withColumns({
         "__d_n_words": n_words,
-        "__d_matches": F.array_sort(F.transform(F.filter(places, same), bare)),
-        "__d_near": F.array_sort(F.array_distinct(F.filter(nearly, lambda p: p["span"] <= p["size"] + slop))),
+        "__d_lists": lists,
+        "__d_exact": F.array_sort(F.transform(F.filter(places, same), bare)),
+        "__d_nearly": F.array_sort(F.array_distinct(F.filter(nearly, lambda p: p["span"] <= p["size"] + slop))),
     })
     upto = lambda a, p: F.greatest(a["upto"], p["start"] + p["size"])
     grow = lambda a, p: F.struct(upto(a, p).alias("upto"), (a["n"] + F.greatest(F.lit(0).cast("bigint"), p["start"] + p["size"] - F.greatest(a["upto"], p["start"]))).alias("n"))
     zero = F.struct(F.lit(0).cast("bigint").alias("upto"), F.lit(0).cast("bigint").alias("n"))
+    listed = lambda p: F.element_at(F.filter("__d_lists", lambda x: x["list"] == p["list"]), 1)["items"]
+    with_items = lambda c, *names: F.transform(c, lambda p: F.struct(*[p[n].alias(n) for n in names], listed(p).alias("items")))
+    union = lambda used: F.array_sort(F.array_distinct(F.flatten(F.transform(F.filter("__d_lists", lambda x: F.array_contains(used, x["list"])), lambda x: x["items"]))))
+    exactly, nearby = (F.transform(c, lambda p: p["list"]) for c in ("__d_exact", "__d_nearly"))
     return out.withColumns({
-        "__d_n_hit": F.aggregate("__d_matches", zero, grow, lambda a: a["n"]),
-        "__d_items": F.array_sort(F.array_distinct(F.flatten(F.transform("__d_matches", lambda p: p["items"])))),
-        "__d_near_items": F.array_sort(F.array_distinct(F.flatten(F.concat(F.transform("__d_matches", lambda p: p["items"]), F.transform("__d_near", lambda p: p["items"]))))),
-    }).drop("__d_words", "__d_places")
+        "__d_n_hit": F.aggregate("__d_exact", zero, grow, lambda a: a["n"]),
+        "__d_matches": with_items("__d_exact", "start", "size", "phrase"),
+        "__d_near": with_items("__d_nearly", "start", "span", "size", "phrase"),
+        "__d_items": union(exactly),
+        "__d_near_items": union(F.concat(exactly, nearby)),
+    }).drop("__d_words", "__d_places", "__d_lists", "__d_exact", "__d_nearly")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
