@@ -144,3 +144,20 @@ def test_rsi_and_macd_match_closed_form(spark):
 def test_both_scans_share_blocks_and_sorts(spark):
     plan = I.Indicators(fact_frame(spark, {"A": [1.0] * 30})).wide._jdf.queryExecution().executedPlan().toString()
     assert len(re.findall(r"\bSort \[", plan)) == 2
+
+
+def test_a_scan_is_two_windows_and_indicators_are_six(spark):
+    """Every window operator copies each row: a scan of any number of recurrences has one inside the blocks and one over
+    those before (it had four), averages, bands and seeds two together."""
+    fact = fact_frame(spark, {"A": [1.0] * 30})
+    windows = lambda df: len(re.findall(r"\bWindow \[", df._jdf.queryExecution().executedPlan().toString()))
+    assert windows(linear_scan(fact, [ScanSpec("y", 0.8, fact["gain"]), ScanSpec("z", 0.9, fact["loss"])])) == 2
+    assert windows(I.Indicators(fact).wide) == 6
+
+
+def test_a_null_nulls_all_later_blocks(spark):
+    df = series_frame(spark, {"A": [1.0, None] + [1.0] * 10, "B": [1.0] * 12})
+    out = linear_scan(df, [ScanSpec("y", 0.5, df["x"])], "symbol", "row_num", 3)
+    got = {k: [r["y"] for r in sorted(out.filter(df["symbol"] == k).collect(), key=lambda r: r["row_num"])] for k in "AB"}
+    assert got["A"] == [1.0] + [None] * 11
+    assert got["B"] == pytest.approx(loop(0.5, [1.0] * 12))

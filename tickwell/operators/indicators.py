@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from .scan import ScanSpec, linear_scan, safe_block
-from .windows import bollinger_frame, with_sma
+from .windows import Averages, Bands, by_symbol, moving
 
 
 def _seed(value: str, key: str, order: str, first_row: Column | None = None) -> Column:
@@ -22,9 +22,12 @@ def _seed(value: str, key: str, order: str, first_row: Column | None = None) ->
     where ``first_row`` holds) to the current row. Read at the seed row it
     is the seed mean; a running frame is updated in O(1) per row, where a
     sliding frame would be re-aggregated row by row."""
-    w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    v = F.col(value) if first_row is None else F.when(first_row, F.col(value))
-    return F.avg(v).over(w)
+    w = by_symbol(key, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return _mean(value, first_row).over(w)
+
+
+def _mean(value: str, first_row: Column | None = None) -> Column:
+    return F.avg(F.col(value) if first_row is None else F.when(first_row, F.col(value)))
 
 
 def ema_alpha(period: int) -> float:
@@ -32,19 +35,20 @@ def ema_alpha(period: int) -> float:
 
 
 def ema_spec(period: int, value: str, name: str, key: str = "symbol", rn: str = "row_num",
-             order: str = "trade_date") -> ScanSpec:
+             order: str = "trade_date", seed: Column | None = None) -> ScanSpec:
     """R1 input: 0 before the seed row, the mean of rows 1..period at row
-    ``period`` (nulls skipped, as a mean does), ``alpha * x`` after."""
+    ``period`` (nulls skipped, as a mean does), ``alpha * x`` after.
+    ``seed``: that running mean, where the frame has it."""
     alpha = ema_alpha(period)
     r = F.col(rn)
     b = (F.when(r < period, F.lit(0.0))
-          .when(r == period, _seed(value, key, order))
+          .when(r == period, _seed(value, key, order) if seed is None else seed)
           .otherwise(F.lit(alpha) * F.col(value)))
     return ScanSpec(name, 1.0 - alpha, b)
 
 
 def wilder_specs(period: int, key: str = "symbol", rn: str = "row_num",
-                 order: str = "trade_date") -> list[ScanSpec]:
+                 order: str = "trade_date", seeds: dict[str, Column] | None = None) -> list[ScanSpec]:
     """R2 inputs: seeds are the means of gain and loss over rows
     2..period+1, read at row period+1; then ``x / period`` with decay
     ``(period - 1) / period``."""
@@ -53,7 +57,7 @@ def wilder_specs(period: int, key: str = "symbol", rn: str = "row_num",
     specs = []
     for v in ("gain", "loss"):
         b = (F.when(r < start, F.lit(0.0))
-              .when(r == start, _seed(v, key, order, r >= 2))
+              .when(r == start, _seed(v, key, order, r >= 2) if seeds is None else seeds[v])
               .otherwise(F.col(v) / F.lit(float(period))))
         specs.append(ScanSpec(f"avg_{v}", (period - 1.0) / period, b))
     return specs
@@ -103,10 +107,11 @@ def _carried(spec: ScanSpec, rows: DataFrame, state: str) -> ScanSpec:
 
 
 def _core(fact: DataFrame, block: int | None) -> DataFrame:
-    """EMA fast, EMA slow and both Wilder averages in one scan."""
-    specs = [ema_spec(C.EMA_FAST, "close_price", "ema_12"),
-             ema_spec(C.EMA_SLOW, "close_price", "ema_26"),
-             *wilder_specs(C.RSI_PERIOD)]
+    """EMA fast, EMA slow and both Wilder averages in one scan; the frame has
+    the running means (``_means``) they start from."""
+    specs = [ema_spec(C.EMA_FAST, "close_price", "ema_12", seed=F.col("_mean_close")),
+             ema_spec(C.EMA_SLOW, "close_price", "ema_26", seed=F.col("_mean_close")),
+             *wilder_specs(C.RSI_PERIOD, seeds={v: F.col(f"_mean_{v}") for v in ("gain", "loss")})]
     specs = [_carried(x, fact, state) for x, state in zip(specs, CARRIED, strict=False)]
     return linear_scan(fact, specs, "symbol", "row_num", block, keep_blocks=True)
 
@@ -137,8 +142,12 @@ def _with_macd(core: DataFrame, block: int | None) -> DataFrame:
                 .withColumn("ema_26", F.when(F.col("row_num") >= C.EMA_SLOW, F.col("ema_26")))
                 .withColumn("macd_line", F.when(_has_line(), F.col("ema_12") - F.col("ema_26")))
                 .withColumn("_line_rn", F.col("row_num") - F.lit(LINE_OFFSET)))
-    # Ordered as the first scan left the rows, so nothing is sorted again.
-    spec = ema_spec(C.MACD_SIGNAL, "macd_line", "_sig", rn="_line_rn", order=["_blk", "row_num"])
+    # The line's first rows have no null or it has ended: their mean is put
+    # into the scan row by row, each so that it decays to its share.
+    r, x = F.col("_line_rn"), F.col("macd_line")
+    spec = ema_spec(C.MACD_SIGNAL, "macd_line", "_sig", rn="_line_rn", seed=x / C.MACD_SIGNAL)
+    start = x / C.MACD_SIGNAL * F.pow(F.lit(spec.a), r - C.MACD_SIGNAL)
+    spec = ScanSpec(spec.name, spec.a, F.when((r >= 1) & (r < C.MACD_SIGNAL), start).otherwise(spec.b))
     out = linear_scan(rows, [_carried(spec, rows, CARRIED[-1])], "symbol", "row_num", block)
     ready = (F.col("_line_rn") >= C.MACD_SIGNAL) & F.col("macd_line").isNotNull()
     return out.withColumn("macd_signal", F.when(ready, F.col("_sig"))).drop("_sig", "_line_rn")
@@ -156,6 +165,10 @@ def macd_signal(wide: DataFrame) -> DataFrame:
     return wide.filter(F.col("macd_signal").isNotNull()).select("symbol", "trade_date", "macd_signal")
 
 
+def _means() -> dict[str, Column]:
+    return {"_mean_close": _mean("close_price"), **{f"_mean_{v}": _mean(v, F.col("row_num") >= 2) for v in ("gain", "loss")}}
+
+
 class Indicators:
     """All indicators of one price fact as one wide per-row frame.
 
@@ -169,12 +182,12 @@ class Indicators:
         """``materialize`` (optional) cuts the lineage of the wide frame,
         which every projection below reuses."""
         carried = [c for c in ("_pos", "_state") if c in fact.columns]
-        base = with_sma(fact.select("symbol", "trade_date", "row_num", "close_price", "gain", "loss", *carried),
-                        {"ma50": C.MA_SHORT, "ma200": C.MA_LONG})
-        # The averages, bands and scan seeds share one window specification
-        # (symbol, trade_date), so they are evaluated by one window operator.
-        base = bollinger_frame(base, C.BB_PERIOD, C.BB_WIDTH)
         block = block or common_block()
+        # The averages, bands and scan seeds share one window specification
+        # (symbol, trade_date): two window operators, one for all running
+        # sums and one for what is read some rows back.
+        base = moving(fact.select("symbol", "trade_date", "row_num", "close_price", "gain", "loss", *carried),
+                      [Averages({"ma50": C.MA_SHORT, "ma200": C.MA_LONG}), Bands(C.BB_PERIOD, C.BB_WIDTH)], running=_means())
         wide = _with_macd(_core(base, block), block)
         wide = wide.select(
             "symbol", "trade_date", "row_num", "close_price", "ema_12", "ema_26",

@@ -8,15 +8,14 @@ coefficient is associative, so it is evaluated in two levels instead:
    blocks of ``B`` rows: ``blk = (rn - 1) div B``, ``j = (rn - 1) mod B``.
    Inside a block the closed form is a running sum:
    ``loc_r = a^j * sum_{i <= j} b_i * a^(-i)``
-   (a window over (key, blk), ordered by the row number). The same window
-   with a whole-block frame gives the block's end value with zero carry-in,
-   ``S_k = a^(B-1) * sum_block b_i * a^(-i)``.
+   (a window over (key, blk), ordered by the row number). At a block's last
+   row that is its end value with zero carry-in, ``S_k``.
 2. The value carried into block ``k`` is
    ``carry_k = S_(k-1) + A * S_(k-2) + A^2 * S_(k-3) + ...`` with
-   ``A = a^B``. Every block before the current one is full, so on the first
-   row of block ``k`` the sum of block ``k - m`` is ``lag((m - 1) * B + 1)``
-   over the key's rows: a fixed offset. The carry is formed there and
-   spread over the block with ``last(ignorenulls)``.
+   ``A = a^B``. Every block before the current one is full, so the sum of
+   block ``k - m`` is the last end value among the key's rows up to the
+   ``(m - 1) * B + 1``-th before: a running frame with a fixed end, the same
+   for all rows of block ``k``.
 3. ``y_r = loc_r + a^(j+1) * carry_k``.
 
 Only the ``M`` latest block sums are read, with ``A^M`` below the smallest
@@ -25,12 +24,13 @@ zero, so the truncation drops nothing a double can hold. ``B`` is as large
 as keeps ``a^(-(B-1))`` far from overflow, which makes ``M`` 2 to 4.
 
 Nulls: window sums skip nulls but a recursion does not; once ``b`` is null
-every later ``y`` of the key is null (a running "seen a null" flag).
+every later ``y`` of the key is null (a running "seen a null" flag, inside
+the block and, as a carry, over the blocks before).
 
 Plan: all windows partition by the key (or by (key, blk), which the key's
 hash partitioning satisfies) and order by (blk, rn), so a scan is one sort
-and a chain of window operators on one hash partitioning by key: no
-aggregate, no join back, and the input is read once. A key's rows are one
+and two window operators on one hash partitioning by key: no aggregate, no
+join back, and the input is read once. A key's rows are one
 window partition; for daily bars that is bounded by the trading days of
 the key (one row per (key, day)), see README "Scale".
 """
@@ -72,18 +72,20 @@ def carry_depth(a: float, block: int) -> int:
     return int(math.ceil(_UNDERFLOW_LN / (-block * math.log(a)))) + 1
 
 
-def _carry_at_block_start(s_col: str, a: float, B: int, by_key) -> Column:
-    """On the first row of a block: sum over the M previous (full) blocks of
-    S_(k-m) * A^(m-1), each block sum read at a fixed lag."""
+def _carry(end: str, a: float, B: int, by_key) -> Column:
+    """The value carried into a row's block: the sum over the M previous
+    (full) blocks of S_(k-m) * A^(m-1); ``end`` is S_k on a block's last row,
+    else null."""
     A = a ** B
     terms = []
     for m in range(1, carry_depth(a, B) + 1):
         w = A ** (m - 1)
         if w == 0.0:
             break
-        end = F.coalesce(F.lag(s_col, (m - 1) * B + 1).over(by_key), F.lit(0.0)) * F.lit(a ** (B - 1))
-        terms.append(end * F.lit(w) if m > 1 else end)
-    return F.when(F.col("_j") == 0, reduce(lambda x, y: x + y, terms))
+        before = by_key.rowsBetween(Window.unboundedPreceding, -((m - 1) * B + 1))
+        s = F.coalesce(F.last(end, ignorenulls=True).over(before), F.lit(0.0)) * F.lit(a ** (B - 1))
+        terms.append(s * F.lit(w) if m > 1 else s)
+    return reduce(lambda x, y: x + y, terms)
 
 
 def linear_scan(df: DataFrame, specs: list[ScanSpec], key: str = "symbol", rn: str = "row_num",
@@ -98,33 +100,29 @@ def linear_scan(df: DataFrame, specs: list[ScanSpec], key: str = "symbol", rn: s
             raise ValueError(f"{s.name}: coefficient must be in [0, 1)")
     B = block or min(safe_block(s.a) for s in specs)
     by_key = Window.partitionBy(key).orderBy("_blk", rn)
-    key_run = by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    in_blk = Window.partitionBy(key, "_blk").orderBy(rn)
-    blk_run = in_blk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    blk_all = in_blk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = by_key.rowsBetween(Window.unboundedPreceding, -1)
+    blk_run = Window.partitionBy(key, "_blk").orderBy(rn).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     base = df if "_blk" in df.columns else (df.withColumn("_blk", F.floor((F.col(rn) - 1) / B))
                                               .withColumn("_j", (F.col(rn) - 1) % B))
     scaled = [s.b if s.a == 0.0 else s.b * F.pow(F.lit(s.a), -F.col("_j")) for s in specs]
     base = base.select("*", *[c.alias(f"_c{i}") for i, c in enumerate(scaled)])
-    # The key-partitioned window comes first, so the exchange (if any) is by
-    # key and every later window reuses it and its sort.
-    base = base.select("*", *[F.max(F.col(f"_c{i}").isNull()).over(key_run).alias(f"_bad{i}")
-                              for i in range(len(specs))])
-    base = base.select("*", *[x for i in range(len(specs)) for x in (
-        F.sum(f"_c{i}").over(blk_run).alias(f"_r{i}"), F.sum(f"_c{i}").over(blk_all).alias(f"_s{i}"))])
     live = [i for i, s in enumerate(specs) if s.a > 0.0]
-    base = base.select("*", *[_carry_at_block_start(f"_s{i}", specs[i].a, B, by_key).alias(f"_z{i}")
-                              for i in live])
-    base = base.select("*", *[F.last(f"_z{i}", ignorenulls=True).over(key_run).alias(f"_k{i}") for i in live])
+    # First inside the blocks, then over the key's blocks before: each one
+    # window operator on the same exchange (if any) and the same sort.
+    base = base.select("*", *[F.max(F.col(f"_c{i}").isNull()).over(blk_run).alias(f"_b{i}") for i in range(len(specs))],
+                       *[F.sum(f"_c{i}").over(blk_run).alias(f"_r{i}") for i in live])
+    base = base.select("*", *[F.when(F.col("_j") == B - 1, F.col(f"_r{i}")).alias(f"_e{i}") for i in live])
+    base = base.select("*", *[(F.col(f"_b{i}") | F.coalesce(F.max(f"_b{i}").over(before), F.lit(False))).alias(f"_bad{i}")
+                              for i in range(len(specs))],
+                       *[_carry(f"_e{i}", specs[i].a, B, by_key).alias(f"_k{i}") for i in live])
 
     out = base
     for i, s in enumerate(specs):
         if s.a == 0.0:
             y = F.col(f"_c{i}")
         else:
-            y = (F.pow(F.lit(s.a), F.col("_j")) * F.col(f"_r{i}")
-                 + F.pow(F.lit(s.a), F.col("_j") + 1) * F.coalesce(F.col(f"_k{i}"), F.lit(0.0)))
+            y = F.pow(F.lit(s.a), F.col("_j")) * (F.col(f"_r{i}") + F.lit(s.a) * F.col(f"_k{i}"))
         out = out.withColumn(s.name, F.when(~F.col(f"_bad{i}"), y))
-    temp = (set() if keep_blocks else {"_blk", "_j"}) | {f"{p}{i}" for i in range(len(specs)) for p in ("_c", "_bad", "_r", "_s", "_z", "_k")}
+    temp = (set() if keep_blocks else {"_blk", "_j"}) | {f"{p}{i}" for i in range(len(specs)) for p in ("_c", "_b", "_bad", "_r", "_e", "_k")}
     return out.drop(*[c for c in out.columns if c in temp])

@@ -13,6 +13,8 @@ tick table is combined map-side and never sorted per (symbol, day).
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,12 +35,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _dec(cents_expr, divisor: int):
-    return (cents_expr.cast("decimal(38,4)") / F.lit(divisor)).cast("decimal(18,4)")
+    # A divisor of 10000: the quotient as a whole number of its last places, exact and without a decimal division.
+    places = (cents_expr * F.lit(10000 // divisor)).cast("decimal(18,0)")
+    return (places * F.lit(Decimal("0.0001"))).cast("decimal(18,4)")
+
+
+def _code():
+    return F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("code")
 
 
 def ticks(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(
-        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("code"),
+        _code(),
         "l_suppkey",
         F.date_add(F.col("l_shipdate").cast("date"), DAY_SHIFT).alias("date"),
         "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity",
@@ -50,15 +58,18 @@ def ticks(lineitem: DataFrame) -> DataFrame:
 
 def bars(lineitem: DataFrame) -> DataFrame:
     """One row per (code, date) in integer cents: o, h, l, c, v, k."""
+    # The code follows from the supplier: rows are sorted and dealt by the
+    # number, and the text is made once a bar.
     t = ticks(lineitem)
     order = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
-    return (t.groupBy("code", "l_suppkey", "date")
+    return (t.groupBy("l_suppkey", "date")
             .agg(F.min_by("cents", order).alias("o"),
                  F.max("cents").alias("h"),
                  F.min("cents").alias("l"),
                  F.max_by("cents", order).alias("c"),
                  F.sum("l_quantity").cast("bigint").alias("v"),
-                 F.max("l_orderkey").alias("k")))
+                 F.max("l_orderkey").alias("k"))
+            .select(_code(), "*"))
 
 
 def bronze_prices_from_bars(b: DataFrame) -> DataFrame:
