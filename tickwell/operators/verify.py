@@ -17,14 +17,16 @@ _FLOORS = {"rsi_14": C.DRIFT_FLOOR_RSI}
 _DRIFT_COLS = ("rsi_14", "macd_line", "macd_signal", "ma50", "ma200", "bb_upper", "bb_lower")
 
 
-def drift_report(ours: DataFrame, ref: DataFrame, fact: DataFrame, skip: int = C.DRIFT_SKIP_ROWS) -> DataFrame:
+def drift_report(ours: DataFrame, ref: DataFrame, fact: DataFrame | None = None, skip: int = C.DRIFT_SKIP_ROWS) -> DataFrame:
     """V9: per symbol and indicator, after the first ``skip`` rows: max
     absolute error and mean percent error (0 where the reference is under its
-    floor: 0.1 for RSI, 0.01 otherwise; the MACD floors are on |ref|)."""
-    rn = fact.select("symbol", "trade_date", "row_num")
+    floor: 0.1 for RSI, 0.01 otherwise; the MACD floors are on |ref|). The
+    row numbers are the price fact's, or those of ``ours`` without one."""
     r = ref.select("symbol", "trade_date", *[F.col(c).alias(f"ref_{c}") for c in _DRIFT_COLS])
-    j = (ours.join(r, ["symbol", "trade_date"], "inner").join(rn, ["symbol", "trade_date"], "inner")
-         .filter(F.col("row_num") > skip))
+    if fact is not None:
+        ours = ours.drop("row_num").join(fact.select("symbol", "trade_date", "row_num"), ["symbol", "trade_date"], "inner")
+    # Two whole indicator tables: neither is sent to every task, however well its files compress.
+    j = ours.filter(F.col("row_num") > skip).join(r.hint("merge"), ["symbol", "trade_date"], "inner")
     aggs = []
     for c in _DRIFT_COLS:
         err = F.abs(F.col(c) - F.col(f"ref_{c}"))
