@@ -271,3 +271,25 @@ def test_ordered_extract_reads_back_in_order(spark, scratch):
     B.write_ordered(ten(spark).select("code", "date", "volume").repartition(5), f"{scratch}/x", ["volume"])
     rows = [json.loads(line)["volume"] for f in sorted(glob.glob(f"{scratch}/x/part-*")) for line in open(f)]
     assert rows == list(range(100, 110))
+
+
+def test_a_stored_partition_lies_in_few_files(spark, scratch):
+    """Files grow with tasks plus partitions, not with their product: a first load, and a merge with a large batch."""
+    rows = spark.range(24 * 60).select(F.concat(F.lit("C"), F.col("id") % 60).alias("code"), F.add_months(F.lit(dt.date(2020, 1, 31)), (F.col("id") / 60).cast("int")).alias("date"),
+                                       F.lit(1.0).cast("decimal(18,4)").alias("close"))
+    tasks, months = 8, 24
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        B.write_partitioned(rows, f"{scratch}/t", grain=B.YEAR_MONTH)
+        stored = spark.read.parquet(f"{scratch}/t")
+        assert len(stored.inputFiles()) <= tasks + months
+        new = B.with_grain(rows.withColumn("close", F.lit(2.0).cast("decimal(18,4)")).filter("code < 'C3'"), B.YEAR_MONTH)
+        for small in (True, False):
+            out = B.upsert_rows(stored, new, ("code", "date"), small, B.YEAR_MONTH)
+            out.write.mode("overwrite").partitionBy("year", "month").parquet(f"{scratch}/m{small}")
+            back = spark.read.parquet(f"{scratch}/m{small}")
+            assert back.count() == 24 * 60 and back.filter("close = 2").count() == new.count()
+        assert len(spark.read.parquet(f"{scratch}/mFalse").inputFiles()) <= tasks + months
+    finally:
+        spark.conf.unset(setting)

@@ -228,15 +228,16 @@ def batch_order(columns, seq: str = "seq") -> list[str]:
     return [seq] if seq in columns else [c for c in ("ingested_at", "source") if c in columns]
 
 
-def upsert_bronze(existing: DataFrame, batch: DataFrame, keys=("code", "date"), seq: str = "seq") -> DataFrame:
+def upsert_bronze(existing: DataFrame, batch: DataFrame, keys=("code", "date"), seq: str = "seq", unique: bool = False) -> DataFrame:
     """IO7: merged table after upserting ``batch`` into ``existing`` on
     ``keys``: a batch row replaces every non-key column of a stored row; of
-    the batch's own duplicates the last stays. Idempotent.
+    the batch's own duplicates the last stays (``unique``: it has none).
+    Idempotent.
 
     Stored rows only pass an anti join with the batch's keys: the batch is
     the small side, and when the planner broadcasts it no stored row moves."""
     cols = [c for c in existing.columns if c != seq]
-    new = dedup_last(batch, list(keys), batch_order(batch.columns, seq)).select(*cols)
+    new = (batch if unique else dedup_last(batch, list(keys), batch_order(batch.columns, seq))).select(*cols)
     return existing.select(*cols).join(new.select(*keys), list(keys), "left_anti").unionByName(new)
 
 
@@ -285,20 +286,25 @@ def write_partitioned(df: DataFrame, path: str, date: str = "date", mode: str =
     """IO10: table partitioned by year (or by year and month); any year is
     accepted.
 
-    Rows are hash-distributed on (partition, code), not on the partition
-    alone: one year can hold a large share of all rows, and distributing on
-    it alone would put each year in one task. Each task writes one file per
-    partition it holds, sorted by (code, date) so row-group statistics on
-    the key prune well for the readers."""
+    Rows are dealt in ranges of (partition, code), not by the partition
+    alone: one year can hold a large share of all rows, and dealing by it
+    alone would put each year in one task. A task holds a few neighbouring
+    partitions or a part of one, so there are at most as many files as tasks
+    and partitions together. Each is sorted by (code, date) so row-group
+    statistics on the key prune well for the readers."""
     out = with_grain(df, grain, date)
     keys = [c for c in cluster_by if c in out.columns]
     if keys:
-        out = out.repartition(*grain, *keys)
+        out = out.repartitionByRange(*grain, *keys)
     dealt = out.sortWithinPartitions(*grain, *keys, date)
     writer = by_symbol_writer(dealt, keys[0]) if keys else dealt.write
     writer.mode(mode).partitionBy(*grain).parquet(path)
 
 
+#: Rows of a batch from which on a merge deals all rows of the partitions it rewrites anew.
+LARGE_BATCH = 250_000
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """IO12: CSV with a header; dates as yyyy-MM-dd."""
     df.write.mode("overwrite").option("header", True).option("dateFormat", "yyyy-MM-dd").csv(path)
@@ -373,10 +379,8 @@ def _upsert(spark, batch, path, keys, seq, grain, number, state, load, work) ->
         # One value per touched partition: bounded by the calendar.
         touched = [r["_p"] for r in new.select(period).distinct().collect()]
         part = _period(F.col("year"), F.col("month") if month else None)
-        merged = upsert_bronze(stored.filter(part.isin(touched)).select(*columns), new, keys, seq)
-        # The stored files are already dealt and sorted: their rows stay in
-        # the tasks that read them.
-        by_symbol_writer(with_grain(merged, grain).sortWithinPartitions(*grain, *keys), keys[0]).partitionBy(*grain).parquet(f"{work}/table")
+        merged = upsert_rows(with_grain(stored.filter(part.isin(touched)).select(*columns), grain), with_grain(new, grain), keys, new.count() < LARGE_BATCH, grain)
+        by_symbol_writer(merged.sortWithinPartitions(*grain, *keys), keys[0]).partitionBy(*grain).parquet(f"{work}/table")
     fresh = _partitions(spark, f"{work}/table", len(grain))
     parts = state.get("parts") if number else _partitions(spark, path, len(grain)) if stored is not None else []
     kept = [x for x in parts if x.split("/load=")[0] not in fresh]
@@ -389,6 +393,15 @@ def _upsert(spark, batch, path, keys, seq, grain, number, state, load, work) ->
     return new.count()
 
 
+def upsert_rows(stored: DataFrame, new: DataFrame, keys, small: bool, grain) -> DataFrame:
+    """The rows that a merge writes, dealt so that a task holds few partitions. Stored files are dealt already: under a
+    ``small`` batch, whose keys go to every task, their rows stay in the tasks that read them. A large batch's keys meet
+    them through a shuffle, after which every task would hold rows of every partition."""
+    if small:
+        return upsert_bronze(stored, new.repartitionByRange(*grain, *keys), keys, unique=True)
+    return upsert_bronze(stored, new, keys, unique=True).repartitionByRange(*grain, *keys)
+
+
 def _drop_part(spark: SparkSession, path: str, part: str) -> None:
     """A partition's superseded folder; of one from before the first publication the files alone."""
     if "/load=" in part:
