@@ -2,11 +2,13 @@
 
 import datetime as dt
 import os
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from tickwell.plans import daily
+from tickwell.plans import store as S
 from tickwell.plans import warehouse as W
 from tickwell.plans.store import Store
 from tickwell.sources import bronze as B
@@ -100,3 +102,44 @@ def test_fallbacks_to_a_full_rebuild(spark, scratch, small, monkeypatch):
     daily.run_daily(spark, day, moved, b.components, bronze, root)
     assert len(rebuilds) == 2
     few.unpersist()
+
+
+def test_a_day_without_a_valid_bar_keeps_the_state(spark, scratch, small):
+    """S2's new bar is invalid: its next day goes on from the rows before. S9 is listed with invalid bars alone."""
+    day = lambda i: dt.date(2023, 1, 2) + dt.timedelta(days=i)
+    kind = "code string, date date, open decimal(18,4), high decimal(18,4), low decimal(18,4), close decimal(18,4), volume bigint, source string"
+    bar = lambda code, i, volume=10, up=0: (code, day(i), *[Decimal(100 + i % 7 + up)] * 4, volume, "feed")
+    table = lambda rows: spark.createDataFrame(rows, kind)
+    index = table([bar(c, i) for c in ("VNINDEX", "VN30") for i in range(266)])
+    members, bronze, root = table([bar("S1", 0)]).select("code"), f"{scratch}/bronze", f"{scratch}/wh"
+    old = {"S1": 260, "S2": 250, "S3": 40}
+    batches = [[bar(c, i) for c, n in old.items() for i in range(260 - n, 260)],
+               [bar("S1", 260), bar("S2", 260, -1), bar("S3", 260, -1), bar("S9", 260, -1)],
+               # S1's older bar again, in the middle of what is stored
+               [bar("S1", 250, up=1), bar("S2", 261, up=1), bar("S3", 261), bar("S9", 261)]]
+    for batch in batches:
+        daily.run_daily(spark, table(batch), index, members, bronze, root)
+        state = {r["symbol"]: r for r in Store(spark, root).table("symbol_state").collect()}
+        assert all(len(r["tail"] or ()) <= 200 for r in state.values())
+    W.build_warehouse(spark, B.read_stored(spark, bronze), index, members, f"{scratch}/full", extracts=False, state=True)
+    for name in TABLES:
+        assert rows(spark, root, name) == rows(spark, f"{scratch}/full", name), name
+    fresh = {r["symbol"]: r for r in Store(spark, f"{scratch}/full").table("symbol_state").collect()}
+    assert state.keys() == fresh.keys()
+    for s in state:
+        assert (state[s]["raw_date"], state[s]["raw_close"], state[s]["tail"]) == (fresh[s]["raw_date"], fresh[s]["raw_close"], fresh[s]["tail"]), s
+        assert [x and round(x, 6) for x in state[s]["state"]] == [x and round(x, 6) for x in fresh[s]["state"]], s
+
+
+def test_a_correction_deals_no_stored_row(spark, scratch, small):
+    """Rows of other symbols are rewritten from the buckets in which they lie."""
+    row = lambda s, d, x: (s, dt.date(2024, 1, d), float(x))
+    table = lambda rows: spark.createDataFrame(rows, "symbol string, trade_date date, close_price double")
+    entry = S.write_daily(table([row(f"S{i}", d, i) for i in range(20) for d in (2, 3)]), f"{scratch}/t", "first", 2)
+    with S.bucketed_scans(spark):
+        rows_ = daily._beside(S.open_daily(spark, entry), table([row("S3", 1, 0)]).select("symbol"), table([row("S3", 2, 9), row("S3", 3, 9), row("S4", 4, 4)]), 2)
+        assert S._dealt(rows_, 2)
+        again = S.write_daily(rows_, f"{scratch}/again", "second", 2)
+    assert len([f for f in os.listdir(f"{scratch}/again/year=2024") if f.endswith(".parquet")]) <= 2
+    got = {(r["symbol"], r["trade_date"].day): r["close_price"] for r in S.open_daily(spark, again).collect()}
+    assert got == {(f"S{i}", d): 9.0 if i == 3 else float(i) for i in range(20) for d in (2, 3)} | {("S4", 4): 4.0}

@@ -98,8 +98,9 @@ CARRIED = ("ema_12", "ema_26", "avg_gain", "avg_loss", "macd_signal")
 def _carried(spec: ScanSpec, rows: DataFrame, state: str) -> ScanSpec:
     """A recursion that goes on from a stored state, in a frame that has one:
     rows with ``_pos`` 0 are the last ones stored, whose value is given
-    (``_state``); rows before it (-1) are there for the windows only and add
-    nothing; all others, and keys without a state, are as usual."""
+    (``_state``); rows before it (-1) are there for the windows only, are
+    dropped before a scan or add nothing; all others, and keys without a
+    state, are as usual."""
     if "_pos" not in rows.columns:
         return spec
     b = F.when(F.col("_pos") < 0, F.lit(0.0)).when(F.col("_pos") == 0, F.col(f"_state.{state}")).otherwise(spec.b)
@@ -178,16 +179,22 @@ class Indicators:
     indicator tables. The intermediate tables (EMA12, EMA26, RSI, MACD line
     and signal) are projections of the wide frame."""
 
-    def __init__(self, fact: DataFrame, block: int | None = None, materialize=None):
+    def __init__(self, fact: DataFrame, block: int | None = None, materialize=None, keep=()):
         """``materialize`` (optional) cuts the lineage of the wide frame,
-        which every projection below reuses."""
+        which every projection below reuses. ``keep`` names columns of the
+        fact that the wide frame has too. In a frame that goes on from
+        stored states the rows that serve the windows alone (``_pos`` -1)
+        end with those."""
         carried = [c for c in ("_pos", "_state") if c in fact.columns]
         block = block or common_block()
         # The averages, bands and scan seeds share one window specification
         # (symbol, trade_date): two window operators, one for all running
         # sums and one for what is read some rows back.
-        base = moving(fact.select("symbol", "trade_date", "row_num", "close_price", "gain", "loss", *carried),
+        base = moving(fact.select("symbol", "trade_date", "row_num", "close_price", "gain", "loss", *carried, *keep),
                       [Averages({"ma50": C.MA_SHORT, "ma200": C.MA_LONG}), Bands(C.BB_PERIOD, C.BB_WIDTH)], running=_means())
+        if carried:
+            # what a scan would read of them is 0, as it is of rows that are not there
+            base = base.filter(F.col("_pos").isNull() | (F.col("_pos") >= 0))
         wide = _with_macd(_core(base, block), block)
         wide = wide.select(
             "symbol", "trade_date", "row_num", "close_price", "ema_12", "ema_26",
@@ -195,7 +202,7 @@ class Indicators:
             F.when(F.col("row_num") >= C.RSI_PERIOD + 1, rsi_col()).alias("rsi_14"),
             "macd_line", "macd_signal",
             (F.col("macd_line") - F.col("macd_signal")).alias("macd_histogram"),
-            "gain", "loss", "avg_gain", "avg_loss")
+            "gain", "loss", "avg_gain", "avg_loss", *keep)
         self.wide = materialize(wide) if materialize is not None else wide
         self.tables = projections(self.wide)
         self.line, self.signal = self.tables["int_macd_line"], self.tables["int_macd_signal"]

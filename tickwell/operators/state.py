@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from . import gold, silver
-from .indicators import CARRIED
+from .indicators import CARRIED, Indicators
 from .windows import by_symbol
 
 TAIL_ROWS = C.MA_LONG
@@ -29,11 +29,41 @@ def symbol_state(wide: DataFrame, bars: DataFrame) -> DataFrame:
     A symbol without a valid row has no tail."""
     last = F.max("row_num").over(Window.partitionBy("symbol"))
     rows = wide.withColumn("_last", last).filter(F.col("row_num") > F.col("_last") - TAIL_ROWS)
-    values = F.struct(*[F.max_by(c, "row_num").alias(c) for c in CARRIED])
-    tails = rows.groupBy("symbol").agg(F.sort_array(F.collect_list(F.struct(*_TAIL))).alias("tail"), values.alias("state"))
+    tails = rows.groupBy("symbol").agg(F.sort_array(F.collect_list(F.struct(*_TAIL))).alias("tail"), _values().alias("state"))
     return bars.join(tails, "symbol", "left").select("symbol", "raw_date", "raw_close", "tail", "state")
 
 
+def _values():
+    return F.struct(*[F.max_by(c, "row_num").alias(c) for c in CARRIED])
+
+
+def next_state(state: DataFrame, bars: DataFrame, rows: DataFrame) -> DataFrame:
+    """States after new ``bars``, all later than their symbol's last one: a symbol's new valid ``rows`` (of the wide frame) are
+    put to the end of its tail. One whose new bars are all invalid keeps its tail and recursion values. Stored tails are cut
+    as they lie and are not dealt row by row."""
+    added = rows.groupBy("symbol").agg(F.sort_array(F.collect_list(F.struct(*_TAIL))).alias("_added"), _values().alias("_values"))
+    last = last_bars(bars).select("symbol", F.col("raw_date").alias("_date"), F.col("raw_close").alias("_close"))
+    touched = last.join(added, "symbol", "left")
+    listed = touched.join(state.select("symbol"), "symbol", "left_anti")
+    both = F.when(F.col("tail").isNull(), F.col("_added")).otherwise(F.concat("tail", "_added"))
+    cut = F.slice(both, F.greatest(F.size(both) - TAIL_ROWS + 1, F.lit(1)), TAIL_ROWS)
+    mine = state.join(touched, "symbol", "left").select(
+        "symbol", F.coalesce("_date", "raw_date").alias("raw_date"), F.when(F.col("_date").isNull(), F.col("raw_close")).otherwise(F.col("_close")).alias("raw_close"),
+        F.when(F.col("_added").isNull(), F.col("tail")).otherwise(cut).alias("tail"), F.coalesce("_values", "state").alias("state"))
+    new = listed.select("symbol", F.col("_date").alias("raw_date"), F.col("_close").alias("raw_close"),
+                        F.slice("_added", F.greatest(F.size("_added") - TAIL_ROWS + 1, F.lit(1)), TAIL_ROWS).alias("tail"), F.col("_values").alias("state"))
+    return mine.unionByName(new)
+
+
+def last_after(bars: DataFrame, state: DataFrame) -> DataFrame:
+    """``last_bars`` of the symbols of ``bars`` once these have replaced or followed their stored ones."""
+    last = last_bars(bars).select("symbol", F.col("raw_date").alias("_date"), F.col("raw_close").alias("_close"))
+    both = last.join(state.select("symbol", "raw_date", "raw_close"), "symbol", "left")
+    newer = F.col("raw_date").isNull() | (F.col("_date") >= F.col("raw_date"))
+    return both.select("symbol", F.when(newer, F.col("_date")).otherwise(F.col("raw_date")).alias("raw_date"),
+                       F.when(newer, F.col("_close")).otherwise(F.col("raw_close")).alias("raw_close"))
+
+
 def with_last_bars(bars: DataFrame, state: DataFrame) -> DataFrame:
     """New bars and, for the gap rule, the last stored bar of each of their symbols (its date and raw close alone)."""
     kinds = dict(bars.dtypes)
@@ -66,3 +96,17 @@ def continued_fact(new: DataFrame, state: DataFrame) -> DataFrame:
     both = gold.with_gain_loss(both.withColumn("row_num", F.when(F.col("is_new"), number).otherwise(F.col("_row")).cast("bigint")))
     both = both.withColumns({c: F.when(F.col("is_new"), F.col(c)).otherwise(F.col(f"_{c}")) for c in ("gain", "loss")})
     return both.withColumn("gold_loaded_at", F.current_timestamp()).drop("_row", "_gain", "_loss")
+
+
+# Of a price fact's columns those that the wide frame lacks.
+_FACT_ONLY = ("open_price", "high_price", "low_price", "volume", "source", "silver_loaded_at", "gold_loaded_at")
+
+
+def wide_fact(fact: DataFrame) -> DataFrame:
+    """The wide frame with all columns of the price fact."""
+    return Indicators(fact, keep=_FACT_ONLY).wide
+
+
+def new_wide(new: DataFrame, state: DataFrame) -> DataFrame:
+    """``wide_fact`` of new silver rows, computed on from the states: the new rows alone."""
+    return Indicators(continued_fact(new, state), keep=(*_FACT_ONLY, "is_new")).wide.filter("is_new").drop("is_new")

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..operators import gold, quality, silver
 from ..operators import state as ST
-from ..operators.indicators import Indicators, projections
+from ..operators.indicators import projections
 from ..sources import bronze as B
 from ..sources import published as P
 from . import store as S
@@ -46,8 +46,9 @@ def run_daily(spark: SparkSession, batch: DataFrame, index: DataFrame, component
         batch = batch.join(components.select("code").distinct(), "code", "left_semi")
     seen = P.latest(spark, bronze_path)[0]
     in_step = "symbol_state" in store.tables and store.info.get("bronze") == seen
-    batch.write.parquet(f"{report.build}/batch")
-    batch = spark.read.schema(batch.schema).parquet(f"{report.build}/batch")
+    if in_step:  # else only the upsert reads the batch, once
+        batch.write.parquet(f"{report.build}/batch")
+        batch = spark.read.schema(batch.schema).parquet(f"{report.build}/batch")
     B.upsert_into(spark, batch, bronze_path, f"{root}/_staging")
     info = {"bronze": P.latest(spark, bronze_path)[0]}
     prices = B.read_stored(spark, bronze_path)
@@ -74,22 +75,22 @@ def run_daily(spark: SparkSession, batch: DataFrame, index: DataFrame, component
     since_year = days["corrected"].year if days["corrected"] else None
     columns = [c for c in prices.columns if c not in B.YEAR_MONTH]
     wanted = prices.select(*columns).join(redone, F.col("code") == F.col("symbol"), "left_semi")
-    stored = (lambda name, df: W.write_entry(report, name, df)) if since_year else (lambda name, df: spark.createDataFrame([], df.schema))
-    again = stored("again_silver", silver.silver_prices(wanted, index))
-    again_fact = stored("again_fact", gold.fact_stock_price(again))
-    again_wide = stored("again_wide", Indicators(again_fact).wide)
+    if since_year is not None:
+        again = W.write_entry(report, "again_silver", silver.silver_prices(wanted, index))
+        again_wide = W.write_entry(report, "again_wide", ST.wide_fact(gold.fact_stock_price(again)))
 
-    # the others: from their states
+    # the others: from their states, whose stored rows only the windows read
     kinds = prices.schema
-    ahead = bars.join(redone, F.col("code") == F.col("symbol"), "left_anti")
-    ahead = ahead.select(*[(F.col(c) if c in ahead.columns else F.lit(None)).cast(kinds[c].dataType).alias(c) for c in columns])
+    of = lambda how: bars.join(redone, F.col("code") == F.col("symbol"), how).select(
+        *[(F.col(c) if c in bars.columns else F.lit(None)).cast(kinds[c].dataType).alias(c) for c in columns])
+    ahead = of("left_anti")
     new = W.write_entry(report, "new_silver", ST.new_silver(ahead, state, index))
-    frame = W.write_entry(report, "new_frame", ST.continued_fact(new, state))
-    new_fact = frame.filter("is_new").select(*[c for c in again_fact.columns])
-    new_wide_all = W.write_entry(report, "new_wide", Indicators(frame).wide)
-    new_wide = new_wide_all.join(new_fact.select("symbol", "trade_date"), ["symbol", "trade_date"], "left_semi")
+    new_wide = W.write_entry(report, "new_wide", ST.new_wide(new, state))
+    if since_year is None:
+        again, again_wide = new.filter("false"), new_wide.filter("false")
 
-    fresh = {"silver_prices": (new, again), "fact_stock_price": (new_fact, again_fact)}
+    # the price fact's columns are the wide frame's too; a table takes its own of them
+    fresh = {"silver_prices": (new, again), "fact_stock_price": (new_wide, again_wide)}
     fresh |= {n: (a, projections(again_wide)[n]) for n, a in projections(new_wide).items()}
     with S.bucketed_scans(spark), ThreadPoolExecutor(W.WRITERS) as pool:  # the tables don't wait for each other
         list(pool.map(lambda x: _change(report, store, x[0], *x[1], redone, since_year), fresh.items()))
@@ -104,17 +105,17 @@ def run_daily(spark: SparkSession, batch: DataFrame, index: DataFrame, component
     sources = reduce(lambda a, b: a.unionByName(b), [known, *[x.select("symbol", "source", "is_valid") for x in (new, again)]])
     dim = W.write_entry(report, "dim_stock", gold.dim_stock(sources, components))
 
-    touched = [ahead.select(F.col("code").alias("symbol")).distinct(), redone]
-    rest = reduce(lambda a, b: a.join(b, "symbol", "left_anti"), touched, state)
-    states = [rest, ST.symbol_state(new_wide_all, ST.last_bars(ST.with_last_bars(ahead, state))), ST.symbol_state(again_wide, ST.last_bars(wanted))]
-    W.write_entry(report, "symbol_state", reduce(lambda a, b: a.unionByName(b), [x.select("symbol", "raw_date", "raw_close", "tail", "state") for x in states]))
+    states = ST.next_state(state.join(redone, "symbol", "left_anti"), ahead, new_wide)
+    if since_year is not None:
+        states = states.unionByName(ST.symbol_state(again_wide, ST.last_after(of("left_semi"), state)))
+    W.write_entry(report, "symbol_state", states)
 
     changed = sorted({y for y, load, _ in report.entries["silver_prices"]["parts"] if load == report.load})
     report.gates["silver"] = quality.enforce(quality.silver_gates(after["silver_prices"].filter(F.col("year").isin(changed)), si))
     report.gates["gold"] = quality.enforce(quality.gold_gates(projections(new_wide.unionByName(again_wide))["fact_stock_indicators"], summary, dim))
     if extracts:
         W.build_extracts(spark, prices, after["fact_stock_price"], after["fact_stock_indicators"], summary, dim, report)
-    for name in ("redone", "again_silver", "again_fact", "again_wide", "new_silver", "new_frame", "new_wide"):
+    for name in ("redone", "again_silver", "again_wide", "new_silver", "new_wide"):
         if report.entries.pop(name, None):
             B.delete_path(spark, report.tables.pop(name))
     B.delete_path(spark, f"{report.build}/batch")
@@ -128,19 +129,27 @@ def _unchanged(spark: SparkSession, store: S.Store, report: W.BuildReport, info:
 
 
 def _change(report: W.BuildReport, store: S.Store, name: str, added: DataFrame, replaced: DataFrame, redone: DataFrame, since_year: int | None) -> None:
-    """Adds rows to a daily table; with ``since_year`` the symbols of ``redone`` get theirs of ``replaced`` from that year on."""
+    """Adds rows to a daily table; with ``since_year`` the symbols of ``redone`` get theirs of ``replaced`` from that year on.
+    The others' stored rows stay in their buckets: only added and replaced rows are dealt."""
     old = store.tables[name]
-    rows, parts = added, old["parts"]
+    columns = [c.strip("`") for c in _names(old["columns"])]
+    rows, parts = added.select(*columns), old["parts"]
     if since_year is not None:
-        stored = S.open_daily(added.sparkSession, old).filter(F.col("year") >= since_year).drop("year")
-        theirs = replaced.filter(F.year("trade_date") >= since_year)
-        rows = reduce(lambda a, b: a.unionByName(b), [added, theirs, stored.join(redone, "symbol", "left_anti")])
+        theirs = replaced.filter(F.year("trade_date") >= since_year).select(*columns)
+        stored = S.open_daily(added.sparkSession, old).filter(F.col("year") >= since_year).select(*columns, "year")
+        rows = _beside(stored, redone, rows.unionByName(theirs), old["buckets"])
         parts = [p for p in parts if p[0] < since_year]
     path = f"{report.build}/{name}"
-    entry = S.write_daily(rows.select(*[c.strip("`") for c in _names(old["columns"])]), path, report.load, old["buckets"])
+    entry = S.write_daily(rows, path, report.load, old["buckets"])
     report.tables[name] = path
     report.entries[name] = {**old, "parts": parts + entry["parts"]}
 
 
+def _beside(stored: DataFrame, redone: DataFrame, fresh: DataFrame, buckets: int) -> DataFrame:
+    """Stored rows but those of ``redone``, where they lie, and ``fresh`` rows dealt into the same buckets. Both have their year
+    before they meet: a column put on after the union hides from the planner that it is hash-partitioned."""
+    return stored.join(redone, S.KEY, "left_anti").unionByName(B.with_grain(fresh, date=S.DATE).repartition(buckets, S.KEY))
+
+
 def _names(columns: str) -> list[str]:
     return [c.split(" ")[0] for c in columns.split(", ")]

@@ -48,10 +48,10 @@ def bucketed_scans(spark: SparkSession) -> Iterator[None]:
 
 
 def write_daily(df: DataFrame, path: str, load: str, buckets: int) -> dict:
-    """Writes a daily table; returns what a publication says of it. Rows that are hash-partitioned by symbol into
+    """Writes a daily table; returns what a publication says of it. A ``year`` that rows have is that of their day. Rows that are hash-partitioned by symbol into
     ``buckets`` are written from where they are, at most ``buckets`` files a year; others are dealt so first."""
     spark = df.sparkSession
-    rows = B.with_grain(df.drop("year"), date=DATE)
+    rows = df if "year" in df.columns else B.with_grain(df, date=DATE)
     if not _dealt(rows, buckets):
         rows = rows.repartition(buckets, KEY)
     name = f"tickwell_{uuid.uuid4().hex}"
